@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from ..functions import html as H
 from ..functions import text as X
 
+# URL path segment (0-based over split('/')) holding the city:
+# https://ss.lv/msg/lv/real-estate/flats/<region>/<city>/<hash>.html
+CITY_SEGMENT = 8
+
 # formatted column -> (report label, prefix written in the formatted table)
 FORMATTED_FIELDS = [
     ("Room_count", H.LABEL_ROOMS, "Istabas:>"),
@@ -54,7 +58,7 @@ def blocks_to_formatted(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return formatted, quarantine
 
 
-def clean_formatted(formatted: DataFrame, run_date=None, city_index: int = 7) -> tuple[DataFrame, DataFrame]:
+def clean_formatted(formatted: DataFrame, run_date=None, city_index: int = CITY_SEGMENT) -> tuple[DataFrame, DataFrame]:
     """D3 -> typed clean ads (F1-F8, F10, F5). Returns (clean, quarantine).
 
     Rows whose price, size, floor or date do not parse go to quarantine with
@@ -103,7 +107,7 @@ def report_to_clean_ads(blocks: DataFrame, run_date=None) -> tuple[DataFrame, Da
     return clean, q1.unionByName(q2)
 
 
-def cleaned_csv_to_clean_ads(cleaned: DataFrame, run_date, city_index: int = 7) -> DataFrame:
+def cleaned_csv_to_clean_ads(cleaned: DataFrame, run_date, city_index: int = CITY_SEGMENT) -> DataFrame:
     """S3 table (reference's cleaned CSV) -> typed clean ads."""
     run = X.run_date_lit(run_date)
     return cleaned.select(

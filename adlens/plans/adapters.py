@@ -9,7 +9,7 @@ independent check.
 
 part -> one ad per part:
   url_hash      'p' || p_partkey
-  city          lower(p_type)            (URL path segment 7)
+  city          lower(p_type)  (URL: …/flats/riga-and-reg/<city>/<hash>.html)
   room_count    p_size % 5 + 1
   apt_floor     p_size % 9 + 1
   house_floors  apt_floor + p_partkey % 4, lift when house_floors >= 5
@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 
 AD_BASE_URL = "https://ss.lv/msg/lv/real-estate/flats/"
+AD_REGION = "riga-and-reg"
 PART_PUB_DATE_ANCHOR = _dt.date(2024, 3, 1)
 NO_PRICE_BRAND = "Brand#13"
 
@@ -50,7 +51,7 @@ def _part_cols(part: DataFrame) -> DataFrame:
     city = F.lower(F.col("p_type"))
     return part.select(
         k.alias("p_partkey"),
-        F.concat(F.lit(AD_BASE_URL), city, F.lit("/centre/"), h, F.lit(".html")).alias("url"),
+        F.concat(F.lit(AD_BASE_URL + AD_REGION + "/"), city, F.lit("/"), h, F.lit(".html")).alias("url"),
         h.alias("url_hash"), city.alias("city"),
         (size % 5 + 1).cast("int").alias("room_count"),
         apt.alias("apt_floor"), house.alias("house_floors"), (house >= 5).alias("has_lift"),

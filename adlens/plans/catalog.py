@@ -41,7 +41,7 @@ def T(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 PART_ADS_SQL = """
 part_ads as (
   select p_partkey,
-         'https://ss.lv/msg/lv/real-estate/flats/' || lower(p_type) || '/centre/p' || cast(p_partkey as varchar) || '.html' as url,
+         'https://ss.lv/msg/lv/real-estate/flats/riga-and-reg/' || lower(p_type) || '/p' || cast(p_partkey as varchar) || '.html' as url,
          'p' || cast(p_partkey as varchar) as url_hash,
          lower(p_type) as city,
          cast(p_size % 5 + 1 as integer) as room_count,
@@ -351,7 +351,7 @@ def q_last_days(spark, sf_dir):
 
 def q_city_counts(spark, sf_dir):
     ads = _ads(spark, sf_dir)
-    return ads.groupBy(X.url_path_part("url", 7).alias("city")).agg(F.count(F.lit(1)).alias("ads"))
+    return ads.groupBy(X.url_path_part("url", E.CITY_SEGMENT).alias("city")).agg(F.count(F.lit(1)).alias("ads"))
 
 
 def q_adhoc_sql(spark, sf_dir):
@@ -579,7 +579,7 @@ g as (select room_count, count(*) as cnt from ads group by 1)
 select room_count, cnt, cast((cnt * 20000 + sum(cnt) over ()) // (2 * sum(cnt) over ()) * 0.01 as decimal(9,2)) as pct from g""",
     "last_days": _w(PRICED_PART_ADS_SQL) + """
 select url_hash, pub_date from ads where pub_date > date '2024-03-01' - 30 and pub_date <= date '2024-03-01'""",
-    "city_counts": _w(PRICED_PART_ADS_SQL) + " select split_part(url, '/', 8) as city, count(*) as ads from ads group by 1",
+    "city_counts": _w(PRICED_PART_ADS_SQL) + " select split_part(url, '/', 9) as city, count(*) as ads from ads group by 1",
     "adhoc_sql": _w(ISLANDS_SQL) + """
 select days_listed, count(days_listed) as cnt from life where removed_date is not null
 group by days_listed order by count(days_listed) desc, days_listed""",

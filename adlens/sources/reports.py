@@ -37,10 +37,10 @@ def read_report_blocks(spark: SparkSession, path: str, run_date=None,
     CRLF is normalised; every record but a file's first lost its leading
     ``https`` to the separator and gets it back.
     """
-    reader = spark.read.option("lineSep", "\n" + URL_START)
+    reader = spark.read
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
-    raw = reader.text(path)
+    raw = reader.text(path, lineSep="\n" + URL_START)
     value = F.regexp_replace(F.col("value"), "\r", "")
     block = F.when(value.startswith(URL_START), value).otherwise(F.concat(F.lit(URL_START), value))
     src = F.col("_metadata.file_path")
@@ -53,7 +53,7 @@ def read_report_blocks_wholetext(spark: SparkSession, path: str, run_date=None)
     """S1 fallback for indented URL lines: whole file per record, split
     before each line that starts (after blanks) with ``https``; ``pos`` is the
     block's position in its file (W2)."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     parts = F.split(F.regexp_replace(F.col("value"), "\r", ""), r"(?m)(?=^[ \t]*" + URL_START + ")")
     return (raw.select(F.col("_metadata.file_path").alias("source_file"),
                        F.posexplode(parts).alias("pos", "block"))
