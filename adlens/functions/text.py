@@ -37,8 +37,13 @@ def col_(c) -> Column:
 
 
 def strip_tokens(c, tokens=LABEL_TOKENS) -> Column:
-    """remove all label tokens from a string column in one regex pass."""
-    return F.regexp_replace(col_(c), "|".join(_quote(t) for t in tokens), "")
+    """remove all label tokens from a string column. Literal replaces
+    (no regex); the tokens cannot combine into new ones in the known format,
+    so one pass per token equals the reference's repeated regex replaces."""
+    out = col_(c)
+    for t in tokens:
+        out = F.replace(out, F.lit(t), F.lit(""))
+    return out
 
 
 def strip_tokens_all(df, tokens=LABEL_TOKENS):

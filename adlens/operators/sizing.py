@@ -29,3 +29,12 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     """Broadcast hint when ``df`` has at most ``max_rows`` rows; ``df`` should
     already be pinned (see ``pin``) so the count is cheap."""
     return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a few-partition input (a small file, a single row group) over
+    the cores before heavy per-row work (regex parsing, rendering). A no-op
+    for any input that already has enough partitions, i.e. every large one,
+    so it never adds a shuffle at scale."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

@@ -22,6 +22,7 @@ from ..operators import lifecycle as L
 from ..operators import ranking as RK
 from ..operators import report as RP
 from ..operators import stats as ST
+from ..operators.sizing import spread
 from ..session import scratch_path
 from ..sources import reports as SR
 from . import adapters as A
@@ -101,7 +102,7 @@ status as (
 
 def _part_report_ads(spark, sf_dir):
     """K12 -> write text in the shared folder -> S1 -> H10 -> D3 -> F1-F10."""
-    part = T(spark, sf_dir, "part")
+    part = spread(T(spark, sf_dir, "part"))
     path = scratch_path(spark, "report")
     A.report_blocks_from_part(part).write.mode("overwrite").text(path)
     blocks = SR.read_report_blocks(spark, path, run_date=PART_RUN_DATE)
@@ -121,7 +122,7 @@ def q_quarantine(spark, sf_dir):
 
 def q_extra_fields(spark, sf_dir):
     """Carry the optional labels (series, house type) through the MAP."""
-    part = T(spark, sf_dir, "part")
+    part = spread(T(spark, sf_dir, "part"))
     parsed = SR.parse_blocks(A.report_blocks_from_part(part).select(
         "block", F.lit("part").alias("source_file"), F.lit(PART_RUN_DATE).alias("run_date")))
     return parsed.select(X.url_hash("url").alias("url_hash"),
@@ -131,7 +132,7 @@ def q_extra_fields(spark, sf_dir):
 
 
 def _price_texts(spark, sf_dir):
-    part = T(spark, sf_dir, "part")
+    part = spread(T(spark, sf_dir, "part"))
     blocks = A.report_blocks_from_part(part)
     return blocks.select(X.url_hash(H.block_url("block")).alias("url_hash"),
                          H.label_value("block", H.LABEL_PRICE).alias("price_text"),
@@ -153,22 +154,26 @@ def _ads(spark, sf_dir):
     return A.ads_from_part(T(spark, sf_dir, "part"), PART_RUN_DATE)
 
 
+def _pages(spark, sf_dir):
+    return spread(T(spark, sf_dir, "pages"))
+
+
 def q_extract_links(spark, sf_dir):
-    return E.page_links(T(spark, sf_dir, "pages"), pattern="/")
+    return E.page_links(_pages(spark, sf_dir), pattern="/")
 
 
 def q_count_links(spark, sf_dir):
-    pages = T(spark, sf_dir, "pages")
+    pages = _pages(spark, sf_dir)
     return pages.select("page_id", F.size(H.links("html")).alias("n_links"),
                         F.size(H.msg_links("html", pattern="/")).alias("n_distinct_links"))
 
 
 def q_distinct_links(spark, sf_dir):
-    return E.distinct_links(T(spark, sf_dir, "pages"), pattern="/")
+    return E.distinct_links(_pages(spark, sf_dir), pattern="/")
 
 
 def q_extract_cells(spark, sf_dir):
-    return E.page_cells(T(spark, sf_dir, "pages"), "div", "ad")
+    return E.page_cells(_pages(spark, sf_dir), "div", "ad")
 
 
 def q_snapshot_diff(spark, sf_dir):

@@ -41,7 +41,7 @@ def read_report_blocks(spark: SparkSession, path: str, run_date=None,
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
     raw = reader.text(path, lineSep="\n" + URL_START)
-    value = F.regexp_replace(F.col("value"), "\r", "")
+    value = F.translate(F.col("value"), "\r", "")
     block = F.when(value.startswith(URL_START), value).otherwise(F.concat(F.lit(URL_START), value))
     src = F.col("_metadata.file_path")
     return (raw.select(block.alias("block"), src.alias("source_file"))
@@ -54,7 +54,7 @@ def read_report_blocks_wholetext(spark: SparkSession, path: str, run_date=None)
     before each line that starts (after blanks) with ``https``; ``pos`` is the
     block's position in its file (W2)."""
     raw = spark.read.text(path, wholetext=True)
-    parts = F.split(F.regexp_replace(F.col("value"), "\r", ""), r"(?m)(?=^[ \t]*" + URL_START + ")")
+    parts = F.split(F.translate(F.col("value"), "\r", ""), r"(?m)(?=^[ \t]*" + URL_START + ")")
     return (raw.select(F.col("_metadata.file_path").alias("source_file"),
                        F.posexplode(parts).alias("pos", "block"))
             .where(F.trim(F.col("block")) != "")
