@@ -115,3 +115,26 @@ def ads_from_orders(orders: DataFrame) -> DataFrame:
                          F.to_date("o_orderdate").alias("pub_date"),
                          F.col("o_orderstatus").alias("segment"),
                          X.money("o_totalprice").alias("price"))
+
+
+def ads_from_snapshots(snapshots: DataFrame) -> DataFrame:
+    """Daily snapshots -> clean ads: each (ad, day) is an ad seen on that
+    day, published that day (so a new ad's list date is its first day)."""
+    key = F.col("ad_key").cast("string")
+    return snapshots.select(
+        F.concat(F.lit(AD_BASE_URL + AD_REGION + "/events/"), key, F.lit(".html")).alias("url"),
+        key.alias("url_hash"), F.lit(None).cast("int").alias("room_count"),
+        F.lit(None).cast("int").alias("house_floors"), F.lit(None).cast("int").alias("apt_floor"),
+        F.lit(None).cast("bigint").alias("price_eur"), F.lit(None).cast("decimal(10,2)").alias("size_sqm"),
+        F.lit(None).cast("decimal(10,2)").alias("sqm_price_eur"), F.lit(None).cast("string").alias("street"),
+        F.col("run_date").alias("pub_date"), "run_date")
+
+
+def open_ads_as_listed(periods: DataFrame) -> DataFrame:
+    """W4 listing periods that are still open -> LISTED_ADS rows."""
+    return periods.where(F.col("removed_date").isNull()).select(
+        F.col("ad_key").cast("string").alias("url_hash"),
+        *[F.lit(None).cast("int").alias(c) for c in ("room_count", "house_floors", "apt_floor", "price",
+                                                      "sqm", "sqm_price")],
+        F.lit(None).cast("string").alias("apt_address"), "list_date",
+        F.col("days_listed").cast("int").alias("days_listed"), F.lit(None).cast("int").alias("view_count"))

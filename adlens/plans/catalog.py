@@ -292,8 +292,10 @@ def q_dedup_last(spark, sf_dir):
 
 
 def q_price_cap(spark, sf_dir):
-    o = _orders_ads(spark, sf_dir)
-    return o.where(F.col("price") < L.PRICE_CAP).select("ad_key", "price")
+    """The raw-column bound is a pushable superset of the exact test on
+    the rounded price (round(x, 2) < cap implies x < cap)."""
+    o = T(spark, sf_dir, "orders").where(F.col("o_totalprice") < L.PRICE_CAP)
+    return A.ads_from_orders(o).where(F.col("price") < L.PRICE_CAP).select("ad_key", "price")
 
 
 def q_scatter_bins(spark, sf_dir):
@@ -613,3 +615,189 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {k: v for k, v in ORACLE.items() if k in QUERIES}
+
+
+# --- sinks read back, logs, single lifecycle step, quality, combined report ---
+
+def q_cleaned_csv_roundtrip(spark, sf_dir):
+    """K1/K3 + S3: ads written in the reference's cleaned-CSV layout and read
+    back with a fixed schema."""
+    from ..sinks.writers import write_cleaned_csv
+    path = scratch_path(spark, "cleaned-csv")
+    write_cleaned_csv(spread(_ads(spark, sf_dir)), path)
+    back = E.cleaned_csv_to_clean_ads(SR.read_cleaned_csv(spark, path), PART_RUN_DATE)
+    return back.select("url_hash", "city", "room_count", "apt_floor", "house_floors", "street", "pub_date",
+                       "size_sqm", "price_eur", "sqm_price_eur")
+
+
+def q_dated_copy(spark, sf_dir):
+    """K2 + S4/S11: a dated copy per publication date, read back for a date
+    range; partition pruning reads only the matching folders."""
+    from ..sinks.writers import write_dated
+    path = scratch_path(spark, "dated")
+    write_dated(_ads(spark, sf_dir).select("url_hash", "price_eur", "pub_date"), path, "pub_date")
+    back = spark.read.schema("url_hash string, price_eur bigint, pub_date date").parquet(path)
+    return back.where(F.col("pub_date") >= F.lit(_dt.date(2024, 2, 15)))
+
+
+LOG_RESULT_LINE = "{} 00:40:00 [INFO ]: compare_df_to_db_hashes: 240: Result {} new, {} still_listed, {} to_remove hashes"
+LOG_NOISE_LINE = "{} 00:40:01 [INFO ]: save_table_row_counts: 112: Active listings in DB: {}"
+
+
+def q_log_tail(spark, sf_dir):
+    """K4 + S10 + P12 + O6: the worker log (one result line and one other
+    line per run, appended as text) read back, filtered case-insensitively
+    for 'result', fields picked, last three runs by time."""
+    from ..sinks.writers import append_lines
+    metrics = q_run_metrics(spark, sf_dir)
+    fmt = lambda t: F.format_string(t.replace("{}", "%s"), *args)
+    args = [F.col("run_date").cast("string"), F.col("new_ads"), F.col("unchanged"), F.col("removed")]
+    result = fmt(LOG_RESULT_LINE)
+    args = [F.col("run_date").cast("string"), F.col("active_total")]
+    noise = fmt(LOG_NOISE_LINE)
+    path = scratch_path(spark, "worker-log")
+    append_lines(metrics.select(F.explode(F.array(result, noise)).alias("line")), path)
+    lines = SR.read_log_lines(spark, path).where(F.lower("line").contains("result"))
+    ts = F.to_timestamp_ntz(F.regexp_extract("line", r"^(\S+ \S+)", 1), F.lit("yyyy-MM-dd HH:mm:ss"))
+    picked = lines.select(ts.alias("logged_at"),
+                          *[F.regexp_extract("line", r"(\d+) " + w, 1).cast("bigint").alias(n)
+                            for w, n in (("new", "new_ads"), ("still_listed", "still_listed"), ("to_remove", "removed"))])
+    return picked.orderBy(F.desc("logged_at")).limit(3)
+
+
+def _last_snapshot_step(spark, sf_dir):
+    """J2-J6 on real data: the state before the last snapshot day (from the
+    W4 backfill of the earlier days) and the last day's ads, one J4 step."""
+    snaps = A.snapshots_from_events(T(spark, sf_dir, "events"))
+    last = snaps.agg(F.max("run_date").alias("d")).first()["d"]
+    prev = A.open_ads_as_listed(L.lifecycle_backfill(snaps.where(F.col("run_date") < F.lit(last))))
+    today = A.ads_from_snapshots(snaps.where(F.col("run_date") == F.lit(last)))
+    return L.lifecycle_step(prev, today, last)
+
+
+def q_lifecycle_step(spark, sf_dir):
+    step = _last_snapshot_step(spark, sf_dir)
+    return step.listed_next.select(F.col("url_hash").cast("bigint").alias("ad_key"), "list_date", "days_listed")
+
+
+def q_lifecycle_step_removed(spark, sf_dir):
+    step = _last_snapshot_step(spark, sf_dir)
+    return step.removed_delta.select(F.col("url_hash").cast("bigint").alias("ad_key"), "listed_date",
+                                     "removed_date", "days_listed")
+
+
+def q_field_counts(spark, sf_dir):
+    """V1 over the whole rendered report: how often each field occurs."""
+    from ..operators.quality import field_counts
+    path = scratch_path(spark, "report")
+    A.report_blocks_from_part(spread(T(spark, sf_dir, "part"))).write.mode("overwrite").text(path)
+    per_file = field_counts(SR.read_report_blocks(spark, path, run_date=PART_RUN_DATE))
+    names = [c for c in per_file.columns if c.startswith("n_")]
+    tot = per_file.agg(*[F.sum(c).cast("bigint").alias(c) for c in names])
+    return tot.withColumn("balanced", F.least(*names) == F.greatest(*names))
+
+
+def q_validate_snapshot(spark, sf_dir):
+    """V7 on the lifecycle tables: both load, counts, duplicate open keys."""
+    from ..operators.quality import validate_snapshot
+    life = _life(spark, sf_dir)
+    listed = life.where(F.col("removed_date").isNull()).withColumnRenamed("ad_key", "url_hash")
+    removed = life.where(F.col("removed_date").isNotNull())
+    return validate_snapshot(listed, removed)
+
+
+def q_listed_by_month(spark, sf_dir):
+    """Listing periods by month of the list date."""
+    life = _life(spark, sf_dir)
+    return life.groupBy(X.month_start("list_date").alias("month_start")).agg(
+        F.count(F.lit(1)).alias("listed"), F.count("removed_date").alias("removed"),
+        F.sum("days_listed").cast("bigint").alias("days_total"))
+
+
+def q_combined_report(spark, sf_dir):
+    """Ads by segment, the stat lines, the publication-date report and
+    the run history in one ordered line table."""
+    return RP.combined_report(_ads(spark, sf_dir), PART_RUN_DATE, metrics=q_run_metrics(spark, sf_dir))
+
+
+QUERIES.update({
+    "cleaned_csv_roundtrip": q_cleaned_csv_roundtrip,
+    "dated_copy": q_dated_copy,
+    "log_tail": q_log_tail,
+    "lifecycle_step": q_lifecycle_step,
+    "lifecycle_step_removed": q_lifecycle_step_removed,
+    "field_counts": q_field_counts,
+    "validate_snapshot": q_validate_snapshot,
+    "listed_by_month": q_listed_by_month,
+    "combined_report": q_combined_report,
+})
+
+RUN_METRICS_SQL = STATUS_SQL + """,
+per_day as (select run_date,
+                   count(*) filter (where status <> 'removed') as scraped,
+                   count(*) filter (where status <> 'new') as in_db,
+                   count(*) filter (where status = 'still_listed') as unchanged,
+                   count(*) filter (where status = 'new') as new_ads,
+                   count(*) filter (where status = 'removed') as removed
+            from status group by run_date)"""
+
+ORACLE.update({
+    "cleaned_csv_roundtrip": _w(PRICED_PART_ADS_SQL) + """
+select url_hash, city, room_count, apt_floor, house_floors, street, pub_date, size_sqm, price_eur, sqm_price_eur from ads""",
+    "dated_copy": _w(PRICED_PART_ADS_SQL) + " select url_hash, price_eur, pub_date from ads where pub_date >= date '2024-02-15'",
+    "log_tail": _w(RUN_METRICS_SQL) + """
+select cast(run_date as timestamp) + interval 40 minute as logged_at, new_ads, unchanged as still_listed, removed
+from per_day order by run_date desc limit 3""",
+    "lifecycle_step": _w(ISLANDS_SQL) + " select ad_key, list_date, days_listed from life where removed_date is null",
+    "lifecycle_step_removed": _w(ISLANDS_SQL) + """
+select ad_key, list_date as listed_date, removed_date, days_listed from life
+where removed_date = (select max(d) from c)""",
+    "field_counts": """
+select count(*) as n_url, count(*) as n_room_count, count(*) as n_size_sq_m, count(*) as n_floor, count(*) as n_street,
+       count(*) filter (where p_brand <> 'Brand#13') as n_price, count(*) as n_pub_date,
+       count(*) filter (where p_brand = 'Brand#13') = 0 as balanced
+from part""",
+    "validate_snapshot": _w(ISLANDS_SQL) + """
+select count(*) filter (where removed_date is null) as listed_rows,
+       count(distinct ad_key) filter (where removed_date is null) as listed_keys,
+       count(*) filter (where removed_date is not null) as removed_rows,
+       count(*) filter (where removed_date is null) - count(distinct ad_key) filter (where removed_date is null)
+         as duplicate_open_keys
+from life""",
+    "listed_by_month": _w(ISLANDS_SQL) + """
+select cast(date_trunc('month', list_date) as date) as month_start, count(*) as listed, count(removed_date) as removed,
+       cast(sum(days_listed) as bigint) as days_total
+from life group by 1""",
+})
+
+ORACLE["combined_report"] = _w(PRICED_PART_ADS_SQL, RUN_METRICS_SQL) + f""",
+r as (select *, row_number() over (partition by room_count order by price_eur, url_hash) as rn from ads),
+st as (select room_count, grouping(room_count) = 1 as is_total, count(*) as ad_count,
+              cast(min(price_eur) as decimal(18,2)) as min_price, cast(max(price_eur) as decimal(18,2)) as max_price,
+              cast(max(price_eur) - min(price_eur) as decimal(18,2)) as price_range, {_avg_sql('price_eur')} as avg_price
+       from ads group by rollup (room_count)),
+pd as (select pub_date, count(*) as n from ads group by 1),
+m as (select *, sum(removed) over (order by run_date rows between unbounded preceding and current row) as removed_total
+      from per_day)
+select 1 as section, room_count as segment, rn as line_no, 'ad' as line_kind,
+       '  ' || room_count || '     ' || apt_floor || '/' || house_floors || '    ' || cast(size_sqm as varchar) || '   '
+       || price_eur || ' EUR    ' || cast(sqm_price_eur as varchar) || ' EUR   ' || street || '   '
+       || strftime(pub_date, '%d.%m.%Y') || ' ' || url || case when pub_date = date '2024-03-01' then ' [NEW]' else '' end as line
+from r
+union all select distinct 1, room_count, -1, 'segment_title', cast(room_count as varchar) || ' room apartment segment:' from ads
+union all select distinct 1, room_count, 0, 'column_line',
+  '[Rooms, Floor, Size, Price EUR, SQM Price EUR, Apartment Street, Pub_date,  URL]' from ads
+union all select 0, null, 2, 'total', 'Total active listings: ' || count(*) from ads
+union all select 2, room_count, case when is_total then 1 else 0 end, 'stat',
+  case when is_total then 'all' else cast(room_count as varchar) end || ' | ' || ad_count || ' | ' || cast(min_price as varchar)
+  || ' | ' || cast(max_price as varchar) || ' | ' || cast(price_range as varchar) || ' | ' || cast(avg_price as varchar) from st
+union all select 3, null,
+  date_diff('day', date '1970-01-01', cast(date_trunc('month', pub_date) as date)) * 100000
+  + date_diff('day', cast(date_trunc('month', pub_date) as date), pub_date) + 1,
+  'pub_date', 'Pub_date: ' || strftime(pub_date, '%d.%m.%Y') || ' ->  Listed add count: ' || n || ' ' from pd
+union all select distinct 3, null,
+  date_diff('day', date '1970-01-01', cast(date_trunc('month', pub_date) as date)) * 100000,
+  'pub_date', '--- Month: ' || strftime(pub_date, '%m.%Y') || ' ---' from pd
+union all select 4, null, date_diff('day', date '1970-01-01', run_date), 'run',
+  strftime(run_date, '%d.%m.%Y') || ': Scraped today: ' || scraped || ' | In DB: ' || in_db || ' | Unchanged: '
+  || unchanged || ' | New ads: ' || new_ads || ' | Removed: ' || removed from m"""

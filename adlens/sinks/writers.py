@@ -25,8 +25,11 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 def write_dated(df: DataFrame, path: str, partition_col: str = "run_date", fmt: str = "parquet") -> None:
     """K2: dated copy of a stage output; dynamic partition overwrite makes a
     rerun of the same date replace only that date."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).format(fmt).save(path))
+    # sorted by the partition column inside each task: one open file at a
+    # time per task, no shuffle (a repartition by date would put a hot date
+    # in one task)
+    (df.sortWithinPartitions(partition_col).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).format(fmt).save(path))
 
 
 def write_partition(df: DataFrame, root: str, column: str, value, fmt: str = "parquet") -> str:
@@ -73,6 +76,18 @@ def report_blocks(ads: DataFrame) -> DataFrame:
     return ads.select(F.concat_ws("\n", *lines).alias("block"), *[c for c in ("run_date",) if c in ads.columns])
 
 
+def write_cleaned_csv(ads: DataFrame, path: str) -> None:
+    """K1/K3: clean ads in the reference's cleaned-CSV layout (leading index
+    column, dd.MM.yyyy dates), sorted by price within each file."""
+    out = ads.select(
+        F.col("url_hash").alias("_idx"), F.col("url").alias("URL"), F.col("room_label").alias("Room_count"),
+        F.concat_ws("/", F.col("apt_floor").cast("string"), F.col("house_floors").cast("string")).alias("Floor"),
+        F.col("street").alias("Street"), X.format_source_date("pub_date").alias("Pub_date"),
+        F.col("size_sqm").cast("string").alias("Size_sqm"), F.col("price_eur").cast("string").alias("Price_in_eur"),
+        F.col("sqm_price_eur").cast("string").alias("SQ_meter_price"))
+    out.sortWithinPartitions(F.col("Price_in_eur").cast("bigint"), "_idx").write.mode("overwrite").option("header", True).csv(path)
+
+
 def write_report_files(ads: DataFrame, path: str, by_date: bool = True) -> None:
     """K12 + K2: raw report text files, one folder per run date."""
     blocks = report_blocks(ads)
