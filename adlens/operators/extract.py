@@ -58,53 +58,82 @@ def blocks_to_formatted(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return formatted, quarantine
 
 
-def clean_formatted(formatted: DataFrame, run_date=None, city_index: int = CITY_SEGMENT) -> tuple[DataFrame, DataFrame]:
-    """D3 -> typed clean ads (F1-F8, F10, F5). Returns (clean, quarantine).
-
-    Rows whose price, size, floor or date do not parse go to quarantine with
-    a reason (V6) instead of failing the run.
-    """
-    lift = X.has_lift("Floor")
-    stripped = X.strip_tokens_all(formatted.select(
-        *[c for c in formatted.columns if c not in ("fields",)]).withColumn("_lift", lift))
-    street = F.regexp_replace(F.col("Street"), r"^(?:Iela:>)?(?:<[^>]*>)*", "")
-    run = F.col("run_date") if run_date is None else X.run_date_lit(run_date)
-    typed = stripped.select(
-        F.col("URL").alias("url"),
-        X.url_hash("URL").alias("url_hash"),
-        X.url_path_part("URL", city_index).alias("city"),
-        F.trim(F.col("Room_count")).alias("room_label"),
-        F.trim(F.col("Room_count")).try_cast("int").alias("room_count"),
-        X.apt_floor("Floor").alias("apt_floor"),
-        X.house_floors("Floor").alias("house_floors"),
-        F.col("_lift").alias("has_lift"),
+def _typed(values: DataFrame, run, city_index: int, lift: F.Column, pre_reason: F.Column | None,
+           block: F.Column) -> tuple[DataFrame, DataFrame]:
+    """Field strings (``_room _size _floor _street _price _date``) -> typed
+    clean ads + quarantine. One reason column, so the clean rows and the
+    quarantine are one filter each."""
+    street = F.regexp_replace(F.col("_street"), r"^(?:Iela:>)?(?:<[^>]*>)*", "")
+    typed = values.select(
+        F.col("url"),
+        X.url_hash("url").alias("url_hash"),
+        X.url_path_part("url", city_index).alias("city"),
+        F.trim(F.col("_room")).alias("room_label"),
+        F.trim(F.col("_room")).try_cast("int").alias("room_count"),
+        X.apt_floor("_floor").alias("apt_floor"),
+        X.house_floors("_floor").alias("house_floors"),
+        lift.alias("has_lift"),
         X.normalise_street(street).alias("street"),
-        X.parse_source_date(F.trim(F.col("Pub_date"))).alias("pub_date"),
-        X.parse_size("Size_sq_m").alias("size_sqm"),
-        X.parse_price_total("Price").alias("price_eur"),
-        X.parse_price_per_sqm("Price").alias("sqm_price_eur"),
+        X.parse_source_date(F.trim(F.col("_date"))).alias("pub_date"),
+        X.parse_size("_size").alias("size_sqm"),
+        X.parse_price_total("_price").alias("price_eur"),
+        X.parse_price_per_sqm("_price").alias("sqm_price_eur"),
         run.alias("run_date"),
         F.col("source_file"),
-        F.concat_ws("\n", "URL", "Room_count", "Size_sq_m", "Floor", "Street", "Price", "Pub_date").alias("_block"))
+        block.alias("_block"),
+        (pre_reason if pre_reason is not None else F.lit(None).cast("string")).alias("_pre"))
     reason = F.coalesce(
+        F.col("_pre"),
         F.when(F.col("url_hash").isNull(), F.lit("bad_url")),
         F.when(F.col("price_eur").isNull(), F.lit("bad_price")),
         F.when(F.col("size_sqm").isNull(), F.lit("bad_size")),
         F.when(F.col("apt_floor").isNull() | F.col("house_floors").isNull(), F.lit("bad_floor")),
         F.when(F.col("pub_date").isNull(), F.lit("bad_date")))
     tagged = typed.withColumn("_reason", reason)
-    clean = tagged.where(F.col("_reason").isNull()).drop("_reason", "_block", "source_file")
+    clean = tagged.where(F.col("_reason").isNull()).drop("_reason", "_block", "_pre", "source_file")
     quarantine = tagged.where(F.col("_reason").isNotNull()).select(
         "source_file", F.col("_block").alias("block"), F.col("_reason").alias("reason"), "run_date")
     return clean, quarantine
 
 
-def report_to_clean_ads(blocks: DataFrame, run_date=None) -> tuple[DataFrame, DataFrame]:
-    """S1 output -> (clean ads, quarantine): H10, D3, F1-F10 in one lazy plan."""
-    from ..sources.reports import parse_blocks
-    formatted, q1 = blocks_to_formatted(parse_blocks(blocks))
-    clean, q2 = clean_formatted(formatted, run_date)
-    return clean, q1.unionByName(q2)
+def clean_formatted(formatted: DataFrame, run_date=None, city_index: int = CITY_SEGMENT) -> tuple[DataFrame, DataFrame]:
+    """D3 -> typed clean ads (F1-F8, F10, F5). Returns (clean, quarantine).
+
+    F1 removes every label token from the seven formatted columns; rows whose
+    price, size, floor or date do not parse go to quarantine with a reason
+    (V6) instead of failing the run.
+    """
+    cols = [name for name, _, _ in FORMATTED_FIELDS]
+    stripped = formatted.select(
+        F.col("URL").alias("url"), X.has_lift("Floor").alias("_lift"),
+        *[X.strip_tokens(F.col(c)).alias(c) for c in cols],
+        F.col("source_file") if "source_file" in formatted.columns else F.lit(None).cast("string").alias("source_file"),
+        F.col("run_date") if "run_date" in formatted.columns else F.lit(None).cast("date").alias("run_date"),
+        F.concat_ws("\n", "URL", *cols).alias("_src_block"))
+    renamed = stripped.select("url", "_lift", "source_file", "run_date", "_src_block",
+                              *[F.col(c).alias(v) for c, v in zip(cols, _VALUE_COLS)])
+    run = F.col("run_date") if run_date is None else X.run_date_lit(run_date)
+    return _typed(renamed, run, city_index, F.col("_lift"), None, F.col("_src_block"))
+
+
+_VALUE_COLS = ["_room", "_size", "_floor", "_street", "_price", "_date"]
+
+
+def report_to_clean_ads(blocks: DataFrame, run_date=None, city_index: int = CITY_SEGMENT) -> tuple[DataFrame, DataFrame]:
+    """S1 output -> (clean ads, quarantine) in one lazy plan: each core field
+    by one anchored regex (H10), then F2-F10 on the bare values. The label
+    prefixes are never added, so the F1 token strip is not needed here (the
+    lift marker is read from the floor value, a leading tag is dropped from
+    the street); the result equals D3 -> F1 -> typed, which the formatted
+    path (``clean_formatted``) still does."""
+    values = blocks.select(
+        H.block_url("block").alias("url"), "block", "source_file", "run_date",
+        *[H.label_value("block", label).alias(v) for (_, label, _), v in zip(FORMATTED_FIELDS, _VALUE_COLS)])
+    missing = F.coalesce(F.when(F.col("url").isNull(), F.lit("no_url")),
+                         *[F.when(F.col(v).isNull(), F.lit("missing:" + label))
+                           for (_, label, _), v in zip(FORMATTED_FIELDS, _VALUE_COLS)])
+    run = F.col("run_date") if run_date is None else X.run_date_lit(run_date)
+    return _typed(values, run, city_index, F.coalesce(X.has_lift("_floor"), F.lit(False)), missing, F.col("block"))
 
 
 def cleaned_csv_to_clean_ads(cleaned: DataFrame, run_date, city_index: int = CITY_SEGMENT) -> DataFrame:

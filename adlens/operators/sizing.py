@@ -1,9 +1,10 @@
-"""Size-checked broadcast.
+"""Size-checked broadcast, pinning of reused intermediates, spreading of
+tiny inputs.
 
 A side is broadcast only behind a row-count check; beyond the bound the
-plain join stays and Spark/AQE pick a shuffle join. The side is pinned with
-a reliable checkpoint first so that counting it does not recompute it and
-both uses see the same rows.
+plain join stays and Spark/AQE pick a shuffle join. The side is pinned
+(written to the shared folder) first, so counting it does not recompute it
+and both uses see the same rows.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 
 # Default upper bound for a broadcast side (rows). Tables used with it are
 # dimension-like (distinct run dates, per-partition counts).
@@ -19,10 +20,16 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder (cuts lineage and
-    survives executor loss, unlike a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder
+    and read it back: one computation (an eager ``checkpoint()`` computes
+    its input twice), lineage cut, and the rows survive executor loss
+    (unlike a local checkpoint). Values of non-deterministic columns
+    (partition id, position) are stored as data, so every later use sees
+    the same ones."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "pin")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
