@@ -112,12 +112,12 @@ def digit_room_values(df: DataFrame, label: str = "room_label") -> DataFrame:
 
 
 def share_of_total(df: DataFrame, column: str) -> DataFrame:
-    """Count and percent of all rows per value. The total is a window
-    over the aggregated groups only (one row per value)."""
+    """Count and percent of all rows per value. The total is a one-row
+    aggregate joined onto the groups (no single-partition window)."""
     g = df.groupBy(column).agg(F.count(F.lit(1)).alias("cnt"))
-    total = F.sum("cnt").over(Window.partitionBy())
-    pct = F.round(F.col("cnt").cast("decimal(20,0)") * 100 / total, 2).cast("decimal(9,2)")
-    return g.select(column, "cnt", pct.alias("pct"))
+    total = df.agg(F.count(F.lit(1)).alias("_total"))
+    pct = F.round(F.col("cnt").cast("decimal(20,0)") * 100 / F.col("_total"), 2).cast("decimal(9,2)")
+    return g.crossJoin(F.broadcast(total)).select(column, "cnt", pct.alias("pct"))
 
 
 def size_stats(df: DataFrame, segment: str = "room_count", size: str = "size_sqm") -> DataFrame:
