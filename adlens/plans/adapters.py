@@ -138,3 +138,34 @@ def open_ads_as_listed(periods: DataFrame) -> DataFrame:
                                                       "sqm", "sqm_price")],
         F.lit(None).cast("string").alias("apt_address"), "list_date",
         F.col("days_listed").cast("int").alias("days_listed"), F.lit(None).cast("int").alias("view_count"))
+
+
+def _cell_row(name: str, value: Column) -> Column:
+    return F.concat(F.lit(f'<tr><td class="ads_opt_name">{name}</td><td class="ads_opt">'), value,
+                    F.lit("</td></tr>"))
+
+
+def ad_pages_from_part(part: DataFrame) -> DataFrame:
+    """part -> one stored ad page per part in the ad-page structure the page
+    extraction reads: option name/value cells in ``table#page_main``, a
+    price cell (absent for the no-price brand) and footer cells with the
+    publication date. Columns: page_id, url, html."""
+    c = _part_cols(part)
+    floor = F.concat(F.col("apt_floor").cast("string"), F.lit("/"), F.col("house_floors").cast("string"),
+                     F.when(F.col("has_lift"), F.lit("/lifts")).otherwise(F.lit("")))
+    price = F.concat(X.thousands("price_eur"), F.lit(" € ("),
+                     X.thousands2(F.col("sqm_cents").cast("decimal(14,0)") / 100), F.lit(" €/m²)"))
+    html = F.concat(
+        F.lit('<html><body><table id="page_main">'),
+        _cell_row("Iela:", F.concat(F.lit("<b>"), F.col("street"), F.lit("</b>"))),
+        _cell_row("Istabas:", F.col("room_count").cast("string")),
+        _cell_row("Platība:", F.concat(_size_text(), F.lit(" m²"))),
+        _cell_row("Stāvs:", floor),
+        _cell_row("Sērija:", F.col("series")),
+        F.lit('<tr><td class="ads_opt_name">Karte:</td></tr>'),
+        F.when(F.col("series") != NO_PRICE_BRAND,
+               F.concat(F.lit('<tr><td class="ads_price">'), price, F.lit("</td></tr>"))).otherwise(F.lit("")),
+        F.lit('<tr><td class="msg_footer">Reklāma</td><td class="msg_footer">Skatījumi</td>'
+              '<td class="msg_footer">Datums: '), X.format_source_date("pub_date"),
+        F.lit(" 10:00</td></tr></table></body></html>"))
+    return c.select(F.col("p_partkey").alias("page_id"), "url", html.alias("html"))

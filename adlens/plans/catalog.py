@@ -801,3 +801,46 @@ union all select distinct 3, null,
 union all select 4, null, date_diff('day', date '1970-01-01', run_date), 'run',
   strftime(run_date, '%d.%m.%Y') || ': Scraped today: ' || scraped || ' | In DB: ' || in_db || ' | Unchanged: '
   || unchanged || ' | New ads: ' || new_ads || ' | Removed: ' || removed from m"""
+
+
+def q_parse_ad_pages(spark, sf_dir):
+    """H4-H9: stored ad pages -> report blocks -> clean ads."""
+    pages = A.ad_pages_from_part(spread(T(spark, sf_dir, "part")))
+    blocks, _no_price = E.ad_pages_to_blocks(pages)
+    clean, _ = E.report_to_clean_ads(blocks.select("block", F.col("url").alias("source_file"),
+                                                   F.lit(PART_RUN_DATE).alias("run_date")))
+    return clean.select("url_hash", "city", "room_count", "apt_floor", "house_floors", "has_lift", "street",
+                        "pub_date", "size_sqm", "price_eur", "sqm_price_eur")
+
+
+def q_ad_pages_quarantine(spark, sf_dir):
+    pages = A.ad_pages_from_part(spread(T(spark, sf_dir, "part")))
+    _, no_price = E.ad_pages_to_blocks(pages)
+    return no_price.select(X.url_hash("url").alias("url_hash"), "reason")
+
+
+def q_formatted_csv_roundtrip(spark, sf_dir):
+    """D3 -> K1 (formatted CSV with index column) -> S2 -> F1 -> typed."""
+    part = spread(T(spark, sf_dir, "part"))
+    parsed = SR.parse_blocks(A.report_blocks_from_part(part).select(
+        "block", F.lit("part").alias("source_file"), F.lit(PART_RUN_DATE).alias("run_date")))
+    formatted, _ = E.blocks_to_formatted(parsed)
+    path = scratch_path(spark, "formatted-csv")
+    (formatted.select(F.col("URL").alias("_idx"), *[n for n in ["URL"] + [f[0] for f in E.FORMATTED_FIELDS]])
+     .write.mode("overwrite").option("header", True).csv(path))
+    back = SR.read_formatted_csv(spark, path).withColumn("source_file", F.lit(path))
+    clean, _ = E.clean_formatted(back, PART_RUN_DATE)
+    return clean.select("url_hash", "city", "room_count", "apt_floor", "house_floors", "has_lift", "street",
+                        "pub_date", "size_sqm", "price_eur", "sqm_price_eur")
+
+
+QUERIES.update({
+    "parse_ad_pages": q_parse_ad_pages,
+    "ad_pages_quarantine": q_ad_pages_quarantine,
+    "formatted_csv_roundtrip": q_formatted_csv_roundtrip,
+})
+ORACLE.update({
+    "parse_ad_pages": ORACLE["parse_raw_report"],
+    "ad_pages_quarantine": "select 'p' || cast(p_partkey as varchar) as url_hash, 'no_price' as reason from part where p_brand = 'Brand#13'",
+    "formatted_csv_roundtrip": ORACLE["parse_raw_report"],
+})
