@@ -94,8 +94,10 @@ def run_history(metrics: DataFrame) -> DataFrame:
     """One metrics line per run plus the table counts line."""
     line = F.format_string(METRICS_LINE.replace("{}", "%s"), X.format_source_date("run_date"),
                            *[F.col(c).cast("string") for c in ["scraped", "in_db", "unchanged", "new_ads", "removed"]])
+    # the reference's "Removed ads in DB" counts prices under the cap only (Q15)
+    removed = "removed_under_cap" if "removed_under_cap" in metrics.columns else "removed_total"
     counts = F.format_string(COUNTS_LINE.replace("{}", "%s"), F.col("active_total").cast("string"),
-                             F.col("removed_total").cast("string"))
+                             F.col(removed).cast("string"))
     return metrics.select("run_date", line.alias("line"), counts.alias("counts_line"))
 
 

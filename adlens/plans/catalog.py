@@ -100,13 +100,18 @@ status as (
 
 # --- Spark queries ----------------------------------------------------------------
 
-def _part_report_ads(spark, sf_dir):
-    """K12 -> write text in the shared folder -> S1 -> H10 -> D3 -> F1-F10."""
+def _part_report_blocks(spark, sf_dir):
+    """The raw report rendered from ``part``, written as text in the
+    shared folder, read back block by block (S1)."""
     part = spread(T(spark, sf_dir, "part"))
     path = scratch_path(spark, "report")
     A.report_blocks_from_part(part).write.mode("overwrite").text(path)
-    blocks = SR.read_report_blocks(spark, path, run_date=PART_RUN_DATE)
-    return E.report_to_clean_ads(blocks)
+    return SR.read_report_blocks(spark, path, run_date=PART_RUN_DATE)
+
+
+def _part_report_ads(spark, sf_dir):
+    """K12 -> S1 -> H10 -> F2-F10 (clean ads, quarantine)."""
+    return E.report_to_clean_ads(_part_report_blocks(spark, sf_dir))
 
 
 def q_parse_raw_report(spark, sf_dir):
@@ -122,9 +127,7 @@ def q_quarantine(spark, sf_dir):
 
 def q_extra_fields(spark, sf_dir):
     """Carry the optional labels (series, house type) through the MAP."""
-    part = spread(T(spark, sf_dir, "part"))
-    parsed = SR.parse_blocks(A.report_blocks_from_part(part).select(
-        "block", F.lit("part").alias("source_file"), F.lit(PART_RUN_DATE).alias("run_date")))
+    parsed = SR.parse_blocks(_part_report_blocks(spark, sf_dir))
     return parsed.select(X.url_hash("url").alias("url_hash"),
                          H.field("fields", "Sērija").alias("series"),
                          H.field("fields", "Mājas tips").alias("house_type"),
@@ -132,8 +135,7 @@ def q_extra_fields(spark, sf_dir):
 
 
 def _price_texts(spark, sf_dir):
-    part = spread(T(spark, sf_dir, "part"))
-    blocks = A.report_blocks_from_part(part)
+    blocks = _part_report_blocks(spark, sf_dir)
     return blocks.select(X.url_hash(H.block_url("block")).alias("url_hash"),
                          H.label_value("block", H.LABEL_PRICE).alias("price_text"),
                          H.label_value("block", H.LABEL_SIZE).alias("size_text"))
@@ -689,9 +691,7 @@ def q_lifecycle_step_removed(spark, sf_dir):
 def q_field_counts(spark, sf_dir):
     """V1 over the whole rendered report: how often each field occurs."""
     from ..operators.quality import field_counts
-    path = scratch_path(spark, "report")
-    A.report_blocks_from_part(spread(T(spark, sf_dir, "part"))).write.mode("overwrite").text(path)
-    per_file = field_counts(SR.read_report_blocks(spark, path, run_date=PART_RUN_DATE))
+    per_file = field_counts(_part_report_blocks(spark, sf_dir))
     names = [c for c in per_file.columns if c.startswith("n_")]
     tot = per_file.agg(*[F.sum(c).cast("bigint").alias(c) for c in names])
     return tot.withColumn("balanced", F.least(*names) == F.greatest(*names))
@@ -803,27 +803,33 @@ union all select 4, null, date_diff('day', date '1970-01-01', run_date), 'run',
   || unchanged || ' | New ads: ' || new_ads || ' | Removed: ' || removed from m"""
 
 
+def _stored_ad_pages(spark, sf_dir):
+    """Ad pages rendered from ``part`` and stored as a pages table in the
+    shared folder (page_id, url, html), then scanned."""
+    from ..operators.sizing import pin
+    return pin(A.ad_pages_from_part(spread(T(spark, sf_dir, "part"))))
+
+
 def q_parse_ad_pages(spark, sf_dir):
-    """H4-H9: stored ad pages -> report blocks -> clean ads."""
-    pages = A.ad_pages_from_part(spread(T(spark, sf_dir, "part")))
-    blocks, _no_price = E.ad_pages_to_blocks(pages)
-    clean, _ = E.report_to_clean_ads(blocks.select("block", F.col("url").alias("source_file"),
-                                                   F.lit(PART_RUN_DATE).alias("run_date")))
+    """H4-H9: stored ad pages -> raw report text (written, as the reference
+    writes its scraped report) -> S1 -> clean ads. The written report is the
+    stage boundary: parsing filters are not pushed into page extraction."""
+    blocks, _no_price = E.ad_pages_to_blocks(_stored_ad_pages(spark, sf_dir))
+    path = scratch_path(spark, "page-report")
+    blocks.select("block").write.mode("overwrite").text(path)
+    clean, _ = E.report_to_clean_ads(SR.read_report_blocks(spark, path, run_date=PART_RUN_DATE))
     return clean.select("url_hash", "city", "room_count", "apt_floor", "house_floors", "has_lift", "street",
                         "pub_date", "size_sqm", "price_eur", "sqm_price_eur")
 
 
 def q_ad_pages_quarantine(spark, sf_dir):
-    pages = A.ad_pages_from_part(spread(T(spark, sf_dir, "part")))
-    _, no_price = E.ad_pages_to_blocks(pages)
+    _, no_price = E.ad_pages_to_blocks(_stored_ad_pages(spark, sf_dir))
     return no_price.select(X.url_hash("url").alias("url_hash"), "reason")
 
 
 def q_formatted_csv_roundtrip(spark, sf_dir):
     """D3 -> K1 (formatted CSV with index column) -> S2 -> F1 -> typed."""
-    part = spread(T(spark, sf_dir, "part"))
-    parsed = SR.parse_blocks(A.report_blocks_from_part(part).select(
-        "block", F.lit("part").alias("source_file"), F.lit(PART_RUN_DATE).alias("run_date")))
+    parsed = SR.parse_blocks(_part_report_blocks(spark, sf_dir))
     formatted, _ = E.blocks_to_formatted(parsed)
     path = scratch_path(spark, "formatted-csv")
     (formatted.select(F.col("URL").alias("_idx"), *[n for n in ["URL"] + [f[0] for f in E.FORMATTED_FIELDS]])

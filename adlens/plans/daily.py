@@ -143,3 +143,21 @@ def run_days(spark: SparkSession, store: StateStore, ads: DataFrame, dates: list
         dates = [r["run_date"] for r in ads.select("run_date").distinct().orderBy("run_date").collect()]
     return {d: run_day(spark, store, ads.where(F.col("run_date") == F.lit(d)), d, force=force)
             for d in sorted(_date(x) for x in dates)}
+
+
+def run_report(spark: SparkSession, store: StateStore, report_path: str, run_date=None,
+               force: bool = False) -> dict:
+    """Entry A: a day's raw report file(s) -> blocks (S1) -> clean ads and
+    quarantine -> the daily step, per run date found (from the file names
+    unless ``run_date`` is given)."""
+    from ..operators.extract import report_to_clean_ads
+    from ..sources.reports import read_report_blocks
+    clean, quarantine = report_to_clean_ads(read_report_blocks(spark, report_path, run_date=run_date))
+    if run_date is not None:
+        dates = [_date(run_date)]
+    else:
+        dates = [r["run_date"] for r in clean.select("run_date").distinct().orderBy("run_date").collect()
+                 if r["run_date"] is not None]
+    return {d: run_day(spark, store, clean.where(F.col("run_date") == F.lit(d)), d,
+                       quarantine=quarantine.where(F.col("run_date") == F.lit(d)).drop("run_date"), force=force)
+            for d in dates}

@@ -116,3 +116,22 @@ def test_last_per_key_hot_key(spark):
     df = spark.createDataFrame(rows, "user_id int, ts int, ev string")
     out = {r["user_id"]: (r["ts"], r["ev"]) for r in L.last_per_key(df, "user_id", ["ts"]).collect()}
     assert out == {1: (1999, "e1999"), 2: (7, "y")}
+
+
+def test_run_report_entry_a(spark, tmp_dir):
+    import os
+    from conftest import RAW_REPORT
+    from adlens.operators import report as RP
+    inbox = os.path.join(tmp_dir, "in")
+    os.makedirs(inbox)
+    with open(os.path.join(inbox, "Ogre-raw-data-report-2023-02-17.txt"), "w", encoding="utf-8") as f:
+        f.write(RAW_REPORT)
+    store = D.StateStore(tmp_dir + "/state")
+    assert D.run_report(spark, store, inbox) == {dt.date(2023, 2, 17): "done"}
+    assert D.read_listed(spark, store).count() == 4
+    q = D.read_quarantine(spark, store).collect()
+    assert [r["reason"] for r in q] == ["missing:Price"]
+    m = D.read_metrics(spark, store)
+    line = RP.run_history(m).first()
+    assert line["line"] == "17.02.2023: Scraped today: 4 | In DB: 0 | Unchanged: 0 | New ads: 4 | Removed: 0"
+    assert line["counts_line"] == "Active listings in DB: 4 | Removed ads in DB: 0"
