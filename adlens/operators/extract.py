@@ -58,11 +58,10 @@ def blocks_to_formatted(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return formatted, quarantine
 
 
-def _typed(values: DataFrame, run, city_index: int, lift: F.Column, pre_reason: F.Column | None,
-           block: F.Column) -> tuple[DataFrame, DataFrame]:
+def _tag(values: DataFrame, run, city_index: int, lift: F.Column, pre_reason: F.Column | None,
+         block: F.Column) -> DataFrame:
     """Field strings (``_room _size _floor _street _price _date``) -> typed
-    clean ads + quarantine. One reason column, so the clean rows and the
-    quarantine are one filter each."""
+    ads with one ``_reason`` column (NULL for a clean ad)."""
     street = F.regexp_replace(F.col("_street"), r"^(?:Iela:>)?(?:<[^>]*>)*", "")
     typed = values.select(
         F.col("url"),
@@ -89,13 +88,24 @@ def _typed(values: DataFrame, run, city_index: int, lift: F.Column, pre_reason:
         F.when(F.col("size_sqm").isNull(), F.lit("bad_size")),
         F.when(F.col("apt_floor").isNull() | F.col("house_floors").isNull(), F.lit("bad_floor")),
         F.when(F.col("pub_date").isNull(), F.lit("bad_date")))
-    tagged = typed.withColumn("_reason", reason)
-    clean = tagged.where(F.col("_reason").isNull()).drop("_reason", "_block", "_pre", "source_file")
+    return typed.withColumn("_reason", reason).drop("_pre")
+
+
+def split_tagged(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(clean ads, quarantine) from a tagged table. On a pinned tagged table
+    the two filters are cheap; on a lazy one the optimizer pushes them into
+    the parsing, so a job that needs both outputs should pin first (see
+    ``plans.daily.run_report``)."""
+    clean = tagged.where(F.col("_reason").isNull()).drop("_reason", "_block", "source_file")
     quarantine = tagged.where(F.col("_reason").isNotNull()).select(
         "source_file", F.col("_block").alias("block"), F.col("_reason").alias("reason"), "run_date")
     return clean, quarantine
 
 
+def _typed(*args) -> tuple[DataFrame, DataFrame]:
+    return split_tagged(_tag(*args))
+
+
 def clean_formatted(formatted: DataFrame, run_date=None, city_index: int = CITY_SEGMENT) -> tuple[DataFrame, DataFrame]:
     """D3 -> typed clean ads (F1-F8, F10, F5). Returns (clean, quarantine).
 
@@ -120,6 +130,11 @@ _VALUE_COLS = ["_room", "_size", "_floor", "_street", "_price", "_date"]
 
 
 def report_to_clean_ads(blocks: DataFrame, run_date=None, city_index: int = CITY_SEGMENT) -> tuple[DataFrame, DataFrame]:
+    """S1 output -> (clean ads, quarantine); see ``report_to_tagged_ads``."""
+    return split_tagged(report_to_tagged_ads(blocks, run_date, city_index))
+
+
+def report_to_tagged_ads(blocks: DataFrame, run_date=None, city_index: int = CITY_SEGMENT) -> DataFrame:
     """S1 output -> (clean ads, quarantine) in one lazy plan: each core field
     by one anchored regex (H10), then F2-F10 on the bare values. The label
     prefixes are never added, so the F1 token strip is not needed here (the
@@ -133,7 +148,7 @@ def report_to_clean_ads(blocks: DataFrame, run_date=None, city_index: int = CITY
                          *[F.when(F.col(v).isNull(), F.lit("missing:" + label))
                            for (_, label, _), v in zip(FORMATTED_FIELDS, _VALUE_COLS)])
     run = F.col("run_date") if run_date is None else X.run_date_lit(run_date)
-    return _typed(values, run, city_index, F.coalesce(X.has_lift("_floor"), F.lit(False)), missing, F.col("block"))
+    return _tag(values, run, city_index, F.coalesce(X.has_lift("_floor"), F.lit(False)), missing, F.col("block"))
 
 
 def cleaned_csv_to_clean_ads(cleaned: DataFrame, run_date, city_index: int = CITY_SEGMENT) -> DataFrame:

@@ -210,7 +210,8 @@ def run_metrics_from_status(status: DataFrame, key: str = "ad_key") -> DataFrame
 
 
 def lifecycle_backfill(snapshots: DataFrame, key: str = "ad_key", day: str = "run_date",
-                       list_date: str | None = None, attrs: list[str] | None = None) -> DataFrame:
+                       list_date: str | None = None, attrs: list[str] | None = None,
+                       order: list[str] | None = None) -> DataFrame:
     """The result of applying J4 to every snapshot day in order, in one
     job (gaps and islands). One row per listing period:
     (key, list_date, removed_date or NULL when still open, days_listed, attrs).
@@ -222,9 +223,15 @@ def lifecycle_backfill(snapshots: DataFrame, key: str = "ad_key", day: str = "ru
     attrs = attrs or []
     days = snapshot_days(snapshots, day)
     carry = ([list_date] if list_date else []) + attrs
-    s = (snapshots.select(F.col(key).alias("k"), F.col(day).alias("day"), *carry)
-         .dropDuplicates(["k", "day"]) if carry else
-         snapshots.select(F.col(key).alias("k"), F.col(day).alias("day")).distinct())
+    base = snapshots.select(F.col(key).alias("k"), F.col(day).alias("day"), *carry)
+    if carry:
+        # one row per (ad, day), chosen deterministically (the largest by
+        # ``order``, default the carried columns) so a recomputation after an
+        # executor loss picks the same row; an aggregate, combined map-side
+        pick = F.max_by(F.struct(*carry), F.struct(*[F.col(c) for c in (order or carry)]))
+        s = base.groupBy("k", "day").agg(pick.alias("_c")).select("k", "day", *[F.col("_c." + c).alias(c) for c in carry])
+    else:
+        s = base.distinct()
     s = s.join(bounded_broadcast(days.select("day", "day_idx")), "day")
     w = Window.partitionBy("k").orderBy("day_idx")
     g = s.withColumn("grp", F.col("day_idx") - F.row_number().over(w))

@@ -22,13 +22,19 @@ from pyspark.sql import functions as F
 from .sizing import bounded_broadcast, pin
 
 
+def range_partitions(spark) -> int:
+    """Partitions for the range split: the session's shuffle partitions, but
+    at least four per core, so the count grows with the cluster."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+               4 * spark.sparkContext.defaultParallelism)
+
+
 def rank_within(df: DataFrame, segment: list[str], order: list, name: str = "rank_in_segment",
                 num_partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 1-based row number of each row within its segment,
     ordered by ``order`` (Columns or names; make the order total with a
     unique tie-break column)."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or range_partitions(df.sparkSession)
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
     seg_cols = [F.col(c) for c in segment]
     sorted_ = (df.repartitionByRange(n, *seg_cols, *order_cols)

@@ -150,9 +150,13 @@ def run_report(spark: SparkSession, store: StateStore, report_path: str, run_dat
     """Entry A: a day's raw report file(s) -> blocks (S1) -> clean ads and
     quarantine -> the daily step, per run date found (from the file names
     unless ``run_date`` is given)."""
-    from ..operators.extract import report_to_clean_ads
+    from ..operators.extract import report_to_tagged_ads, split_tagged
+    from ..operators.sizing import pin
     from ..sources.reports import read_report_blocks
-    clean, quarantine = report_to_clean_ads(read_report_blocks(spark, report_path, run_date=run_date))
+    # parse once: the tagged table is written to the shared folder, then
+    # split; the daily step and the quarantine both read it
+    tagged = pin(report_to_tagged_ads(read_report_blocks(spark, report_path, run_date=run_date)))
+    clean, quarantine = split_tagged(tagged)
     if run_date is not None:
         dates = [_date(run_date)]
     else:

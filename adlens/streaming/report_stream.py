@@ -17,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.extract import report_to_clean_ads
+from ..operators.extract import report_to_tagged_ads, split_tagged
+from ..operators.sizing import pin
 from ..plans import daily as D
 from ..sinks.writers import write_partition
 from ..sources.reports import DATE_IN_NAME_RE, URL_START
@@ -39,7 +40,8 @@ def report_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: in
 
 def apply_batch(spark: SparkSession, store: D.StateStore, blocks: DataFrame) -> dict:
     """ST2: apply one micro-batch of blocks to the store, date by date."""
-    clean, quarantine = report_to_clean_ads(blocks)
+    # parse the micro-batch once (pinned), then split clean / quarantine
+    clean, quarantine = split_tagged(pin(report_to_tagged_ads(blocks)))
     dates = [r["run_date"] for r in blocks.select("run_date").distinct().orderBy("run_date").collect()
              if r["run_date"] is not None]
     out = {}
