@@ -18,6 +18,7 @@ committed date before D.
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +37,12 @@ def _date(d) -> _dt.date:
 
 @dataclass(frozen=True)
 class StateStore:
+    """``buckets``: when set, each open-ads snapshot is written bucketed by
+    ``url_hash`` into that many buckets and read back as an external
+    catalog table over its folder, so the next day's join with today's ads
+    does not shuffle the snapshot (only today's aggregated side moves)."""
     root: str
+    buckets: int | None = None
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -44,6 +50,22 @@ class StateStore:
     def listed_path(self, d) -> str:
         return f"{self.path('listed')}/run_date={_date(d).isoformat()}"
 
+    def listed_table(self, d) -> str:
+        tag = hashlib.sha1(self.root.encode()).hexdigest()[:12]
+        return f"adlens_listed_{tag}_{_date(d).strftime('%Y%m%d')}"
+
+
+_LISTED_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.LISTED_ADS.fields)
+
+
+def write_listed(spark: SparkSession, store: StateStore, df: DataFrame, d) -> None:
+    """K6/K8/K9: publish the open-ads snapshot of run date ``d``."""
+    if not store.buckets:
+        df.write.mode("overwrite").parquet(store.listed_path(d))
+        return
+    (df.write.mode("overwrite").format("parquet").bucketBy(store.buckets, "url_hash").sortBy("url_hash")
+     .option("path", store.listed_path(d)).saveAsTable(store.listed_table(d)))
+
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     try:
@@ -87,7 +109,13 @@ def read_listed(spark: SparkSession, store: StateStore, run_date=None) -> DataFr
     d = _date(run_date) if run_date else last_committed(spark, store)
     if d is None:
         return spark.createDataFrame([], schemas.LISTED_ADS)
-    return spark.read.schema(schemas.LISTED_ADS).parquet(store.listed_path(d))
+    if not store.buckets:
+        return spark.read.schema(schemas.LISTED_ADS).parquet(store.listed_path(d))
+    # (re)register the bucketed snapshot as an external table over its folder
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {store.listed_table(d)} ({_LISTED_DDL}) USING parquet "
+              f"CLUSTERED BY (url_hash) SORTED BY (url_hash) INTO {store.buckets} BUCKETS "
+              f"LOCATION '{store.listed_path(d)}'")
+    return spark.table(store.listed_table(d))
 
 
 class LateSnapshot(ValueError):
@@ -115,7 +143,7 @@ def run_day(spark: SparkSession, store: StateStore, today_ads: DataFrame, run_da
     step = L.lifecycle_step(listed_prev, today_ads, d, track_price=track_price)
     try:
         write_partition(step.removed_delta, store.path("removed"), "removed_date", d.isoformat())
-        step.listed_next.write.mode("overwrite").parquet(store.listed_path(d))
+        write_listed(spark, store, step.listed_next, d)
         if quarantine is not None:
             write_partition(quarantine.withColumn("run_date", F.lit(d)), store.path("quarantine"),
                             "run_date", d.isoformat())

@@ -135,3 +135,26 @@ def test_run_report_entry_a(spark, tmp_dir):
     line = RP.run_history(m).first()
     assert line["line"] == "17.02.2023: Scraped today: 4 | In DB: 0 | Unchanged: 0 | New ads: 4 | Removed: 0"
     assert line["counts_line"] == "Active listings in DB: 4 | Removed ads in DB: 0"
+
+
+def test_bucketed_store_same_state_and_no_snapshot_shuffle(spark, tmp_dir):
+    import io
+    from contextlib import redirect_stdout
+    rows = [(f"k{i}", D1, D1, 1000 + i) for i in range(50)]
+    rows += [(f"k{i}", D2, D1, 1000 + i) for i in range(3, 48)] + [("n1", D2, D2, 7)]
+    plain = D.StateStore(tmp_dir + "/plain")
+    bucketed = D.StateStore(tmp_dir + "/bucketed", buckets=8)
+    D.run_days(spark, plain, ads_from_keys(spark, rows))
+    D.run_days(spark, bucketed, ads_from_keys(spark, rows))
+    for read in (D.read_listed, D.read_removed, D.read_metrics):
+        assert sorted(map(tuple, read(spark, plain).collect())) == sorted(map(tuple, read(spark, bucketed).collect()))
+    # the next day's join reads the bucketed snapshot without an exchange on its side
+    step = L.lifecycle_step(D.read_listed(spark, bucketed, D2), ads_from_keys(spark, rows[:10]), D3)
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        step.listed_next.explain()
+    text = buf.getvalue()
+    step.joined.unpersist()
+    scan = [l for l in text.splitlines() if "FileScan parquet" in l and "adlens_listed" in l]
+    assert scan and "SelectedBucketsCount" in scan[0]
+    assert text.count("Exchange hashpartitioning") == 1      # only today's side
