@@ -73,7 +73,8 @@ def last_per_key(df: DataFrame, key, order: list) -> DataFrame:
     single task per hot key."""
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in keys]
-    best = F.max_by(F.struct(*rest), F.struct(*[F.col(c) for c in order]))
+    value = F.struct(*rest)
+    best = F.max_by(value, F.struct(*[F.col(c) for c in order], value))   # value breaks ties: total order
     return df.groupBy(*keys).agg(best.alias("_r")).select(*keys, *[F.col("_r." + c).alias(c) for c in rest])
 
 
@@ -123,8 +124,9 @@ def lifecycle_step(listed_prev: DataFrame, today_ads: DataFrame, run_date,
     """
     run = X.run_date_lit(run_date)
     today_rows = today_ads.select(*listed_row_from_ad(run), F.col("url"))
-    last = F.max_by(F.struct(*[c for c in LISTED_COLS if c != "url_hash"]),
-                    F.struct(F.col("list_date"), F.col("url")))
+    value = F.struct(*[c for c in LISTED_COLS if c != "url_hash"])
+    # total order (the value itself breaks ties) so a recomputation picks the same row
+    last = F.max_by(value, F.struct(F.col("list_date"), F.col("url"), value))
     t = (today_rows.groupBy("url_hash")
          .agg(last.alias("t"), F.count(F.lit(1)).alias("n_today")))
     p = listed_prev.select("url_hash", F.struct(*[c for c in LISTED_COLS if c != "url_hash"]).alias("p"))
@@ -228,7 +230,8 @@ def lifecycle_backfill(snapshots: DataFrame, key: str = "ad_key", day: str = "ru
         # one row per (ad, day), chosen deterministically (the largest by
         # ``order``, default the carried columns) so a recomputation after an
         # executor loss picks the same row; an aggregate, combined map-side
-        pick = F.max_by(F.struct(*carry), F.struct(*[F.col(c) for c in (order or carry)]))
+        value = F.struct(*carry)
+        pick = F.max_by(value, F.struct(*[F.col(c) for c in (order or carry)], value))
         s = base.groupBy("k", "day").agg(pick.alias("_c")).select("k", "day", *[F.col("_c." + c).alias(c) for c in carry])
     else:
         s = base.distinct()

@@ -107,6 +107,7 @@ def test_iterated_step_equals_backfill(spark, tmp_dir):
     status = L.run_metrics_from_status(L.daily_status(snaps))
     a = sorted((r["run_date"], r["new_ads"], r["removed"], r["unchanged"]) for r in status.collect())
     b = sorted((r["run_date"], r["new_ads"], r["removed"], r["unchanged"]) for r in D.read_metrics(spark, store).collect())
+    snaps.unpersist()
     assert a == b
 
 
