@@ -24,6 +24,7 @@ NO_DATA_LINE = "No data was collected during last scraping job."
 # -------------------------------------------------------------------------------
 
 LINE_COLS = ["section", "segment", "line_no", "line_kind", "line"]
+TOTAL_LINE_NO = 2**31 - 1
 
 
 def _lines(df: DataFrame, section: int, segment, line_no, kind: str, line) -> DataFrame:
@@ -112,7 +113,9 @@ def combined_report(ads: DataFrame, run_date, metrics: DataFrame | None = None,
                                 F.when(F.col("is_total"), F.lit("all")).otherwise(F.col("room_count").cast("string")),
                                 F.col("ad_count"), F.col("min_price").cast("string"), F.col("max_price").cast("string"),
                                 F.col("price_range").cast("string"), F.col("avg_price").cast("string"))
-    r3 = _lines(st, 2, F.col("room_count"), F.when(F.col("is_total"), F.lit(1)).otherwise(F.lit(0)), "stat", stat_line)
+    # stat lines are ordered by line_no: the room count, the total last
+    r3 = _lines(st, 2, F.lit(None), F.when(F.col("is_total"), F.lit(TOTAL_LINE_NO)).otherwise(F.col("room_count")),
+                "stat", stat_line)
     r4 = pub_date_report(ads)
     r4 = r4.select(F.lit(3).alias("section"), F.lit(None).cast("int").alias("segment"),
                    (F.unix_date("month_start").cast("bigint") * 100000

@@ -788,7 +788,7 @@ union all select distinct 1, room_count, -1, 'segment_title', cast(room_count as
 union all select distinct 1, room_count, 0, 'column_line',
   '[Rooms, Floor, Size, Price EUR, SQM Price EUR, Apartment Street, Pub_date,  URL]' from ads
 union all select 0, null, 2, 'total', 'Total active listings: ' || count(*) from ads
-union all select 2, room_count, case when is_total then 1 else 0 end, 'stat',
+union all select 2, null, case when is_total then 2147483647 else room_count end, 'stat',
   case when is_total then 'all' else cast(room_count as varchar) end || ' | ' || ad_count || ' | ' || cast(min_price as varchar)
   || ' | ' || cast(max_price as varchar) || ' | ' || cast(price_range as varchar) || ' | ' || cast(avg_price as varchar) from st
 union all select 3, null,
