@@ -6,6 +6,7 @@ Layout under ``root`` (a shared folder):
     removed/removed_date=D/   ads removed by the run of D        (D6 delta)
     run_metrics/run_date=D/   one metrics row: the commit marker (D11)
     quarantine/run_date=D/    records that could not be parsed
+    clean/run_date=D/         the day's clean ads (K2 dated copy, for reports)
 
 Publish protocol: the removed delta is written first, then the listed
 snapshot, then the metrics row. A run counts as done only when its metrics
@@ -88,6 +89,12 @@ def read_quarantine(spark: SparkSession, store: StateStore) -> DataFrame:
     return _read(spark, store.path("quarantine"), schemas.QUARANTINE)
 
 
+def read_clean(spark: SparkSession, store: StateStore, run_date=None) -> DataFrame:
+    """The clean ads kept for a run date (all dates when None)."""
+    df = _read(spark, store.path("clean"), schemas.CLEAN_ADS)
+    return df if run_date is None else df.where(F.col("run_date") == F.lit(_date(run_date)))
+
+
 def committed_before(spark: SparkSession, store: StateStore, run_date) -> _dt.date | None:
     """Latest committed run date before ``run_date`` (S11: one value)."""
     m = read_metrics(spark, store).where(F.col("run_date") < F.lit(_date(run_date)))
@@ -124,7 +131,7 @@ class LateSnapshot(ValueError):
 
 def run_day(spark: SparkSession, store: StateStore, today_ads: DataFrame, run_date,
             quarantine: DataFrame | None = None, force: bool = False,
-            track_price: bool = False) -> str:
+            track_price: bool = False, keep_clean: bool = False) -> str:
     """Apply one day's clean ads to the store. Returns 'done', 'skipped'
     (already committed and not forced, ST3) or 'empty' (V3: no rows, state
     untouched). Raises LateSnapshot for a date before the last committed one
@@ -147,6 +154,9 @@ def run_day(spark: SparkSession, store: StateStore, today_ads: DataFrame, run_da
         if quarantine is not None:
             write_partition(quarantine.withColumn("run_date", F.lit(d)), store.path("quarantine"),
                             "run_date", d.isoformat())
+        if keep_clean:
+            write_partition(today_ads.select(*schemas.CLEAN_ADS.fieldNames()).withColumn("run_date", F.lit(d)),
+                            store.path("clean"), "run_date", d.isoformat())
         prev_m = read_metrics(spark, store).where(F.col("run_date") == F.lit(prev_d)) if prev_d else None
         m = step.metrics
         if prev_m is not None:
@@ -191,5 +201,6 @@ def run_report(spark: SparkSession, store: StateStore, report_path: str, run_dat
         dates = [r["run_date"] for r in clean.select("run_date").distinct().orderBy("run_date").collect()
                  if r["run_date"] is not None]
     return {d: run_day(spark, store, clean.where(F.col("run_date") == F.lit(d)), d,
-                       quarantine=quarantine.where(F.col("run_date") == F.lit(d)).drop("run_date"), force=force)
+                       quarantine=quarantine.where(F.col("run_date") == F.lit(d)).drop("run_date"), force=force,
+                       keep_clean=True)
             for d in dates}
