@@ -48,8 +48,7 @@ def positional_formatted(blocks: DataFrame, max_blocks: int = POSITIONAL_MAX_BLO
     sizes = blocks.groupBy("source_file").count()
     if not sizes.where(F.col("count") > max_blocks).isEmpty():
         raise ValueError(f"positional mode is for files of at most {max_blocks} blocks")
-    lines = blocks.select("source_file", "pos", F.explode(F.split("block", "\n")).alias("line"))
-    tagged = lines.select("source_file", "pos", "line", F.monotonically_increasing_id().alias("_ord"))
+    tagged = blocks.select("source_file", "pos", F.posexplode(F.split("block", "\n")).alias("_ord", "line"))
     col_for = F.when(F.col("line").contains("https"), F.lit("URL"))
     for name, label, _ in FORMATTED_FIELDS:
         col_for = col_for.when(F.col("line").contains(label + ":"), F.lit(name))
