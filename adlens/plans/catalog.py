@@ -611,12 +611,6 @@ select run_date,
 from m"""
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in ORACLE.items() if k in QUERIES}
 
 
 # --- sinks read back, logs, single lifecycle step, quality, combined report ---
@@ -642,8 +636,9 @@ def q_dated_copy(spark, sf_dir):
     return back.where(F.col("pub_date") >= F.lit(_dt.date(2024, 2, 15)))
 
 
-LOG_RESULT_LINE = "{} 00:40:00 [INFO ]: compare_df_to_db_hashes: 240: Result {} new, {} still_listed, {} to_remove hashes"
-LOG_NOISE_LINE = "{} 00:40:01 [INFO ]: save_table_row_counts: 112: Active listings in DB: {}"
+# worker-log line formats written by the daily job (our own operator names)
+LOG_RESULT_LINE = "{} 00:40:00 [INFO ]: snapshot_diff: Result {} new, {} still_listed, {} to_remove hashes"
+LOG_NOISE_LINE = "{} 00:40:01 [INFO ]: table_counts: Active listings in DB: {}"
 
 
 def q_log_tail(spark, sf_dir):
@@ -850,3 +845,11 @@ ORACLE.update({
     "ad_pages_quarantine": "select 'p' || cast(p_partkey as varchar) as url_hash, 'no_price' as reason from part where p_brand = 'Brand#13'",
     "formatted_csv_roundtrip": ORACLE["parse_raw_report"],
 })
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return {k: v for k, v in ORACLE.items() if k in QUERIES}
