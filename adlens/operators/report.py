@@ -25,6 +25,7 @@ NO_DATA_LINE = "No data was collected during last scraping job."
 
 LINE_COLS = ["section", "segment", "line_no", "line_kind", "line"]
 TOTAL_LINE_NO = 2**31 - 1
+OTHER_SEGMENT = 2**31 - 1   # segment key of non-numeric room labels: after all numbers
 
 
 def _lines(df: DataFrame, section: int, segment, line_no, kind: str, line) -> DataFrame:
@@ -36,8 +37,9 @@ def _lines(df: DataFrame, section: int, segment, line_no, kind: str, line) -> Da
 def ad_line(run_date) -> F.Column:
     """one ad line; '[NEW]' when published on the run date."""
     floor = F.concat_ws("/", F.col("apt_floor").cast("string"), F.col("house_floors").cast("string"))
+    rooms = F.coalesce(F.col("room_count").cast("string"), F.col("room_label"), F.lit(""))
     new = F.when(F.col("pub_date") == X.run_date_lit(run_date), F.lit(NEW_MARKER)).otherwise(F.lit(""))
-    return F.concat(F.lit("  "), F.col("room_count").cast("string"), F.lit("     "), floor, F.lit("    "),
+    return F.concat(F.lit("  "), rooms, F.lit("     "), floor, F.lit("    "),
                     F.col("size_sqm").cast("string"), F.lit("   "), F.col("price_eur").cast("string"),
                     F.lit(" EUR    "), F.col("sqm_price_eur").cast("string"), F.lit(" EUR   "),
                     F.col("street"), F.lit("   "), X.format_source_date("pub_date"), F.lit(" "),
@@ -48,12 +50,19 @@ def ads_by_segment(ads: DataFrame, run_date, title: str | None = None) -> DataFr
     """Header (title, total), then per room segment a title line, the
     column line and the ads by price (tie-break url_hash, Q16).
     Columns: section, segment, line_no, line_kind, line."""
-    ranked = rank_within(ads, ["room_count"], ["price_eur", "url_hash"], "rank_in_segment")
-    ad_rows = _lines(ranked, 1, F.col("room_count"), F.col("rank_in_segment"), "ad", ad_line(run_date))
-    segs = ads.groupBy("room_count").agg(F.count(F.lit(1)).alias("n"))
-    titles = _lines(segs, 1, F.col("room_count"), F.lit(-1), "segment_title",
-                    F.format_string(SEGMENT_TITLE.replace("{}", "%d"), F.col("room_count")))
-    cols = _lines(segs, 1, F.col("room_count"), F.lit(0), "column_line", F.lit(COLUMN_LINE))
+    # non-numeric room labels form one segment after the numeric ones (Q21)
+    seg = F.coalesce(F.col("room_count"), F.lit(OTHER_SEGMENT))
+    if "room_label" not in ads.columns:
+        ads = ads.withColumn("room_label", F.col("room_count").cast("string"))
+    keyed = ads.withColumn("_seg", seg)
+    ranked = rank_within(keyed, ["_seg"], ["price_eur", "url_hash"], "rank_in_segment")
+    ad_rows = _lines(ranked, 1, F.col("_seg"), F.col("rank_in_segment"), "ad", ad_line(run_date))
+    segs = keyed.groupBy("_seg").agg(F.min("room_label").alias("_label"))
+    seg_title = F.format_string(SEGMENT_TITLE.replace("{}", "%s"),
+                                F.when(F.col("_seg") == OTHER_SEGMENT, F.col("_label"))
+                                .otherwise(F.col("_seg").cast("string")))
+    titles = _lines(segs, 1, F.col("_seg"), F.lit(-1), "segment_title", seg_title)
+    cols = _lines(segs, 1, F.col("_seg"), F.lit(0), "column_line", F.lit(COLUMN_LINE))
     total = ads.agg(F.count(F.lit(1)).alias("n"))
     head = [_lines(total, 0, F.lit(None), F.lit(2), "total",
                    F.format_string(TOTAL_LINE.replace("{}", "%d"), F.col("n")))]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 
 ALL_SEGMENTS = "all"
+OTHER_SEGMENT = "other"   # non-numeric room labels, listed after the numbers (Q21)
 
 
 def _c(c) -> Column:
@@ -47,12 +48,13 @@ def price_stats(df: DataFrame, segment, price, with_total: bool = False,
 def price_stat_table(stats: DataFrame, segment: str) -> DataFrame:
     """The stat table with the report's column names, segments in
     numeric order then the total (labelled 'all')."""
-    seg = F.when(F.col("is_total"), F.lit(ALL_SEGMENTS)).otherwise(F.col(segment).cast("string"))
+    seg = (F.when(F.col("is_total"), F.lit(ALL_SEGMENTS))
+           .otherwise(F.coalesce(F.col(segment).cast("string"), F.lit(OTHER_SEGMENT))))
     return stats.select(seg.alias("Room Segment"), F.col("ad_count").alias("Ad count"),
                         F.col("min_price").alias("Min Price"), F.col("max_price").alias("Max Price"),
                         F.col("price_range").alias("Price Range"), F.col("avg_price").alias("Avg Price"),
                         F.col("is_total"), F.col(segment).alias("_seg")) \
-        .orderBy("is_total", "_seg").drop("is_total", "_seg")
+        .orderBy("is_total", F.asc_nulls_last("_seg")).drop("is_total", "_seg")
 
 
 def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFrame:

@@ -91,3 +91,17 @@ def test_report_lines(spark):
     assert lines[5] == "2 room apartment segment:"
     assert lines[7].startswith("  2     1/5    50.00   45000 EUR    900.00 EUR   Upes 1   01.02.2024")
     assert lines[8].endswith("u1.html [NEW]")
+
+
+def test_non_numeric_rooms_come_after_numbers(spark):
+    ads = spark.createDataFrame(
+        [("u1", "https://x/u1.html", "2", 2, 1, 5, Decimal("50.00"), 45000, Decimal("900.00"), "Upes 1", dt.date(2024, 2, 1)),
+         ("u2", "https://x/u2.html", "Citi", None, 1, 5, Decimal("50.00"), 40000, Decimal("800.00"), "Upes 2", dt.date(2024, 2, 1))],
+        "url_hash string, url string, room_label string, room_count int, apt_floor int, house_floors int, "
+        "size_sqm decimal(10,2), price_eur bigint, sqm_price_eur decimal(10,2), street string, pub_date date")
+    lines = [r["line"] for r in RP.ads_by_segment(ads, dt.date(2024, 3, 1))
+             .orderBy("section", F.col("segment").asc_nulls_first(), "line_no").collect()]
+    assert lines[1] == "2 room apartment segment:" and lines[4] == "Citi room apartment segment:"
+    assert lines[6].startswith("  Citi     1/5")
+    table = ST.price_stat_table(ST.price_stats(ads, "room_count", "price_eur", with_total=True), "room_count").collect()
+    assert [r["Room Segment"] for r in table] == ["2", "other", "all"]
