@@ -41,7 +41,7 @@ def read_report_blocks(spark: SparkSession, path: str, run_date=None,
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
     raw = reader.text(path, lineSep="\n" + URL_START)
-    value = F.translate(F.col("value"), "\r", "")
+    value = F.translate(F.col("value"), "\r\ufeff", "")   # CRLF line ends, byte-order mark
     block = F.when(value.startswith(URL_START), value).otherwise(F.concat(F.lit(URL_START), value))
     src = F.col("_metadata.file_path")
     return (raw.select(block.alias("block"), src.alias("source_file"))

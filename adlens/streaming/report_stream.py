@@ -30,7 +30,7 @@ def report_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: in
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.text(input_dir, lineSep="\n" + URL_START)
-    value = F.translate(F.col("value"), "\r", "")
+    value = F.translate(F.col("value"), "\r\ufeff", "")   # CRLF line ends, byte-order mark
     block = F.when(value.startswith(URL_START), value).otherwise(F.concat(F.lit(URL_START), value))
     src = F.col("_metadata.file_path")
     return (raw.select(block.alias("block"), src.alias("source_file"))

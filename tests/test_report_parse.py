@@ -137,3 +137,13 @@ def test_empty_and_latest_file(spark, tmp_dir):
     latest = R.latest_file(spark, tmp_dir).first()
     assert latest["path"].endswith("r-2023-02-17.txt")
     assert R.files_for_run_date(spark, tmp_dir, "2023-02-16").count() == 1
+
+
+def test_bom_and_crlf(spark, tmp_dir):
+    text = "\ufeff" + RAW_REPORT.replace("\n", "\r\n")
+    path = os.path.join(tmp_dir, "r-2023-02-17.txt")
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        f.write(text)
+    clean, quarantine = E.report_to_clean_ads(R.read_report_blocks(spark, tmp_dir))
+    assert sorted(r["url_hash"] for r in clean.collect()) == ["aaaaa", "bbbbb", "ccccc", "eeeee"]
+    assert [r["reason"] for r in quarantine.collect()] == ["missing:Price"]
