@@ -19,14 +19,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import default_parallelism
 from .sizing import bounded_broadcast, pin
 
 
 def range_partitions(spark) -> int:
     """Partitions for the range split: the session's shuffle partitions, but
     at least four per core, so the count grows with the cluster."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-               4 * spark.sparkContext.defaultParallelism)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * default_parallelism(spark))
 
 
 def rank_within(df: DataFrame, segment: list[str], order: list, name: str = "rank_in_segment",

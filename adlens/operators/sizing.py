@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import default_parallelism, scratch_path
 
 # Default upper bound for a broadcast side (rows). Tables used with it are
 # dimension-like (distinct run dates, per-partition counts).
@@ -43,5 +43,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     the cores before heavy per-row work (regex parsing, rendering). A no-op
     for any input that already has enough partitions, i.e. every large one,
     so it never adds a shuffle at scale."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    target = min_partitions or default_parallelism(df.sparkSession)
+    try:
+        current = df.rdd.getNumPartitions()   # planning only, no job
+    except Exception:  # noqa: BLE001 - no RDD access (Spark Connect): leave as is
+        return df
+    return df.repartition(target) if current < target else df

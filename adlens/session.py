@@ -55,28 +55,40 @@ def build_session(master: str | None = None, app: str = "adlens",
     return spark
 
 
-def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a session without one (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no SparkContext
+        return None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only when
     the session has none and runs in local mode."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
-    conf = spark.conf.get(_CONF_KEY, None) or sc.getConf().get(_CONF_KEY, None)
+    conf = spark.conf.get(_CONF_KEY, None) or (sc.getConf().get(_CONF_KEY, None) if sc is not None else None)
     if not conf:
-        if not _is_local(spark):
+        if sc is None or not sc.master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; a cluster job needs a shared "
                 "folder for checkpoints and intermediate tables")
         conf = tempfile.mkdtemp(prefix="adlens-ckpt-", dir="/tmp")
+    if sc is None:
+        return conf
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Cores of the cluster (shuffle partitions when there is no context)."""
+    sc = _context(spark)
+    return sc.defaultParallelism if sc is not None else int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def scratch_path(spark: SparkSession, kind: str) -> str:
     """A fresh folder under the shared checkpoint folder for written
     intermediate tables (never a machine-local temp dir on a cluster)."""
