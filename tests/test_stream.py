@@ -3,7 +3,6 @@
 import datetime as dt
 import os
 
-
 from adlens.operators import extract as E
 from adlens.plans import daily as D
 from adlens.sinks import writers as W
