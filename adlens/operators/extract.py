@@ -102,12 +102,13 @@ def split_tagged(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     return clean, quarantine
 
 
-def _typed(*args) -> tuple[DataFrame, DataFrame]:
-    return split_tagged(_tag(*args))
+def clean_formatted(formatted: DataFrame, run_date=None, city_index: int = CITY_SEGMENT) -> tuple[DataFrame, DataFrame]:
+    """D3 -> (clean ads, quarantine); see ``formatted_to_tagged_ads``."""
+    return split_tagged(formatted_to_tagged_ads(formatted, run_date, city_index))
 
 
-def clean_formatted(formatted: DataFrame, run_date=None, city_index: int = CITY_SEGMENT) -> tuple[DataFrame, DataFrame]:
-    """D3 -> typed clean ads (F1-F8, F10, F5). Returns (clean, quarantine).
+def formatted_to_tagged_ads(formatted: DataFrame, run_date=None, city_index: int = CITY_SEGMENT) -> DataFrame:
+    """D3 -> typed ads with a quarantine reason.
 
     F1 removes every label token from the seven formatted columns; rows whose
     price, size, floor or date do not parse go to quarantine with a reason
@@ -123,7 +124,7 @@ def clean_formatted(formatted: DataFrame, run_date=None, city_index: int = CITY_
     renamed = stripped.select("url", "_lift", "source_file", "run_date", "_src_block",
                               *[F.col(c).alias(v) for c, v in zip(cols, _VALUE_COLS)])
     run = F.col("run_date") if run_date is None else X.run_date_lit(run_date)
-    return _typed(renamed, run, city_index, F.col("_lift"), None, F.col("_src_block"))
+    return _tag(renamed, run, city_index, F.col("_lift"), None, F.col("_src_block"))
 
 
 _VALUE_COLS = ["_room", "_size", "_floor", "_street", "_price", "_date"]

@@ -109,9 +109,17 @@ def _part_report_blocks(spark, sf_dir):
     return SR.read_report_blocks(spark, path, run_date=PART_RUN_DATE)
 
 
+def _parse_once(tagged):
+    """Parse once: pin the tagged table, then split clean / quarantine (the
+    split filters then read the pinned table instead of re-running the
+    parse through filter pushdown)."""
+    from ..operators.sizing import pin
+    return E.split_tagged(pin(tagged))
+
+
 def _part_report_ads(spark, sf_dir):
     """K12 -> S1 -> H10 -> F2-F10 (clean ads, quarantine)."""
-    return E.report_to_clean_ads(_part_report_blocks(spark, sf_dir))
+    return _parse_once(E.report_to_tagged_ads(_part_report_blocks(spark, sf_dir)))
 
 
 def q_parse_raw_report(spark, sf_dir):
@@ -812,7 +820,7 @@ def q_parse_ad_pages(spark, sf_dir):
     blocks, _no_price = E.ad_pages_to_blocks(_stored_ad_pages(spark, sf_dir))
     path = scratch_path(spark, "page-report")
     blocks.select("block").write.mode("overwrite").text(path)
-    clean, _ = E.report_to_clean_ads(SR.read_report_blocks(spark, path, run_date=PART_RUN_DATE))
+    clean, _ = _parse_once(E.report_to_tagged_ads(SR.read_report_blocks(spark, path, run_date=PART_RUN_DATE)))
     return clean.select("url_hash", "city", "room_count", "apt_floor", "house_floors", "has_lift", "street",
                         "pub_date", "size_sqm", "price_eur", "sqm_price_eur")
 
@@ -830,7 +838,7 @@ def q_formatted_csv_roundtrip(spark, sf_dir):
     (formatted.select(F.col("URL").alias("_idx"), *[n for n in ["URL"] + [f[0] for f in E.FORMATTED_FIELDS]])
      .write.mode("overwrite").option("header", True).csv(path))
     back = SR.read_formatted_csv(spark, path).withColumn("source_file", F.lit(path))
-    clean, _ = E.clean_formatted(back, PART_RUN_DATE)
+    clean, _ = _parse_once(E.formatted_to_tagged_ads(back, PART_RUN_DATE))
     return clean.select("url_hash", "city", "room_count", "apt_floor", "house_floors", "has_lift", "street",
                         "pub_date", "size_sqm", "price_eur", "sqm_price_eur")
 
