@@ -27,3 +27,20 @@ def test_cli_run_report_sql(spark, tmp_dir):
     empty_out = os.path.join(tmp_dir, "empty")
     assert main(["report", "--state", state, "--run-date", "2023-02-18", "--out", empty_out]) == 0
     assert "No data was collected" in "".join(open(f, encoding="utf-8").read() for f in glob.glob(empty_out + "/part-*"))
+
+
+def test_cli_stream_with_bucketed_store(spark, tmp_dir):
+    from adlens.plans import daily as D
+    inbox = os.path.join(tmp_dir, "inbox")
+    os.makedirs(inbox)
+    with open(os.path.join(inbox, "Ogre-raw-data-report-2023-02-17.txt"), "w", encoding="utf-8") as f:
+        f.write(RAW_REPORT)
+    state = os.path.join(tmp_dir, "state")
+    args = ["stream", "--state", state, "--inbox", inbox, "--checkpoint", os.path.join(tmp_dir, "ckpt"),
+            "--buckets", "4"]
+    assert main(args) == 0
+    store = D.StateStore(state, buckets=4)
+    assert D.read_listed(spark, store).count() == 4
+    assert [r["reason"] for r in D.read_quarantine(spark, store).collect()] == ["missing:Price"]
+    assert main(args) == 0                      # nothing new: the checkpoint remembers the file
+    assert D.read_metrics(spark, store).count() == 1
