@@ -194,6 +194,8 @@ def run_report(spark: SparkSession, store: StateStore, report_path: str, run_dat
     # parse once: the tagged table is written to the shared folder, then
     # split; the daily step and the quarantine both read it
     tagged = pin(report_to_tagged_ads(read_report_blocks(spark, report_path, run_date=run_date)))
+    if run_date is None and not tagged.where(F.col("run_date").isNull()).isEmpty():
+        raise ValueError("report files without a yyyy-MM-dd date in their name; pass run_date")
     clean, quarantine = split_tagged(tagged)
     if run_date is not None:
         dates = [_date(run_date)]

@@ -159,3 +159,16 @@ def test_bucketed_store_same_state_and_no_snapshot_shuffle(spark, tmp_dir):
     scan = [l for l in text.splitlines() if "FileScan parquet" in l and "adlens_listed" in l]
     assert scan and "SelectedBucketsCount" in scan[0]
     assert text.count("Exchange hashpartitioning") == 1      # only today's side
+
+
+def test_run_report_needs_a_date(spark, tmp_dir):
+    import os
+    from conftest import RAW_REPORT
+    inbox = os.path.join(tmp_dir, "in")
+    os.makedirs(inbox)
+    with open(os.path.join(inbox, "report.txt"), "w", encoding="utf-8") as f:
+        f.write(RAW_REPORT)
+    store = D.StateStore(tmp_dir + "/state")
+    with pytest.raises(ValueError):
+        D.run_report(spark, store, inbox)
+    assert D.run_report(spark, store, inbox, run_date="2023-02-17") == {dt.date(2023, 2, 17): "done"}
