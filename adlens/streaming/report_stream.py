@@ -38,11 +38,19 @@ def report_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: in
             .where(F.trim(F.col("block")) != URL_START))
 
 
-def apply_batch(spark: SparkSession, store: D.StateStore, blocks: DataFrame) -> dict:
-    """ST2: apply one micro-batch of blocks to the store, date by date."""
-    # parse the micro-batch once (pinned), then split clean / quarantine
-    clean, quarantine = split_tagged(pin(report_to_tagged_ads(blocks)))
-    dates = [r["run_date"] for r in blocks.select("run_date").distinct().orderBy("run_date").collect()
+def apply_batch(spark: SparkSession, store: D.StateStore, blocks: DataFrame, epoch_id: int | None = None) -> dict:
+    """ST2: apply one micro-batch of blocks to the store, date by date.
+    The batch is parsed once into a pinned tagged table that every later
+    step reads. Blocks from files without a date in their name go to
+    ``quarantine_undated/epoch=N`` (overwritten on a replay of the batch)."""
+    tagged = pin(report_to_tagged_ads(blocks))
+    clean, quarantine = split_tagged(tagged)
+    undated = tagged.where(F.col("run_date").isNull())
+    if not undated.isEmpty():
+        write_partition(undated.select("source_file", F.col("_block").alias("block"),
+                                       F.lit("no_run_date").alias("reason"), F.lit(epoch_id).alias("epoch")),
+                        store.path("quarantine_undated"), "epoch", epoch_id)
+    dates = [r["run_date"] for r in tagged.select("run_date").distinct().orderBy("run_date").collect()
              if r["run_date"] is not None]
     out = {}
     for d in dates:
@@ -51,8 +59,8 @@ def apply_batch(spark: SparkSession, store: D.StateStore, blocks: DataFrame) ->
         try:
             out[d] = D.run_day(spark, store, today, d, quarantine=q)
         except D.LateSnapshot:
-            late = blocks.where(F.col("run_date") == F.lit(d)).select(
-                "source_file", "block", F.lit("late_snapshot").alias("reason"))
+            late = tagged.where(F.col("run_date") == F.lit(d)).select(
+                "source_file", F.col("_block").alias("block"), F.lit("late_snapshot").alias("reason"))
             write_partition(late, store.path("quarantine_late"), "run_date", d.isoformat())
             out[d] = "late"
     return out
@@ -64,6 +72,6 @@ def start(spark: SparkSession, input_dir: str, store: D.StateStore, checkpoint_l
     (the daily trigger); otherwise it polls."""
     stream = report_stream(spark, input_dir, max_files_per_trigger)
     writer = (stream.writeStream.option("checkpointLocation", checkpoint_location)
-              .foreachBatch(lambda batch, _epoch: apply_batch(spark, store, batch)))
+              .foreachBatch(lambda batch, epoch: apply_batch(spark, store, batch, epoch)))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 minutes")
     return writer.start()

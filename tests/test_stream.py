@@ -79,3 +79,16 @@ def test_report_files_round_trip(spark, tmp_dir):
             "size_sqm", "price_eur", "sqm_price_eur", "run_date"]
     assert sorted(map(tuple, again.select(cols).collect())) == sorted(map(tuple, clean.select(cols).collect()))
     assert q.count() == 0
+
+
+def test_stream_undated_file_is_quarantined(spark, tmp_dir):
+    inbox = os.path.join(tmp_dir, "inbox")
+    os.makedirs(inbox)
+    with open(os.path.join(inbox, "report.txt"), "w", encoding="utf-8") as f:
+        f.write(RAW_REPORT)
+    store = D.StateStore(os.path.join(tmp_dir, "state"))
+    q = S.start(spark, inbox, store, os.path.join(tmp_dir, "ckpt"))
+    q.awaitTermination(300)
+    assert D.read_metrics(spark, store).count() == 0
+    undated = spark.read.parquet(store.path("quarantine_undated"))
+    assert undated.count() == 5 and {r["reason"] for r in undated.collect()} == {"no_run_date"}
