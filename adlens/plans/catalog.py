@@ -855,6 +855,50 @@ ORACLE.update({
 })
 
 
+def _latest_pair(spark, sf_dir):
+    """J1 as the daily run applies it: today's rows (one per event, so
+    duplicates count) against the previous snapshot's distinct ads, for the
+    latest two snapshot days."""
+    ev = T(spark, sf_dir, "events").select(F.col("user_id").alias("ad_key"), F.to_date("ts").alias("run_date"))
+    last_two = [r["run_date"] for r in ev.select("run_date").distinct().orderBy(F.desc("run_date")).limit(2).collect()]
+    today = ev.where(F.col("run_date") == F.lit(last_two[0]))
+    prev = ev.where(F.col("run_date") == F.lit(last_two[-1])).select("ad_key").distinct()
+    return L.snapshot_diff(today, prev, key="ad_key")
+
+
+def q_snapshot_diff_pair(spark, sf_dir):
+    return _latest_pair(spark, sf_dir).select("ad_key", "status", F.col("n_today").cast("bigint").alias("n_today"))
+
+
+def q_snapshot_diff_pair_metrics(spark, sf_dir):
+    return L.diff_metrics(_latest_pair(spark, sf_dir))
+
+
+QUERIES.update({
+    "snapshot_diff_pair": q_snapshot_diff_pair,
+    "snapshot_diff_pair_metrics": q_snapshot_diff_pair_metrics,
+})
+
+PAIR_SQL = """
+d as (select distinct cast(ts as date) as d from events order by d desc limit 2),
+t as (select user_id as ad_key, count(*) as n from events where cast(ts as date) = (select max(d) from d) group by 1),
+p as (select distinct user_id as ad_key from events where cast(ts as date) = (select min(d) from d)),
+j as (select coalesce(t.ad_key, p.ad_key) as ad_key,
+             case when p.ad_key is null then 'new' when t.ad_key is null then 'removed' else 'still_listed' end as status,
+             coalesce(t.n, 0) as n_today
+      from t full outer join p on t.ad_key = p.ad_key)"""
+
+ORACLE.update({
+    "snapshot_diff_pair": _w(PAIR_SQL) + " select ad_key, status, cast(n_today as bigint) as n_today from j",
+    "snapshot_diff_pair_metrics": _w(PAIR_SQL) + """
+select cast(sum(n_today) as bigint) as scraped, count(*) filter (where status <> 'new') as in_db,
+       cast(coalesce(sum(n_today) filter (where status = 'still_listed'), 0) as bigint) as unchanged,
+       cast(coalesce(sum(n_today) filter (where status = 'new'), 0) as bigint) as new_ads,
+       count(*) filter (where status = 'removed') as removed
+from j""",
+})
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
