@@ -4,11 +4,14 @@
     python -m adlens stream --state DIR --inbox DIR --checkpoint DIR [--buckets B]
     python -m adlens report --state DIR --run-date D --out DIR [--title T]
     python -m adlens sql    --state DIR --query "SELECT …" [--out DIR]
+    python -m adlens validate --state DIR [--run-date D]
 
 ``run`` applies a day's raw report to the state store (Entry A), ``stream``
 processes the report files that arrived (one trigger), ``report`` writes the
 combined daily report (R6) as ordered text, ``sql`` runs a read-only query
-over ``listed_ads``, ``removed_ads``, ``run_metrics`` and ``clean_ads``.
+over ``listed_ads``, ``removed_ads``, ``run_metrics`` and ``clean_ads``,
+``validate`` checks that the tables load, prints their counts and exits
+non-zero when an open-ads snapshot holds a key twice (V7).
 """
 
 from __future__ import annotations
@@ -43,7 +46,7 @@ def _views(spark: SparkSession, store: D.StateStore) -> dict:
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="adlens")
     sub = ap.add_subparsers(dest="cmd", required=True)
-    for name in ("run", "stream", "report", "sql"):
+    for name in ("run", "stream", "report", "sql", "validate"):
         p = sub.add_parser(name)
         p.add_argument("--state", required=True)
         p.add_argument("--buckets", type=int, default=None)
@@ -61,6 +64,8 @@ def main(argv: list[str] | None = None) -> int:
         if name == "sql":
             p.add_argument("--query", required=True)
             p.add_argument("--out")
+        if name == "validate":
+            p.add_argument("--run-date")
     a = ap.parse_args(argv)
     spark = _session()
     store = D.StateStore(a.state, buckets=a.buckets)
@@ -77,6 +82,11 @@ def main(argv: list[str] | None = None) -> int:
         else:
             lines = RP.combined_report(ads, D._date(a.run_date), D.read_metrics(spark, store), title=a.title)
         export_lines(lines, a.out, ["section", "segment", "line_no"])
+    elif a.cmd == "validate":
+        from .operators.quality import validate_snapshot
+        row = validate_snapshot(D.read_listed(spark, store, a.run_date), D.read_removed(spark, store)).first()
+        print(json.dumps(row.asDict()))
+        return 0 if row["duplicate_open_keys"] == 0 else 1
     elif a.cmd == "sql":
         df = Z.run_sql(spark, a.query, _views(spark, store))
         if a.out:
