@@ -149,6 +149,11 @@ def test_bucketed_store_same_state_and_no_snapshot_shuffle(spark, tmp_dir):
     D.run_days(spark, bucketed, ads_from_keys(spark, rows))
     for read in (D.read_listed, D.read_removed, D.read_metrics):
         assert sorted(map(tuple, read(spark, plain).collect())) == sorted(map(tuple, read(spark, bucketed).collect()))
+    # a new session has an empty catalog: dropping the external table keeps
+    # the files, and the next read registers it again over its folder
+    before = sorted(map(tuple, D.read_listed(spark, bucketed, D2).collect()))
+    spark.sql(f"DROP TABLE {bucketed.listed_table(D2)}")
+    assert sorted(map(tuple, D.read_listed(spark, bucketed, D2).collect())) == before
     # the next day's join reads the bucketed snapshot without an exchange on its side
     step = L.lifecycle_step(D.read_listed(spark, bucketed, D2), ads_from_keys(spark, rows[:10]), D3)
     buf = io.StringIO()
