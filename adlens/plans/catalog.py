@@ -899,6 +899,24 @@ from j""",
 })
 
 
+def q_segment_values(spark, sf_dir):
+    """The distinct values of a segment column (cities)."""
+    return ST.distinct_values(_ads(spark, sf_dir), "city")
+
+
+def q_house_type_dist(spark, sf_dir):
+    """Frequency of the house-type label parsed from the report text."""
+    parsed = SR.parse_blocks(_part_report_blocks(spark, sf_dir))
+    return ST.value_counts(parsed.select(H.field("fields", "Mājas tips").alias("house_type")), "house_type")
+
+
+QUERIES.update({"segment_values": q_segment_values, "house_type_dist": q_house_type_dist})
+ORACLE.update({
+    "segment_values": _w(PRICED_PART_ADS_SQL) + " select distinct city from ads",
+    "house_type_dist": "select p_type as house_type, count(p_type) as cnt from part group by p_type",
+})
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
