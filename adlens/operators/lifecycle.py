@@ -110,7 +110,7 @@ class StepResult:
 
 
 def lifecycle_step(listed_prev: DataFrame, today_ads: DataFrame, run_date,
-                   track_price: bool = False) -> StepResult:
+                   track_price: bool = False, persist: bool = True) -> StepResult:
     """One run of the lifecycle as a pure function of (open ads before
     the run, today's clean ads, run date).
 
@@ -130,7 +130,9 @@ def lifecycle_step(listed_prev: DataFrame, today_ads: DataFrame, run_date,
     t = (today_rows.groupBy("url_hash")
          .agg(last.alias("t"), F.count(F.lit(1)).alias("n_today")))
     p = listed_prev.select("url_hash", F.struct(*[c for c in LISTED_COLS if c != "url_hash"]).alias("p"))
-    joined = t.join(p, "url_hash", "full_outer").persist()
+    joined = t.join(p, "url_hash", "full_outer")
+    if persist:   # several outputs read it; a single-output caller passes False
+        joined = joined.persist()
 
     in_t, in_p = F.col("t").isNotNull(), F.col("p").isNotNull()
     refreshed = F.greatest(F.col("p.days_listed"), F.datediff(run, F.col("p.list_date")))

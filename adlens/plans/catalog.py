@@ -677,7 +677,7 @@ def _last_snapshot_step(spark, sf_dir):
     last = snaps.agg(F.max("run_date").alias("d")).first()["d"]
     prev = A.open_ads_as_listed(L.lifecycle_backfill(snaps.where(F.col("run_date") < F.lit(last))))
     today = A.ads_from_snapshots(snaps.where(F.col("run_date") == F.lit(last)))
-    return L.lifecycle_step(prev, today, last)
+    return L.lifecycle_step(prev, today, last, persist=False)   # each query reads one output
 
 
 def q_lifecycle_step(spark, sf_dir):
