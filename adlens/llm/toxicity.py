@@ -7,7 +7,8 @@ words, exclamation and question marks and runs of them, lexicon hits that only
 show after undoing letter substitutions and separators, words with symbols
 among letters, and length.
 
-The lexicon (log-odds of words in toxic against other labelled texts), the
+The lexicon (words and word beginnings, by log-odds in toxic against other
+labelled texts), the
 trees and the calibration are fitted on a bounded sample of the labelled rows;
 the calibration uses rows that the trees have not seen. Scores are computed
 for every row, trees and calibration in Spark ML.
@@ -48,24 +49,43 @@ ASCII_LETTER[97:123] = True
 DIGIT_OR_SYMBOL = np.zeros(256, bool)
 DIGIT_OR_SYMBOL[[ord(c) for c in "0123456789@$*#|"]] = True
 NEAR = 4
+# Characters of the word beginnings that the lexicon may hold beside words.
+BEGINNINGS = (4, 5, 6)
 N_FEATURES = 14
 
 
 class Lexicon:
+    """Learned words and word beginnings (marked by a final ``*``)."""
+
     def __init__(self, terms: list[str], weights: list[float]):
-        keys = codes_of(terms) if terms else np.zeros(0, np.uint64)
-        order = np.argsort(keys)
-        self.keys, self.weights = keys[order], np.array(weights, np.float64)[order]
+        self.tables = []  # byte length of a word's beginning (0: whole words), sorted hashes, weights
+        by_size: dict[int, list] = {}
+        for term, weight in zip(terms, weights):
+            text = term.rstrip("*")
+            by_size.setdefault(len(text.encode()) if term.endswith("*") else 0, []).append((text, weight))
+        for size, entries in sorted(by_size.items()):
+            keys = codes_of([t for t, _ in entries])
+            order = np.argsort(keys)
+            self.tables.append((size, keys[order], np.array([w for _, w in entries], np.float64)[order]))
         self.person = np.sort(codes_of(SECOND_PERSON))
 
-    def hits(self, data, off, keys):
-        """Row, word index and table index of each word found in ``keys``."""
+    def hits(self, data, off):
+        """Row, word index and weight of each word found (whole words before
+        beginnings), then the hashes of all words and each row's first word."""
         starts, ends, rows = words(data, off, LETTER)
         hashes = PrefixHash(BYTE_CODE[data])
-        codes = mix(hashes.span(starts, ends) + (ends - starts).astype(np.uint64))
-        at = lookup(keys, codes)
-        found = np.flatnonzero(at >= 0)
-        return np.searchsorted(rows, found, side="right") - 1, found, at[found], codes, rows
+        code = lambda s, e: mix(hashes.span(s, e) + (e - s).astype(np.uint64))
+        codes = code(starts, ends)
+        weight = np.zeros(len(starts))
+        for size, keys, weights in self.tables:
+            if size:
+                open_ = np.flatnonzero((ends - starts > size) & (weight == 0))
+                at = lookup(keys, code(starts[open_], starts[open_] + size))
+            else:
+                open_, at = np.arange(len(starts)), lookup(keys, codes)
+            weight[open_[at >= 0]] = weights[at[at >= 0]]
+        found = np.flatnonzero(weight)
+        return np.searchsorted(rows, found, side="right") - 1, found, weight[found], codes, rows
 
     def features(self, column) -> np.ndarray:
         """One row of ``N_FEATURES`` numbers per text."""
@@ -80,12 +100,12 @@ class Lexicon:
     def _part(self, raw, off, low, low_off):
         n = len(off) - 1
         per_row = lambda rows, weights=None: np.bincount(rows, weights=weights, minlength=n).astype(np.float64)
-        row, word, term, codes, rows = self.hits(low, low_off, self.keys)
+        row, word, weights, codes, rows = self.hits(low, low_off)
         n_words = np.maximum(np.diff(rows).astype(np.float64), 1)
         n_bytes = np.maximum(np.diff(off).astype(np.float64), 1)
-        count, weight = per_row(row), per_row(row, self.weights[term])
+        count, weight = per_row(row), per_row(row, weights)
         top = np.zeros(n)
-        np.maximum.at(top, row, self.weights[term])
+        np.maximum.at(top, row, weights)
         person = np.flatnonzero(lookup(self.person, codes) >= 0)
         person_row = np.searchsorted(rows, person, side="right") - 1
         near = np.zeros(len(word), bool)
@@ -97,7 +117,7 @@ class Lexicon:
         plain = PLAIN[low]
         stays = ~SEPARATOR[plain]
         left = np.concatenate([[0], np.cumsum(stays)])
-        hidden = per_row(self.hits(plain[stays], left[low_off], self.keys)[0])
+        hidden = per_row(self.hits(plain[stays], left[low_off])[0])
         # capitals and punctuation of the original text
         doc_of = lambda where: np.searchsorted(off, np.flatnonzero(where), side="right") - 1
         upper = per_row(doc_of(UPPER[raw]))
@@ -136,12 +156,14 @@ def _with_features(rows: DataFrame, lexicon: Lexicon, keep: list[str]) -> DataFr
     return spread(rows.select(*keep, "text")).mapInArrow(run, f"{kinds}, features array<double>")
 
 
-def fit(labelled: DataFrame, max_rows: int = 12_000, max_terms: int = 300, min_docs: int = 5) -> ToxicityModel:
+def fit(labelled: DataFrame, max_rows: int = 12_000, max_terms: int = 300,
+        min_contexts: int = 4, min_share: float = 0.03) -> ToxicityModel:
     """Learn from rows with ``doc_id``, ``text`` and ``toxic`` (0 or 1).
 
     ``max_rows`` is the expected size of the sample, chosen by a hash of
-    doc_id; ``max_terms`` bounds the lexicon, whose words stand in at least
-    ``min_docs`` toxic texts.
+    doc_id; ``max_terms`` bounds the lexicon. Words are counted by distinct
+    following word, so that many copies of one toxic text count once; a word
+    needs ``min_contexts`` of these, and ``min_share`` of the toxic rows.
     """
     rows = labelled.select("doc_id", "text", F.col("toxic").cast("double").alias("label")).where(
         "text is not null and label is not null")
@@ -151,14 +173,22 @@ def fit(labelled: DataFrame, max_rows: int = 12_000, max_terms: int = 300, min_d
         return ToxicityModel(Lexicon([], []), None, None, 1.0 if bad else 0.0)
     dice = lambda salt: F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(salt)), F.lit(1 << 20)) / F.lit(float(1 << 20))
     sample = pin(rows.where(dice("sample") < F.lit(min(1.0, max_rows / (bad + good)))))
-    tokens = sample.select("label", F.explode(F.array_distinct(
-        F.regexp_extract_all(F.lower("text"), F.lit(WORD_PATTERN), F.lit(0)))).alias("token"))
-    seen = tokens.groupBy("token").agg(F.sum("label").alias("bad"), F.sum(1 - F.col("label")).alias("good"))
+    token = F.regexp_extract_all(F.lower("text"), F.lit(WORD_PATTERN), F.lit(0))
+    pairs = sample.select("label", token.alias("t")).select("label", F.explode(F.array_distinct(F.zip_with(
+        "t", F.concat(F.slice("t", 2, F.size("t")), F.array(F.lit(""))),
+        lambda x, y: F.struct(x.alias("token"), y.alias("after"))))).alias("pair"))
+    word = F.col("pair.token")
+    forms = F.concat(F.array(word), F.transform(
+        F.filter(F.array(*map(F.lit, BEGINNINGS)), lambda k: k < F.char_length(word)),
+        lambda k: F.concat(F.substr(word, F.lit(1), k), F.lit("*"))))
+    pairs = pairs.select("label", F.explode(forms).alias("token"), F.col("pair.after").alias("after"))
+    contexts = pairs.groupBy("token", "after").agg(F.max("label").alias("bad"), F.max(1 - F.col("label")).alias("good"))
+    seen = contexts.groupBy("token").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     sums = sample.agg(F.sum("label").alias("bad"), F.sum(1 - F.col("label")).alias("good")).first()
-    all_bad, all_good = (sums["bad"] or 0.0) + 1, (sums["good"] or 0.0) + 1
-    odds = F.log((F.col("bad") + 0.5) / F.lit(all_bad)) - F.log((F.col("good") + 0.5) / F.lit(all_good))
-    terms = (seen.where(F.col("bad") >= min_docs).select("token", odds.alias("weight")).where("weight > 1.5")
-             .orderBy(F.desc("weight"), "token").limit(max_terms).collect())
+    all_bad, all_good = sums["bad"] or 0.0, sums["good"] or 0.0
+    odds = F.log((F.col("bad") + 0.5) / F.lit(all_bad + 1)) - F.log((F.col("good") + 0.5) / F.lit(all_good + 1))
+    terms = (seen.where(F.col("bad") >= max(min_contexts, min_share * all_bad)).select("token", odds.alias("weight"))
+             .where("weight > 2.5").orderBy(F.desc("weight"), "token").limit(max_terms).collect())
     lexicon = Lexicon([r["token"] for r in terms], [r["weight"] for r in terms])
     points = pin(_with_features(sample, lexicon, ["doc_id", "label"]).withColumn("features", array_to_vector("features")))
     fit_on, tune_on = points.where(dice("tune") >= 0.3), points.where(dice("tune") < 0.3)
