@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import langid, toxicity
+from ..session import scratch_path
+from . import langid, mixing, topk, toxicity, warc
 
 
 def _read(spark, sf_dir, table):
@@ -15,6 +16,25 @@ def _bucket(n):
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
 
 
+def op4_mixing(spark, sf_dir):
+    """Copies of every document that bring its source to its target; see ``mixing``."""
+    return mixing.allocation(_read(spark, sf_dir, "documents"))
+
+
+def op6_warc(spark, sf_dir):
+    """Every page written to WARC archives and read back; see ``warc``."""
+    path = scratch_path(spark, "warc")
+    warc.write_archives(warc.plan_records(_read(spark, sf_dir, "pages")), path)
+    return warc.read_archives(spark, path)
+
+
+def op7_topk(spark, sf_dir):
+    """The 20 best inner products of every twentieth vector; see ``topk``."""
+    vectors = topk.integer_vectors(_read(spark, sf_dir, "embeddings"))
+    found = topk.top_k(vectors.where("vec_id % 20 = 0"), vectors, 20)
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
 def op8_langid(spark, sf_dir):
     """Word-first language ID of every document; see ``langid``."""
     docs = _read(spark, sf_dir, "documents")
@@ -34,8 +54,25 @@ def op10_toxicity(spark, sf_dir):
         "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op8_langid, op10_toxicity)}
-ORACLE = {}
+QUERIES = {f.__name__: f for f in (op4_mixing, op6_warc, op7_topk, op8_langid, op10_toxicity)}
+ORACLE = {
+    "op6_warc": """
+        WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+                   FROM pages),
+             h AS (SELECT payload_digest, max(page_id) AS head FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN head IS NULL OR head = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN head = page_id THEN NULL ELSE head END AS refers_to
+        FROM p LEFT JOIN h USING (payload_digest)""",
+    "op7_topk": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(embedding) > 0
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+                   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20""",
+}
 
 
 def queries():
