@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import langid, mixing, topk, toxicity, warc
+from . import langid, mixing, tokens_out, topk, toxicity, warc
 
 
 def _read(spark, sf_dir, table):
@@ -21,6 +21,19 @@ def op4_mixing(spark, sf_dir):
     return mixing.allocation(_read(spark, sf_dir, "documents"))
 
 
+def tokenizer_file():
+    """The public byte-level BPE that the contract names."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op5_tokens(spark, sf_dir):
+    """Ids of every document written to Re-Pair shards and read back; see ``tokens_out``."""
+    path = scratch_path(spark, "tokens")
+    tokens_out.write_shards(_read(spark, sf_dir, "documents"), path, tokens_out.load_tokenizer(tokenizer_file()))
+    return tokens_out.read_shards(spark, path)
+
+
 def op6_warc(spark, sf_dir):
     """Every page written to WARC archives and read back; see ``warc``."""
     path = scratch_path(spark, "warc")
@@ -54,7 +67,7 @@ def op10_toxicity(spark, sf_dir):
         "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op4_mixing, op6_warc, op7_topk, op8_langid, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op4_mixing, op5_tokens, op6_warc, op7_topk, op8_langid, op10_toxicity)}
 ORACLE = {
     "op6_warc": """
         WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
