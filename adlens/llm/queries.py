@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import langid, mixing, tokens_out, topk, toxicity, warc
+from . import langid, mixing, neardup, tokens_out, topk, toxicity, warc
 
 
 def _read(spark, sf_dir, table):
@@ -57,6 +57,11 @@ def op8_langid(spark, sf_dir):
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op9_neardup(spark, sf_dir):
+    """Near-duplicate groups of all documents at similarity 0.85; see ``neardup``."""
+    return neardup.near_duplicates(_read(spark, sf_dir, "documents"), 85, 100)
+
+
 def op10_toxicity(spark, sf_dir):
     """Calibrated toxicity score of every document; see ``toxicity``."""
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
@@ -67,7 +72,7 @@ def op10_toxicity(spark, sf_dir):
         "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op4_mixing, op5_tokens, op6_warc, op7_topk, op8_langid, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op4_mixing, op5_tokens, op6_warc, op7_topk, op8_langid, op9_neardup, op10_toxicity)}
 ORACLE = {
     "op6_warc": """
         WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
