@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import langid, mixing, neardup, tokens_out, topk, toxicity, warc
+from . import decontaminate, langid, mixing, neardup, tokens_out, topk, toxicity, warc
 
 
 def _read(spark, sf_dir, table):
@@ -16,6 +16,12 @@ def _bucket(n):
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
 
 
+def op3_decontaminate(spark, sf_dir):
+    """The benchmark items that every document holds; see ``decontaminate``."""
+    found = decontaminate.contaminated_items(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", (F.size("item_ids") > 0).alias("contaminated"), "item_ids")
+
+
 def op4_mixing(spark, sf_dir):
     """Copies of every document that bring its source to its target; see ``mixing``."""
     return mixing.allocation(_read(spark, sf_dir, "documents"))
@@ -72,7 +78,7 @@ def op10_toxicity(spark, sf_dir):
         "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op4_mixing, op5_tokens, op6_warc, op7_topk, op8_langid, op9_neardup, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op3_decontaminate, op4_mixing, op5_tokens, op6_warc, op7_topk, op8_langid, op9_neardup, op10_toxicity)}
 ORACLE = {
     "op6_warc": """
         WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
