@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, langid, mixing, neardup, suffix_dedup, tokens_out, topk, toxicity, warc
+from . import debruijn, decontaminate, langid, mixing, neardup, suffix_dedup, tokens_out, topk, toxicity, warc
 
 
 def _read(spark, sf_dir, table):
@@ -21,6 +21,11 @@ def op1_suffix_dedup(spark, sf_dir):
     return suffix_dedup.remove_repeats(_read(spark, sf_dir, "documents"))
 
 
+def op2_debruijn(spark, sf_dir):
+    """Words of every document without repeated 35-word windows; see ``debruijn``."""
+    return debruijn.remove_repeats(_read(spark, sf_dir, "documents"))
+
+
 def op3_decontaminate(spark, sf_dir):
     """The benchmark items that every document holds; see ``decontaminate``."""
     found = decontaminate.contaminated_items(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
@@ -83,7 +88,7 @@ def op10_toxicity(spark, sf_dir):
         "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op3_decontaminate, op4_mixing, op5_tokens, op6_warc, op7_topk, op8_langid, op9_neardup, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_debruijn, op3_decontaminate, op4_mixing, op5_tokens, op6_warc, op7_topk, op8_langid, op9_neardup, op10_toxicity)}
 ORACLE = {
     "op6_warc": """
         WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest

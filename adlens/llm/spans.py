@@ -60,6 +60,12 @@ def steps(off: np.ndarray, limit: int = STEP):
         a = b
 
 
+def ragged(lengths: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Indices of the runs [start, start + length), one after the other."""
+    shift = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+    return np.arange(int(lengths.sum())) + shift
+
+
 def words(data: np.ndarray, off: np.ndarray, member: np.ndarray = WORD):
     """Starts and ends of the runs of ``member`` bytes that do not cross a
     row, and for each row the index of its first run (n + 1 values)."""
@@ -107,6 +113,20 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(PrefixHash(BYTE_CODE[data]).span(starts, ends) + (ends - starts).astype(np.uint64))
 
 
+def word_hashes(data: np.ndarray, off: np.ndarray):
+    """Starts, ends, hashes of all words, and each row's first word."""
+    starts, ends, codes, counts = [], [], [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    for a, b in steps(off):
+        part = data[off[a]:off[b]]
+        s, e, rows = words(part, off[a:b + 1] - off[a])
+        codes.append(mix(PrefixHash(BYTE_CODE[part]).span(s, e) + (e - s).astype(np.uint64)))
+        starts.append(s + off[a])
+        ends.append(e + off[a])
+        counts.append(np.diff(rows))
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *starts]), np.concatenate([none, *ends]), np.concatenate(codes), np.cumsum(np.concatenate(counts))
+
+
 def lookup(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Index of each wanted value in the sorted ``keys``, -1 where absent."""
     if len(keys) == 0:

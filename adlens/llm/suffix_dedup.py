@@ -30,18 +30,12 @@ from pyspark.sql import DataFrame
 
 from ..operators.sizing import pin
 from .repeats import NO_ID, Batches, answer_keys, batch_rows, bucket_of, distinct_keys, read_bits, runs, send_keys, write_batches, KEYS_SCHEMA
-from .spans import BYTE_CODE, STEP, PrefixHash, batches, mix, steps
+from .spans import BYTE_CODE, STEP, PrefixHash, mix, ragged, steps
 
 LENGTH = 50
 ANCHOR = 20
 
 
-def ragged(lengths: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Indices of the runs [start, start + length), one after the other."""
-    shift = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
-    return np.arange(int(lengths.sum())) + shift
-
-
 class SuffixOrder:
     """Suffixes of a byte array compared by hashed common extensions."""
 

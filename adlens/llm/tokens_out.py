@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.sizing import bounded_broadcast, pin
-from .spans import BYTE_CODE, STEP, PrefixHash, batches, mix, steps, text_buffer
+from .spans import BYTE_CODE, STEP, PrefixHash, batches, mix, ragged, steps, text_buffer
 
 MAGIC = b"IDPAIRS1"
 END_ID = 0
@@ -58,13 +58,6 @@ TWO_BYTE_LEAD = np.zeros(256, bool)
 TWO_BYTE_LEAD[0xC3:0xE0] = True
 
 
-def ragged(lengths: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Indices of the runs [start, start + length), one after the other."""
-    total = int(lengths.sum())
-    shift = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
-    return np.arange(total) + shift
-
-
 class PieceEncoder:
     """Ids of many texts with one library call per distinct piece group."""
 
