@@ -38,14 +38,19 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.sizing import bounded_broadcast, pin
-from .spans import BYTE_CODE, STEP, PrefixHash, batches, mix, ragged, steps, text_buffer
+from .spans import BYTE_CODE, PrefixHash, batches, mix, ragged, steps, text_buffer
 
 MAGIC = b"IDPAIRS1"
 END_ID = 0
-SHARD_TOKENS = 4 << 20
+SHARD_TOKENS = 2 << 20
 ROUNDS = 4
 MIN_COUNT = 8
 SYMBOLS = 1 << 16
+# Bytes encoded per step, texts of one library call, and pieces whose ids a
+# task remembers before it starts anew.
+ENCODE_BYTES = 2 << 20
+CALL_TEXTS = 16
+REMEMBERED = 400_000
 # Bytes around a space that a piece may begin after. White space beyond ASCII
 # has the lead bytes C2 and E1 to E3, so those are left out on both sides.
 HARD = np.ones(256, bool)
@@ -69,6 +74,11 @@ class PieceEncoder:
         self.length = np.zeros(self.size, np.int64)
         for token, i in vocab.items():
             self.length[i] = len(token)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[int, int] = {}
+        self.known_ids, self.known_off = [np.zeros(0, np.uint16)], [np.zeros(1, np.int64)]
 
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, ``END_ID`` after each row, and the ids per row."""
@@ -80,15 +90,34 @@ class PieceEncoder:
         which, distinct = pd.factorize(codes)
         at = np.zeros(len(distinct), np.int64)
         at[which[::-1]] = np.arange(len(which))[::-1]
-        ids, id_off = self._distinct(data, first[at], ends[at])
+        ids, id_off, place = self._remember(data, first[at], ends[at], distinct)
+        which = place[which]
         # the end id is one more piece, after the last of each row
         ids, id_off = np.append(ids, END_ID), np.append(id_off, len(ids) + 1)
-        which = np.insert(which, row_starts[1:], len(distinct))
+        which = np.insert(which, row_starts[1:], len(id_off) - 2)
         size = np.diff(id_off)[which]
         out = ids[ragged(size, id_off[:-1][which])]
         bounds = np.concatenate([[0], np.cumsum(size)])[row_starts + np.arange(len(row_starts))]
         return out, np.diff(bounds)
 
+    def _remember(self, data, starts, ends, codes):
+        """Ids and offsets of all remembered pieces, and where each of the
+        given ones stands among them; unknown ones are encoded first."""
+        if len(self.known) > REMEMBERED:
+            self._forget()
+        keys = codes.tolist()
+        place = np.array([self.known.get(k, -1) for k in keys], np.int64)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            ids, off = self._distinct(data, starts[new], ends[new])
+            base = len(self.known)
+            place[new] = np.arange(base, base + len(new))
+            self.known.update((keys[i], base + j) for j, i in enumerate(new.tolist()))
+            self.known_off.append(off[1:] + self.known_off[-1][-1])
+            self.known_ids.append(ids.astype(np.uint16))
+            self.known_ids, self.known_off = [np.concatenate(self.known_ids)], [np.concatenate(self.known_off)]
+        return self.known_ids[0], self.known_off[0], place
+
     def _pieces(self, data, off):
         """Start of each piece, and the index of each row's first piece."""
         space = np.flatnonzero(data == 32)
@@ -113,23 +142,24 @@ class PieceEncoder:
         alone, together = np.flatnonzero(~joins), np.flatnonzero(joins)
         # spans that begin with a space and end in a plain character follow one another
         bound = np.concatenate([[0], np.cumsum(size[together])])
-        groups, texts = [], []
-        for a, b in steps(bound, 1 << 15):
-            raw = data[ragged(size[together[a:b]], starts[together[a:b]])]
-            groups.append((a, b))
-            texts.append(raw.tobytes().decode())
-        for (a, b), made in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            ids = np.array(made.ids, np.int64)
-            reach = np.cumsum(self.length[ids])
-            stops = np.searchsorted(reach, bound[a + 1:b + 1] - bound[a])
-            if reach[-1] != bound[b] - bound[a] or not np.array_equal(reach[stops], bound[a + 1:b + 1] - bound[a]):
-                raise ValueError("a token crosses the end of a piece")
-            counts[together[a:b]] = np.diff(np.concatenate([[-1], stops]))
-            parts.append(ids)
-        singles = [data[starts[i]:ends[i]].tobytes().decode() for i in alone]
-        for i, made in zip(alone, self.tokenizer.encode_batch_fast(singles, add_special_tokens=False)):
-            parts.append(np.array(made.ids, np.int64))
-            counts[i] = len(parts[-1])
+        groups = list(steps(bound, 1 << 15))
+        for call in range(0, len(groups), CALL_TEXTS):
+            some = groups[call:call + CALL_TEXTS]
+            texts = [data[ragged(size[together[a:b]], starts[together[a:b]])].tobytes().decode() for a, b in some]
+            for (a, b), made in zip(some, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                ids = np.array(made.ids, np.int64)
+                reach = np.cumsum(self.length[ids])
+                stops = np.searchsorted(reach, bound[a + 1:b + 1] - bound[a])
+                if reach[-1] != bound[b] - bound[a] or not np.array_equal(reach[stops], bound[a + 1:b + 1] - bound[a]):
+                    raise ValueError("a token crosses the end of a piece")
+                counts[together[a:b]] = np.diff(np.concatenate([[-1], stops]))
+                parts.append(ids)
+        for call in range(0, len(alone), 256):
+            some = alone[call:call + 256]
+            singles = [data[starts[i]:ends[i]].tobytes().decode() for i in some]
+            for i, made in zip(some, self.tokenizer.encode_batch_fast(singles, add_special_tokens=False)):
+                parts.append(np.array(made.ids, np.int64))
+                counts[i] = len(parts[-1])
         flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
         order = np.concatenate([together, alone])
         held = np.zeros(n, np.int64)
@@ -254,7 +284,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer_json: str, shard_tokens:
         for part in batches(parts):
             data, off = text_buffer(part.column("text"))
             doc_ids = part.column("doc_id").to_pylist()
-            for a, b in steps(off, 8 * STEP):
+            for a, b in steps(off, ENCODE_BYTES):
                 ids, counts = encoder.encode(data[off[a]:off[b]], off[a:b + 1] - off[a])
                 held.append((doc_ids[a:b], ids.astype(np.uint16), counts))
                 if sum(len(h[1]) for h in held) >= shard_tokens:
