@@ -168,7 +168,10 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, min_score: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` (all columns) with an identified language."""
+    """The rows of ``docs`` (all columns) with an identified language; without
+    any training row there is nothing to judge by, and all rows stay."""
+    if not model.langs:
+        return docs
 
     def run(parts):
         for part in batches(parts):
