@@ -34,6 +34,9 @@ from .spans import BYTE_CODE, STEP, PrefixHash, mix, ragged, steps
 
 LENGTH = 50
 ANCHOR = 20
+# Parts into which the runs' text is dealt, per bucket of anchors: their text
+# is many times larger, and sorting takes many bytes of memory for each.
+RUN_PARTS = 16
 
 
 class SuffixOrder:
@@ -131,14 +134,14 @@ def _anchors(ids, anchor, doc, buckets):
     return keys, low < high, place
 
 
-def _candidates(ids, off, data, found, buckets):
+def _candidates(ids, off, data, found, buckets, parts):
     """The batch's distinct runs with a repeated anchor, in the order of
-    (bucket, anchor, bytes): representative, first and last doc_id, and for
+    (part, anchor, bytes): representative, first and last doc_id, and for
     each occurrence its start, document and distinct run."""
     starts, count, anchor, doc, whole = find_runs(off, data)
     keys, _, place = _anchors(ids, anchor, doc, buckets)
     mine = np.flatnonzero(read_bits(found, keys, buckets)[place])
-    order = mine[np.lexsort((whole[mine], count[mine], anchor[mine], bucket_of(anchor[mine], buckets)))]
+    order = mine[np.lexsort((whole[mine], count[mine], anchor[mine], bucket_of(anchor[mine], parts)))]
     new = np.ones(len(order), bool)
     new[1:] = (anchor[order][1:] != anchor[order][:-1]) | (whole[order][1:] != whole[order][:-1]) | (count[order][1:] != count[order][:-1])
     run = np.cumsum(new) - 1
@@ -230,7 +233,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed
     runs) and ``kept_sha256`` of the remaining bytes, for every row."""
     batched = write_batches(docs)
-    buckets = batched.buckets
+    buckets, n_parts = batched.buckets, batched.buckets * RUN_PARTS
 
     def send_anchors(parts):
         for row, ids, off, data in batch_rows(parts):
@@ -243,8 +246,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     def send_runs(parts):
         for row, ids, off, data in batch_rows(parts):
-            (start, count, anchor, low, high), _ = _candidates(ids, off, data, row.column("found0")[0].as_py(), buckets)
-            bucket = bucket_of(anchor, buckets).astype(np.int32)
+            (start, count, anchor, low, high), _ = _candidates(ids, off, data, row.column("found0")[0].as_py(), buckets, n_parts)
+            bucket = bucket_of(anchor, n_parts).astype(np.int32)
             edge = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
             for a, b in zip(edge, np.append(edge[1:], len(bucket)) if len(edge) else []):
                 text = data[ragged(count[a:b] + LENGTH - 1, start[a:b])]
@@ -258,8 +261,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     def mark(parts):
         for row, ids, off, data in batch_rows(parts):
-            (_, _, anchor, _, _), (start, doc, run) = _candidates(ids, off, data, row.column("found0")[0].as_py(), buckets)
-            bucket = bucket_of(anchor, buckets)
+            (_, _, anchor, _, _), (start, doc, run) = _candidates(ids, off, data, row.column("found0")[0].as_py(), buckets, n_parts)
+            bucket = bucket_of(anchor, n_parts)
             run_begin, begin, count, low = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for item in row.column("found1")[0].as_py() or ():
                 base = int(np.searchsorted(bucket, item["bucket"]))
