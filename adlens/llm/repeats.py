@@ -25,7 +25,7 @@ from ..operators.sizing import pin, spread
 from ..session import scratch_path
 from .spans import PrefixHash, batches, mix, text_buffer
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 3 << 20
 # Bytes of text per bucket of an exchange.
 BUCKET_BYTES = 32 << 20
 # Stands for a null doc_id: larger than any other, equal to itself.
