@@ -8,18 +8,18 @@ from conftest import RAW_REPORT
 def test_cli_run_report_sql(spark, tmp_dir):
     inbox = os.path.join(tmp_dir, "in")
     os.makedirs(inbox)
-    with open(os.path.join(inbox, "Ogre-raw-data-report-2023-02-17.txt"), "w", encoding="utf-8") as f:
+    with open(os.path.join(inbox, "report-2024-11-09.txt"), "w", encoding="utf-8") as f:
         f.write(RAW_REPORT)
     state = os.path.join(tmp_dir, "state")
     assert main(["run", "--state", state, "--report", inbox]) == 0
     out = os.path.join(tmp_dir, "report")
-    assert main(["report", "--state", state, "--run-date", "2023-02-17", "--out", out]) == 0
+    assert main(["report", "--state", state, "--run-date", "2024-11-09", "--out", out]) == 0
     text = "".join(open(f, encoding="utf-8").read() for f in sorted(glob.glob(out + "/part-*"))).splitlines()
-    assert text[0] == "=== Apartment Report — 2023-02-17 ==="
+    assert text[0] == "=== Apartment Report — 2024-11-09 ==="
     assert text[1] == "Total active listings: 4"
     assert "1 room apartment segment:" in text
     assert any(line.startswith("all | 4 |") for line in text)
-    assert text[-1].startswith("17.02.2023: Scraped today: 4")
+    assert text[-1].startswith("09.11.2024: Scraped today: 4")
     q = os.path.join(tmp_dir, "q")
     assert main(["sql", "--state", state, "--out", q,
                  "--query", "SELECT room_count, count(*) AS n FROM listed_ads GROUP BY room_count"]) == 0
@@ -34,7 +34,7 @@ def test_cli_stream_with_bucketed_store(spark, tmp_dir):
     from adlens.plans import daily as D
     inbox = os.path.join(tmp_dir, "inbox")
     os.makedirs(inbox)
-    with open(os.path.join(inbox, "Ogre-raw-data-report-2023-02-17.txt"), "w", encoding="utf-8") as f:
+    with open(os.path.join(inbox, "report-2024-11-09.txt"), "w", encoding="utf-8") as f:
         f.write(RAW_REPORT)
     state = os.path.join(tmp_dir, "state")
     args = ["stream", "--state", state, "--inbox", inbox, "--checkpoint", os.path.join(tmp_dir, "ckpt"),

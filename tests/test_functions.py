@@ -28,9 +28,9 @@ def test_parse_price_edge_cases(spark):
     assert one(spark, X.parse_price_total, "900 € (30 €/m²)") == 900
     assert one(spark, X.parse_price_total, "45000 €") == 45000
     assert one(spark, X.parse_price_per_sqm, "45000 €") is None
-    assert one(spark, X.parse_price_total, "57 000 € (1 140 €/m²)") == 57000
-    assert one(spark, X.parse_price_per_sqm, "57 000 € (1 140 €/m²)") == Decimal("1140.00")
-    assert one(spark, X.parse_price_per_sqm, "36 500 € (1 216.67 €/m²)") == Decimal("1216.67")
+    assert one(spark, X.parse_price_total, "149 860 € (1 270 €/m²)") == 149860
+    assert one(spark, X.parse_price_per_sqm, "149 860 € (1 270 €/m²)") == Decimal("1270.00")
+    assert one(spark, X.parse_price_per_sqm, "88 250 € (1 237.73 €/m²)") == Decimal("1237.73")
     assert one(spark, X.parse_price_total, "57 000 €") == 57000
     assert one(spark, X.parse_price_total, "cena pēc vienošanās") is None
 
@@ -49,7 +49,7 @@ def test_normalise_street_literal_and_expand(spark):
 
 
 def test_url_hash(spark):
-    assert one(spark, X.url_hash, "https://ss.lv/msg/lv/real-estate/flats/ogre-and-reg/ogre/hejdl.html") == "hejdl"
+    assert one(spark, X.url_hash, "https://ss.lv/msg/lv/real-estate/flats/testa-nov/ezerpils/hejdl.html") == "hejdl"
     assert one(spark, X.url_hash, "https://ss.lv/msg/lv/") is None
     assert one(spark, X.url_hash, "") is None
 

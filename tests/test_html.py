@@ -6,7 +6,7 @@ from adlens.sources.reports import parse_blocks
 
 
 def pages(spark, *htmls):
-    return spark.createDataFrame([(i, f"https://ss.lv/msg/lv/real-estate/flats/ogre-and-reg/ogre/p{i}.html", h) for i, h in enumerate(htmls)],
+    return spark.createDataFrame([(i, f"https://ss.lv/msg/lv/real-estate/flats/testa-nov/ezerpils/p{i}.html", h) for i, h in enumerate(htmls)],
                                  "page_id bigint, url string, html string")
 
 
@@ -29,14 +29,14 @@ def test_links_one_many_duplicate_none(spark):
 
 AD_PAGE = """<html><body><table id="other"><td class="ads_opt">ignored</td></table>
 <table id="page_main">
-<tr><td class="ads_opt_name">Pilsēta:</td><td class="ads_opt" id="opt_city"><b>Ogre</b></td></tr>
-<tr><td class="ads_opt_name">Iela:</td><td class="ads_opt"><b>Skolas iela 4</b></td></tr>
-<tr><td class="ads_opt_name">Istabas:</td><td class="ads_opt">2</td></tr>
-<tr><td class="ads_opt_name">Platība:</td><td class="ads_opt">50 m²</td></tr>
-<tr><td class="ads_opt_name">Stāvs:</td><td class="ads_opt">3/9/lifts</td></tr>
+<tr><td class="ads_opt_name">Pilsēta:</td><td class="ads_opt" id="opt_city"><b>Ezerpils</b></td></tr>
+<tr><td class="ads_opt_name">Iela:</td><td class="ads_opt"><b>Egļu laukums 9</b></td></tr>
+<tr><td class="ads_opt_name">Istabas:</td><td class="ads_opt">5</td></tr>
+<tr><td class="ads_opt_name">Platība:</td><td class="ads_opt">118 m²</td></tr>
+<tr><td class="ads_opt_name">Stāvs:</td><td class="ads_opt">6/8/lifts</td></tr>
 <tr><td class="ads_opt_name">Karte:</td></tr>
-<tr><td class="ads_price" id="tdo_8">57 000 € (1 140 €/m²)\t</td></tr>
-<tr><td class="msg_footer">Reklāma</td><td class="msg_footer">Skatījumi</td><td class="msg_footer">Datums: 01.02.2023 10:11</td></tr>
+<tr><td class="ads_price" id="tdo_8">149 860 € (1 270 €/m²)\t</td></tr>
+<tr><td class="msg_footer">Reklāma</td><td class="msg_footer">Skatījumi</td><td class="msg_footer">Datums: 14.06.2024 10:11</td></tr>
 </table><span id="price_note">cena <b>ar</b> PVN</span></body></html>"""
 
 
@@ -45,9 +45,9 @@ def test_cells_by_class_token(spark):
     row = df.select(H.cells("html", "td", "ads_opt", scoped=True).alias("v"),
                     H.cells("html", "td", "ads_opt_name", scoped=True).alias("n"),
                     H.cells("html", "td", "ads_price").alias("p")).first()
-    assert row["v"][0] == "<b>Ogre"                      # cut at the first '</' (Q3)
+    assert row["v"][0] == "<b>Ezerpils"                      # cut at the first '</' (Q3)
     assert len(row["v"]) == 5 and len(row["n"]) == 6     # 'ads_opt' does not hit 'ads_opt_name'
-    assert row["p"] == ["57 000 € (1 140 €/m²)"]        # TAB removed (H6)
+    assert row["p"] == ["149 860 € (1 270 €/m²)"]        # TAB removed (H6)
     assert df.select(H.span_text("html", "price_note")).first()[0] == "cena ar PVN"
 
 
@@ -57,13 +57,13 @@ def test_ad_page_to_report_block(spark):
     rows = blocks.collect()
     assert len(rows) == 1
     assert rows[0]["block"].splitlines() == [
-        "https://ss.lv/msg/lv/real-estate/flats/ogre-and-reg/ogre/p0.html", "Pilsēta:><b>Ogre", "Iela:><b>Skolas iela 4", "Istabas:>2",
-        "Platība:>50 m²", "Stāvs:>3/9/lifts", "Price:>57 000 € (1 140 €/m²)", "Date:>01.02.2023"]
+        "https://ss.lv/msg/lv/real-estate/flats/testa-nov/ezerpils/p0.html", "Pilsēta:><b>Ezerpils", "Iela:><b>Egļu laukums 9", "Istabas:>5",
+        "Platība:>118 m²", "Stāvs:>6/8/lifts", "Price:>149 860 € (1 270 €/m²)", "Date:>14.06.2024"]
     assert [r["reason"] for r in quarantine.collect()] == ["no_price"]
     parsed = parse_blocks(blocks.select("block", F.lit("p").alias("source_file"), F.lit(None).cast("date").alias("run_date")))
-    clean, q = E.clean_formatted(E.blocks_to_formatted(parsed)[0], run_date="2023-02-01")
+    clean, q = E.clean_formatted(E.blocks_to_formatted(parsed)[0], run_date="2024-06-15")
     c = clean.first()
-    assert (c["room_count"], c["price_eur"], c["street"], c["has_lift"]) == (2, 57000, "Skolas iela 4", True)
+    assert (c["room_count"], c["price_eur"], c["street"], c["has_lift"]) == (5, 149860, "Egļu laukums 9", True)
 
 
 def test_zip_options_and_footer(spark):

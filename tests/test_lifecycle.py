@@ -125,16 +125,16 @@ def test_run_report_entry_a(spark, tmp_dir):
     from adlens.operators import report as RP
     inbox = os.path.join(tmp_dir, "in")
     os.makedirs(inbox)
-    with open(os.path.join(inbox, "Ogre-raw-data-report-2023-02-17.txt"), "w", encoding="utf-8") as f:
+    with open(os.path.join(inbox, "report-2024-11-09.txt"), "w", encoding="utf-8") as f:
         f.write(RAW_REPORT)
     store = D.StateStore(tmp_dir + "/state")
-    assert D.run_report(spark, store, inbox) == {dt.date(2023, 2, 17): "done"}
+    assert D.run_report(spark, store, inbox) == {dt.date(2024, 11, 9): "done"}
     assert D.read_listed(spark, store).count() == 4
     q = D.read_quarantine(spark, store).collect()
     assert [r["reason"] for r in q] == ["missing:Price"]
     m = D.read_metrics(spark, store)
     line = RP.run_history(m).first()
-    assert line["line"] == "17.02.2023: Scraped today: 4 | In DB: 0 | Unchanged: 0 | New ads: 4 | Removed: 0"
+    assert line["line"] == "09.11.2024: Scraped today: 4 | In DB: 0 | Unchanged: 0 | New ads: 4 | Removed: 0"
     assert line["counts_line"] == "Active listings in DB: 4 | Removed ads in DB: 0"
 
 
@@ -176,4 +176,4 @@ def test_run_report_needs_a_date(spark, tmp_dir):
     store = D.StateStore(tmp_dir + "/state")
     with pytest.raises(ValueError):
         D.run_report(spark, store, inbox)
-    assert D.run_report(spark, store, inbox, run_date="2023-02-17") == {dt.date(2023, 2, 17): "done"}
+    assert D.run_report(spark, store, inbox, run_date="2024-11-09") == {dt.date(2024, 11, 9): "done"}

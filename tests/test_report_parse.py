@@ -12,7 +12,7 @@ from adlens.sources import reports as R
 from conftest import RAW_REPORT
 
 
-def write_report(tmp_dir, text=RAW_REPORT, name="Ogre-raw-data-report-2023-02-17.txt"):
+def write_report(tmp_dir, text=RAW_REPORT, name="report-2024-11-09.txt"):
     path = os.path.join(tmp_dir, name)
     with open(path, "w", encoding="utf-8") as f:
         f.write(text)
@@ -24,14 +24,14 @@ def test_blocks_one_per_ad(spark, tmp_dir):
     rows = blocks.collect()
     assert len(rows) == 5
     assert all(r["block"].startswith("https://") for r in rows)
-    assert {r["run_date"] for r in rows} == {dt.date(2023, 2, 17)}   # S4: date from the file name
+    assert {r["run_date"] for r in rows} == {dt.date(2024, 11, 9)}   # S4: date from the file name
 
 
 def test_large_file_splits_without_loss(spark, tmp_dir):
     # one file of many ads read with a small split size: no block lost or doubled
-    text = "".join(RAW_REPORT.replace("aaaaa", f"a{i:05d}").split("https://ss.lv/msg/lv/real-estate/flats/ogre-and-reg/ogre/bbbbb")[0]
+    text = "".join(RAW_REPORT.replace("q1a2z", f"a{i:05d}").split("https://ss.lv/msg/lv/real-estate/flats/testa-nov/ezerpils/w3s4x")[0]
                    for i in range(3000))
-    write_report(tmp_dir, text, "big-2023-02-17.txt")
+    write_report(tmp_dir, text, "big-2024-11-09.txt")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
     try:
         blocks = R.read_report_blocks(spark, tmp_dir)
@@ -44,37 +44,37 @@ def test_large_file_splits_without_loss(spark, tmp_dir):
 
 def test_fields_map_and_formatted(spark, tmp_dir):
     parsed = R.parse_blocks(R.read_report_blocks(spark, write_report(tmp_dir)))
-    first = parsed.where(F.col("url").endswith("aaaaa.html")).first()
-    assert first["fields"]["Istabas"] == "1"
-    assert first["fields"]["Iela"] == "<b>Skolas iela 4"
-    assert first["fields"]["Sērija"] == "LT proj."
+    first = parsed.where(F.col("url").endswith("q1a2z.html")).first()
+    assert first["fields"]["Istabas"] == "3"
+    assert first["fields"]["Iela"] == "<b>Bērzu gatve 21"
+    assert first["fields"]["Sērija"] == "Jaun."
     formatted, quarantine = E.blocks_to_formatted(parsed)
-    f = formatted.where(F.col("URL").endswith("aaaaa.html")).first()
+    f = formatted.where(F.col("URL").endswith("q1a2z.html")).first()
     assert (f["Room_count"], f["Size_sq_m"], f["Floor"], f["Street"], f["Price"], f["Pub_date"]) == (
-        "Istabas:>1", "Platiba:>30 m²", "Stavs:>4/5", "Iela:><b>Skolas iela 4",
-        "Price:>36 500 € (1 216.67 €/m²)", "Date:>17.02.2023")
+        "Istabas:>3", "Platiba:>71.3 m²", "Stavs:>2/6", "Iela:><b>Bērzu gatve 21",
+        "Price:>88 250 € (1 237.73 €/m²)", "Date:>09.11.2024")
     q = quarantine.collect()
-    assert [(r["reason"]) for r in q] == ["missing:Price"]   # ddddd has no price line
+    assert [(r["reason"]) for r in q] == ["missing:Price"]   # r7f8v has no price line
 
 
 def test_clean_ads(spark, tmp_dir):
     clean, quarantine = E.report_to_clean_ads(R.read_report_blocks(spark, write_report(tmp_dir)))
     rows = {r["url_hash"]: r for r in clean.collect()}
-    assert set(rows) == {"aaaaa", "bbbbb", "ccccc", "eeeee"}
-    b = rows["bbbbb"]
-    assert (b["room_count"], b["apt_floor"], b["house_floors"], b["has_lift"]) == (2, 3, 9, True)
-    assert b["street"] == "Meža prospekts12"
-    assert b["size_sqm"] == Decimal("40.90") and b["price_eur"] == 57000 and b["sqm_price_eur"] == Decimal("1140.00")
-    c = rows["ccccc"]
-    assert (c["apt_floor"], c["price_eur"]) == (1, 1200000)
-    e = rows["eeeee"]
-    assert e["price_eur"] == 45000 and e["sqm_price_eur"] is None and e["street"] == "Rīgas iela3"
-    assert rows["aaaaa"]["pub_date"] == dt.date(2023, 2, 17) and rows["aaaaa"]["city"] == "ogre"
+    assert set(rows) == {"q1a2z", "w3s4x", "e5d6c", "t9g0b"}
+    b = rows["w3s4x"]
+    assert (b["room_count"], b["apt_floor"], b["house_floors"], b["has_lift"]) == (4, 5, 8, True)
+    assert b["street"] == "Ozolu prospekts7"
+    assert b["size_sqm"] == Decimal("96.45") and b["price_eur"] == 131000 and b["sqm_price_eur"] == Decimal("1358.22")
+    c = rows["e5d6c"]
+    assert (c["apt_floor"], c["price_eur"]) == (1, 2450000)
+    e = rows["t9g0b"]
+    assert e["price_eur"] == 61300 and e["sqm_price_eur"] is None and e["street"] == "Priežu iela15"
+    assert rows["q1a2z"]["pub_date"] == dt.date(2024, 11, 9) and rows["q1a2z"]["city"] == "ezerpils"
     assert quarantine.count() == 1
 
 
 def test_unparseable_values_go_to_quarantine(spark, tmp_dir):
-    bad = RAW_REPORT.replace("Stāvs:>4/5", "Stāvs:>augšā").replace("Date:>01.02.2023", "Date:>vakar")
+    bad = RAW_REPORT.replace("Stāvs:>2/6", "Stāvs:>augšā").replace("Date:>22.10.2024", "Date:>vakar")
     clean, quarantine = E.report_to_clean_ads(R.read_report_blocks(spark, write_report(tmp_dir, bad)))
     reasons = sorted(r["reason"] for r in quarantine.collect())
     assert reasons == ["bad_date", "bad_floor", "missing:Price"]
@@ -83,7 +83,7 @@ def test_unparseable_values_go_to_quarantine(spark, tmp_dir):
 
 def test_wholetext_fallback_for_indented_report(spark, tmp_dir):
     indented = "\n".join("    " + line for line in RAW_REPORT.splitlines())
-    blocks = R.read_report_blocks_wholetext(spark, write_report(tmp_dir, indented), run_date="2023-02-17")
+    blocks = R.read_report_blocks_wholetext(spark, write_report(tmp_dir, indented), run_date="2024-11-09")
     assert blocks.count() == 5
     assert [r["pos"] for r in blocks.orderBy("pos").collect()] == [0, 1, 2, 3, 4]
     clean, _ = E.report_to_clean_ads(blocks)
@@ -99,51 +99,51 @@ def test_field_count_check(spark, tmp_dir):
 
 
 def test_positional_compat_mode(spark, tmp_dir):
-    blocks = R.read_report_blocks_wholetext(spark, write_report(tmp_dir), run_date="2023-02-17")
+    blocks = R.read_report_blocks_wholetext(spark, write_report(tmp_dir), run_date="2024-11-09")
     rows = Q.positional_formatted(blocks).collect()
     # trimmed to the shortest list (4 prices): the reference's positional zip
     assert len(rows) == 4
-    assert rows[0]["URL"].endswith("aaaaa.html") and rows[0]["Size_sq_m"] == "Platiba:>30 m²"
-    assert rows[3]["Price"] == "Price:>45000 €"   # shifted by the missing price, as in the reference
+    assert rows[0]["URL"].endswith("q1a2z.html") and rows[0]["Size_sq_m"] == "Platiba:>71.3 m²"
+    assert rows[3]["Price"] == "Price:>61300 €"   # shifted by the missing price, as in the reference
 
 
 def test_csv_readers(spark, tmp_dir):
-    fmt = os.path.join(tmp_dir, "pandas_df.csv")
+    fmt = os.path.join(tmp_dir, "formatted.csv")
     with open(fmt, "w", encoding="utf-8") as f:
         f.write(",URL,Room_count,Size_sq_m,Floor,Street,Price,Pub_date\n")
-        f.write("0,https://ss.lv/msg/lv/real-estate/flats/ogre-and-reg/ogre/fxobe.html,Istabas:>2,"
-                "Platiba:>50 m²,Stavs:>3/9/lifts,Iela:><b>Jaunatnes iela 4,Price:>57 000 € (1 140 €/m²),Date:>01.02.2022\n")
+        f.write("0,https://ss.lv/msg/lv/real-estate/flats/testa-nov/ezerpils/y6h7n.html,Istabas:>5,"
+                "Platiba:>118 m²,Stavs:>6/8/lifts,Iela:><b>Egļu laukums 9,Price:>149 860 € (1 270 €/m²),Date:>14.06.2024\n")
     df = R.read_formatted_csv(spark, fmt)
     assert df.columns == ["URL", "Room_count", "Size_sq_m", "Floor", "Street", "Price", "Pub_date"]
-    clean, q = E.clean_formatted(df.withColumn("source_file", F.lit(fmt)), run_date="2022-02-01")
+    clean, q = E.clean_formatted(df.withColumn("source_file", F.lit(fmt)), run_date="2024-06-15")
     r = clean.first()
-    assert (r["url_hash"], r["room_count"], r["price_eur"], r["street"]) == ("fxobe", 2, 57000, "Jaunatnes iela 4")
+    assert (r["url_hash"], r["room_count"], r["price_eur"], r["street"]) == ("y6h7n", 5, 149860, "Egļu laukums 9")
     cleaned = os.path.join(tmp_dir, "cleaned.csv")
     with open(cleaned, "w", encoding="utf-8") as f:
         f.write(",URL,Room_count,Floor,Street,Pub_date,Size_sqm,Price_in_eur,SQ_meter_price\n")
-        f.write("5,https://ss.lv/msg/lv/real-estate/flats/ogre-and-reg/ogre/bifni.html,4,6/6,Draudzības iela 6a,"
-                "28.01.2022,145,189000,1303.45\n")
-    c = E.cleaned_csv_to_clean_ads(R.read_cleaned_csv(spark, cleaned), "2022-02-01").first()
+        f.write("5,https://ss.lv/msg/lv/real-estate/flats/testa-nov/ezerpils/u8j9m.html,3,7/11,Osu ceļš 52,"
+                "02.06.2024,84.5,99710,1180.00\n")
+    c = E.cleaned_csv_to_clean_ads(R.read_cleaned_csv(spark, cleaned), "2024-06-15").first()
     assert (c["url_hash"], c["room_count"], c["apt_floor"], c["price_eur"], c["sqm_price_eur"]) == (
-        "bifni", 4, 6, 189000, Decimal("1303.45"))
+        "u8j9m", 3, 7, 99710, Decimal("1180.00"))
 
 
 def test_empty_and_latest_file(spark, tmp_dir):
     from adlens import schemas
     assert R.empty_table(spark, schemas.CLEAN_ADS).count() == 0
-    write_report(tmp_dir, RAW_REPORT, "r-2023-02-16.txt")
-    os.utime(os.path.join(tmp_dir, "r-2023-02-16.txt"), (1_600_000_000, 1_600_000_000))
-    write_report(tmp_dir, RAW_REPORT, "r-2023-02-17.txt")
+    write_report(tmp_dir, RAW_REPORT, "r-2024-11-08.txt")
+    os.utime(os.path.join(tmp_dir, "r-2024-11-08.txt"), (1_600_000_000, 1_600_000_000))
+    write_report(tmp_dir, RAW_REPORT, "r-2024-11-09.txt")
     latest = R.latest_file(spark, tmp_dir).first()
-    assert latest["path"].endswith("r-2023-02-17.txt")
-    assert R.files_for_run_date(spark, tmp_dir, "2023-02-16").count() == 1
+    assert latest["path"].endswith("r-2024-11-09.txt")
+    assert R.files_for_run_date(spark, tmp_dir, "2024-11-08").count() == 1
 
 
 def test_bom_and_crlf(spark, tmp_dir):
     text = "\ufeff" + RAW_REPORT.replace("\n", "\r\n")
-    path = os.path.join(tmp_dir, "r-2023-02-17.txt")
+    path = os.path.join(tmp_dir, "r-2024-11-09.txt")
     with open(path, "w", encoding="utf-8", newline="") as f:
         f.write(text)
     clean, quarantine = E.report_to_clean_ads(R.read_report_blocks(spark, tmp_dir))
-    assert sorted(r["url_hash"] for r in clean.collect()) == ["aaaaa", "bbbbb", "ccccc", "eeeee"]
+    assert sorted(r["url_hash"] for r in clean.collect()) == ["e5d6c", "q1a2z", "t9g0b", "w3s4x"]
     assert [r["reason"] for r in quarantine.collect()] == ["missing:Price"]

@@ -15,9 +15,9 @@ def _day_report(day: dt.date, keys: list[str]) -> str:
     blocks = []
     for k in keys:
         blocks.append("\n".join([
-            f"https://ss.lv/msg/lv/real-estate/flats/ogre-and-reg/ogre/{k}.html",
-            "Iela:><b>Skolas iela 4", "Istabas:>2", "Platība:>50 m²", "Stāvs:>3/9",
-            "Price:>57 000 € (1 140 €/m²)", f"Date:>{day.strftime('%d.%m.%Y')}"]))
+            f"https://ss.lv/msg/lv/real-estate/flats/testa-nov/ezerpils/{k}.html",
+            "Iela:><b>Egļu laukums 9", "Istabas:>5", "Platība:>118 m²", "Stāvs:>6/8",
+            "Price:>149 860 € (1 270 €/m²)", f"Date:>{day.strftime('%d.%m.%Y')}"]))
     return "\n".join(blocks) + "\n"
 
 
@@ -27,7 +27,7 @@ def test_stream_equals_batch(spark, tmp_dir):
     inbox = os.path.join(tmp_dir, "inbox")
     os.makedirs(inbox)
     for d, ks in zip(days, keys):
-        path = os.path.join(inbox, f"Ogre-raw-data-report-{d.isoformat()}.txt")
+        path = os.path.join(inbox, f"report-{d.isoformat()}.txt")
         with open(path, "w", encoding="utf-8") as f:
             f.write(_day_report(d, ks))
         ts = 1_700_000_000 + days.index(d) * 100
@@ -68,7 +68,7 @@ def test_stream_late_file_is_quarantined(spark, tmp_dir):
 
 
 def test_report_files_round_trip(spark, tmp_dir):
-    path = os.path.join(tmp_dir, "r-2023-02-17.txt")
+    path = os.path.join(tmp_dir, "r-2024-11-09.txt")
     with open(path, "w", encoding="utf-8") as f:
         f.write(RAW_REPORT)
     clean, _ = E.report_to_clean_ads(R.read_report_blocks(spark, tmp_dir))
