@@ -34,12 +34,31 @@ LABEL_DATE = "Date"
 LABEL_RENAMES = {"Platība": "Platiba", "Stāvs": "Stavs"}
 # ---------------------------------------------------------------------------
 
-HREF_RE = r'<a\b[^>]*\bhref="([^"]*)"'
+# One attribute of a tag: blank, name, and a value in either quote or bare.
+_VALUE = r"(?:\"[^\"]*\"|'[^']*'|[^\s>\"']+)"
+_NAME = r"[^\s=>\"'/]+"
+
+
+def _attribute_value(tag: str, name: str, value: str) -> str:
+    """Pattern up to the value of a tag's first attribute called ``name``:
+    whole attributes are read, so ``data-name`` is another one, and neither
+    quotes nor letter case matter. ``value`` is the value's own pattern."""
+    other = rf"(?:\s+(?!{name}\s*=){_NAME}(?:\s*=\s*{_VALUE})?)*+"
+    return rf"(?is)<{tag}{other}\s+{name}\s*=\s*{value}"
+
+
+def unquoted(value) -> Column:
+    """An attribute value without its quotes, entities decoded."""
+    text = F.regexp_replace(col_(value), r"^([\"'])(.*)\1$", "$2")
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        text = F.replace(text, F.lit(entity), F.lit(char))
+    return text
 
 
 def links(html) -> Column:
     """H1: every ``<a href>`` value in document order."""
-    return F.regexp_extract_all(col_(html), F.lit(HREF_RE), 1)
+    found = F.regexp_extract_all(col_(html), F.lit(_attribute_value("a", "href", f"({_VALUE})")), 1)
+    return F.transform(found, unquoted)
 
 
 def msg_links(html, base: str = LINK_BASE, pattern: str = LINK_PATTERN) -> Column:
@@ -52,15 +71,26 @@ def msg_links(html, base: str = LINK_BASE, pattern: str = LINK_PATTERN) -> Colum
 def cell_regex(tag: str, cls: str) -> str:
     """Inner HTML of ``<tag class="… cls …">`` up to the first ``</``; the
     class must match as a whole token."""
-    return (r"(?s)<" + tag + r"\b[^>]*\bclass=\"(?:[^\"]*\s)?" + _quote(cls)
-            + r"(?:\s[^\"]*)?\"[^>]*>(.*?)</")
+    token = _quote(cls)
+    listed = (rf"(?:\"(?:[^\"]*\s)?(?-i:{token})(?:\s[^\"]*)?\"|'(?:[^']*\s)?(?-i:{token})(?:\s[^']*)?'|(?-i:{token})(?=[\s>]))")
+    return _attribute_value(tag, "class", listed) + r"[^>]*>(.*?)</"
 
 
 def main_scope(html) -> Column:
-    """Restrict to the content from ``table#page_main`` on when present."""
+    """Restrict to the content of ``table#page_main`` when present, up to the
+    table's own end (tables nested in it are skipped over)."""
     h = col_(html)
-    tail = F.regexp_extract(h, r"(?s)(<table\b[^>]*\bid=\"" + MAIN_TABLE_ID + r"\".*)", 1)
-    return F.when(tail == "", h).otherwise(tail)
+    main = rf"(?:\"{MAIN_TABLE_ID}\"|'{MAIN_TABLE_ID}'|{MAIN_TABLE_ID}(?=[\s>]))"
+    tail = F.regexp_extract(h, r"(?s)(" + _attribute_value("table", "id", main) + r".*)", 1)
+    # split at table tags; the depth after each piece says where the table ends
+    pieces = F.regexp_extract_all(tail, F.lit(r"(?is)(</?table\b.*?(?=</?table\b|\z))"), 1)
+    step = lambda acc, x: F.struct(
+        F.when(acc["done"], acc["depth"]).when(x.rlike(r"(?i)^</"), acc["depth"] - 1).otherwise(acc["depth"] + 1).alias("depth"),
+        (acc["done"] | (x.rlike(r"(?i)^</") & (acc["depth"] == 1))).alias("done"),
+        F.when(acc["done"] | (x.rlike(r"(?i)^</") & (acc["depth"] == 1)), acc["text"]).otherwise(F.concat(acc["text"], x)).alias("text"))
+    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("done"), F.lit("").alias("text"))
+    inside = F.aggregate(pieces, start, step, lambda acc: acc["text"])
+    return F.when(tail == "", h).otherwise(inside)
 
 
 def strip_controls(c) -> Column:
@@ -76,8 +106,9 @@ def cells(html, tag: str, cls: str, scoped: bool = False) -> Column:
 
 def span_text(html, span_id: str) -> Column:
     """H5: text of ``<span id=…>`` with inner tags removed."""
-    inner = F.regexp_extract(col_(html), r"(?s)<span\b[^>]*\bid=\"" + _quote(span_id)
-                             + r"\"[^>]*>(.*?)</span>", 1)
+    own = _quote(span_id)
+    value = rf"(?-i:\"{own}\"|'{own}'|{own}(?=[\s>]))"
+    inner = F.regexp_extract(col_(html), _attribute_value("span", "id", value) + r"[^>]*>(.*?)</span>", 1)
     return F.nullif(F.regexp_replace(inner, r"<[^>]*>", ""), F.lit(""))
 
 

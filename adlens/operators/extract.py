@@ -88,7 +88,9 @@ def _tag(values: DataFrame, run, city_index: int, lift: F.Column, pre_reason: F.
         F.when(F.col("size_sqm").isNull(), F.lit("bad_size")),
         F.when(F.col("apt_floor").isNull() | F.col("house_floors").isNull(), F.lit("bad_floor")),
         F.when(F.col("pub_date").isNull(), F.lit("bad_date")))
-    return typed.withColumn("_reason", reason).drop("_pre")
+    # the raw block is only kept where a quarantine may need it
+    return typed.withColumn("_reason", reason).withColumn(
+        "_block", F.when(F.col("_reason").isNotNull() | F.col("run_date").isNull(), F.col("_block"))).drop("_pre")
 
 
 def split_tagged(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:

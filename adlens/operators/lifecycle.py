@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from .sizing import bounded_broadcast, pin
 
+# --- fixed values: price cap of the removed-ads count, status words ---------
 PRICE_CAP = 500_000
 NEW, STILL, REMOVED = "new", "still_listed", "removed"
 
@@ -87,9 +88,9 @@ def listed_row_from_ad(run_date) -> list[Column]:
         F.col("room_count").cast("int").alias("room_count"),
         F.col("house_floors").cast("int").alias("house_floors"),
         F.col("apt_floor").cast("int").alias("apt_floor"),
-        F.col("price_eur").try_cast("int").alias("price"),
-        F.round(F.col("size_sqm")).try_cast("int").alias("sqm"),
-        F.round(F.col("sqm_price_eur")).try_cast("int").alias("sqm_price"),
+        F.col("price_eur").try_cast("bigint").alias("price"),
+        F.round(F.col("size_sqm")).try_cast("bigint").alias("sqm"),
+        F.round(F.col("sqm_price_eur")).try_cast("bigint").alias("sqm_price"),
         F.col("street").alias("apt_address"),
         F.col("pub_date").alias("list_date"),
         X.days_listed(run_date, "pub_date").cast("int").alias("days_listed"),
@@ -97,6 +98,7 @@ def listed_row_from_ad(run_date) -> list[Column]:
     ]
 
 
+# fixed values: the columns of the open-ads table
 LISTED_COLS = ["url_hash", "room_count", "house_floors", "apt_floor", "price", "sqm", "sqm_price",
                "apt_address", "list_date", "days_listed", "view_count"]
 
@@ -110,7 +112,8 @@ class StepResult:
 
 
 def lifecycle_step(listed_prev: DataFrame, today_ads: DataFrame, run_date,
-                   track_price: bool = False, persist: bool = True) -> StepResult:
+                   track_price: bool = False, persist: bool = True,
+                   unparsed: DataFrame | None = None) -> StepResult:
     """One run of the lifecycle as a pure function of (open ads before
     the run, today's clean ads, run date).
 
@@ -120,21 +123,29 @@ def lifecycle_step(listed_prev: DataFrame, today_ads: DataFrame, run_date,
     * still-listed ads (J5) keep their stored attributes (Q19) and get
       ``days_listed = greatest(stored, datediff(run, list_date))`` (J6);
     * duplicate keys today: the last by (pub_date, url) wins (W3), but the
-      metrics count every row, as the reference does.
+      metrics count every row, as the reference does;
+    * ``unparsed`` (``url_hash`` of today's records that could not be parsed):
+      an open ad among them is still listed and keeps its stored row, its
+      rows count as unchanged; one that is not open is not inserted.
     """
     run = X.run_date_lit(run_date)
     today_rows = today_ads.select(*listed_row_from_ad(run), F.col("url"))
     value = F.struct(*[c for c in LISTED_COLS if c != "url_hash"])
     # total order (the value itself breaks ties) so a recomputation picks the same row
     last = F.max_by(value, F.struct(F.col("list_date"), F.col("url"), value))
+    if unparsed is not None:   # rows without values: max_by skips their null order
+        blank = unparsed.where(F.col("url_hash").isNotNull()).select("url_hash")
+        today_rows = today_rows.unionByName(blank, allowMissingColumns=True)
+        parsed = F.col("url").isNotNull()
+        last = F.max_by(F.when(parsed, value), F.when(parsed, F.struct(F.col("list_date"), F.col("url"), value)))
     t = (today_rows.groupBy("url_hash")
-         .agg(last.alias("t"), F.count(F.lit(1)).alias("n_today")))
+         .agg(last.alias("t"), F.count("url").alias("n_parsed"), F.count(F.lit(1)).alias("n_today")))
     p = listed_prev.select("url_hash", F.struct(*[c for c in LISTED_COLS if c != "url_hash"]).alias("p"))
     joined = t.join(p, "url_hash", "full_outer")
     if persist:   # several outputs read it; a single-output caller passes False
         joined = joined.persist()
 
-    in_t, in_p = F.col("t").isNotNull(), F.col("p").isNotNull()
+    in_t, in_p, seen = F.col("t").isNotNull(), F.col("p").isNotNull(), F.col("n_today").isNotNull()
     refreshed = F.greatest(F.col("p.days_listed"), F.datediff(run, F.col("p.list_date")))
     tracked = ("price", "sqm_price") if track_price else ()
 
@@ -143,23 +154,23 @@ def lifecycle_step(listed_prev: DataFrame, today_ads: DataFrame, run_date,
         if c == "days_listed":
             return F.when(in_p, refreshed).otherwise(F.col("t.days_listed")).cast("int").alias(c)
         if c in tracked:
-            return F.col(f"t.{c}").alias(c)
+            return F.when(in_t, F.col(f"t.{c}")).otherwise(F.col(f"p.{c}")).alias(c)
         return F.when(in_p, F.col(f"p.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
 
-    listed_next = joined.where(in_t).select("url_hash", *[pick(c) for c in LISTED_COLS if c != "url_hash"])
-    removed_delta = joined.where(~in_t).select(
+    listed_next = joined.where(in_t | (seen & in_p)).select("url_hash", *[pick(c) for c in LISTED_COLS if c != "url_hash"])
+    removed_delta = joined.where(in_p & ~seen).select(
         "url_hash", *[F.col(f"p.{c}").alias(c) for c in
                       ["room_count", "house_floors", "apt_floor", "price", "sqm", "sqm_price", "apt_address"]],
         F.col("p.list_date").alias("listed_date"), run.alias("removed_date"),
         F.col("p.days_listed").alias("days_listed"), F.col("p.view_count").alias("view_count"))
+    unchanged = F.coalesce(F.sum(F.when(in_p, F.col("n_today"))), F.lit(0)).cast("bigint")
+    new_ads = F.coalesce(F.sum(F.when(~in_p, F.col("n_parsed"))), F.lit(0)).cast("bigint")
     metrics = joined.agg(
-        F.coalesce(F.sum("n_today"), F.lit(0)).cast("bigint").alias("scraped"),
-        F.count_if(in_p).alias("in_db"),
-        F.coalesce(F.sum(F.when(in_p, F.col("n_today"))), F.lit(0)).cast("bigint").alias("unchanged"),
-        F.coalesce(F.sum(F.when(~in_p, F.col("n_today"))), F.lit(0)).cast("bigint").alias("new_ads"),
-        F.count_if(~in_t).alias("removed"),
-        F.count_if(in_t).alias("active_total"),
-        F.count_if(~in_t & (F.col("p.price") < PRICE_CAP)).alias("removed_under_cap_delta"),
+        (unchanged + new_ads).alias("scraped"), F.count_if(in_p).alias("in_db"),
+        unchanged.alias("unchanged"), new_ads.alias("new_ads"),
+        F.count_if(in_p & ~seen).alias("removed"),
+        F.count_if(in_t | (seen & in_p)).alias("active_total"),
+        F.count_if(in_p & ~seen & (F.col("p.price") < PRICE_CAP)).alias("removed_under_cap_delta"),
     ).select(run.alias("run_date"), "*")
     return StepResult(listed_next, removed_delta, metrics, joined)
 

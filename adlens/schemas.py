@@ -35,11 +35,11 @@ CLEAN_ADS = _struct(("url", S), ("url_hash", S), ("city", S), ("room_label", S),
 
 # Currently open ads (D5) and removal history.
 LISTED_ADS = _struct(("url_hash", S), ("room_count", I), ("house_floors", I),
-                     ("apt_floor", I), ("price", I), ("sqm", I), ("sqm_price", I),
+                     ("apt_floor", I), ("price", L), ("sqm", L), ("sqm_price", L),
                      ("apt_address", S), ("list_date", D), ("days_listed", I),
                      ("view_count", I))
 REMOVED_ADS = _struct(("url_hash", S), ("room_count", I), ("house_floors", I),
-                      ("apt_floor", I), ("price", I), ("sqm", I), ("sqm_price", I),
+                      ("apt_floor", I), ("price", L), ("sqm", L), ("sqm_price", L),
                       ("apt_address", S), ("listed_date", D), ("removed_date", D),
                       ("days_listed", I), ("view_count", I))
 

@@ -8,6 +8,8 @@ our own folder when it is unset and the master is local (tests, bench).
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import os
 import tempfile
 import uuid
@@ -93,4 +95,33 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     """A fresh folder under the shared checkpoint folder for written
     intermediate tables (never a machine-local temp dir on a cluster)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/adlens-{kind}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/adlens-{kind}-{uuid.uuid4().hex[:12]}"
+    if (paths := _SCOPE.get()) is not None:
+        paths.append(path)
+    return path
+
+
+_SCOPE: contextvars.ContextVar[list | None] = contextvars.ContextVar("adlens_scratch", default=None)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete every scratch folder made inside the block when it ends, whether
+    it succeeds or fails. What the block returns must not read them."""
+    paths: list[str] = []
+    token = _SCOPE.set(paths)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        for path in paths:
+            delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared file system (no-op without a context)."""
+    sc = _context(spark)
+    if sc is None:
+        return
+    at = sc._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)

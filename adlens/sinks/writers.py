@@ -22,14 +22,14 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     w.save(path)
 
 
-def write_dated(df: DataFrame, path: str, partition_col: str = "run_date", fmt: str = "parquet") -> None:
+def write_dated(df: DataFrame, path: str, partition_col: str | list[str] = "run_date", fmt: str = "parquet") -> None:
     """K2: dated copy of a stage output; dynamic partition overwrite makes a
-    rerun of the same date replace only that date."""
-    # sorted by the partition column inside each task: one open file at a
-    # time per task, no shuffle (a repartition by date would put a hot date
-    # in one task)
-    (df.sortWithinPartitions(partition_col).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).format(fmt).save(path))
+    rerun of the same date replace only that date. Rows are rebalanced by the
+    partition columns, so a date has few files, and adaptive execution splits
+    a hot date over tasks."""
+    columns = [partition_col] if isinstance(partition_col, str) else list(partition_col)
+    (df.hint("rebalance", *map(F.col, columns)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*columns).format(fmt).save(path))
 
 
 def write_partition(df: DataFrame, root: str, column: str, value, fmt: str = "parquet") -> str:
@@ -41,12 +41,6 @@ def write_partition(df: DataFrame, root: str, column: str, value, fmt: str = "pa
     return path
 
 
-def write_sorted(df: DataFrame, path: str, sort_cols: list, fmt: str = "parquet") -> None:
-    """K3: sorted within each output file (no global sort needed to read it
-    back; ``orderBy`` is for report export only)."""
-    df.sortWithinPartitions(*sort_cols).write.mode("overwrite").format(fmt).save(path)
-
-
 def append_lines(lines: DataFrame, path: str, line_col: str = "line") -> None:
     """K4: append text lines."""
     lines.select(F.col(line_col).alias("value")).write.mode("append").text(path)

@@ -1,15 +1,13 @@
 """Structured Streaming over arriving report files (ST1-ST3).
 
 Each arriving raw report is read block by block (the same ``\\nhttps``
-record separator as the batch source), parsed and cleaned with the batch
-operators, and applied to the state store by ``foreachBatch`` calling the
-daily step. The stream checkpoint records which files were processed (ST1:
-each file once); the store's metrics rows make replays of a batch no-ops
-(ST3), so the sink is effectively exactly-once.
-
-The file source orders files by modification time, not by the date in the
-name, so a batch's dates are applied in date order and a date before the
-last committed one is routed to quarantine as ``late_snapshot``.
+record separator as the batch source), parsed with the batch operators, and
+handed to ``plans.daily.apply_arrivals`` by ``foreachBatch``. The unit is the
+run date: a date may come in any number of files and micro-batches, in any
+order; a file that comes after later dates were committed rebuilds its date
+and those after it, so nothing is dropped. The stream checkpoint records which
+files were processed (ST1: each file once); a replayed micro-batch replaces
+its own arrivals (ST3), so the sink is effectively exactly-once.
 """
 
 from __future__ import annotations
@@ -17,9 +15,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.extract import report_to_tagged_ads, split_tagged
+from ..operators.extract import report_to_tagged_ads
 from ..operators.sizing import pin
 from ..plans import daily as D
+from ..session import scratch_scope
 from ..sinks.writers import write_partition
 from ..sources.reports import DATE_IN_NAME_RE, URL_START
 
@@ -38,40 +37,33 @@ def report_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: in
             .where(F.trim(F.col("block")) != URL_START))
 
 
-def apply_batch(spark: SparkSession, store: D.StateStore, blocks: DataFrame, epoch_id: int | None = None) -> dict:
-    """ST2: apply one micro-batch of blocks to the store, date by date.
-    The batch is parsed once into a pinned tagged table that every later
-    step reads. Blocks from files without a date in their name go to
-    ``quarantine_undated/epoch=N`` (overwritten on a replay of the batch)."""
-    tagged = pin(report_to_tagged_ads(blocks))
-    clean, quarantine = split_tagged(tagged)
-    undated = tagged.where(F.col("run_date").isNull())
-    if not undated.isEmpty():
-        write_partition(undated.select("source_file", F.col("_block").alias("block"),
-                                       F.lit("no_run_date").alias("reason"), F.lit(epoch_id).alias("epoch")),
-                        store.path("quarantine_undated"), "epoch", epoch_id)
-    dates = [r["run_date"] for r in tagged.select("run_date").distinct().orderBy("run_date").collect()
-             if r["run_date"] is not None]
-    out = {}
-    for d in dates:
-        today = clean.where(F.col("run_date") == F.lit(d))
-        q = quarantine.where(F.col("run_date") == F.lit(d)).drop("run_date")
-        try:
-            out[d] = D.run_day(spark, store, today, d, quarantine=q)
-        except D.LateSnapshot:
-            late = tagged.where(F.col("run_date") == F.lit(d)).select(
-                "source_file", F.col("_block").alias("block"), F.lit("late_snapshot").alias("reason"))
-            write_partition(late, store.path("quarantine_late"), "run_date", d.isoformat())
-            out[d] = "late"
-    return out
+def apply_batch(spark: SparkSession, store: D.StateStore, blocks: DataFrame, epoch_id: int | None = None,
+                query_id: str | None = None) -> dict:
+    """ST2: apply one micro-batch of blocks to the store. It is parsed once
+    into a pinned tagged table, deleted when the batch ends. Blocks from files
+    without a date in their name go to ``quarantine_undated/epoch=…``."""
+    batch = f"{query_id or 'stream'}-{epoch_id}"
+    with scratch_scope(spark):
+        tagged = pin(report_to_tagged_ads(blocks))
+        undated = tagged.where(F.col("run_date").isNull())
+        if not undated.isEmpty():
+            write_partition(undated.select("source_file", F.col("_block").alias("block"),
+                                           F.lit("no_run_date").alias("reason"), F.lit(batch).alias("epoch")),
+                            store.path("quarantine_undated"), "epoch", batch)
+        return D.apply_arrivals(spark, store, tagged, batch)
 
 
 def start(spark: SparkSession, input_dir: str, store: D.StateStore, checkpoint_location: str,
-          available_now: bool = True, max_files_per_trigger: int | None = 1):
+          available_now: bool = True, max_files_per_trigger: int | None = None):
     """Start the stream; ``available_now`` processes what is there and stops
     (the daily trigger); otherwise it polls."""
     stream = report_stream(spark, input_dir, max_files_per_trigger)
-    writer = (stream.writeStream.option("checkpointLocation", checkpoint_location)
-              .foreachBatch(lambda batch, epoch: apply_batch(spark, store, batch, epoch)))
+
+    def apply(batch, epoch):
+        own = batch.sparkSession
+        query = own.sparkContext.getLocalProperty("sql.streaming.queryId")
+        apply_batch(spark, store, batch, epoch, query)
+
+    writer = stream.writeStream.option("checkpointLocation", checkpoint_location).foreachBatch(apply)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 minutes")
     return writer.start()

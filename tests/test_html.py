@@ -74,3 +74,29 @@ def test_zip_options_and_footer(spark):
     assert r["d"] == "03.04.2024"
     short = spark.createDataFrame([(["x"],)], "f array<string>")
     assert short.select(H.footer_date("f")).first()[0] is None   # Q4: no third cell -> NULL, not the previous ad's date
+
+
+def test_links_as_an_attribute_parser_sees_them(spark):
+    df = pages(spark,
+               "<a data-href=\"/msg/wrong\" href='/msg/right'>x</a>",
+               '<a href="/msg/y" data-href="/msg/z">x</a>',
+               "<A HREF='/msg/a?b=1&amp;c=2' class=x>x</A><a class='k' id=q href=/msg/bare>y</a>",
+               "<a href='/msg/one'>x</a><a href='/msg/one'>x</a><a href=\"/msg/two\">y</a>",
+               "<abbr href='/msg/no'>x</abbr><a title='href=\"/msg/no\"' name='n'>z</a>",
+               "<a\n  href = \"/msg/spaced\">x</a>")
+    got = {r["page_id"]: r["l"] for r in df.select("page_id", H.links("html").alias("l")).collect()}
+    assert got == {0: ["/msg/right"], 1: ["/msg/y"], 2: ["/msg/a?b=1&c=2", "/msg/bare"],
+                   3: ["/msg/one", "/msg/one", "/msg/two"], 4: [], 5: ["/msg/spaced"]}
+
+
+def test_cells_and_span_in_any_quotes(spark):
+    page = ("<table id='page_main'><tr><td data-class='ads_price' class='x'>no</td><TD class='a ads_price b'>1 €</TD></tr>"
+            "<tr><td><table><tr><td class=ads_price>2 €</td></tr></table></td></tr>"
+            "<tr><td class=\"ads_price\">3 €</td></tr></table>"
+            "<table><tr><td class='ads_price'>9 €</td></tr></table><span data-id='note' id='other'>no</span><SPAN class='c' id='note'>a <b>b</b></SPAN>")
+    row = pages(spark, page).select(H.cells("html", "td", "ads_price", scoped=True).alias("p"),
+                                    H.cells("html", "td", "ads_price").alias("all"),
+                                    H.span_text("html", "note").alias("s")).first()
+    assert row["p"] == ["1 €", "2 €", "3 €"]     # the table after the main one is out of scope
+    assert row["all"] == ["1 €", "2 €", "3 €", "9 €"]
+    assert row["s"] == "a b"
