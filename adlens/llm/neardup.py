@@ -10,10 +10,13 @@ leading columns in common: in sparse regions these are all rows of that
 depth, in dense ones those with the longest common prefix, so depth adapts to
 the region. A hot prefix is split like any other range.
 
-Candidates whose set sizes or one-bit sketches rule out the similarity are
-dropped at once. The others are confirmed on full sets: first one pair per
-document, then, after joining components, every pair that still connects two
-different ones. Pairs inside a component add nothing to the result.
+Candidates whose set sizes or sketches (two bits of each of ``SKETCHED``
+minima) rule out the similarity are dropped at once. The others are confirmed
+on full sets in rounds: first each document's most similar candidate, then,
+after joining components, each one's most similar candidate outside its
+component, and at last every pair that is left between two components. Pairs
+inside a component add nothing to the result, so a group of near copies costs
+about as many comparisons as it has members, not pairs.
 
 Each tree of ``DEPTH`` columns finds a pair of similarity s with probability
 s^DEPTH; with 24 trees of 5 columns a pair at 0.85 is missed in a sparse region
@@ -39,13 +42,17 @@ from .spans import (BASE, BYTE_CODE, STEP, PrefixHash, batches, mix, steps, text
 
 SHINGLE = 5
 TREES, DEPTH, COLUMNS = 24, 5, 10
-HASHES = 128
+HASHES, SKETCHED = 128, 256
 NEIGHBOURS = 32
+# Standard deviations below the expected agreement at which a sketch rules out.
+SLACK = 4.0
+# Rounds of most similar candidates before all open pairs are confirmed.
+ROUNDS = 3
 BROADCAST_ROWS = 200_000
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-_SEEDS = mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64) * np.uint64(BASE))
-MULTIPLY, ADD = _SEEDS[:HASHES] | np.uint64(1), _SEEDS[HASHES:]
+_SEEDS = mix(np.arange(1, 2 * SKETCHED + 1, dtype=np.uint64) * np.uint64(BASE))
+MULTIPLY, ADD = _SEEDS[:SKETCHED] | np.uint64(1), _SEEDS[SKETCHED:]
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -76,26 +83,30 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, size: int = SHINGLE) -> tupl
     return np.concatenate(rows_out), np.concatenate(codes_out)
 
 
-def signatures(row: np.ndarray, code: np.ndarray, n: int) -> np.ndarray:
-    """``n`` rows of ``HASHES`` 16-bit minima (zeros for empty sets)."""
-    out = np.zeros((n, HASHES), np.uint16)
+def signatures(row: np.ndarray, code: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``n`` rows of ``HASHES`` 16-bit minima (zeros for empty sets), and the
+    packed sketches of all ``SKETCHED`` minima."""
+    out, sketch = np.zeros((n, HASHES), np.uint16), np.zeros((n, SKETCHED // 4), np.uint8)
     if len(row) == 0:
-        return out
+        return out, sketch
     edge = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
     present = row[edge]
     for a in range(0, len(edge), 512):  # rows whose hashes stay in the cache
         lo = edge[a]
         hi = edge[a + 512] if a + 512 < len(edge) else len(row)
         cuts, x = edge[a:a + 512] - lo, code[lo:hi]
-        for j in range(HASHES):
-            low = np.minimum.reduceat(x * MULTIPLY[j] + ADD[j], cuts)
-            out[present[a:a + 512], j] = (mix(low) >> np.uint64(48)).astype(np.uint16)
-    return out
+        to = present[a:a + 512]
+        for j in range(SKETCHED):
+            low = mix(np.minimum.reduceat(x * MULTIPLY[j] + ADD[j], cuts))
+            if j < HASHES:
+                out[to, j] = (low >> np.uint64(48)).astype(np.uint16)
+            sketch[to, j // 4] |= ((low & np.uint64(3)) << np.uint64(2 * (j % 4))).astype(np.uint8)
+    return out, sketch
 
 
 def documents_sets(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_shingles``, a 128-bit fingerprint of the set (``f1``,
-    ``f2``) and the packed signature of every row."""
+    ``f2``), the packed signature and the sketch of every row."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(parts):
@@ -107,12 +118,13 @@ def documents_sets(docs: DataFrame) -> DataFrame:
             total = lambda x: (lambda c: c[np.cumsum(count)] - c[np.cumsum(count) - count])(
                 np.concatenate([[np.uint64(0)], np.cumsum(x, dtype=np.uint64)]))
             f1, f2 = total(mix(code)), total(mix(code ^ np.uint64(BASE)))
-            packed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * HASHES), n, [None, pa.py_buffer(signatures(row, code, n).tobytes())])
+            least, sketch = signatures(row, code, n)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(count), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)), packed.cast(pa.binary())],
-                ["doc_id", "n_shingles", "f1", "f2", "signature"])
+                [part.column("doc_id"), pa.array(count), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)),
+                 _fixed(least.tobytes(), 2 * HASHES, n), _fixed(sketch.tobytes(), SKETCHED // 4, n)],
+                ["doc_id", "n_shingles", "f1", "f2", "signature", "sketch"])
 
-    return spread(docs.select("doc_id", "text")).mapInArrow(run, f"doc_id {id_type}, n_shingles bigint, f1 bigint, f2 bigint, signature binary")
+    return spread(docs.select("doc_id", "text")).mapInArrow(run, f"doc_id {id_type}, n_shingles bigint, f1 bigint, f2 bigint, signature binary, sketch binary")
 
 
 def tree_columns(tree: int) -> np.ndarray:
@@ -123,26 +135,23 @@ def tree_columns(tree: int) -> np.ndarray:
 
 
 def candidate_pairs(sets: DataFrame, num: int, den: int, neighbours: int = NEIGHBOURS) -> DataFrame:
-    """Distinct ``a`` < ``b`` that share a region of some tree and may reach
-    similarity num / den."""
-    share = num / den
-    # one-bit agreements expected at the threshold, less 4.7 standard deviations
-    agree = (1 + share) / 2
-    least = HASHES * agree - 4.7 * (HASHES * agree * (1 - agree)) ** 0.5
+    """Distinct ``a``, ``b`` that share a region of some tree and may reach
+    similarity num / den, with the ``agreement`` of their sketches."""
+    expected = num / den + (1 - num / den) / 4
+    least = SKETCHED * expected - SLACK * (SKETCHED * expected * (1 - expected)) ** 0.5
 
     def grow(parts):
         for part in batches(parts):
             n = part.num_rows
             sig = np.frombuffer(b"".join(part.column("signature").to_pylist()), np.uint16).reshape(n, HASHES)
-            sketch = np.packbits((sig & 1).astype(np.uint8), axis=1)
             for t in range(TREES):
                 key = np.ascontiguousarray(sig[:, tree_columns(t)]).astype(">u2")
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(n, t, np.int32)), _fixed(key.tobytes(), 2 * COLUMNS, n), part.column("doc_id"),
-                     part.column("n_shingles").cast(pa.int32()), _fixed(sketch.tobytes(), HASHES // 8, n)],
+                     part.column("n_shingles").cast(pa.int32()), part.column("sketch")],
                     ["tree", "key", "doc_id", "n", "sketch"])
 
-    bits = np.array([bin(i).count("1") for i in range(256)], np.uint8)
+    equal = np.array([sum(i >> k & 3 == 0 for k in (0, 2, 4, 6)) for i in range(256)], np.uint8)
 
     def near(parts):
         held = None
@@ -158,7 +167,7 @@ def candidate_pairs(sets: DataFrame, num: int, den: int, neighbours: int = NEIGH
             run[1:] = 1
             run[same + 1] = 0
             run = np.cumsum(run)
-            a_out, b_out = [], []
+            i_out, j_out, agree_out = [], [], []
             for step in range(1, min(neighbours, len(tree) - 1) + 1):
                 i = np.flatnonzero(run[step:] == run[:-step])
                 if len(i) == 0:
@@ -167,17 +176,29 @@ def candidate_pairs(sets: DataFrame, num: int, den: int, neighbours: int = NEIGH
                 i, j = i[j >= fresh], j[j >= fresh]
                 ok = np.minimum(size[i], size[j]) * den >= np.maximum(size[i], size[j]) * num
                 i, j = i[ok], j[ok]
-                ok = HASHES - bits[sketch[i] ^ sketch[j]].sum(axis=1) >= least
-                a_out.append(np.minimum(ids[i[ok]], ids[j[ok]]))
-                b_out.append(np.maximum(ids[i[ok]], ids[j[ok]]))
-            if a_out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a_out)), pa.array(np.concatenate(b_out))], ["a", "b"])
+                agree = equal[sketch[i] ^ sketch[j]].sum(axis=1)
+                ok = agree >= least
+                i_out.append(i[ok])
+                j_out.append(j[ok])
+                agree_out.append(agree[ok])
+            if i_out:  # one row for each document and its candidates
+                i, j, agree = (np.concatenate(x) for x in (i_out, j_out, agree_out))
+                order = np.argsort(i, kind="stable")
+                i, j, agree = i[order], j[order], agree[order]
+                edge = np.flatnonzero(np.append(True, i[1:] != i[:-1])) if len(i) else np.zeros(0, np.int64)
+                off = pa.array(np.append(edge, len(i)), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[i[edge]]), pa.ListArray.from_arrays(off, pa.array(ids[j])), pa.ListArray.from_arrays(off, pa.array(agree, pa.int32()))],
+                    ["a", "b", "agreement"])
             held = tuple(x[-neighbours:] for x in (tree, key, ids, size, sketch))
 
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = sets.select("doc_id", "n_shingles", "signature").mapInArrow(grow, "tree int, key binary, doc_id bigint, n int, sketch binary")
+    rows = sets.select("doc_id", "n_shingles", "signature", "sketch").mapInArrow(grow, "tree int, key binary, doc_id bigint, n int, sketch binary")
     ordered = rows.repartitionByRange(parts, "tree", "key", "doc_id").sortWithinPartitions("tree", "key", "doc_id")
-    return ordered.mapInArrow(near, "a bigint, b bigint").where("a <> b").distinct()
+    lists = ordered.mapInArrow(near, "a bigint, b array<bigint>, agreement array<int>")
+    per = lists.groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("b", "agreement")))).alias("found"))
+    pairs = per.select("a", F.explode("found").alias("x")).where("a <> x.b")
+    return pairs.select(F.least("a", "x.b").alias("a"), F.greatest("a", "x.b").alias("b"), "x.agreement").distinct()
 
 
 def _fixed(raw: bytes, width: int, n: int) -> pa.Array:
@@ -205,29 +226,41 @@ def confirm(pairs: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame
     return both.select("a", "text_a", "b", "text_b").mapInArrow(run, "a bigint, b bigint")
 
 
+def connect(pairs: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame:
+    """``node`` and ``component`` of every document with a confirmed link."""
+    label = None
+    for last in [False] * ROUNDS + [True]:
+        if label is not None:  # what is left lies between components
+            left = label.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+            right = label.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+            pairs = pin(pairs.join(left, "a", "left").join(right, "b", "left")
+                        .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b", "agreement"))
+        chosen = pairs
+        if not last:
+            each = pairs.select(F.col("a").alias("node"), "a", "b", "agreement").unionByName(
+                pairs.select(F.col("b").alias("node"), "a", "b", "agreement"))
+            best = F.max(F.struct("agreement", (-F.col("a")).alias("a"), (-F.col("b")).alias("b")))
+            chosen = pin(each.groupBy("node").agg(best.alias("x")).select((-F.col("x.a")).alias("a"), (-F.col("x.b")).alias("b")).distinct())
+            pairs = pairs.join(chosen, ["a", "b"], "left_anti")
+        found = pin(confirm(chosen.select("a", "b"), texts, num, den))
+        if label is None or found.limit(1).count():
+            known = found if label is None else label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found)
+            label = pin(components(known))
+    return label
+
+
 def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every row."""
     found = pin(documents_sets(docs))
     classes = found.where("n_shingles > 0").groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("rep"))
     sets = pin(found.join(classes, ["n_shingles", "f1", "f2"], "left").select(
-        "doc_id", "n_shingles", "rep", F.when(F.col("doc_id") == F.col("rep"), F.col("signature")).alias("signature")))
+        "doc_id", "n_shingles", "rep", *[F.when(F.col("doc_id") == F.col("rep"), F.col(c)).alias(c) for c in ("signature", "sketch")]))
     reps = sets.where("signature is not null").dropDuplicates(["doc_id"])
     pairs = pin(candidate_pairs(reps, num, den))
     wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
     texts = pin(docs.select("doc_id", "text").join(bounded_broadcast(pin(wanted), BROADCAST_ROWS), "doc_id", "left_semi")
                 .dropDuplicates(["doc_id"]))
-    # one pair per document first
-    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = pin(confirm(first, texts, num, den))
-    label = pin(components(links))
-    # then those that would connect two components; singles are their own
-    left = label.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    right = label.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    open_ = (pairs.join(first, ["a", "b"], "left_anti").join(left, "a", "left").join(right, "b", "left")
-             .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
-    more = pin(confirm(open_, texts, num, den))
-    if more.limit(1).count():
-        label = pin(components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)))
+    label = connect(pairs, texts, num, den)
     named = sets.select("doc_id", "n_shingles", "rep").join(label.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.coalesce("component", "rep", "doc_id")
     return named.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
