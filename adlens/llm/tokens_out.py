@@ -14,10 +14,12 @@ unsigned 16-bit symbols each), the rules' expansion lengths (unsigned
 32-bit), the symbols (unsigned 16-bit) and a line feed. ``Shard.document``
 decodes one document without the others.
 
-Encoding by distinct piece: a byte-level BPE splits its text before the one
-space between two other characters, so the pieces between such spaces encode
-alone as they do in the text. Each distinct piece of a batch is encoded once,
-many in one call, and ids are told apart by the tokens' byte lengths.
+Encoding by distinct piece: a byte-level BPE never joins a word to the space
+after it, to punctuation after it or to a single line feed between two other
+characters, so texts are cut there and the pieces encode alone as they do in
+the text. Each distinct piece is encoded once, many in one call, and ids are
+told apart by the tokens' byte lengths. A Python worker remembers pieces from
+one task to the next.
 
 Defined cases: a null or empty text is the end id alone; a null doc_id sorts
 first; rows of one doc_id are ordered by text; an empty table writes no
@@ -26,33 +28,35 @@ document. Extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import struct
+import sys
+import types
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.sizing import bounded_broadcast, pin
-from .spans import BYTE_CODE, PrefixHash, batches, mix, ragged, steps, text_buffer
+from .spans import BYTE_CODE, PrefixHash, batches, lookup, mix, ragged, steps, text_buffer
 
 MAGIC = b"IDPAIRS1"
 END_ID = 0
-SHARD_TOKENS = 2 << 20
+SHARD_TOKENS = 1 << 20
 ROUNDS = 4
 MIN_COUNT = 8
 SYMBOLS = 1 << 16
-# Bytes encoded per step, texts of one library call, and pieces whose ids a
-# task remembers before it starts anew.
-ENCODE_BYTES = 2 << 20
-CALL_TEXTS = 16
-REMEMBERED = 400_000
-# Bytes around a space that a piece may begin after. White space beyond ASCII
-# has the lead bytes C2 and E1 to E3, so those are left out on both sides.
+# Bytes encoded per step, texts of one library call, and pieces that a worker
+# remembers before it starts anew.
+ENCODE_BYTES = 1 << 20
+CALL_BYTES, CALL_TEXTS = 1 << 15, 8
+REMEMBERED = 1_500_000
+# Bytes that a piece may end in or begin with. White space beyond ASCII has
+# the lead bytes C2 and E1 to E3, so those are left out on both sides.
 HARD = np.ones(256, bool)
 HARD[:33] = HARD[127] = False
 AFTER = HARD.copy()
@@ -61,118 +65,173 @@ ASCII_HARD = HARD.copy()
 ASCII_HARD[128:] = False
 TWO_BYTE_LEAD = np.zeros(256, bool)
 TWO_BYTE_LEAD[0xC3:0xE0] = True
+ASCII_LETTER = np.zeros(256, bool)
+ASCII_LETTER[65:91] = ASCII_LETTER[97:123] = True
+# Punctuation after which a word ends for good: no apostrophe, which may begin
+# a contraction, and no sign that the special token is spelled with.
+MARK = np.zeros(256, bool)
+MARK[[ord(c) for c in "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"]] = True
+
+
+def worker_memory(kind: str, key: str, make):
+    """``make()`` once per Python worker process for each kind and key; the
+    module that holds it lives as long as the process."""
+    home = sys.modules.setdefault("adlens_worker_memory", types.ModuleType("adlens_worker_memory"))
+    kept = home.__dict__.setdefault(kind, {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
+class Remembered:
+    """Ids of pieces by hash: a large sorted part, and a small one of the
+    latest pieces that joins it when it has grown."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.parts = [none, none]
+        self.ids, self.off = np.zeros(0, np.uint16), np.zeros(1, np.int64)
+
+    def find(self, codes: np.ndarray) -> np.ndarray:
+        """Number of each remembered piece, -1 for the others."""
+        out = np.full(len(codes), -1)
+        for keys, numbers in self.parts:
+            at = lookup(keys, codes)
+            out[at >= 0] = numbers[at[at >= 0]]
+        return out
+
+    def add(self, codes: np.ndarray, ids: np.ndarray, off: np.ndarray) -> None:
+        first = len(self.off) - 1
+        self.ids = np.concatenate([self.ids, ids.astype(np.uint16)])
+        self.off = np.concatenate([self.off, off[1:] + self.off[-1]])
+        (old, old_numbers), (new, new_numbers) = self.parts
+        keys, numbers = np.append(new, codes), np.append(new_numbers, first + np.arange(len(codes)))
+        if 4 * len(keys) > len(old):
+            keys, numbers = np.append(old, keys), np.append(old_numbers, numbers)
+            old, old_numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        order = np.argsort(keys)
+        part = keys[order], numbers[order]
+        self.parts = [(old, old_numbers), part] if len(old) else [part, (old, old_numbers)]
 
 
 class PieceEncoder:
-    """Ids of many texts with one library call per distinct piece group."""
+    """Ids of many texts, each distinct piece encoded once."""
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        key = hashlib.sha1(tokenizer_json.encode()).hexdigest()
+        self.tokenizer = worker_memory("tokenizers", key, lambda: Tokenizer.from_str(tokenizer_json))
+        self.known = worker_memory("pieces", key, Remembered)
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.size = max(vocab.values()) + 1
         self.length = np.zeros(self.size, np.int64)
         for token, i in vocab.items():
             self.length[i] = len(token)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.known_ids, self.known_off = [np.zeros(0, np.uint16)], [np.zeros(1, np.int64)]
 
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, ``END_ID`` after each row, and the ids per row."""
         first, row_starts = self._pieces(data, off)
         ends = np.append(first[1:], len(data))
-        hashes = PrefixHash(BYTE_CODE[data])
-        codes = mix(hashes.span(first, ends) + (ends - first).astype(np.uint64))
-        codes ^= np.where(data[first] == 32, np.uint64(0), np.uint64(1 << 63)) if len(first) else np.uint64(0)
-        which, distinct = pd.factorize(codes)
-        at = np.zeros(len(distinct), np.int64)
-        at[which[::-1]] = np.arange(len(which))[::-1]
-        ids, id_off, place = self._remember(data, first[at], ends[at], distinct)
-        which = place[which]
+        codes = mix(PrefixHash(BYTE_CODE[data]).span(first, ends) + (ends - first).astype(np.uint64))
+        distinct, at, which = np.unique(codes, return_index=True, return_inverse=True)
+        if len(self.known.off) > REMEMBERED:
+            self.known.clear()
+        place = self.known.find(distinct)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            place[new] = len(self.known.off) - 1 + np.arange(len(new))
+            self.known.add(distinct[new], *self._distinct(data, first[at[new]], ends[at[new]]))
         # the end id is one more piece, after the last of each row
-        ids, id_off = np.append(ids, END_ID), np.append(id_off, len(ids) + 1)
-        which = np.insert(which, row_starts[1:], len(id_off) - 2)
-        size = np.diff(id_off)[which]
-        out = ids[ragged(size, id_off[:-1][which])]
+        id_off = np.append(self.known.off, len(self.known.ids) + 1)
+        which = np.insert(place[which], row_starts[1:], len(id_off) - 2)
+        size = id_off[which + 1] - id_off[which]
+        out = np.append(self.known.ids, np.uint16(END_ID))[ragged(size, id_off[which])]
         bounds = np.concatenate([[0], np.cumsum(size)])[row_starts + np.arange(len(row_starts))]
         return out, np.diff(bounds)
 
-    def _remember(self, data, starts, ends, codes):
-        """Ids and offsets of all remembered pieces, and where each of the
-        given ones stands among them; unknown ones are encoded first."""
-        if len(self.known) > REMEMBERED:
-            self._forget()
-        keys = codes.tolist()
-        place = np.array([self.known.get(k, -1) for k in keys], np.int64)
-        new = np.flatnonzero(place < 0)
-        if len(new):
-            ids, off = self._distinct(data, starts[new], ends[new])
-            base = len(self.known)
-            place[new] = np.arange(base, base + len(new))
-            self.known.update((keys[i], base + j) for j, i in enumerate(new.tolist()))
-            self.known_off.append(off[1:] + self.known_off[-1][-1])
-            self.known_ids.append(ids.astype(np.uint16))
-            self.known_ids, self.known_off = [np.concatenate(self.known_ids)], [np.concatenate(self.known_off)]
-        return self.known_ids[0], self.known_off[0], place
+    @staticmethod
+    def _hard_end(data, last):
+        """Whether the character that ends at ``last`` is surely no space."""
+        return ASCII_HARD[data[last]] | ((data[last] >= 128) & TWO_BYTE_LEAD[data[np.maximum(last - 1, 0)]])
 
     def _pieces(self, data, off):
         """Start of each piece, and the index of each row's first piece."""
-        space = np.flatnonzero(data == 32)
-        space = space[(space > 0) & (space < len(data) - 1)]
-        before = data[space - 1]
-        fine = AFTER[data[space + 1]] & (ASCII_HARD[before] | ((before >= 128) & TWO_BYTE_LEAD[data[np.maximum(space - 2, 0)]]))
         cut = np.zeros(len(data) + 1, bool)
-        cut[space[fine]] = True
+        for sign, after in ((32, False), (10, True)):
+            at = np.flatnonzero(data == sign)
+            at = at[(at > 0) & (at < len(data) - 1)]
+            at = at[AFTER[data[at + 1]] & self._hard_end(data, at - 1)]
+            cut[at] = True
+            if after:
+                cut[at + 1] = True
+        if len(data):
+            cut[1:-1] |= ASCII_LETTER[data[:-1]] & MARK[data[1:]]
+        # a sign at the edge of a row has no neighbour there: only the row's own cut
+        edge = np.concatenate([off[:-1], off[1:] - 1])
+        cut[edge[(edge >= 0) & (edge < len(data))]] &= False
+        edge = off[:-1][off[1:] > off[:-1]]
+        inner = edge[off[1:][off[1:] > off[:-1]] - edge > 1] + 1
+        cut[inner] &= ~np.isin(data[inner - 1], (32, 10))
         cut[off[:-1]] = True
         cut[len(data)] = False
-        # a row that begins with a space must not join what stands before it
         first = np.flatnonzero(cut)
         return first, np.searchsorted(first, off)
 
     def _distinct(self, data, starts, ends):
         """Ids of the spans, and n + 1 offsets."""
-        n = len(starts)
-        size = ends - starts
-        joins = (data[starts] == 32) & (size > 1) if n else np.zeros(0, bool)
-        joins[joins] = AFTER[data[starts[joins] + 1]] & HARD[data[ends[joins] - 1]] & (data[ends[joins] - 1] < 128)
-        parts, counts = [], np.zeros(n, np.int64)
-        alone, together = np.flatnonzero(~joins), np.flatnonzero(joins)
-        # spans that begin with a space and end in a plain character follow one another
-        bound = np.concatenate([[0], np.cumsum(size[together])])
-        groups = list(steps(bound, 1 << 15))
-        for call in range(0, len(groups), CALL_TEXTS):
-            some = groups[call:call + CALL_TEXTS]
-            texts = [data[ragged(size[together[a:b]], starts[together[a:b]])].tobytes().decode() for a, b in some]
-            for (a, b), made in zip(some, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                ids = np.array(made.ids, np.int64)
-                reach = np.cumsum(self.length[ids])
-                stops = np.searchsorted(reach, bound[a + 1:b + 1] - bound[a])
-                if reach[-1] != bound[b] - bound[a] or not np.array_equal(reach[stops], bound[a + 1:b + 1] - bound[a]):
-                    raise ValueError("a token crosses the end of a piece")
-                counts[together[a:b]] = np.diff(np.concatenate([[-1], stops]))
-                parts.append(ids)
+        n, size = len(starts), ends - starts
+        spaced = (data[starts] == 32) & (size > 1)
+        begin = np.where(spaced, np.minimum(starts + 1, len(data) - 1), starts)
+        plain = AFTER[data[begin]] & self._hard_end(data, ends - 1) & (ends - begin > (data[ends - 1] >= 128))
+        counts, parts, order = np.zeros(n, np.int64), [], []
+        # pieces with a space in front follow one another, bare ones take a line feed between
+        for members, gap in ((np.flatnonzero(plain & spaced), 0), (np.flatnonzero(plain & ~spaced), 1)):
+            bound = np.concatenate([[0], np.cumsum(size[members] + gap)])
+            groups = list(steps(bound, CALL_BYTES))
+            for call in range(0, len(groups), CALL_TEXTS):
+                some = groups[call:call + CALL_TEXTS]
+                texts = [self._joined(data, starts[members[a:b]], size[members[a:b]], gap) for a, b in some]
+                for (a, b), made in zip(some, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                    ids = np.array(made.ids, np.int64)
+                    reach = np.cumsum(self.length[ids])
+                    goal = bound[a + 1:b + 1] - bound[a] - gap
+                    stops = np.searchsorted(reach, goal)
+                    if stops[-1] >= len(ids) or not np.array_equal(reach[stops], goal):
+                        raise ValueError("a token crosses the end of a piece")
+                    begins = np.concatenate([[0], stops[:-1] + 1 + gap])
+                    counts[members[a:b]] = stops + 1 - begins
+                    parts.append(ids[ragged(stops + 1 - begins, begins)])
+            order.append(members)
+        alone = np.flatnonzero(~plain)
         for call in range(0, len(alone), 256):
             some = alone[call:call + 256]
             singles = [data[starts[i]:ends[i]].tobytes().decode() for i in some]
             for i, made in zip(some, self.tokenizer.encode_batch_fast(singles, add_special_tokens=False)):
                 parts.append(np.array(made.ids, np.int64))
                 counts[i] = len(parts[-1])
-        flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        order = np.concatenate([together, alone])
+        flat = np.concatenate([np.zeros(0, np.int64), *parts])
+        order = np.concatenate([*order, alone])
         held = np.zeros(n, np.int64)
         held[order] = np.cumsum(counts[order]) - counts[order]
-        off = np.concatenate([[0], np.cumsum(counts)])
-        return flat[ragged(counts, held)], off
+        return flat[ragged(counts, held)], np.concatenate([[0], np.cumsum(counts)])
+
+    @staticmethod
+    def _joined(data, starts, size, gap: int) -> str:
+        raw = np.append(data, np.uint8(10))[ragged(size + gap, starts)]
+        if gap:
+            raw[np.cumsum(size + 1) - 1] = 10
+            raw = raw[:-1]
+        return raw.tobytes().decode()
 
 
 def compress(ids: np.ndarray, vocab: int, rounds: int = ROUNDS, min_count: int = MIN_COUNT):
     """Symbols, rules (pairs) and expansion lengths of one shard."""
     seq = ids.astype(np.uint32)
     rules, room = [], SYMBOLS - vocab
-    table = np.zeros(1 << 22, np.int32)
+    table = np.zeros(1 << 20, np.int32)
     for r in range(rounds):
         if len(seq) < 2 or room <= 0:
             break
@@ -187,13 +246,13 @@ def compress(ids: np.ndarray, vocab: int, rounds: int = ROUNDS, min_count: int =
         if len(take) == 0:
             break
         chosen = pairs[take]
-        slot = ((chosen * np.uint32(0x9E3779B1)) >> np.uint32(10)).astype(np.int64)
+        slot = ((chosen * np.uint32(0x9E3779B1)) >> np.uint32(12)).astype(np.int64)
         _, free = np.unique(slot, return_index=True)  # the more frequent of two in one slot
         chosen, slot = chosen[np.sort(free)], slot[np.sort(free)]
         table[:] = 0
         table[slot] = np.arange(1, len(chosen) + 1)
-        found = table[(key * np.uint32(0x9E3779B1)) >> np.uint32(10)]
-        rank = np.where((found > 0) & (chosen[found - 1] == key), found, len(chosen) + 1)
+        found = table[(key * np.uint32(0x9E3779B1)) >> np.uint32(12)]
+        rank = np.where((found > 0) & (chosen[found - 1] == key), found, np.int32(len(chosen) + 1))
         # a pair is replaced where it is more frequent than both overlapping ones
         here = rank <= len(chosen)
         here[1:] &= rank[1:] < rank[:-1]
