@@ -30,6 +30,10 @@ from .sinks.writers import export_lines
 from .streaming import report_stream as S
 
 
+# Rows of a query that go to the terminal; ``--out`` writes the whole result.
+SHOWN_ROWS = 1000
+
+
 def _session() -> SparkSession:
     spark = SparkSession.builder.appName("adlens").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -92,7 +96,12 @@ def main(argv: list[str] | None = None) -> int:
         if a.out:
             df.write.mode("overwrite").parquet(a.out)
         else:
-            df.show(50, truncate=False)
+            shown = df.limit(SHOWN_ROWS + 1).collect()
+            print("\t".join(df.columns))
+            for row in shown[:SHOWN_ROWS]:
+                print("\t".join("" if v is None else str(v) for v in row))
+            if len(shown) > SHOWN_ROWS:
+                print(f"-- cut: the first {SHOWN_ROWS} rows; --out writes all of them")
     return 0
 
 

@@ -1,31 +1,46 @@
 """Ad-hoc SQL over the lifecycle tables (Z1) and table info.
 
-Catalyst parses, optimises and runs the query; we only register the views
-and refuse statements that are not queries (the reference passes any
+Catalyst parses the statement; its plan tells whether it only reads. The text
+itself is never edited, so literals may hold anything. Statements that write,
+define or configure are refused before anything runs (the reference passes any
 statement through to its database).
 """
 
 from __future__ import annotations
 
-import re
-
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 
-QUERY_STARTS = ("select", "with", "values", "table", "from", "(")
-_COMMENTS = re.compile(r"--[^\n]*|/\*.*?\*/", re.S)
-
 
 class NotAQuery(ValueError):
     """Only read-only queries are accepted."""
 
 
-def check_query(sql: str) -> str:
-    text = _COMMENTS.sub(" ", sql).strip().rstrip(";").strip()
-    if not text.lower().startswith(QUERY_STARTS):
-        raise NotAQuery("only queries (SELECT / WITH / VALUES / TABLE / FROM) are accepted")
-    if ";" in text:
-        raise NotAQuery("one statement at a time")
-    return text
+# Logical operators of a parsed plan that do more than read.
+_COMMANDS = "org.apache.spark.sql.catalyst.plans.logical.Command"
+_PARSED = "org.apache.spark.sql.catalyst.plans.logical.ParsedStatement"
+
+
+def check_query(spark: SparkSession, sql: str) -> None:
+    """Raise ``NotAQuery`` unless the statement parses as one plan without a
+    command, an insert or another statement anywhere in it."""
+    try:
+        plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
+    except ParseException as e:
+        raise NotAQuery(str(e).splitlines()[0]) from None
+    loader = spark._jvm.Thread.currentThread().getContextClassLoader()
+    writes = [loader.loadClass(name) for name in (_COMMANDS, _PARSED)]
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        if any(kind.isInstance(node) for kind in writes):
+            raise NotAQuery(f"only queries are accepted, not {node.nodeName()}")
+        for group in (node.children(), node.innerChildren()):
+            parts = group.iterator()
+            while parts.hasNext():
+                child = parts.next()
+                if loader.loadClass("org.apache.spark.sql.catalyst.plans.logical.LogicalPlan").isInstance(child):
+                    todo.append(child)
 
 
 def register_views(views: dict[str, DataFrame]) -> None:
@@ -35,8 +50,9 @@ def register_views(views: dict[str, DataFrame]) -> None:
 
 def run_sql(spark: SparkSession, sql: str, views: dict[str, DataFrame] | None = None) -> DataFrame:
     """Run one read-only query over the given views."""
+    check_query(spark, sql)
     register_views(views or {})
-    return spark.sql(check_query(sql))
+    return spark.sql(sql)
 
 
 def table_info(spark: SparkSession, name: str) -> DataFrame:

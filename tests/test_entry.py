@@ -54,7 +54,14 @@ def test_query_matches_oracle_small(spark, duck, name):
 def test_adhoc_sql_is_read_only(spark):
     df = spark.range(5).withColumnRenamed("id", "days_listed")
     assert Z.run_sql(spark, "-- count\nSELECT count(*) AS n FROM removed_ads", {"removed_ads": df}).first()["n"] == 5
-    for bad in ("DROP VIEW removed_ads", "INSERT INTO x VALUES (1)", "SELECT 1; DROP VIEW removed_ads"):
+    for text, want in (("SELECT '/* c */' AS x", "/* c */"), ("SELECT 'a -- b' AS x", "a -- b"), ("SELECT ';' AS x", ";"),
+                       ("WITH t AS (SELECT 3 AS x) SELECT x FROM t /* tail */", 3), ("FROM VALUES (7) AS t(x) SELECT x", 7)):
+        assert Z.run_sql(spark, text).first()["x"] == want
+    spark.range(3).createOrReplaceTempView("three_rows")
+    for bad in ("DROP VIEW removed_ads", "INSERT INTO x VALUES (1)", "SELECT 1; DROP VIEW removed_ads", "not sql",
+                "FROM three_rows INSERT INTO tgt SELECT id", "WITH x AS (SELECT 1 AS id) INSERT INTO tgt SELECT id FROM x",
+                "FROM three_rows INSERT OVERWRITE tgt SELECT id", "CREATE TABLE tgt AS SELECT 1", "SET spark.sql.ansi.enabled=false",
+                "CACHE TABLE three_rows", "EXPLAIN SELECT 1", "DELETE FROM tgt", "UPDATE tgt SET id = 1", "SHOW TABLES"):
         with pytest.raises(Z.NotAQuery):
             Z.run_sql(spark, bad)
     info = Z.table_info(spark, "removed_ads").collect()
