@@ -3,10 +3,10 @@
 Vectors become integers, floor(scale * x). A task holds a block of candidates
 in vertical layout (one array per dimension) and works through one block of
 queries: inner products grow dimension block by dimension block, dimensions of
-the largest spread first. After every block the mass that is left, the product
+the largest spread first and blocks halving in size. After every block the mass that is left, the product
 of both norms over the remaining dimensions, bounds what a candidate can still
 reach; candidates below the query's k-th best score are dropped and the
-survivors compacted. A first exact pass over a few candidates per query block
+survivors compacted. The first candidates of a task are scored in full, which
 sets that score. Bounds are widened by more than the rounding of the float
 arithmetic, products of such integers are exact, so no result is lost.
 
@@ -32,8 +32,11 @@ from .spans import batches
 
 ROUND_QUERIES = 20_000
 QUERY_BLOCK = 512
-CANDIDATE_BLOCK = 4096
-DIMENSION_BLOCK = 16
+CANDIDATE_BLOCK = 1024
+# Share of a tile's pairs below which survivors are compacted, and how many of
+# these are handled at a time.
+FEW = 0.05
+SURVIVORS = 1 << 15
 
 
 def integer_vectors(rows: DataFrame, scale: float = 64.0) -> DataFrame:
@@ -77,24 +80,44 @@ class _Best:
 def search_block(best: _Best, q_ids, q, tail_q, c_ids, c, order, cuts) -> None:
     """All candidates ``c`` (rows) against all queries ``q`` of a block."""
     columns = c.T[order]  # vertical layout
-    square = np.cumsum((columns[::-1] ** 2), axis=0)[::-1]
-    part = q[:, order[:cuts[1]]] @ columns[:cuts[1]]
-    rest = np.sqrt(square[cuts[1]]) if cuts[1] < len(order) else np.zeros(len(c))
-    alive = part + tail_q[1][:, None] * rest[None, :] * 1.000001 + 1e-6 >= best.limit()[:, None]
-    alive &= q_ids[:, None] != c_ids[None, :]
-    query, cand = np.nonzero(alive)
-    score = part[query, cand]
-    for i in range(1, len(cuts) - 1):
-        if len(query) == 0:
-            return
-        a, b = cuts[i], cuts[i + 1]
-        dims = order[a:b]
-        score = score + np.einsum("ij,ij->i", q[query][:, dims], c[cand][:, dims])
-        rest = np.sqrt(square[b][cand]) if b < len(order) else 0.0
-        ok = score + tail_q[i + 1][query] * rest * 1.000001 + 1e-6 >= best.limit()[query]
-        query, cand, score = query[ok], cand[ok], score[ok]
-    if len(query):
-        best.add(query, score, c_ids[cand])
+    own = q_ids[:, None] == c_ids[None, :]
+    if not np.isfinite(best.limit()).all():  # no limit yet: score in full
+        score = q[:, order] @ columns
+        score[own] = -np.inf
+        k = min(best.k, len(c_ids))
+        floor = np.partition(score, -k, axis=1)[:, -k]
+        query, cand = np.nonzero((score >= floor[:, None]) & (score > -np.inf))
+        best.add(query, score[query, cand], c_ids[cand])
+        return
+    square = np.cumsum(columns[::-1] ** 2, axis=0)[::-1]
+    left = lambda cut: np.sqrt(square[cut]) if cut < len(order) else np.zeros(len(c))
+    limit = best.limit()
+    part, i = np.zeros((len(q_ids), len(c_ids))), 0
+    while True:  # all pairs, until few can still reach the limit
+        part += q[:, order[cuts[i]:cuts[i + 1]]] @ columns[cuts[i]:cuts[i + 1]]
+        i += 1
+        alive = part + (tail_q[i][:, None] * 1.000001) * left(cuts[i])[None, :] >= limit[:, None] - 1e-6
+        if i == len(cuts) - 1 or np.count_nonzero(alive) < FEW * alive.size:
+            break
+    all_query, all_cand = np.nonzero(alive & ~own)
+    for s in range(0, len(all_query), SURVIVORS):
+        query, cand = all_query[s:s + SURVIVORS], all_cand[s:s + SURVIVORS]
+        score = part[query, cand]
+        for j in range(i, len(cuts) - 1):
+            for d in range(cuts[j], cuts[j + 1]):
+                score = score + q[query, order[d]] * columns[d][cand]
+            ok = score + tail_q[j + 1][query] * left(cuts[j + 1])[cand] * 1.000001 + 1e-6 >= best.limit()[query]
+            query, cand, score = query[ok], cand[ok], score[ok]
+        if len(query):
+            best.add(query, score, c_ids[cand])
+
+
+def dimension_cuts(n: int) -> list[int]:
+    """Bounds of the dimension blocks: half of what is left, at least eight."""
+    cuts = [0]
+    while cuts[-1] < n:
+        cuts.append(min(n, cuts[-1] + max(8, (n - cuts[-1]) // 2)))
+    return cuts
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int, round_queries: int = ROUND_QUERIES) -> DataFrame:
@@ -132,7 +155,7 @@ def _one_round(candidates: DataFrame, shared, k: int) -> DataFrame:
             all_ids, all_c = part.column("vec_id").to_numpy(), _matrix(part.column("v"))
             if not state:
                 order = np.argsort(-all_c.var(axis=0), kind="stable")
-                cuts = [*range(0, len(order), DIMENSION_BLOCK), len(order)]
+                cuts = dimension_cuts(len(order))
                 for ids, q in shared.value:
                     left = np.cumsum((q[:, order] ** 2)[:, ::-1], axis=1)[:, ::-1]
                     tails = [np.sqrt(left[:, c]) if c < len(order) else np.zeros(len(ids)) for c in cuts]
@@ -140,9 +163,7 @@ def _one_round(candidates: DataFrame, shared, k: int) -> DataFrame:
             for a in range(0, len(all_ids), CANDIDATE_BLOCK):
                 ids, c = all_ids[a:a + CANDIDATE_BLOCK], all_c[a:a + CANDIDATE_BLOCK]
                 for q_ids, q, tails, best in state:
-                    for x, y in ((0, 4 * k), (4 * k, len(ids))):  # the first few set the limit
-                        if len(ids[x:y]):
-                            search_block(best, q_ids, q, tails, ids[x:y], c[x:y], order, cuts)
+                    search_block(best, q_ids, q, tails, ids, c, order, cuts)
         for q_ids, _, _, best in state:
             real = best.scores > -np.inf
             rows = np.flatnonzero(real.any(axis=1))
