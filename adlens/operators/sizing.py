@@ -19,15 +19,15 @@ from ..session import default_parallelism, scratch_path
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def pin(df: DataFrame) -> DataFrame:
+def pin(df: DataFrame, keep: bool = False) -> DataFrame:
     """Materialise ``df`` as a parquet table in the shared checkpoint folder
     and read it back: one computation (an eager ``checkpoint()`` computes
     its input twice), lineage cut, and the rows survive executor loss
     (unlike a local checkpoint). Values of non-deterministic columns
     (partition id, position) are stored as data, so every later use sees
-    the same ones."""
+    the same ones. ``keep``: the table outlives a ``scratch_scope``."""
     spark = df.sparkSession
-    path = scratch_path(spark, "pin")
+    path = scratch_path(spark, "pin", keep)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -137,6 +137,14 @@ def scatter_bins(df: DataFrame, segment: str, size: str, price: str,
     return df.groupBy(segment, sb.alias("size_bin"), pb.alias("price_bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def sqm_price_ranges(df: DataFrame, segment: str = "room_count", price: str = "sqm_price_eur", width: int = 500) -> DataFrame:
+    """Per segment the ads in each range of m²-prices of ``width``, with
+    the lowest and highest m²-price; ads without one are left out."""
+    low = (F.floor(F.col(price) / width) * width).cast("bigint")
+    return (df.where(F.col(price).isNotNull()).groupBy(segment, low.alias("from_price"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min(price).alias("min_sqm_price"), F.max(price).alias("max_sqm_price")))
+
+
 def floor_filter(df: DataFrame, apt: str = "apt_floor", house: str = "house_floors",
                  skip_house_floors: int = 9) -> DataFrame:
     """Drop first-floor, last-floor and 9-floor-house ads."""

@@ -117,29 +117,51 @@ def ads_from_orders(orders: DataFrame) -> DataFrame:
                          X.money("o_totalprice").alias("price"))
 
 
+def _event_attrs(key: Column, day: Column) -> dict[str, Column]:
+    """Attributes of an event ad on a day: plain rules on key and day; the
+    price moves by 100 a day, and every fiftieth ad costs over 2^31."""
+    dear = key % 50 == 0
+    size_dm = F.when(dear, F.lit(1500)).otherwise(200 + key * 13 % 900).cast("bigint")
+    price = (F.when(dear, F.lit(3_000_000_000)).otherwise(20_000 + key * 37 % 600_000) + F.dayofyear(day) * 100).cast("bigint")
+    return {"room_count": (key % 5 + 1).cast("int"), "house_floors": (key % 9 + 2).cast("int"), "apt_floor": (key % 3 + 1).cast("int"),
+            "price_eur": price, "size_dm": size_dm, "street": F.concat(F.lit("Iela "), (key % 50).cast("string"))}
+
+
 def ads_from_snapshots(snapshots: DataFrame) -> DataFrame:
     """Daily snapshots -> clean ads: each (ad, day) is an ad seen on that
     day, published that day (so a new ad's list date is its first day)."""
     key = F.col("ad_key").cast("string")
-    return snapshots.select(
+    attrs = _event_attrs(F.col("ad_key"), F.col("run_date"))
+    rows = snapshots.select("ad_key", "run_date", *[c.alias(n) for n, c in attrs.items()])
+    cents = F.expr("(price_eur * 2000 + size_dm) div (2 * size_dm)").cast("decimal(20,0)")
+    return rows.select(
         F.concat(F.lit(AD_BASE_URL + AD_REGION + "/events/"), key, F.lit(".html")).alias("url"),
-        key.alias("url_hash"), F.lit(None).cast("int").alias("room_count"),
-        F.lit(None).cast("int").alias("house_floors"), F.lit(None).cast("int").alias("apt_floor"),
-        F.lit(None).cast("bigint").alias("price_eur"), F.lit(None).cast("decimal(10,2)").alias("size_sqm"),
-        F.lit(None).cast("decimal(10,2)").alias("sqm_price_eur"), F.lit(None).cast("string").alias("street"),
-        F.col("run_date").alias("pub_date"), "run_date")
+        key.alias("url_hash"), F.lit("events").alias("city"), F.col("room_count").cast("string").alias("room_label"),
+        "room_count", "apt_floor", "house_floors", F.lit(False).alias("has_lift"), "street", F.col("run_date").alias("pub_date"),
+        (F.col("size_dm").cast("decimal(12,0)") / 10).cast("decimal(10,2)").alias("size_sqm"), "price_eur",
+        (cents / 100).cast("decimal(10,2)").alias("sqm_price_eur"), "run_date")
 
 
 def open_ads_as_listed(periods: DataFrame) -> DataFrame:
-    """W4 listing periods that are still open -> LISTED_ADS rows."""
-    return periods.where(F.col("removed_date").isNull()).select(
-        F.col("ad_key").cast("string").alias("url_hash"),
-        *[F.lit(None).cast("int").alias(c) for c in ("room_count", "house_floors", "apt_floor", "price",
-                                                      "sqm", "sqm_price")],
-        F.lit(None).cast("string").alias("apt_address"), "list_date",
+    """W4 listing periods that are still open -> LISTED_ADS rows, with the
+    attributes of their first day (Q19)."""
+    attrs = _event_attrs(F.col("ad_key"), F.col("list_date"))
+    rows = periods.where(F.col("removed_date").isNull()).select("*", *[c.alias(n) for n, c in attrs.items()])
+    cents = F.expr("(price_eur * 2000 + size_dm) div (2 * size_dm)")
+    return rows.withColumn("_cents", cents).select(
+        F.col("ad_key").cast("string").alias("url_hash"), "room_count", "house_floors", "apt_floor",
+        F.col("price_eur").alias("price"), F.expr("(size_dm + 5) div 10").alias("sqm"),
+        F.expr("(_cents + 50) div 100").alias("sqm_price"), F.col("street").alias("apt_address"), "list_date",
         F.col("days_listed").cast("int").alias("days_listed"), F.lit(None).cast("int").alias("view_count"))
 
 
+def weekly_ads_from_events(events: DataFrame) -> DataFrame:
+    """events -> weekly snapshots (ad_key, run_date): one ad per user and hour
+    of the day, listed in every week in which it has an event."""
+    return events.select((F.col("user_id").cast("bigint") * 24 + F.hour("ts")).alias("ad_key"),
+                         F.to_date(F.date_trunc("week", "ts")).alias("run_date")).distinct()
+
+
 def _cell_row(name: str, value: Column) -> Column:
     return F.concat(F.lit(f'<tr><td class="ads_opt_name">{name}</td><td class="ads_opt">'), value,
                     F.lit("</td></tr>"))

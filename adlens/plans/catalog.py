@@ -86,6 +86,21 @@ life as (select isl.k as ad_key, isl.list_date, c.nxt as removed_date,
                 cast(date_diff('day', isl.list_date, isl.last_d) as integer) as days_listed
          from isl join c on isl.last_d = c.d)"""
 
+def event_price_sql(k: str, d: str) -> str:
+    return (f"cast(case when {k} % 50 = 0 then 3000000000 else 20000 + {k} * 37 % 600000 end"
+            f" + date_part('dayofyear', {d}) * 100 as bigint)")
+
+
+def event_attrs_sql(k: str, d: str) -> str:
+    """The open-ads attributes of an event ad first seen on day ``d``."""
+    size = f"cast(case when {k} % 50 = 0 then 1500 else 200 + {k} * 13 % 900 end as bigint)"
+    price = event_price_sql(k, d)
+    return (f"cast({k} % 5 + 1 as integer) as room_count, cast({k} % 9 + 2 as integer) as house_floors, "
+            f"cast({k} % 3 + 1 as integer) as apt_floor, {price} as price, ({size} + 5) // 10 as sqm, "
+            f"(({price} * 2000 + {size}) // (2 * {size}) + 50) // 100 as sqm_price, "
+            f"'Iela ' || cast({k} % 50 as varchar) as apt_address")
+
+
 STATUS_SQL = EVENTS_DAYS_SQL + """,
 si as (select s.k, s.d, c.i, c.nxt from s join c on s.d = c.d),
 status as (
@@ -207,10 +222,17 @@ def q_removed_history(spark, sf_dir):
         .select("ad_key", F.col("list_date").alias("listed_date"), "removed_date", "days_listed")
 
 
-def q_table_counts(spark, sf_dir):
+def _tables_with_prices(spark, sf_dir):
+    """(open ads, removed ads) of the event ads with prices (Q19)."""
     life = _life(spark, sf_dir)
-    return life.agg(F.count_if(F.col("removed_date").isNull()).alias("active_total"),
-                    F.count_if(F.col("removed_date").isNotNull()).alias("removed_total"))
+    attrs = A._event_attrs(F.col("ad_key"), F.col("list_date"))
+    priced = life.select("*", attrs["price_eur"].alias("price"))
+    return priced.where(F.col("removed_date").isNull()), priced.where(F.col("removed_date").isNotNull())
+
+
+def q_table_counts(spark, sf_dir):
+    """Open ads, removed ads, and the removed ones under the cap."""
+    return ST.table_counts(*_tables_with_prices(spark, sf_dir))
 
 
 def q_price_stats(spark, sf_dir):
@@ -480,9 +502,11 @@ from per_day""",
     "lifecycle_final": _w(ISLANDS_SQL) + " select ad_key, list_date, days_listed from life where removed_date is null",
     "removed_history": _w(ISLANDS_SQL) + """
 select ad_key, list_date as listed_date, removed_date, days_listed from life where removed_date is not null""",
-    "table_counts": _w(ISLANDS_SQL) + """
+    "table_counts": _w(ISLANDS_SQL) + f"""
 select count(*) filter (where removed_date is null) as active_total,
-       count(*) filter (where removed_date is not null) as removed_total from life""",
+       count(*) filter (where removed_date is not null) as removed_total,
+       count(*) filter (where removed_date is not null and {event_price_sql('ad_key', 'list_date')} < 500000) as removed_under_cap
+from life""",
     "price_stats": f"""
 select l_returnflag, count(*) as ad_count, min({_money_sql('l_extendedprice')}) as min_price,
        max({_money_sql('l_extendedprice')}) as max_price,
@@ -644,7 +668,7 @@ def q_dated_copy(spark, sf_dir):
     return back.where(F.col("pub_date") >= F.lit(_dt.date(2024, 2, 15)))
 
 
-# worker-log line formats written by the daily job (our own operator names)
+# fixed values: the worker log's line formats
 LOG_RESULT_LINE = "{} 00:40:00 [INFO ]: snapshot_diff: Result {} new, {} still_listed, {} to_remove hashes"
 LOG_NOISE_LINE = "{} 00:40:01 [INFO ]: table_counts: Active listings in DB: {}"
 
@@ -682,13 +706,13 @@ def _last_snapshot_step(spark, sf_dir):
 
 def q_lifecycle_step(spark, sf_dir):
     step = _last_snapshot_step(spark, sf_dir)
-    return step.listed_next.select(F.col("url_hash").cast("bigint").alias("ad_key"), "list_date", "days_listed")
+    return step.listed_next.select(F.col("url_hash").cast("bigint").alias("ad_key"), *[c for c in L.LISTED_COLS if c not in ("url_hash", "view_count")])
 
 
 def q_lifecycle_step_removed(spark, sf_dir):
     step = _last_snapshot_step(spark, sf_dir)
-    return step.removed_delta.select(F.col("url_hash").cast("bigint").alias("ad_key"), "listed_date",
-                                     "removed_date", "days_listed")
+    return step.removed_delta.select(F.col("url_hash").cast("bigint").alias("ad_key"), "room_count", "house_floors", "apt_floor",
+                                     "price", "sqm", "sqm_price", "apt_address", "listed_date", "removed_date", "days_listed")
 
 
 def q_field_counts(spark, sf_dir):
@@ -751,9 +775,10 @@ select url_hash, city, room_count, apt_floor, house_floors, street, pub_date, si
     "log_tail": _w(RUN_METRICS_SQL) + """
 select cast(run_date as timestamp) + interval 40 minute as logged_at, new_ads, unchanged as still_listed, removed
 from per_day order by run_date desc limit 3""",
-    "lifecycle_step": _w(ISLANDS_SQL) + " select ad_key, list_date, days_listed from life where removed_date is null",
-    "lifecycle_step_removed": _w(ISLANDS_SQL) + """
-select ad_key, list_date as listed_date, removed_date, days_listed from life
+    "lifecycle_step": _w(ISLANDS_SQL) + f"""
+select ad_key, {event_attrs_sql('ad_key', 'list_date')}, list_date, days_listed from life where removed_date is null""",
+    "lifecycle_step_removed": _w(ISLANDS_SQL) + f"""
+select ad_key, {event_attrs_sql('ad_key', 'list_date')}, list_date as listed_date, removed_date, days_listed from life
 where removed_date = (select max(d) from c)""",
     "field_counts": """
 select count(*) as n_url, count(*) as n_room_count, count(*) as n_size_sq_m, count(*) as n_floor, count(*) as n_street,
@@ -917,6 +942,12 @@ ORACLE.update({
 })
 
 
+from . import store_queries as SQ  # noqa: E402 - uses the fragments above
+
+QUERIES.update(SQ.QUERIES)
+ORACLE.update(SQ.oracle(PRICED_PART_ADS_SQL, PART_ADS_SQL, ISLANDS_SQL, EVENTS_DAYS_SQL, event_attrs_sql, event_price_sql, _w))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -91,12 +91,12 @@ def default_parallelism(spark: SparkSession) -> int:
     return sc.defaultParallelism if sc is not None else int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def scratch_path(spark: SparkSession, kind: str) -> str:
+def scratch_path(spark: SparkSession, kind: str, keep: bool = False) -> str:
     """A fresh folder under the shared checkpoint folder for written
     intermediate tables (never a machine-local temp dir on a cluster)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/adlens-{kind}-{uuid.uuid4().hex[:12]}"
-    if (paths := _SCOPE.get()) is not None:
+    if not keep and (paths := _SCOPE.get()) is not None:
         paths.append(path)
     return path
 
