@@ -36,7 +36,7 @@ LENGTH = 50
 ANCHOR = 20
 # Parts into which the runs' text is dealt, per bucket of anchors: their text
 # is many times larger, and sorting takes many bytes of memory for each.
-RUN_PARTS = 16
+RUN_PARTS = 8
 
 
 class SuffixOrder:
@@ -45,6 +45,7 @@ class SuffixOrder:
     def __init__(self, text: np.ndarray, depth: int):
         self.text, self.depth = text, depth
         self.hashes = PrefixHash(BYTE_CODE[text])
+        self.whole = self.hashes.windows(depth)  # of every suffix with ``depth`` bytes
 
     def extension(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Length of the common extension of two suffixes, up to ``depth``."""
@@ -57,10 +58,13 @@ class SuffixOrder:
 
     def less(self, x: np.ndarray, y: np.ndarray, or_equal: np.ndarray) -> np.ndarray:
         """Whether suffix x stands before suffix y (or beside it)."""
-        n = self.extension(x, y)
-        whole = n >= self.depth
-        n = np.where(whole, 0, n)
-        return np.where(whole, or_equal, self.text[x + n] < self.text[y + n])
+        out = self.whole[x] == self.whole[y]
+        differ = np.flatnonzero(~out)
+        x, y = x[differ], y[differ]
+        n = np.minimum(self.extension(x, y), self.depth - 1)
+        out &= or_equal
+        out[differ] = self.text[x + n] < self.text[y + n]
+        return out
 
     def sort(self, starts: np.ndarray, group: np.ndarray) -> np.ndarray:
         """Order of the suffixes by group, then text: bottom-up mergesort in
@@ -101,7 +105,7 @@ class SuffixOrder:
         """For each position of the order but the first whether its string of
         ``depth`` bytes equals the one before; every byte is compared."""
         x, y = starts[order[:-1]], starts[order[1:]]
-        out = (group[order[:-1]] == group[order[1:]]) & (self.extension(x, y) >= self.depth)
+        out = (group[order[:-1]] == group[order[1:]]) & (self.whole[x] == self.whole[y])
         at = np.flatnonzero(out)
         span = np.arange(self.depth)
         for a in range(0, len(at), chunk):
@@ -247,15 +251,20 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     def send_runs(parts):
         for row, ids, off, data in batch_rows(parts):
             (start, count, anchor, low, high), _ = _candidates(ids, off, data, row.column("found0")[0].as_py(), buckets, n_parts)
+            if len(anchor) == 0:
+                continue
             bucket = bucket_of(anchor, n_parts).astype(np.int32)
-            edge = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
-            for a, b in zip(edge, np.append(edge[1:], len(bucket)) if len(edge) else []):
-                text = data[ragged(count[a:b] + LENGTH - 1, start[a:b])]
-                values = [x[a:b].tobytes() for x in (anchor, count, low, high)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([bucket[a]], pa.int32()), row.column("batch").cast(pa.int64()),
-                     *(pa.array([v], pa.binary()) for v in (*values, text.tobytes()))],
-                    ["bucket", "batch", "anchors", "counts", "low", "high", "text"])
+            edge = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            stop = np.append(edge[1:], len(bucket))
+            size = count + LENGTH - 1
+            text = data[ragged(size, start)]
+            reach = np.concatenate([[0], np.cumsum(size)])
+            cuts = list(zip(edge.tolist(), stop.tolist()))
+            values = [pa.array([x[a:b].tobytes() for a, b in cuts], pa.binary()) for x in (anchor, count, low, high)]
+            texts = pa.array([text[reach[a]:reach[b]].tobytes() for a, b in cuts], pa.binary())
+            batch = pa.array(np.full(len(cuts), row.column("batch")[0].as_py()))
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[edge]), batch, *values, texts],
+                                             ["bucket", "batch", "anchors", "counts", "low", "high", "text"])
 
     settled = pin(batched.with_answers(bits).mapInArrow(send_runs, RUNS_SCHEMA).groupBy("bucket").applyInArrow(_settle, SETTLED_SCHEMA))
 
