@@ -7,12 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from .extract import FORMATTED_FIELDS
+from .ranking import rank_within
+from .sizing import pin
 
 CORE_LABELS = [label for _, label, _ in FORMATTED_FIELDS]
 
-# Largest file (in ad blocks) the positional compatibility mode accepts.
-POSITIONAL_MAX_BLOCKS = 100_000
-
 
 class FieldCountMismatch(ValueError):
     """V1 strict mode: the core fields do not occur equally often in a file."""
@@ -40,14 +39,12 @@ def check_field_counts(blocks: DataFrame, strict: bool = False) -> DataFrame:
     return bad
 
 
-def positional_formatted(blocks: DataFrame, max_blocks: int = POSITIONAL_MAX_BLOCKS) -> DataFrame:
+def positional_formatted(blocks: DataFrame) -> DataFrame:
     """V2 compatibility mode: the reference's positional zip. Per file, the
-    i-th URL is paired with the i-th value of every field, trimmed to the
-    shortest list. Needs ``pos`` (W2, from the wholetext reader) and keeps
-    one file per group, so files above ``max_blocks`` are refused."""
-    sizes = blocks.groupBy("source_file").count()
-    if not sizes.where(F.col("count") > max_blocks).isEmpty():
-        raise ValueError(f"positional mode is for files of at most {max_blocks} blocks")
+    i-th URL is paired with the i-th value of every field (``rank``), up to
+    the shortest list. Needs ``pos`` (W2, from the wholetext reader). Values
+    are numbered per (file, field) without a window over a file, and paired
+    by an aggregation on (file, rank), so files may be of any size."""
     tagged = blocks.select("source_file", "pos", F.posexplode(F.split("block", "\n")).alias("_ord", "line"))
     col_for = F.when(F.col("line").contains("https"), F.lit("URL"))
     for name, label, _ in FORMATTED_FIELDS:
@@ -56,13 +53,13 @@ def positional_formatted(blocks: DataFrame, max_blocks: int = POSITIONAL_MAX_BLO
     for src, dst in H.LABEL_RENAMES.items():
         value = F.replace(value, F.lit(src + ":"), F.lit(dst + ":"))
     keyed = tagged.select("source_file", "pos", "_ord", col_for.alias("fld"), value.alias("v")).where("fld is not null")
+    ranked = pin(rank_within(keyed, ["source_file", "fld"], ["pos", "_ord"], "rank"))
     names = ["URL"] + [n for n, _, _ in FORMATTED_FIELDS]
-    per_file = keyed.groupBy("source_file").agg(*[
-        F.transform(F.array_sort(F.collect_list(F.when(F.col("fld") == n, F.struct("pos", "_ord", "v")))),
-                    lambda s: s["v"]).alias(n) for n in names])
-    shortest = F.least(*[F.size(n) for n in names])
-    zipped = per_file.select("source_file", F.explode(F.arrays_zip(*[F.slice(n, 1, shortest).alias(n) for n in names])).alias("z"))
-    return zipped.select("source_file", *[F.col("z." + n).alias(n) for n in names])
+    lists = ranked.groupBy("source_file", "fld").agg(F.max("rank").alias("n"))
+    shortest = lists.groupBy("source_file").agg(F.min("n").alias("_n"), F.count(F.lit(1)).alias("_fields"))
+    zipped = ranked.groupBy("source_file", "rank").agg(*[F.max(F.when(F.col("fld") == n, F.col("v"))).alias(n) for n in names])
+    return (zipped.join(shortest.where(F.col("_fields") == len(names)), "source_file")
+            .where(F.col("rank") <= F.col("_n")).select("source_file", "rank", *names))
 
 
 def is_empty(df: DataFrame) -> bool:

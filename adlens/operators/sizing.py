@@ -17,6 +17,7 @@ from ..session import default_parallelism, scratch_path
 # Default upper bound for a broadcast side (rows). Tables used with it are
 # dimension-like (distinct run dates, per-partition counts).
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
 def pin(df: DataFrame, keep: bool = False) -> DataFrame:
@@ -33,9 +34,12 @@ def pin(df: DataFrame, keep: bool = False) -> DataFrame:
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint when ``df`` has at most ``max_rows`` rows; ``df`` should
-    already be pinned (see ``pin``) so the count is cheap."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+    """Broadcast hint when ``df`` has at most ``max_rows`` rows and these take
+    at most ``BROADCAST_MAX_BYTES`` by their column widths (strings at 64
+    bytes); ``df`` should already be pinned (see ``pin``) so the count is cheap."""
+    width = sum(64 if f.dataType.simpleString() in ("string", "binary") else 16 for f in df.schema.fields)
+    rows = min(max_rows, BROADCAST_MAX_BYTES // width)
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

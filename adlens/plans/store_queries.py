@@ -140,7 +140,7 @@ def q_report_files_by_date(spark, sf_dir):
 def q_all_links(spark, sf_dir):
     """Links of the stored pages and the pages' own addresses as one
     list, each once."""
-    pages = spread(_table(spark, sf_dir, "pages"))
+    pages = spread(SR.read_pages(spark, f"{sf_dir.rstrip('/')}/pages.parquet"))
     links = pages.select(F.explode(H.links("html")).alias("link"))
     return ST.union_distinct(links, pages.select(F.col("url").alias("link")).where("link is not null"))
 
