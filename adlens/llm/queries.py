@@ -90,6 +90,32 @@ def op10_toxicity(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_debruijn, op3_decontaminate, op4_mixing, op5_tokens, op6_warc, op7_topk, op8_langid, op9_neardup, op10_toxicity)}
 ORACLE = {
+    "op1_suffix_dedup": """
+        WITH d AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS n, hex(encode(coalesce(text, ''))) AS h FROM documents),
+             p AS (SELECT doc_id, n, h, unnest(range(0, n)) AS i FROM d),
+             w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM p WHERE i + 50 <= n),
+             f AS (SELECT s, min(doc_id) AS first_doc FROM w GROUP BY s),
+             g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM w JOIN f USING (s) WHERE first_doc < doc_id),
+             b AS (SELECT p.doc_id, p.i, substr(p.h, 2 * p.i + 1, 2) AS x, g.i IS NOT NULL AS gone
+                   FROM p LEFT JOIN g ON p.doc_id = g.doc_id AND p.i = g.i),
+             r AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS begins FROM b),
+             k AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (begins) AS n_spans,
+                          string_agg(x, '' ORDER BY i) FILTER (NOT gone) AS kept FROM r GROUP BY doc_id)
+        SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+        FROM d LEFT JOIN k USING (doc_id)""",
+    "op9_neardup": r"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+             s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + greatest(least(len(w), 5), 1) - 1], ' ') AS x
+                   FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM d)),
+             n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+             c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_n FROM s a JOIN s b USING (x) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+             e AS (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+                   WHERE 100 * both_n >= 85 * (na.n + nb.n - both_n)),
+             reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+             m AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = doc_id AS kept FROM m LEFT JOIN n USING (doc_id)""",
     "op6_warc": """
         WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
                    FROM pages),
