@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.sizing import pin
+from ..session import scratch_scope
 from .components import components
 from .repeats import NO_ID, Batches, answer_keys, batch_rows, distinct_keys, least, read_bits, runs, send_keys, window_ends, write_batches, KEYS_SCHEMA
 from .spans import BASE, PrefixHash, mix, ragged, word_hashes
@@ -218,12 +219,18 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed``, ``n_spans`` (maximal removed
     stretches), ``n_paths`` (compacted paths they run through) and
     ``kept_sha256`` (kept words joined by one space) of every row."""
-    text = RepeatedText(docs)
-    occurrences = pin(text.segments())
-    kept = pin(text.kept())
-    segments, _ = compact(occurrences)
+    with scratch_scope(docs.sparkSession):  # only the result stays
+        text = RepeatedText(docs)
+        occurrences = pin(text.segments())
+        kept = pin(text.kept())
+        segments, _ = compact(occurrences)
+        out = pin(_with_paths(kept, occurrences, segments), keep=True)
+        text.batched.drop()
+    return out
+
+
+def _with_paths(kept: DataFrame, occurrences: DataFrame, segments: DataFrame) -> DataFrame:
     walked = (occurrences.join(segments.select("a", "b", "windows", "content", "path"), ["a", "b", "windows", "content"])
               .groupBy("doc_id").agg(F.count_distinct("path").alias("n_paths")))
-    text.batched.drop()
     return kept.alias("k").join(walked.alias("w"), F.expr("k.doc_id <=> w.doc_id"), "left").select(
         "k.doc_id", "k.n_words", "k.n_removed", "k.n_spans", F.coalesce("w.n_paths", F.lit(0)).cast("bigint").alias("n_paths"), "k.kept_sha256")

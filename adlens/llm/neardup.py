@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.sizing import bounded_broadcast, pin, spread
+from ..session import scratch_scope
 from .components import components
 from .spans import (BASE, BYTE_CODE, STEP, PrefixHash, batches, mix, steps, text_buffer, words)
 
@@ -251,6 +252,11 @@ def connect(pairs: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame
 
 def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every row."""
+    with scratch_scope(docs.sparkSession):  # only the result stays
+        return pin(_near_duplicates(docs, num, den), keep=True)
+
+
+def _near_duplicates(docs: DataFrame, num: int, den: int) -> DataFrame:
     found = pin(documents_sets(docs))
     classes = found.where("n_shingles > 0").groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("rep"))
     sets = pin(found.join(classes, ["n_shingles", "f1", "f2"], "left").select(

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ..operators.sizing import pin
+from ..session import scratch_scope
 from .repeats import NO_ID, Batches, answer_keys, batch_rows, bucket_of, distinct_keys, read_bits, runs, send_keys, write_batches, KEYS_SCHEMA
 from .spans import BYTE_CODE, STEP, PrefixHash, mix, ragged, steps
 
@@ -236,7 +237,11 @@ RESULT_SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed
     runs) and ``kept_sha256`` of the remaining bytes, for every row."""
-    batched = write_batches(docs)
+    with scratch_scope(docs.sparkSession):  # only the result stays
+        return _remove_repeats(write_batches(docs))
+
+
+def _remove_repeats(batched: Batches) -> DataFrame:
     buckets, n_parts = batched.buckets, batched.buckets * RUN_PARTS
 
     def send_anchors(parts):
@@ -303,6 +308,6 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                  pa.array(np.diff(spans[off])), pa.array(sums, pa.string())],
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    out = pin(batched.with_answers(bits, settled).mapInArrow(mark, RESULT_SCHEMA))
+    out = pin(batched.with_answers(bits, settled).mapInArrow(mark, RESULT_SCHEMA), keep=True)
     batched.drop()
     return out

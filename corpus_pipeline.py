@@ -27,7 +27,7 @@ def language(spark, docs, sf_dir):
 def near_duplicates(spark, docs, sf_dir):
     """Keep one document of each near-duplicate group, the smallest doc_id;
     rows that repeat a doc_id count as one document."""
-    found = pin(neardup.near_duplicates(docs, NEAR, 100))
+    found = neardup.near_duplicates(docs, NEAR, 100)
     gone = pin(found.where(~F.col("kept")).select("doc_id").distinct())
     rows = docs.join(bounded_broadcast(gone, neardup.BROADCAST_ROWS), "doc_id", "left_anti").select(docs.columns)
     twice = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()

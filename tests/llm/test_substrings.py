@@ -96,6 +96,20 @@ def test_paths_hold_the_repeated_windows(spark):
     text = debruijn.RepeatedText(documents(spark, rows))
     segments, paths = debruijn.compact(text.segments())
     found = paths.collect()
+    text.batched.drop()
     assert all(r["verified"] for r in found if r["n_occurrences"] > 1)
     longest = max(found, key=lambda r: r["n_words"])
     assert longest["n_segments"] > 1 and longest["source"]["doc_id"] == 1
+
+
+def test_only_the_results_stay(spark):
+    import os
+
+    from adlens.llm import neardup
+    from adlens.session import ensure_checkpoint_dir
+    shared = ensure_checkpoint_dir(spark).removeprefix("file:")
+    for operator in (suffix_dedup.remove_repeats, debruijn.remove_repeats, neardup.near_duplicates):
+        before = set(os.listdir(shared))
+        out = operator(documents(spark, ROWS[:20]))
+        assert len(set(os.listdir(shared)) - before) == 1 and out.count() == 20
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("batches_")]
