@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..operators.sizing import spread
 from .langid import LETTER
-from .spans import BASE, BYTE_CODE, STEP, PrefixHash, batches, lookup, mix, steps, text_buffer, words
+from .spans import BASE, BYTE_CODE, STEP, PrefixHash, lookup, mix, small_batches, steps, text_buffer, words
 
 MAX_WINDOW = 16
 MAX_EDITS = 0.2
@@ -263,7 +263,7 @@ def contaminated_items(docs: DataFrame, items: DataFrame, round_items: int = ROU
 
     def search(shared):
         def run(parts):
-            for part in batches(parts):
+            for part in small_batches(parts):
                 found = shared.value.search(part.column("text"))
                 known = part.column("item_ids").to_pylist()
                 merged = pa.array([sorted({*x, *y}) for x, y in zip(known, found)], pa.list_(pa.int64()))
@@ -280,7 +280,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, round_items: int = ROUN
 
     def search(shared):
         def run(parts):
-            for part in batches(parts):
+            for part in small_batches(parts):
                 found = shared.value.search(part.column("text"))
                 yield part.filter(pa.array([not x for x in found], pa.bool_()))
         return run

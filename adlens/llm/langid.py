@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.sizing import spread
-from .spans import (BYTE_CODE, STEP, PrefixHash, batches, codes_of, lookup, mix, steps, text_buffer, words)
+from .spans import (BYTE_CODE, STEP, PrefixHash, codes_of, lookup, mix, small_batches, steps, text_buffer, words)
 
 UNKNOWN = "und"
 MAX_GRAM = 4
@@ -158,7 +158,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(parts):
-        for part in batches(parts):
+        for part in small_batches(parts):
             best, score = model.predict(part.column("text"))
             names = np.array([*model.langs, UNKNOWN], object)[best]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(names, pa.string()), pa.array(score)],
@@ -174,7 +174,7 @@ def keep_identified(docs: DataFrame, model: LanguageModel, min_score: float = 0.
         return docs
 
     def run(parts):
-        for part in batches(parts):
+        for part in small_batches(parts):
             best, score = model.predict(part.column("text"))
             yield part.filter(pa.array((best >= 0) & (score >= min_score)))
 

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from ..operators.sizing import bounded_broadcast, pin, spread
 from ..session import scratch_scope
 from .components import components
-from .spans import (BASE, BYTE_CODE, STEP, PrefixHash, batches, mix, steps, text_buffer, words)
+from .spans import (BASE, BYTE_CODE, STEP, PrefixHash, batches, mix, small_batches, steps, text_buffer, words)
 
 SHINGLE = 5
 TREES, DEPTH, COLUMNS = 24, 5, 10
@@ -112,7 +112,7 @@ def documents_sets(docs: DataFrame) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(parts):
-        for part in batches(parts):
+        for part in small_batches(parts):
             data, off = text_buffer(part.column("text"))
             n = len(off) - 1
             row, code = shingle_sets(data, off)
@@ -212,7 +212,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame
     one row per doc_id."""
 
     def run(parts):
-        for part in batches(parts):
+        for part in small_batches(parts, ("text_a", "text_b")):
             n = part.num_rows
             (ra, ca), (rb, cb) = (shingle_sets(*text_buffer(part.column(c))) for c in ("text_a", "text_b"))
             row, code = np.concatenate([ra, rb]), np.concatenate([ca, cb])

@@ -150,3 +150,12 @@ def codes_of(texts: list[str]) -> np.ndarray:
 def batches(table_batches):
     """Arrow record batches without the empty ones."""
     return (b for b in table_batches if b.num_rows)
+
+
+def small_batches(table_batches, columns=("text",), limit: int = 4 * STEP):
+    """Record batches cut to rows whose texts in ``columns`` together take
+    about ``limit`` bytes, so that the arrays made from them stay small."""
+    for part in batches(table_batches):
+        size = sum(np.diff(text_buffer(part.column(c))[1]) for c in columns)
+        for a, b in steps(np.concatenate([[0], np.cumsum(size)]), limit):
+            yield part.slice(a, b - a)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..operators.sizing import pin, spread
 from .langid import LETTER, WORD_PATTERN
-from .spans import BYTE_CODE, STEP, PrefixHash, batches, codes_of, lookup, mix, steps, text_buffer, words
+from .spans import BYTE_CODE, STEP, PrefixHash, codes_of, lookup, mix, small_batches, steps, text_buffer, words
 
 SECOND_PERSON = ("you your yours yourself u ur du dich dir dein deine euch euer tu toi ton tes vous votre "
                  "tú tus usted ustedes").split()
@@ -147,7 +147,7 @@ class ToxicityModel:
 
 def _with_features(rows: DataFrame, lexicon: Lexicon, keep: list[str]) -> DataFrame:
     def run(parts):
-        for part in batches(parts):
+        for part in small_batches(parts):
             table = lexicon.features(part.column("text"))
             flat = pa.FixedSizeListArray.from_arrays(pa.array(table.ravel()), N_FEATURES).cast(pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), flat], [*keep, "features"])
