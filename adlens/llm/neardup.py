@@ -3,12 +3,17 @@
 A document's set holds its distinct five-word shingles. Documents with equal
 sets form one class, found by an aggregation on a fingerprint of the set, so
 copies of any number cost one row per task. Each class representative has a
-MinHash signature; a tree is one order of the signature's columns. Per tree
-the signatures are range-partitioned and sorted, and every document's
-candidates are the ``NEIGHBOURS`` rows that follow it with at least ``DEPTH``
-leading columns in common: in sparse regions these are all rows of that
-depth, in dense ones those with the longest common prefix, so depth adapts to
-the region. A hot prefix is split like any other range.
+MinHash signature; a tree is one order of the signature's columns. The rows
+with the same ``DEPTH`` leading columns are a region of the tree. All pairs of
+a region of at most ``NEIGHBOURS`` rows are candidates; no such region is cut
+between tasks. A larger one is split over tasks in the order of its further
+columns, and each row first meets only the ``NEIGHBOURS`` rows that follow it.
+Once these are confirmed and joined, the large regions that still hold more
+than one component are settled by a prefix-filtered join of the shingles: rare
+shingles first, a pair that reaches the similarity shares a shingle among the
+first few of both sets, at places that leave room for enough others. Only
+pairs between components come out of that join, so a large family of near
+copies adds none, nor does one whose members all lie under the similarity.
 
 Candidates whose set sizes or sketches (two bits of each of ``SKETCHED``
 minima) rule out the similarity are dropped at once. The others are confirmed
@@ -19,8 +24,8 @@ inside a component add nothing to the result, so a group of near copies costs
 about as many comparisons as it has members, not pairs.
 
 Each tree of ``DEPTH`` columns finds a pair of similarity s with probability
-s^DEPTH; with 24 trees of 5 columns a pair at 0.85 is missed in a sparse region
-once in a million. Sets are compared by 64-bit hashes of their shingles.
+s^DEPTH; with 24 trees of 5 columns a pair at 0.85 meets in no tree once in a
+million. Sets are compared by 64-bit hashes of their shingles.
 
 Defined cases: null or blank texts have an empty set and no links; texts of
 fewer than five words have their whole word sequence as the one shingle;
@@ -33,7 +38,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.sizing import bounded_broadcast, pin, spread
@@ -53,6 +58,8 @@ ROUNDS = 1
 BROADCAST_ROWS = 200_000
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+# Zero pairs of bits of a byte.
+EQUAL = np.array([sum(i >> k & 3 == 0 for k in (0, 2, 4, 6)) for i in range(256)], np.uint8)
 _SEEDS = mix(np.arange(1, 2 * SKETCHED + 1, dtype=np.uint64) * np.uint64(BASE))
 MULTIPLY, ADD = _SEEDS[:SKETCHED] | np.uint64(1), _SEEDS[SKETCHED:]
 
@@ -136,49 +143,71 @@ def tree_columns(tree: int) -> np.ndarray:
     return np.concatenate([own, rest[~np.isin(rest, own)][:COLUMNS - DEPTH]])
 
 
-def candidate_pairs(sets: DataFrame, num: int, den: int, neighbours: int = NEIGHBOURS) -> DataFrame:
-    """Distinct ``a``, ``b`` that share a region of some tree and may reach
-    similarity num / den, with the ``agreement`` of their sketches."""
+def _signature(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), HASHES)
+
+
+def _region(sig: np.ndarray, tree: int) -> np.ndarray:
+    """One number for a tree and the leading columns of each signature."""
+    out = np.full(len(sig), mix(np.array([tree + 1], np.uint64))[0])
+    for k in tree_columns(tree)[:DEPTH]:
+        out = mix(out * np.uint64(BASE) + sig[:, k].astype(np.uint64))
+    return out.view(np.int64)
+
+
+def regions(sets: DataFrame) -> DataFrame:
+    """``region`` and ``doc_id``: a row for every document and tree."""
+
+    def run(parts):
+        for part in batches(parts):
+            sig = _signature(part.column("signature"))
+            for t in range(TREES):
+                yield pa.RecordBatch.from_arrays([pa.array(_region(sig, t)), part.column("doc_id")], ["region", "doc_id"])
+
+    return sets.select("doc_id", "signature").mapInArrow(run, "region bigint, doc_id bigint")
+
+
+def _least_agreement(num: int, den: int) -> float:
+    """The agreement of two sketches under which num / den is ruled out."""
     expected = num / den + (1 - num / den) / 4
-    least = SKETCHED * expected - SLACK * (SKETCHED * expected * (1 - expected)) ** 0.5
+    return SKETCHED * expected - SLACK * (SKETCHED * expected * (1 - expected)) ** 0.5
+
+
+def candidate_pairs(sets: DataFrame, hot: DataFrame, num: int, den: int) -> DataFrame:
+    """Distinct ``a``, ``b`` that share a region of some tree and may reach
+    similarity num / den, with the ``agreement`` of their sketches: all of
+    them, but in the ``hot`` regions only ``NEIGHBOURS`` followers a row."""
+    neighbours, least = NEIGHBOURS, _least_agreement(num, den)
 
     def grow(parts):
         for part in batches(parts):
             n = part.num_rows
-            sig = np.frombuffer(b"".join(part.column("signature").to_pylist()), np.uint16).reshape(n, HASHES)
+            sig = _signature(part.column("signature"))
             for t in range(TREES):
-                key = np.ascontiguousarray(sig[:, tree_columns(t)]).astype(">u2")
+                key = np.ascontiguousarray(sig[:, tree_columns(t)[DEPTH:]]).astype(">u2")
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, t, np.int32)), _fixed(key.tobytes(), 2 * COLUMNS, n), part.column("doc_id"),
+                    [pa.array(_region(sig, t)), _fixed(key.tobytes(), 2 * (COLUMNS - DEPTH), n), part.column("doc_id"),
                      part.column("n_shingles").cast(pa.int32()), part.column("sketch")],
-                    ["tree", "key", "doc_id", "n", "sketch"])
-
-    equal = np.array([sum(i >> k & 3 == 0 for k in (0, 2, 4, 6)) for i in range(256)], np.uint8)
+                    ["region", "key", "doc_id", "n", "sketch"])
 
     def near(parts):
         held = None
         for part in batches(parts):
             n = part.num_rows
-            key = np.frombuffer(b"".join(part.column("key").to_pylist()), np.uint8).reshape(n, -1)[:, :2 * DEPTH]
-            now = (part.column("tree").to_numpy(), key, part.column("doc_id").to_numpy(), part.column("n").to_numpy().astype(np.int64),
+            now = (part.column("region").to_numpy(), part.column("doc_id").to_numpy(), part.column("n").to_numpy().astype(np.int64),
                    np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8).reshape(n, -1))
             fresh = 0 if held is None else len(held[0])
-            tree, key, ids, size, sketch = now if held is None else tuple(np.concatenate(x) for x in zip(held, now))
-            same = np.flatnonzero((tree[1:] == tree[:-1]) & (key[1:] == key[:-1]).all(axis=1))
-            run = np.zeros(len(tree), np.int64)  # rows with one tree and prefix share a number
-            run[1:] = 1
-            run[same + 1] = 0
-            run = np.cumsum(run)
+            region, ids, size, sketch = now if held is None else tuple(np.concatenate(x) for x in zip(held, now))
             i_out, j_out, agree_out = [], [], []
-            for step in range(1, min(neighbours, len(tree) - 1) + 1):
-                i = np.flatnonzero(run[step:] == run[:-step])
+            for step in range(1, min(neighbours, len(region) - 1) + 1):
+                i = np.flatnonzero(region[step:] == region[:-step])
                 if len(i) == 0:
                     break
                 j = i + step
                 i, j = i[j >= fresh], j[j >= fresh]
                 ok = np.minimum(size[i], size[j]) * den >= np.maximum(size[i], size[j]) * num
                 i, j = i[ok], j[ok]
-                agree = equal[sketch[i] ^ sketch[j]].sum(axis=1)
+                agree = EQUAL[sketch[i] ^ sketch[j]].sum(axis=1)
                 ok = agree >= least
                 i_out.append(i[ok])
                 j_out.append(j[ok])
@@ -192,11 +221,14 @@ def candidate_pairs(sets: DataFrame, num: int, den: int, neighbours: int = NEIGH
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[i[edge]]), pa.ListArray.from_arrays(off, pa.array(ids[j])), pa.ListArray.from_arrays(off, pa.array(agree, pa.int32()))],
                     ["a", "b", "agreement"])
-            held = tuple(x[-neighbours:] for x in (tree, key, ids, size, sketch))
+            held = tuple(x[-neighbours:] for x in (region, ids, size, sketch))
 
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = sets.select("doc_id", "n_shingles", "signature", "sketch").mapInArrow(grow, "tree int, key binary, doc_id bigint, n int, sketch binary")
-    ordered = rows.repartitionByRange(parts, "tree", "key", "doc_id").sortWithinPartitions("tree", "key", "doc_id")
+    rows = sets.select("doc_id", "n_shingles", "signature", "sketch").mapInArrow(grow, "region bigint, key binary, doc_id bigint, n int, sketch binary")
+    # only a hot region's rows differ in the columns that cut the ranges
+    marked = rows.join(bounded_broadcast(hot, BROADCAST_ROWS).withColumn("hot", F.lit(True)), "region", "left")
+    ordered = marked.repartitionByRange(parts, "region", F.when(F.col("hot"), F.col("key")), F.when(F.col("hot"), F.col("doc_id"))).select(
+        "region", "key", "doc_id", "n", "sketch").sortWithinPartitions("region", "key", "doc_id")
     lists = ordered.mapInArrow(near, "a bigint, b array<bigint>, agreement array<int>")
     per = lists.groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("b", "agreement")))).alias("found"))
     pairs = per.select("a", F.explode("found").alias("x")).where("a <> x.b")
@@ -228,9 +260,65 @@ def confirm(pairs: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame
     return both.select("a", "text_a", "b", "text_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def connect(pairs: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame:
-    """``node`` and ``component`` of every document with a confirmed link."""
-    label = None
+def unsettled(sets: DataFrame, hot: DataFrame, label: DataFrame) -> DataFrame:
+    """``doc_id`` and ``component`` of the rows of those hot regions that hold
+    more than one component."""
+    inside = regions(sets).join(bounded_broadcast(hot, BROADCAST_ROWS), "region")
+    named = pin(inside.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+                .select("region", "doc_id", F.coalesce("component", "doc_id").alias("component")))
+    mixed = pin(named.groupBy("region").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("region"))
+    return named.join(bounded_broadcast(mixed, BROADCAST_ROWS), "region", "left_semi").select("doc_id", "component").distinct()
+
+
+def joined_pairs(open_rows: DataFrame, texts: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """``a``, ``b`` and ``agreement`` of every pair of ``open_rows`` in
+    different components whose sets may reach num / den, from a join of the
+    sets' rarest shingles (prefix and position filters); ``texts`` has one
+    row per doc_id."""
+
+    def explode(parts):
+        for part in small_batches(parts):
+            row, code = shingle_sets(*text_buffer(part.column("text")))
+            count = np.bincount(row, minlength=part.num_rows).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(row)), pa.array(count[row]), pa.array(code.view(np.int64))],
+                                             ["doc_id", "n", "code"])
+
+    every = spread(texts.select("doc_id", "text")).mapInArrow(explode, "doc_id bigint, n int, code bigint")
+    often = pin(every.groupBy("code").agg(F.count(F.lit(1)).alias("seen")).where(F.col("seen") > NEIGHBOURS))
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.coalesce("seen", F.lit(0)), "code"))
+    # a set shares at least num / den of its shingles with one that reaches the
+    # similarity, and 2 num / (num + den) of them with one of its size or more
+    head = every.join(bounded_broadcast(often, BROADCAST_ROWS), "code", "left").withColumn("place", place).where(
+        F.expr(f"place <= n - (n * {num}L + {den - 1}) div {den} + 1"))
+    head = pin(head.join(open_rows, "doc_id").select("code", "doc_id", "n", "place", "component"))
+    per = head.groupBy("code", "component").agg(F.count(F.lit(1)).alias("rows"))
+    main = per.groupBy("code").agg(F.max_by("component", F.struct("rows", "component")).alias("main"), F.count(F.lit(1)).alias("kinds"))
+    head = pin(head.join(main.where("kinds > 1").select("code", "main"), "code").withColumn("in_main", F.expr("component = main")).drop("main"))
+    first = head.where(F.expr(f"place <= n - (2 * n * {num}L + {num + den - 1}) div {num + den} + 1"))
+    # the rows of a shingle's largest component never meet each other
+    together = f"(({num}L * (x.n + y.n) + {num + den - 1}) div {num + den})"
+    meet = F.expr(f"""x.code = y.code and x.component <> y.component and (x.n < y.n or x.n = y.n and x.doc_id < y.doc_id)
+                      and x.n - x.place + 1 >= {together} and y.n - y.place + 1 >= {together}""")
+    found = [x.alias("x").join(y.alias("y"), meet).select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
+             for x, y in ((first.where("not in_main"), head), (first.where("in_main"), head.where("not in_main")))]
+    pairs = found[0].unionByName(found[1]).distinct()
+    least = _least_agreement(num, den)
+
+    def agree(parts):
+        for part in batches(parts):
+            a, b = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint8).reshape(part.num_rows, -1) for c in ("sa", "sb"))
+            same = EQUAL[a ^ b].sum(axis=1).astype(np.int32)
+            out = pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(same)], ["a", "b", "agreement"])
+            yield out.filter(pa.array(same >= least))
+
+    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("sketch").alias("sa")), "a").join(
+        sets.select(F.col("doc_id").alias("b"), F.col("sketch").alias("sb")), "b")
+    return both.select("a", "b", "sa", "sb").mapInArrow(agree, "a bigint, b bigint, agreement int")
+
+
+def connect(pairs: DataFrame, texts: DataFrame, num: int, den: int, label: DataFrame | None = None) -> DataFrame:
+    """``node`` and ``component`` of every document with a confirmed link,
+    from the pairs and the components in ``label``."""
     for last in [False] * ROUNDS + [True]:
         if label is not None:  # what is left lies between components
             left = label.select(F.col("node").alias("a"), F.col("component").alias("ca"))
@@ -257,17 +345,25 @@ def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame
         return pin(_near_duplicates(docs, num, den), keep=True)
 
 
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    return pin(docs.select("doc_id", "text").join(bounded_broadcast(pin(wanted), BROADCAST_ROWS), "doc_id", "left_semi")
+               .dropDuplicates(["doc_id"]))
+
+
 def _near_duplicates(docs: DataFrame, num: int, den: int) -> DataFrame:
     found = pin(documents_sets(docs))
     classes = found.where("n_shingles > 0").groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("rep"))
     sets = pin(found.join(classes, ["n_shingles", "f1", "f2"], "left").select(
         "doc_id", "n_shingles", "rep", *[F.when(F.col("doc_id") == F.col("rep"), F.col(c)).alias(c) for c in ("signature", "sketch")]))
     reps = sets.where("signature is not null").dropDuplicates(["doc_id"])
-    pairs = pin(candidate_pairs(reps, num, den))
+    hot = pin(regions(reps).groupBy("region").count().where(F.col("count") > NEIGHBOURS).select("region"))
+    pairs = pin(candidate_pairs(reps, hot, num, den))
     wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = pin(docs.select("doc_id", "text").join(bounded_broadcast(pin(wanted), BROADCAST_ROWS), "doc_id", "left_semi")
-                .dropDuplicates(["doc_id"]))
-    label = connect(pairs, texts, num, den)
+    label = connect(pairs, _texts(docs, wanted), num, den)
+    open_rows = pin(unsettled(reps, hot, label))
+    if open_rows.limit(1).count():
+        texts = _texts(docs, open_rows.select("doc_id"))
+        label = connect(pin(joined_pairs(open_rows, texts, reps, num, den)), texts, num, den, label)
     named = sets.select("doc_id", "n_shingles", "rep").join(label.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.coalesce("component", "rep", "doc_id")
     return named.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))

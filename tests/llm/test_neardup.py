@@ -60,6 +60,18 @@ def test_groups(spark, num):
     assert any(not k for *_, k in want)
 
 
+def test_links_inside_a_large_family(spark):
+    """Members of a template at 0.80 of each other, and a few pairs at 0.86."""
+    rng = random.Random(5)
+    template, ids = [f"t{i}" for i in range(100)], rng.sample(range(100_000), 3040)
+    tail = lambda i, n: [f"u{i}_{k}" for k in range(n)]
+    rows = [(ids[i], " ".join([*template, *tail(i, 12)]), None, None) for i in range(3000)]
+    rows += [(ids[3000 + i], " ".join([*template, *tail(i, 4), *tail(3000 + i, 8)]), None, None) for i in range(40)]
+    got = neardup.near_duplicates(documents(spark, rows), 85, 100).collect()
+    want = {i: i for i in ids} | {ids[k]: min(ids[i], ids[3000 + i]) for i in range(40) for k in (i, 3000 + i)}
+    assert {r["doc_id"]: r["component_id"] for r in got} == want and len(got) == len(rows)
+
+
 def test_null_ids_and_empty_table(spark):
     rows = [(None, "a b c d e f", None, None), (4, "A b c d e f", None, None), (5, None, None, None), (None, "", None, None)]
     got = neardup.near_duplicates(documents(spark, rows)).collect()
