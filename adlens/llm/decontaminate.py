@@ -5,10 +5,11 @@ walk reads a window of words: at each step it puts out the word it stands on
 and moves on or stays, as a random bit of that word and step says. Windows at
 small edit distance put out mostly equal words, so Hamming methods apply: one
 repetition samples a few steps of the walk as its key, and the number of
-repetitions is raised until simulated edits of the benchmark's own items reach
-``target_recall``. Windows have the size class of the items (the largest power
-of two up to ``MAX_WINDOW`` that fits) and slide over both sides, so a long
-item has many chances to be found.
+repetitions is raised for each item length by itself until simulated edits of
+the benchmark's own items of that length reach ``target``; if they never do,
+it is an error. Windows are the largest power of two up to ``MAX_WINDOW`` that
+fits into two thirds of the item, and slide over both sides, so that every
+item that may be edited has several windows.
 
 Documents' windows are walked in one pass, all positions at once, and dropped
 as soon as the steps sampled so far match no item. What remains names an item
@@ -41,7 +42,9 @@ MAX_WINDOW = 16
 MAX_EDITS = 0.2
 ROUND_ITEMS = 20_000
 TARGET_RECALL = 0.99
-MAX_REPEATS = 16
+# An item length that needs more repetitions than this is an error.
+MAX_REPEATS = 256
+TRIALS = 400
 # Sampled steps per key, by window size.
 SAMPLES = {1: 1, 2: 1, 4: 2, 8: 3, 16: 4}
 WORD_BYTE = LETTER.copy()
@@ -102,44 +105,63 @@ class Benchmark:
         self.items = [codes[off[i]:off[i + 1]] for i in full]
         self.limit = np.array([int(max_edits * len(x)) for x in self.items])
         self.classes = []
-        window_of = np.array([min(MAX_WINDOW, 1 << (len(x).bit_length() - 1)) for x in self.items], np.int64)
+        window_of = np.array([_window(len(x), e) for x, e in zip(self.items, self.limit)], np.int64)
         for window in sorted(set(window_of.tolist())):
             members = np.flatnonzero(window_of == window)
-            flat = np.concatenate([self.items[i] for i in members])
-            start = np.concatenate([[0], np.cumsum([len(self.items[i]) for i in members])])
-            at = np.concatenate([np.arange(a, b - window + 1) for a, b in zip(start[:-1], start[1:])])
-            item = np.searchsorted(start, at, side="right") - 1
+            flat, start = _flat([self.items[i] for i in members])
+            at, item = _windows(start, window)
+            need = self._repeats(window, members, target)[item]
             repeats = []
-            for number in range(self._repeats(window, members, target)):
+            for number in range(int(need.max())):
+                mine, of = at[need > number], item[need > number]
                 walk, levels = Repeat(window, number), []
-                _, key = walk.keys(flat, at, lambda i, k: levels.append(_Members(k)) or np.ones(len(k), bool))
+                _, key = walk.keys(flat, mine, lambda i, k: levels.append(_Members(k)) or np.ones(len(k), bool))
                 order = np.argsort(key, kind="stable")
-                repeats.append((walk, levels, key[order], members[item[order]], (at - start[item])[order], at[order]))
+                repeats.append((walk, levels, key[order], members[of[order]], (mine - start[of])[order], mine[order]))
             self.classes.append((window, flat, repeats))
 
-    def _repeats(self, window: int, members: np.ndarray, target: float) -> int:
-        """Repetitions that find ``target`` of simulated copies with as many
-        random edits as are allowed; items of the class, 400 trials."""
-        rng = np.random.default_rng(window)
-        found = np.zeros(400, bool)
-        pairs = []
-        for _ in range(len(found)):
+    def _repeats(self, window: int, members: np.ndarray, target: float) -> np.ndarray:
+        """For each member the repetitions that find ``target`` of simulated
+        copies, with as many random edits as are allowed, of items of its
+        length; long items take the number of the shortest of their octave."""
+        size = np.array([len(self.items[i]) for i in members])
+        octave = 1 << np.maximum(np.log2(size).astype(np.int64), 0)
+        kind = np.where(size <= 4 * MAX_WINDOW, size, octave)
+        out = np.ones(len(members), np.int64)
+        for k in np.unique(kind):
+            least = size[kind == k].min()
+            if self.limit[members[size == least][0]]:
+                out[kind == k] = self._needed(window, members[size == least], target)
+        return out
+
+    def _needed(self, window: int, members: np.ndarray, target: float) -> int:
+        length = len(self.items[members[0]])
+        rng = np.random.default_rng([window, length])
+        items, copies = [], []
+        for _ in range(TRIALS):
             i = members[rng.integers(len(members))]
             word = [[int(x)] for x in self.items[i]]
             for place in rng.permutation(len(word))[:self.limit[i]]:
                 new = int(rng.integers(1 << 62))
                 word[place] = ([new], [], [*word[place], new])[rng.integers(3)]
-            pairs.append((self.items[i], np.array([x for w in word for x in w] + [1] * window, np.uint64)))
+            items.append(self.items[i])
+            copies.append(np.array([x for w in word for x in w] + rng.integers(1 << 62, size=window).tolist(), np.uint64))
+        (flat, start), (other, begin) = _flat(items), _flat(copies)
+        (at, of), (to, by) = _windows(start, window), _windows(begin, window)
+        found = np.zeros(TRIALS, bool)
+        label = mix(np.arange(TRIALS, dtype=np.uint64))
         for number in range(MAX_REPEATS):
             walk = Repeat(window, number)
-            for j, (item, copy) in enumerate(pairs):
-                if not found[j]:
-                    _, a = walk.keys(item, np.arange(len(item) - window + 1))
-                    _, b = walk.keys(copy, np.arange(len(copy) - window + 1))
-                    found[j] = bool(np.isin(a, b).any())
+            at, of, to, by = at[~found[of]], of[~found[of]], to[~found[by]], by[~found[by]]
+            x, y = _fold(walk.keys(flat, at)[1], label[of]), _fold(walk.keys(other, to)[1], label[by])
+            order = np.argsort(x, kind="stable")
+            which, entry = _matches(x[order], y)
+            entry = order[entry]
+            good = _alike(other, to[which], flat, at[entry], window)
+            found[of[entry[good]]] = True
             if found.mean() >= target:
                 return number + 1
-        return MAX_REPEATS
+        raise ValueError(f"{MAX_REPEATS} repetitions find {found.mean():.3f} of the copies of items of {length} words, not {target}")
 
     def search(self, column) -> list[list[int]]:
         """For each text the sorted ids of the items it holds."""
@@ -156,10 +178,7 @@ class Benchmark:
             at = np.flatnonzero(np.arange(len(codes)) + window <= off[1:][row_of]) if len(codes) else np.zeros(0, np.int64)
             for walk, levels, keys, item, offset, begin in repeats:
                 place, key = walk.keys(codes, at, lambda i, k: levels[i].has(k))
-                lo, hi = np.searchsorted(keys, key), np.searchsorted(keys, key, side="right")
-                count = hi - lo
-                which = np.repeat(np.arange(len(place)), count)
-                entry = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(lo, count)
+                which, entry = _matches(keys, key)
                 close = _alike(codes, place[which], flat, begin[entry], window)
                 which, entry = which[close], entry[close]
                 rows.append(row_of[place[which]])
@@ -213,6 +232,31 @@ class Benchmark:
         return cost.min(axis=1)
 
 
+def _window(size: int, edits: int) -> int:
+    """The window for items of ``size`` words; one that must occur exactly
+    needs no second window."""
+    return min(MAX_WINDOW, 1 << ((2 * size // 3 if edits else size).bit_length() - 1))
+
+
+def _flat(parts: list) -> tuple[np.ndarray, np.ndarray]:
+    """The arrays one after the other, and their n + 1 offsets."""
+    return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])
+
+
+def _windows(start: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of all windows that lie inside one part, and their parts."""
+    at = np.concatenate([np.arange(a, b - window + 1) for a, b in zip(start[:-1], start[1:])])
+    return at, np.searchsorted(start, at, side="right") - 1
+
+
+def _matches(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every pair of a wanted key and an equal one among the sorted keys."""
+    lo, hi = np.searchsorted(keys, wanted), np.searchsorted(keys, wanted, side="right")
+    count = hi - lo
+    which = np.repeat(np.arange(len(wanted)), count)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(lo, count)
+
+
 def _alike(codes, at, other, begin, window: int, chunk: int = 1 << 13) -> np.ndarray:
     """Whether more than half of a window's words stand in the other window;
     a candidate fails where most of its edits crowd, and passes elsewhere."""
