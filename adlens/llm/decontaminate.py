@@ -9,7 +9,8 @@ repetitions is raised for each item length by itself until simulated edits of
 the benchmark's own items of that length reach ``target``; if they never do,
 it is an error. Windows are the largest power of two up to ``MAX_WINDOW`` that
 fits into two thirds of the item, and slide over both sides, so that every
-item that may be edited has several windows.
+item that may be edited has several windows. Every word of a document starts
+one: end marks follow its last word.
 
 Documents' windows are walked in one pass, all positions at once, and dropped
 as soon as the steps sampled so far match no item. What remains names an item
@@ -39,6 +40,8 @@ from .langid import LETTER
 from .spans import BASE, BYTE_CODE, STEP, PrefixHash, lookup, mix, small_batches, steps, text_buffer, words
 
 MAX_WINDOW = 16
+# The word code of the end marks after every document.
+END = np.uint64(0)
 MAX_EDITS = 0.2
 ROUND_ITEMS = 20_000
 TARGET_RECALL = 0.99
@@ -145,7 +148,7 @@ class Benchmark:
                 new = int(rng.integers(1 << 62))
                 word[place] = ([new], [], [*word[place], new])[rng.integers(3)]
             items.append(self.items[i])
-            copies.append(np.array([x for w in word for x in w] + rng.integers(1 << 62, size=window).tolist(), np.uint64))
+            copies.append(np.array([x for w in word for x in w] + [int(END)] * MAX_WINDOW, np.uint64))
         (flat, start), (other, begin) = _flat(items), _flat(copies)
         (at, of), (to, by) = _windows(start, window), _windows(begin, window)
         found = np.zeros(TRIALS, bool)
@@ -173,17 +176,22 @@ class Benchmark:
 
     def _search(self, codes, off, out) -> None:
         rows, items, places = [], [], []
+        row_of = np.repeat(np.arange(len(off) - 1), np.diff(off))
+        at = np.arange(len(codes)) + MAX_WINDOW * row_of  # the words between end marks
+        marked = np.full(len(codes) + MAX_WINDOW * (len(off) - 1), END)
+        marked[at] = codes
+        home = np.zeros(len(marked), np.int64)
+        home[at] = row_of
         for window, flat, repeats in self.classes:
-            row_of = np.repeat(np.arange(len(off) - 1), np.diff(off))
-            at = np.flatnonzero(np.arange(len(codes)) + window <= off[1:][row_of]) if len(codes) else np.zeros(0, np.int64)
             for walk, levels, keys, item, offset, begin in repeats:
-                place, key = walk.keys(codes, at, lambda i, k: levels[i].has(k))
+                place, key = walk.keys(marked, at, lambda i, k: levels[i].has(k))
                 which, entry = _matches(keys, key)
-                close = _alike(codes, place[which], flat, begin[entry], window)
+                close = _alike(marked, place[which], flat, begin[entry], window)
                 which, entry = which[close], entry[close]
-                rows.append(row_of[place[which]])
+                row = home[place[which]]
+                rows.append(row)
                 items.append(item[entry])
-                places.append(place[which] - offset[entry])
+                places.append(place[which] - MAX_WINDOW * row - offset[entry])
         if not rows:
             return
         row, item, place = (np.concatenate(x) for x in (rows, items, places))

@@ -36,3 +36,20 @@ def test_a_target_out_of_reach_is_an_error(monkeypatch):
     monkeypatch.setattr("adlens.llm.decontaminate.MAX_REPEATS", 1)
     with pytest.raises(ValueError, match="16 words"):
         build([make(random.Random(1), 16)])
+
+
+def test_copies_that_end_the_document():
+    rng = random.Random(3)
+    items = [make(rng, n) for n in (5, 6, 8, 16, 17, 30) for _ in range(40)]
+    index = build(items)
+    for before in (0, 30):
+        cut = index.search(pa.array([" ".join(make(rng, before) + x[:-(len(x) // 5)]) for x in items]))
+        assert sum(k in x for k, x in enumerate(cut)) >= 0.98 * len(items)
+        other = index.search(pa.array([" ".join(make(rng, before) + edited(rng, x)) for x in items]))
+        assert sum(k in x for k, x in enumerate(other)) >= 0.97 * len(items)
+    # one word dropped, the copy alone
+    eight = range(80, 120)
+    dropped = [(k, d) for k in eight for d in range(8)]
+    found = index.search(pa.array([" ".join(items[k][:d] + items[k][d + 1:]) for k, d in dropped]))
+    assert all(k in x for (k, _), x in zip(dropped, found))
+    assert index.search(pa.array(["", None, "v1"])) == [[], [], []]
