@@ -339,10 +339,12 @@ def connect(pairs: DataFrame, texts: DataFrame, num: int, den: int, label: DataF
     return label
 
 
-def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every row."""
+def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100, fingerprints: bool = False) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every row,
+    with ``f1`` and ``f2`` of its set if ``fingerprints`` are wanted."""
     with scratch_scope(docs.sparkSession):  # only the result stays
-        return pin(_near_duplicates(docs, num, den), keep=True)
+        found = _near_duplicates(docs, num, den)
+        return pin(found if fingerprints else found.drop("f1", "f2"), keep=True)
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -354,7 +356,7 @@ def _near_duplicates(docs: DataFrame, num: int, den: int) -> DataFrame:
     found = pin(documents_sets(docs))
     classes = found.where("n_shingles > 0").groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("rep"))
     sets = pin(found.join(classes, ["n_shingles", "f1", "f2"], "left").select(
-        "doc_id", "n_shingles", "rep", *[F.when(F.col("doc_id") == F.col("rep"), F.col(c)).alias(c) for c in ("signature", "sketch")]))
+        "doc_id", "n_shingles", "f1", "f2", "rep", *[F.when(F.col("doc_id") == F.col("rep"), F.col(c)).alias(c) for c in ("signature", "sketch")]))
     reps = sets.where("signature is not null").dropDuplicates(["doc_id"])
     hot = pin(regions(reps).groupBy("region").count().where(F.col("count") > NEIGHBOURS).select("region"))
     pairs = pin(candidate_pairs(reps, hot, num, den))
@@ -364,6 +366,6 @@ def _near_duplicates(docs: DataFrame, num: int, den: int) -> DataFrame:
     if open_rows.limit(1).count():
         texts = _texts(docs, open_rows.select("doc_id"))
         label = connect(pin(joined_pairs(open_rows, texts, reps, num, den)), texts, num, den, label)
-    named = sets.select("doc_id", "n_shingles", "rep").join(label.withColumnRenamed("node", "rep"), "rep", "left")
+    named = sets.select("doc_id", "n_shingles", "f1", "f2", "rep").join(label.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.coalesce("component", "rep", "doc_id")
-    return named.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
+    return named.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"), "f1", "f2")

@@ -26,12 +26,21 @@ def language(spark, docs, sf_dir):
 
 def near_duplicates(spark, docs, sf_dir):
     """Keep one document of each near-duplicate group, the smallest doc_id;
-    rows that repeat a doc_id count as one document."""
-    found = neardup.near_duplicates(docs, NEAR, 100)
+    rows that repeat a doc_id count as one document. Rows without a doc_id
+    are judged one by one, as the operator does."""
+    found = neardup.near_duplicates(docs, NEAR, 100, fingerprints=True)
     gone = pin(found.where(~F.col("kept")).select("doc_id").distinct())
     rows = docs.join(bounded_broadcast(gone, neardup.BROADCAST_ROWS), "doc_id", "left_anti").select(docs.columns)
     twice = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return rows.dropDuplicates(["doc_id"]) if twice else rows
+    if found.where("doc_id is null").limit(1).count() == 0:
+        return rows.dropDuplicates(["doc_id"]) if twice else rows
+    named = rows.where("doc_id is not null")
+    place = pin(docs.where("doc_id is null").withColumn("_row", F.monotonically_increasing_id()))
+    sets = neardup.documents_sets(place.withColumn("doc_id", F.col("_row"))).withColumnRenamed("doc_id", "_row")
+    copies = found.where("doc_id is null and not kept").select("n_shingles", "f1", "f2").distinct()
+    taken = pin(sets.join(copies, ["n_shingles", "f1", "f2"], "left_semi").select("_row"))
+    left = place.join(bounded_broadcast(taken, neardup.BROADCAST_ROWS), "_row", "left_anti").select(docs.columns)
+    return (named.dropDuplicates(["doc_id"]) if twice else named).unionByName(left)
 
 
 def benchmark(spark, docs, sf_dir):

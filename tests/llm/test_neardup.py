@@ -6,6 +6,7 @@ import re
 import pytest
 from helpers import WORD, corpus, documents, sentence
 
+import corpus_pipeline
 from adlens.llm import neardup
 from adlens.llm.components import components
 
@@ -79,6 +80,18 @@ def test_null_ids_and_empty_table(spark):
     assert neardup.near_duplicates(documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("repeat", [False, True])
+def test_pipeline_rows_without_an_id(spark, repeat):
+    rows = [(None, "first clean text without an id", None, None), (None, "second quite other clean text here", None, None),
+            (None, "a b c d e f", None, None), (None, "A b c d  e f", None, None), (4, "a b c d e f", None, None),
+            (5, "some more words of a named text", None, None), (None, None, None, None)]
+    docs = documents(spark, rows + rows[5:6] * repeat, extra=True)
+    got = corpus_pipeline.near_duplicates(spark, docs, None)
+    assert got.columns == docs.columns
+    want = [rows[k][:2] for k in (0, 1, 4, 5, 6)]
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted(want, key=str)
+
+
 def test_components(spark):
     rng = random.Random(9)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1100)]
