@@ -2,7 +2,7 @@ import glob
 import os
 
 from adlens.__main__ import main
-from conftest import RAW_REPORT
+from support import RAW_REPORT
 
 
 def test_cli_run_report_sql(spark, tmp_dir):

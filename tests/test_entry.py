@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as ent
 from adlens.plans import adhoc as Z
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from adlens.operators import lifecycle as L
 from adlens.plans import adapters as A
 from adlens.plans import daily as D
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 D1, D2, D3 = dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)
 
@@ -121,7 +121,7 @@ def test_last_per_key_hot_key(spark):
 
 def test_run_report_entry_a(spark, tmp_dir):
     import os
-    from conftest import RAW_REPORT
+    from support import RAW_REPORT
     from adlens.operators import report as RP
     inbox = os.path.join(tmp_dir, "in")
     os.makedirs(inbox)
@@ -168,7 +168,7 @@ def test_bucketed_store_same_state_and_no_snapshot_shuffle(spark, tmp_dir):
 
 def test_run_report_needs_a_date(spark, tmp_dir):
     import os
-    from conftest import RAW_REPORT
+    from support import RAW_REPORT
     inbox = os.path.join(tmp_dir, "in")
     os.makedirs(inbox)
     with open(os.path.join(inbox, "report.txt"), "w", encoding="utf-8") as f:

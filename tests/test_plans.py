@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as ent
 from adlens.operators import lifecycle as L
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 
 def plan(df) -> str:

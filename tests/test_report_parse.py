@@ -9,7 +9,7 @@ from adlens.functions import html as H
 from adlens.operators import extract as E
 from adlens.operators import quality as Q
 from adlens.sources import reports as R
-from conftest import RAW_REPORT
+from support import RAW_REPORT
 
 
 def write_report(tmp_dir, text=RAW_REPORT, name="report-2024-11-09.txt"):

@@ -10,7 +10,7 @@ from adlens.plans import daily as D
 from adlens.sinks import writers as W
 from adlens.sources import reports as R
 from adlens.streaming import report_stream as S
-from conftest import RAW_REPORT
+from support import RAW_REPORT
 
 
 def _day_report(day: dt.date, keys: list[str]) -> str:
