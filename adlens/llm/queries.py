@@ -188,20 +188,20 @@ ORACLE = {
              f AS (SELECT *, CASE WHEN body = '' THEN 2 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 3
                                   WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 1 ELSE 0 END AS fault,
                           lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM o),
-             inserts(state, n, at, next) AS (VALUES (0, 0, 0, 2), (0, 1, 2, 3), (0, 2, 3, 2), (1, 0, 1, 2), (1, 1, 2, 3), (1, 2, 3, 2),
+             inserts(state, n, here, ahead) AS (VALUES (0, 0, 0, 2), (0, 1, 2, 3), (0, 2, 3, 2), (1, 0, 1, 2), (1, 1, 2, 3), (1, 2, 3, 2),
                                              (2, 0, 2, 3), (2, 1, 3, 2), (2, 2, 2, 3), (3, 0, 3, 2), (3, 1, 2, 3), (3, 2, 3, 2)),
              edits(edit) AS (VALUES ('D'), ('K'), ('S'), ('R')),
              best AS (SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS state, 0 AS cost, '' AS audit FROM f
                       UNION ALL
                       SELECT conv_id, i, state, min(step).cost AS cost, min(step).audit AS audit
-                      FROM (SELECT f.conv_id, f.i, CASE edit WHEN 'D' THEN at WHEN 'S' THEN 1 ELSE next END AS state,
+                      FROM (SELECT f.conv_id, f.i, CASE edit WHEN 'D' THEN here WHEN 'S' THEN 1 ELSE ahead END AS state,
                                    {{'cost': cost + 2 * n + CASE edit WHEN 'D' THEN 3 WHEN 'R' THEN 2 ELSE 0 END
                                              + CASE WHEN edit <> 'D' AND fault = 1 THEN 1 ELSE 0 END,
                                      'audit': audit || repeat('I', n) || replace(edit, 'S', 'K')}} AS step
                             FROM best JOIN f ON f.conv_id IS NOT DISTINCT FROM best.conv_id AND f.i = best.i + 1
                             JOIN inserts ON inserts.state = best.state CROSS JOIN edits
-                            WHERE edit = 'D' OR (fault < 2 AND (edit = 'R' OR (edit = 'K' AND initial = CASE next WHEN 2 THEN 'u' ELSE 'a' END)
-                                                                OR (edit = 'S' AND initial = 's' AND at = 0))))
+                            WHERE edit = 'D' OR (fault < 2 AND (edit = 'R' OR (edit = 'K' AND initial = CASE ahead WHEN 2 THEN 'u' ELSE 'a' END)
+                                                                OR (edit = 'S' AND initial = 's' AND here = 0))))
                       GROUP BY conv_id, i, state),
              s AS (SELECT conv_id, max(i) AS rows, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 2) AS blank,
                           count(*) FILTER (fault = 3) AS duplicate, count(*) FILTER (fault = 1) AS truncated,

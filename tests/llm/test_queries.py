@@ -27,6 +27,9 @@ CONTRACT = {
     "op8_langid": "doc_id held_out lang_pred score",
     "op9_neardup": "doc_id n_shingles component_id kept",
     "op10_toxicity": "doc_id held_out score predicted",
+    "op11_sharding": "doc_id size text_crc32 law shard slot grown_shard",
+    "op12_whitening": "vec_id component n deviation whitened explained identity_error",
+    "op13_repair": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
 }
 
 
@@ -41,9 +44,10 @@ def test_runs_over_the_whole_table(spark, name):
     got = ent.queries()[name](spark, SF_SMALL)
     assert got.columns == CONTRACT[name].split()
     rows = got.collect()
-    table = "pages" if name == "op6_warc" else "embeddings" if name == "op7_topk" else "documents"
-    n = duckdb.connect().execute(f"select count(*) from '{SF_SMALL}/{table}.parquet'").fetchone()[0]
-    assert len(rows) == (20 * -(-n // 20) if name == "op7_topk" else n)
+    table = {"op6_warc": "pages", "op7_topk": "embeddings", "op12_whitening": "embeddings", "op13_repair": "conversations"}.get(name, "documents")
+    what = "distinct conv_id" if name == "op13_repair" else "*"
+    n = duckdb.connect().execute(f"select count({what}) from '{SF_SMALL}/{table}.parquet'").fetchone()[0]
+    assert len(rows) == (20 * -(-n // 20) if name == "op7_topk" else 32 * n if name == "op12_whitening" else n)
 
 
 def plain_near(rows, num):
