@@ -275,22 +275,28 @@ def run_report(spark: SparkSession, store: StateStore, report_path: str, run_dat
     names make up the batch, so running them again is a rerun: skipped unless
     ``force``. More files for a date, also late ones, are a batch of their
     own and add to it."""
-    from ..operators.extract import report_to_tagged_ads
-    from ..sources.reports import read_report_blocks
     with scratch_scope(spark):
-        # parse once: the tagged table is written to the shared folder
-        tagged = pin(report_to_tagged_ads(read_report_blocks(spark, report_path, run_date=run_date)))
-        if run_date is None and not tagged.where(F.col("run_date").isNull()).isEmpty():
-            raise ValueError("report files without a yyyy-MM-dd date in their name; pass run_date")
-        names = tagged.select("source_file", "run_date").distinct().agg(
-            F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("source_file", "run_date").cast("decimal(38,0)")).alias("h"),
-            F.min("run_date").alias("first")).first()
-        if names["n"] == 0:
+        tagged, batch = tagged_report(spark, report_path, run_date)
+        if batch is None:
             return {_date(run_date): "empty"} if run_date is not None else {}
-        batch = "files-" + hashlib.sha1(f"{names['n']}:{names['h']}".encode()).hexdigest()[:16]
         before = read_arrivals(spark, store).where(F.col("batch") == batch)
         if not force and not before.isEmpty():
             dates = sorted(r["run_date"] for r in before.select("run_date").distinct().collect())
             if all(is_committed(spark, store, d) for d in dates):
                 return {d: "skipped" for d in dates}
         return apply_arrivals(spark, store, tagged, batch)
+
+
+def tagged_report(spark: SparkSession, report_path: str, run_date=None) -> tuple[DataFrame, str | None]:
+    """Raw report file(s) as a pinned tagged table, parsed once, and the name
+    of the batch that the files' names and dates make up (None: no record)."""
+    from ..operators.extract import report_to_tagged_ads
+    from ..sources.reports import read_report_blocks
+    tagged = pin(report_to_tagged_ads(read_report_blocks(spark, report_path, run_date=run_date)))
+    if run_date is None and not tagged.where(F.col("run_date").isNull()).isEmpty():
+        raise ValueError("report files without a yyyy-MM-dd date in their name; pass run_date")
+    names = tagged.select("source_file", "run_date").distinct().agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("source_file", "run_date").cast("decimal(38,0)")).alias("h")).first()
+    if names["n"] == 0:
+        return tagged, None
+    return tagged, "files-" + hashlib.sha1(f"{names['n']}:{names['h']}".encode()).hexdigest()[:16]
