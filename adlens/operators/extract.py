@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html as H
+from ..functions import markup as M
 from ..functions import text as X
 
 # URL path segment (0-based over split('/')) holding the city:
@@ -198,16 +199,16 @@ def ad_pages_to_blocks(pages: DataFrame, url_col: str = "url") -> tuple[DataFram
     An ad without a price cell or without a footer date is quarantined
     (the reference skips the rest of the ad, or repeats the previous date).
     """
-    names = H.cells("html", "td", H.CLASS_OPT_NAME, scoped=True)
-    values = H.cells("html", "td", H.CLASS_OPT_VALUE, scoped=True)
-    prices = H.cells("html", "td", H.CLASS_PRICE, scoped=True)
-    footer = H.cells("html", "td", H.CLASS_FOOTER, scoped=True)
+    page = pages.select(F.col(url_col).alias("url"), M.tokens("html").alias("page"))
+    page = page.select("url", F.coalesce(M.element("page", "table", "id", H.MAIN_TABLE_ID), "page").alias("main"))
+    names, values, prices, footer = (M.cells("main", "td", c) for c in
+                                     (H.CLASS_OPT_NAME, H.CLASS_OPT_VALUE, H.CLASS_PRICE, H.CLASS_FOOTER))
     pairs = H.zip_options(names, values)
     lines = F.transform(F.filter(pairs, lambda p: p["value"].isNotNull()),
                         lambda p: F.concat(p["name"], F.lit(">"), p["value"]))
     price = H.first_price(prices)
     date = H.footer_date(footer)
-    df = pages.select(F.col(url_col).alias("url"), lines.alias("lines"), price.alias("price"),
+    df = page.select("url", lines.alias("lines"), price.alias("price"),
                       date.alias("date"))
     block = F.concat_ws("\n", F.col("url"), F.array_join("lines", "\n"),
                         F.concat(F.lit("Price:>"), F.col("price")), F.concat(F.lit("Date:>"), F.col("date")))
