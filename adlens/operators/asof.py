@@ -22,12 +22,14 @@ def open_on(periods: DataFrame, dates: DataFrame, start: str = "list_date", end:
     their size check and the periods, cut into months, are not shuffled. A
     period is cut no further than the last date asked for."""
     asked = pin(dates.select(F.col(day).cast("date").alias("_day")).where("_day is not null").distinct())
-    span = asked.agg(F.min("_day").alias("_first"), F.max("_day").alias("_last"))
-    last = F.least(F.coalesce(F.date_sub(F.col(end), 1), F.col("_last")), F.col("_last"))
-    first = F.greatest(F.col(start), F.col("_first"))
+    known = asked.agg(F.min("_day").alias("first"), F.max("_day").alias("last")).first()
+    own = periods.drop(*[c for c in (day,) if c not in (start, end)])
+    if known["last"] is None:
+        return own.where("false").withColumn(day, F.lit(None).cast("date"))
+    last = F.least(F.coalesce(F.date_sub(F.col(end), 1), F.lit(known["last"])), F.lit(known["last"]))
+    first = F.greatest(F.col(start), F.lit(known["first"]))
     months = F.sequence(F.trunc(first, "month"), F.trunc(last, "month"), F.expr("interval 1 month"))
-    cut = (periods.drop(*[c for c in (day,) if c not in (start, end)]).crossJoin(F.broadcast(span))     # one row
-           .where(F.col(start).isNotNull() & (first <= last)).withColumn("_month", F.explode(months)).drop("_first", "_last"))
+    cut = own.where(F.col(start).isNotNull() & (first <= last)).withColumn("_month", F.explode(months))
     days = bounded_broadcast(asked).withColumn("_month", F.trunc("_day", "month"))
     met = cut.join(days, "_month").where((F.col(start) <= F.col("_day")) & (F.col(end).isNull() | (F.col("_day") < F.col(end))))
     return met.drop("_month").withColumnRenamed("_day", day)

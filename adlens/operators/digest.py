@@ -22,8 +22,9 @@ from ..sinks.writers import write_dated
 from .lifecycle import NEW, REMOVED
 from .sizing import bounded_broadcast, pin
 
-#: Leaves and the leaves of a branch. A leaf should hold some megabytes.
-LEAVES, FAN = 256, 16
+#: Leaves of a branch, and the keys of a snapshot that make a leaf (a file of
+#: some megabytes; less would be many small files).
+FAN, LEAF_KEYS = 16, 100_000
 _WIDE = "decimal(38,0)"
 
 
@@ -38,10 +39,17 @@ def _digest(n: Column, rows: Column, h1: Column, h2: Column) -> list[Column]:
             F.sum(h1.cast(_WIDE)).alias("h1"), F.sum(h2.cast(_WIDE)).alias("h2")]
 
 
-def write_snapshots(snapshots: DataFrame, path: str, key: str = "url_hash", day: str = "run_date",
-                    leaves: int = LEAVES, fan: int = FAN) -> None:
+def leaves_for(keys: int, leaf_keys: int = LEAF_KEYS) -> int:
+    """The number of leaves for snapshots of so many keys: a power of two from
+    4 on. It is fixed for a store; snapshots may grow tenfold behind it."""
+    return 1 << max(2, (max(keys, 1) // leaf_keys).bit_length())
+
+
+def write_snapshots(snapshots: DataFrame, path: str, leaves: int, key: str = "url_hash", day: str = "run_date",
+                    fan: int = FAN) -> None:
     """Store the snapshots of the dates in ``snapshots`` (one row per key and
-    date is kept, with the number of its rows) and their digest trees."""
+    date is kept, with the number of its rows) and their digest trees.
+    ``leaves`` must be the same for all dates of a store (``leaves_for``)."""
     h1, h2 = _hashes(F.col("key"))
     keys = (snapshots.where(F.col(key).isNotNull()).groupBy(F.col(day).alias("run_date"), F.col(key).alias("key"))
             .agg(F.count(F.lit(1)).alias("n_today")).withColumn("leaf", F.pmod(F.xxhash64(F.col("key").cast("string")), F.lit(leaves)).cast("int")))
@@ -68,14 +76,16 @@ def _pairs(days: DataFrame) -> DataFrame:
     return days.select("run_date", F.lag("run_date").over(Window.orderBy("run_date")).alias("prev_date"))
 
 
-def _differing(digests: DataFrame, pairs: DataFrame, node: str) -> DataFrame:
+def _differing(digests: DataFrame, scope: DataFrame, node: str) -> DataFrame:
     """(run_date, prev_date, node) whose digests differ between the dates of a
-    pair; a node that one of them lacks differs."""
-    same = ["n_keys", "h1", "h2"]
-    stored = digests.select(F.col("run_date").alias("_on"), node, F.struct(*same).alias("digest"))
+    pair; a node that one of them lacks differs. ``scope`` holds the pairs, or
+    the pairs' branches whose nodes are looked at."""
+    within = [c for c in scope.columns if c == "branch"]
+    stored = digests.select(F.col("run_date").alias("_on"), *within, node, F.struct("n_keys", "h1", "h2").alias("digest"))
 
     def side(day, name):
-        return pairs.join(stored, F.col(day) == F.col("_on")).select("run_date", "prev_date", node, F.col("digest").alias(name))
+        return (scope.withColumn("_on", F.col(day)).join(stored, ["_on", *within])
+                .select("run_date", "prev_date", node, F.col("digest").alias(name)))
 
     both = side("prev_date", "p").join(side("run_date", "t"), ["run_date", "prev_date", node], "full_outer")
     return both.where(~F.col("p").eqNullSafe(F.col("t"))).select("run_date", "prev_date", node)
@@ -84,12 +94,11 @@ def _differing(digests: DataFrame, pairs: DataFrame, node: str) -> DataFrame:
 def changed_leaves(spark: SparkSession, path: str, pairs: DataFrame) -> DataFrame:
     """The leaves whose rows must be read, per pair of dates: branches first,
     then the leaves of the branches that differ. A row per changed leaf."""
-    pairs = pairs.where("prev_date is not null")
     branches = _table(spark, path, "branches", f"branch int, {_DIGEST}, run_date date")
-    open_ = bounded_broadcast(pin(_differing(branches, pairs, "branch")))
     leaves = _table(spark, path, "leaves", f"leaf int, {_DIGEST}, run_date date, branch int")
-    wanted = open_.select(F.explode(F.array("run_date", "prev_date")).alias("run_date"), "branch").distinct()
-    return pin(_differing(leaves.join(bounded_broadcast(pin(wanted)), ["run_date", "branch"], "left_semi"), pairs, "leaf"))
+    scope = pairs.where("prev_date is not null").select("run_date", "prev_date")
+    open_ = pin(_differing(branches, bounded_broadcast(pin(scope)), "branch"))
+    return pin(_differing(leaves, bounded_broadcast(open_), "leaf"))
 
 
 def diff(spark: SparkSession, path: str, key_type: str = "string", pairs: DataFrame | None = None) -> DataFrame:
@@ -99,7 +108,8 @@ def diff(spark: SparkSession, path: str, key_type: str = "string", pairs: DataFr
     days = _table(spark, path, "branches", f"branch int, {_DIGEST}, run_date date").select("run_date").distinct()
     every = pairs is None
     pairs = pin(_pairs(days) if every else pairs.select("run_date", "prev_date"))
-    leaves = bounded_broadcast(changed_leaves(spark, path, pairs))
+    # the filter keeps every row; Spark prunes partitions by a join side that has one
+    leaves = bounded_broadcast(changed_leaves(spark, path, pairs)).where("leaf >= 0")
     rows = _table(spark, path, "rows", f"key {key_type}, n_today bigint, run_date date, leaf int")
     today = rows.join(leaves, ["run_date", "leaf"]).select("key", "run_date", F.lit(True).alias("_t"))
     before = (rows.withColumnRenamed("run_date", "prev_date").join(leaves, ["prev_date", "leaf"])

@@ -42,18 +42,28 @@ def check_field_counts(blocks: DataFrame, strict: bool = False) -> DataFrame:
 def positional_formatted(blocks: DataFrame) -> DataFrame:
     """V2 compatibility mode: the reference's positional zip. Per file, the
     i-th URL is paired with the i-th value of every field (``rank``), up to
-    the shortest list. Needs ``pos`` (W2, from the wholetext reader). Values
-    are numbered per (file, field) without a window over a file, and paired
-    by an aggregation on (file, rank), so files may be of any size."""
-    tagged = blocks.select("source_file", "pos", F.posexplode(F.split("block", "\n")).alias("_ord", "line"))
+    the shortest list. Needs ``pos`` (W2). Values are numbered per (file,
+    field) without a window over a file, and paired by an aggregation on
+    (file, rank), so files may be of any size."""
+    lines = blocks.select("source_file", "pos", F.posexplode(F.split("block", "\n")).alias("_ord", "line"))
+    return _zipped(lines, ["pos", "_ord"])
+
+
+def positional_lines(lines: DataFrame) -> DataFrame:
+    """V2 on the lines of ``sources.positions.read_report_lines``: the same
+    pairs, from a file that was read in many splits."""
+    return _zipped(lines, ["line_no"])
+
+
+def _zipped(lines: DataFrame, order: list[str]) -> DataFrame:
     col_for = F.when(F.col("line").contains("https"), F.lit("URL"))
     for name, label, _ in FORMATTED_FIELDS:
         col_for = col_for.when(F.col("line").contains(label + ":"), F.lit(name))
     value = F.col("line")
     for src, dst in H.LABEL_RENAMES.items():
         value = F.replace(value, F.lit(src + ":"), F.lit(dst + ":"))
-    keyed = tagged.select("source_file", "pos", "_ord", col_for.alias("fld"), value.alias("v")).where("fld is not null")
-    ranked = pin(rank_within(keyed, ["source_file", "fld"], ["pos", "_ord"], "rank"))
+    keyed = lines.select("source_file", *order, col_for.alias("fld"), value.alias("v")).where("fld is not null")
+    ranked = pin(rank_within(keyed, ["source_file", "fld"], order, "rank"))
     names = ["URL"] + [n for n, _, _ in FORMATTED_FIELDS]
     lists = ranked.groupBy("source_file", "fld").agg(F.max("rank").alias("n"))
     shortest = lists.groupBy("source_file").agg(F.min("n").alias("_n"), F.count(F.lit(1)).alias("_fields"))

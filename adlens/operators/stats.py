@@ -145,6 +145,14 @@ def sqm_price_ranges(df: DataFrame, segment: str = "room_count", price: str = "s
             .agg(F.count(F.lit(1)).alias("n"), F.min(price).alias("min_sqm_price"), F.max(price).alias("max_sqm_price")))
 
 
+def size_ranges(df: DataFrame, segment: str = "room_count", size: str = "size_sqm", width: int = 10) -> DataFrame:
+    """Per segment the ads in each range of sizes of ``width`` m², with
+    the smallest and largest size; ads without a size are left out."""
+    low = (F.floor(F.col(size) / width) * width).cast("bigint")
+    return (df.where(F.col(size).isNotNull()).groupBy(segment, low.alias("from_size"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min(size).alias("min_size"), F.max(size).alias("max_size")))
+
+
 def floor_filter(df: DataFrame, apt: str = "apt_floor", house: str = "house_floors",
                  skip_house_floors: int = 9) -> DataFrame:
     """Drop first-floor, last-floor and 9-floor-house ads."""

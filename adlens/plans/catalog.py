@@ -942,10 +942,13 @@ ORACLE.update({
 })
 
 
-from . import store_queries as SQ  # noqa: E402 - uses the fragments above
+from . import history_queries as HQ  # noqa: E402 - uses the fragments above
+from . import store_queries as SQ  # noqa: E402
 
 QUERIES.update(SQ.QUERIES)
 ORACLE.update(SQ.oracle(PRICED_PART_ADS_SQL, PART_ADS_SQL, ISLANDS_SQL, EVENTS_DAYS_SQL, event_attrs_sql, event_price_sql, _w))
+QUERIES.update(HQ.QUERIES)
+ORACLE.update(HQ.oracle(PRICED_PART_ADS_SQL, PART_ADS_SQL, ISLANDS_SQL, STATUS_SQL, event_attrs_sql, event_price_sql, _avg_sql, _money_sql, _w))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

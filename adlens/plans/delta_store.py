@@ -68,8 +68,8 @@ class DeltaStore:
 
 @dataclass(frozen=True)
 class Entry:
-    """A live folder (kind arrivals, base, insert, refresh, remove, unlisted),
-    a run date (kind run, with its metrics), or the first date left after a
+    """A live folder (kind arrivals, with its records that have a key as
+    ``scraped``, base, insert, refresh, remove, unlisted), a run date (kind run, with its metrics), or the first date left after a
     vacuum (kind floor)."""
     kind: str
     run_date: _dt.date
@@ -111,7 +111,7 @@ def manifest(spark: SparkSession, store: DeltaStore) -> Manifest:
             raise
         return out
     out.version = max((r["version"] for r in rows), default=0)
-    out.extend(Entry(r["kind"], r["run_date"], r["part"], r["batch"], r["rows"], {m: r[m] for m in METRICS} if r["kind"] == RUN else {})
+    out.extend(Entry(r["kind"], r["run_date"], r["part"], r["batch"], r["rows"], {m: r[m] for m in METRICS if r[m] is not None})
                for r in rows if r["version"] == out.version)
     return out
 
@@ -232,12 +232,13 @@ def deliver(spark: SparkSession, store: DeltaStore, tagged: DataFrame, batch: st
     part = uuid.uuid4().hex[:12]
     rows = tagged.where(F.col("run_date").isNotNull()).select(ARRIVED.fieldNames())
     write_dated(rows, store.path(f"arrivals/part={part}"))
-    counts = spark.read.schema(ARRIVED).parquet(store.path(f"arrivals/part={part}")).groupBy("run_date").count().collect()
+    counts = (spark.read.schema(ARRIVED).parquet(store.path(f"arrivals/part={part}")).groupBy("run_date")
+              .agg(F.count(F.lit(1)).alias("rows"), F.count("url_hash").alias("scraped")).collect())   # a row per date
     counts = [r for r in counts if r["run_date"] is not None]
     if not counts and not mine:
         return {}
     arrivals = [e for e in log.of(ARRIVALS) if e.batch != batch]
-    arrivals += [Entry(ARRIVALS, r["run_date"], part, batch, r["count"]) for r in counts]
+    arrivals += [Entry(ARRIVALS, r["run_date"], part, batch, r["rows"], {"scraped": r["scraped"]}) for r in counts]
     first = min(mine | {r["run_date"] for r in counts})
     if (floor := log.floor()) and first <= floor:
         raise LateSnapshot(f"{first} is not after {floor}, up to which the log was vacuumed")
@@ -262,8 +263,8 @@ def _apply(spark, store, log: Manifest, arrivals: list[Entry], first: _dt.date,
                 spark.read.schema(schema).parquet(store.path(f"changes/part={part}")).groupBy("op", "run_date").agg(
                     F.count(F.lit(1)).alias("rows"), F.sum("n_today").alias("n_today"), F.sum("n_parsed").alias("n_parsed"),
                     F.count_if(F.col("price") < PRICE_CAP).alias("low")).collect()}   # a row per date and kind of change
-        keyed = {r["run_date"]: r["n"] for r in rows.groupBy("run_date").agg(F.count("url_hash").alias("n")).collect()}
-        entries += _run_entries(dates, keyed, told, before.metrics if before else {}, part)
+        scraped = {d: sum(e.metrics["scraped"] for e in today if e.run_date == d) for d in dates}
+        entries += _run_entries(dates, scraped, told, before.metrics if before else {}, part)
     new = _commit(spark, store, entries, log)
     _compact_if_due(spark, store, new)
     return {d: "done" for d in dates}

@@ -28,7 +28,9 @@ from __future__ import annotations
 
 import contextlib
 import datetime as _dt
+import sys
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,6 +50,9 @@ EVENT = T.StructType([T.StructField("op", T.StringType()), T.StructField("run_da
 SEEN = T.StructType([T.StructField("parsed", T.BooleanType()), T.StructField("url", T.StringType()), *_FIELDS])
 STRETCH = T.StructType([T.StructField("listed", T.BooleanType()), T.StructField("last", T.IntegerType()), *_FIELDS])
 
+# the processor is pickled by value: executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..operators.extract import report_to_tagged_ads
 from ..operators.sizing import pin
 from ..plans import daily as D
+from ..plans import delta_store as DS
 from ..session import scratch_scope
 from ..sinks.writers import write_partition
 from ..sources.reports import DATE_IN_NAME_RE, URL_START
@@ -37,7 +38,7 @@ def report_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: in
             .where(F.trim(F.col("block")) != URL_START))
 
 
-def apply_batch(spark: SparkSession, store: D.StateStore, blocks: DataFrame, epoch_id: int | None = None,
+def apply_batch(spark: SparkSession, store: D.StateStore | DS.DeltaStore, blocks: DataFrame, epoch_id: int | None = None,
                 query_id: str | None = None) -> dict:
     """ST2: apply one micro-batch of blocks to the store. It is parsed once
     into a pinned tagged table, deleted when the batch ends. Blocks from files
@@ -50,10 +51,12 @@ def apply_batch(spark: SparkSession, store: D.StateStore, blocks: DataFrame, epo
             write_partition(undated.select("source_file", F.col("_block").alias("block"),
                                            F.lit("no_run_date").alias("reason"), F.lit(batch).alias("epoch")),
                             store.path("quarantine_undated"), "epoch", batch)
+        if isinstance(store, DS.DeltaStore):
+            return DS.deliver(spark, store, tagged, batch, force=True)
         return D.apply_arrivals(spark, store, tagged, batch)
 
 
-def start(spark: SparkSession, input_dir: str, store: D.StateStore, checkpoint_location: str,
+def start(spark: SparkSession, input_dir: str, store: D.StateStore | DS.DeltaStore, checkpoint_location: str,
           available_now: bool = True, max_files_per_trigger: int | None = None):
     """Start the stream; ``available_now`` processes what is there and stops
     (the daily trigger); otherwise it polls."""

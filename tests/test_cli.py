@@ -45,3 +45,20 @@ def test_cli_stream_with_bucketed_store(spark, tmp_dir):
     assert [r["reason"] for r in D.read_quarantine(spark, store).collect()] == ["missing:Price"]
     assert main(args) == 0                      # nothing new: the checkpoint remembers the file
     assert D.read_metrics(spark, store).count() == 1
+
+
+def test_cli_with_a_change_log(spark, tmp_dir):
+    from adlens.plans import delta_store as DS
+    inbox, state = os.path.join(tmp_dir, "inbox"), os.path.join(tmp_dir, "state")
+    os.makedirs(inbox)
+    with open(os.path.join(inbox, "report-2024-11-09.txt"), "w", encoding="utf-8") as f:
+        f.write(RAW_REPORT)
+    args = ["stream", "--log", "--state", state, "--inbox", inbox, "--checkpoint", os.path.join(tmp_dir, "ckpt")]
+    assert main(args) == 0 == main(args)
+    assert DS.read_open(spark, DS.DeltaStore(state)).count() == 4 and DS.read_metrics(spark, DS.DeltaStore(state)).count() == 1
+    assert main(["run", "--log", "--state", state, "--report", inbox]) == 0      # the same ads as another batch
+    assert DS.read_open(spark, DS.DeltaStore(state)).count() == 4
+    assert main(["compact", "--state", state]) == 0 == main(["validate", "--log", "--state", state])
+    q = os.path.join(tmp_dir, "q")
+    assert main(["sql", "--log", "--state", state, "--out", q, "--query", "SELECT count(*) AS n FROM listed_ads"]) == 0
+    assert spark.read.parquet(q).first()["n"] == 4
