@@ -3,7 +3,7 @@
     python -m adlens run    --state DIR --report PATH [--run-date D] [--force] [--buckets B]
     python -m adlens stream --state DIR --inbox DIR --checkpoint DIR [--buckets B]
     python -m adlens report --state DIR --run-date D --out DIR [--title T]
-    python -m adlens sql    --state DIR --query "SELECT …" [--out DIR]
+    python -m adlens sql    --state DIR --query "SELECT … :name" [--arg name=value] [--out DIR]
     python -m adlens validate --state DIR [--run-date D]
     python -m adlens compact --state DIR
 
@@ -77,6 +77,7 @@ def main(argv: list[str] | None = None) -> int:
             p.add_argument("--title", default="=== Apartment Report — {date} ===")
         if name == "sql":
             p.add_argument("--query", required=True)
+            p.add_argument("--arg", action="append", default=[], metavar="NAME=VALUE")
             p.add_argument("--out")
         if name == "validate":
             p.add_argument("--run-date")
@@ -105,7 +106,8 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(row.asDict()))
         return 0 if row["duplicate_open_keys"] == 0 else 1
     elif a.cmd == "sql":
-        df = Z.run_sql(spark, a.query, _views(spark, store))
+        given = dict(x.split("=", 1) for x in a.arg)
+        df = Z.run_sql(spark, a.query, _views(spark, store), args=given, with_functions=True)
         if a.out:
             df.write.mode("overwrite").parquet(a.out)
         else:

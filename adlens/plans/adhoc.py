@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.sql import register
+
 
 class NotAQuery(ValueError):
     """Only read-only queries are accepted."""
@@ -48,11 +50,16 @@ def register_views(views: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def run_sql(spark: SparkSession, sql: str, views: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Run one read-only query over the given views."""
+def run_sql(spark: SparkSession, sql: str, views: dict[str, DataFrame] | None = None, args: dict | None = None,
+            with_functions: bool = False) -> DataFrame:
+    """Run one read-only query over the given views. ``args`` are the
+    values of its named parameter markers (``:name``), which never become
+    part of the text; ``with_functions`` lets it call F1-F17 (Z3)."""
     check_query(spark, sql)
     register_views(views or {})
-    return spark.sql(sql)
+    if with_functions:
+        register(spark)
+    return spark.sql(sql, args=args) if args else spark.sql(sql)
 
 
 def table_info(spark: SparkSession, name: str) -> DataFrame:

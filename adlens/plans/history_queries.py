@@ -14,6 +14,7 @@ from ..functions import html as H
 from ..functions import markup as M
 from ..functions import text as X
 from ..operators import asof, digest, quality, states
+from ..operators import streets as streets_op
 from ..operators import lifecycle as L
 from ..operators import stats as ST
 from ..operators.sizing import pin, spread
@@ -22,6 +23,7 @@ from ..sources import positions as P
 from ..sources import reports as SR
 from ..streaming import keyed_listings as K
 from . import adapters as A
+from . import adhoc as Z
 from . import delta_store as DS
 from .store_queries import _as_tagged, _table, _weekly
 
@@ -221,7 +223,34 @@ def q_report_file_choice(spark, sf_dir):
     return reduce(DataFrame.unionByName, [read(p, "name") for p in named]).unionByName(read(newest, "time"))
 
 
+#: Every second name loses or changes a character, at a place by the key.
+_MISSPELT = """
+    CASE p_partkey % 4 WHEN 0 THEN concat(substr(s, 1, at - 1), substr(s, at + 1)) WHEN 1 THEN concat(substr(s, 1, at - 1), 'x', substr(s, at + 1)) ELSE s END"""
+
+
+def q_street_spellings(spark, sf_dir):
+    """The spellings of street names and the name each group goes by."""
+    streets = _table(spark, sf_dir, "part").selectExpr("p_partkey", "concat(p_name, ' ', lower(p_type), ' iela') AS s").selectExpr(
+        "p_partkey", "s", "CAST(p_partkey % length(s) AS INT) + 1 AS at").selectExpr(f"{_MISSPELT} AS street")
+    with scratch_scope(spark):
+        return pin(streets_op.canonical_names(streets, "street"), keep=True)
+
+
+def q_adhoc_functions(spark, sf_dir):
+    """An ad-hoc query that calls the text functions, with parameters."""
+    blocks = A.report_blocks_from_part(spread(_table(spark, sf_dir, "part")))
+    fields = blocks.select(H.block_url("block").alias("url"), *[H.label_value("block", label).alias(name) for name, label in (
+        ("price", "Price"), ("size", "Platība"), ("floor", "Stāvs"), ("street", "Iela"), ("pub", "Date"))])
+    return Z.run_sql(spark, """
+        SELECT url_hash(url) AS url_hash, url_path_part(url, 8) AS city, parse_price(price) AS price_eur, parse_sqm_price(price) AS sqm_price_eur,
+               parse_size(size) AS size_sqm, apt_floor(floor) AS apt_floor, house_floors(floor) AS house_floors, has_lift(floor) AS has_lift,
+               normalise_street(strip_tokens(concat('Iela:>', street))) AS street, parse_source_date(pub) AS pub_date, rotate_date(pub) AS stored_date,
+               days_listed(CAST(:run AS DATE), parse_source_date(pub)) AS days, month_key(parse_source_date(pub)) AS month, thousands(parse_price(price)) AS shown
+        FROM listed_fields WHERE parse_price(price) < :cap""", {"listed_fields": fields}, {"run": "2024-03-01", "cap": 900_000}, with_functions=True)
+
+
 QUERIES = {
+    "street_spellings": q_street_spellings, "adhoc_functions": q_adhoc_functions,
     "delta_periods": q_delta_periods, "delta_open_by_date": q_delta_open_by_date, "delta_metrics": q_delta_metrics,
     "stream_lifecycle": q_stream_lifecycle, "open_by_date": q_open_by_date, "digest_changes": q_digest_changes,
     "digest_metrics": q_digest_metrics, "merged_price_stats": q_merged_price_stats, "size_ranges": q_size_ranges,
@@ -271,6 +300,20 @@ select p_partkey // {_ADS_PER_FILE} as file, row_number() over (partition by p_p
 u as (select *, p_partkey // {_ADS_PER_FILE} as file, row_number() over (partition by p_partkey // {_ADS_PER_FILE} order by p_partkey) as rank from part_ads),
 v as (select file, price_eur, row_number() over (partition by file order by p_partkey) as rank from u where p_brand <> 'Brand#13')
 select file, rank, u.url_hash, v.price_eur, u.room_count from u join v using (file, rank)""",
+        "street_spellings": f"""
+with recursive b as (select p_partkey, p_name || ' ' || lower(p_type) || ' iela' as s from part),
+v as (select p_partkey, s, cast(p_partkey % length(s) as integer) + 1 as at_ from b),
+n as (select name, count(*) as n from (select {_MISSPELT.replace("at ", "at_ ").replace("at + 1", "at_ + 1")} as name from v) group by name),
+e as (select x.name as a, y.name as b from n x join n y on x.name <> y.name and abs(length(x.name) - length(y.name)) <= 1 and levenshtein(x.name, y.name) <= 1),
+reach as (select name as a, name as b from n union select reach.a, e.b from reach join e on reach.b = e.a),
+f as (select a as name, min(b) as first from reach group by a),
+c as (select first, arg_min(name, (-n, name)) as canonical from n join f using (name) group by first)
+select name, canonical, n from n join f using (name) join c using (first)""",
+        "adhoc_functions": with_(part_sql) + """
+select url_hash, city, price_eur, sqm_price_eur, size_sqm, apt_floor, house_floors, has_lift, street, pub_date,
+       strftime(pub_date, '%Y.%m.%d') as stored_date, cast(date '2024-03-01' - pub_date as integer) as days, strftime(pub_date, '%m.%Y') as month,
+       replace(format('{:,}', price_eur), ',', ' ') as shown
+from part_ads where p_brand <> 'Brand#13' and price_eur < 900000""",
         "nested_markup": """
 select p_partkey as page_id, 'https://ss.lv/msg/' || p_partkey || case when p_partkey % 2 = 0 then '?x=1&y=2' else '' end as links,
        p_size || ' €|' || p_partkey as prices, 'lot no ' || p_partkey || ' of "LV"' as note from part""",
