@@ -3,12 +3,19 @@
 A document's set holds its distinct five-word shingles. Documents with equal
 sets form one class, found by an aggregation on a fingerprint of the set, so
 copies of any number cost one row per task. Each class representative has a
-MinHash signature; a tree is one order of the signature's columns. The rows
-with the same ``DEPTH`` leading columns are a region of the tree. All pairs of
-a region of at most ``NEIGHBOURS`` rows are candidates; no such region is cut
-between tasks. A larger one is split over tasks in the order of its further
-columns, and each row first meets only the ``NEIGHBOURS`` rows that follow it.
-Once these are confirmed and joined, the large regions that still hold more
+MinHash signature; a tree is one order of the signature's columns, by which its
+rows are sorted. The rows with the same ``DEPTH`` leading columns are a region
+of the tree.
+
+First each row meets, in ``FIRST_TREES`` trees, only the row after it if that
+is of its region: its neighbour by longest common prefix. So a family of near
+copies of any size makes a few pairs per member, and once these are confirmed
+and joined, most of it is one component. Then, in all trees, the rows of a
+region meet that lie in different components: in a region of at most
+``NEIGHBOURS`` rows, which is never cut between tasks, all of them; a larger
+one is split over tasks in the order of its further columns, and each row meets
+the ``NEIGHBOURS`` rows that follow it. Once these are confirmed and joined, the
+large regions that still hold more
 than one component are settled by a prefix-filtered join of the shingles: rare
 shingles first, a pair that reaches the similarity shares a shingle among the
 first few of both sets, at places that leave room for enough others. Only
@@ -16,7 +23,7 @@ pairs between components come out of that join, so a large family of near
 copies adds none, nor does one whose members all lie under the similarity.
 
 Candidates whose set sizes or sketches (two bits of each of ``SKETCHED``
-minima) rule out the similarity are dropped at once. The others are confirmed
+minima) rule out the similarity are dropped at once. Those of all trees are confirmed
 on full sets in rounds (one by default): first each document's most similar candidate, then,
 after joining components, each one's most similar candidate outside its
 component, and at last every pair that is left between two components. Pairs
@@ -50,6 +57,8 @@ SHINGLE = 5
 TREES, DEPTH, COLUMNS = 24, 5, 10
 HASHES, SKETCHED = 128, 256
 NEIGHBOURS = 32
+# Trees of the first round, in which a row meets its next neighbour only.
+FIRST_TREES = 4
 # Standard deviations below the expected agreement at which a sketch rules out.
 SLACK = 4.0
 # Rounds of most similar candidates before all open pairs are confirmed: each
@@ -173,31 +182,38 @@ def _least_agreement(num: int, den: int) -> float:
     return SKETCHED * expected - SLACK * (SKETCHED * expected * (1 - expected)) ** 0.5
 
 
-def candidate_pairs(sets: DataFrame, hot: DataFrame, num: int, den: int) -> DataFrame:
-    """Distinct ``a``, ``b`` that share a region of some tree and may reach
-    similarity num / den, with the ``agreement`` of their sketches: all of
-    them, but in the ``hot`` regions only ``NEIGHBOURS`` followers a row."""
-    neighbours, least = NEIGHBOURS, _least_agreement(num, den)
+def candidate_pairs(sets: DataFrame, hot: DataFrame, num: int, den: int, label: DataFrame | None = None,
+                    trees: int = TREES, neighbours: int = NEIGHBOURS) -> DataFrame:
+    """Distinct ``a``, ``b`` of different components (``label``) that share a
+    region of one of the ``trees`` and may reach similarity num / den, with the
+    ``agreement`` of their sketches: each row with the ``neighbours`` rows that
+    follow it in its region, so in regions of at most that many all pairs. The
+    ``hot`` regions are split over tasks."""
+    least = _least_agreement(num, den)
+    own = F.col("doc_id").alias("component")
+    if label is not None:
+        sets = sets.join(bounded_broadcast(label.select(F.col("node").alias("doc_id"), "component"), BROADCAST_ROWS), "doc_id", "left")
+        own = F.coalesce("component", "doc_id").alias("component")
 
     def grow(parts):
         for part in batches(parts):
             n = part.num_rows
             sig = _signature(part.column("signature"))
-            for t in range(TREES):
+            for t in range(trees):
                 key = np.ascontiguousarray(sig[:, tree_columns(t)[DEPTH:]]).astype(">u2")
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(_region(sig, t)), _fixed(key.tobytes(), 2 * (COLUMNS - DEPTH), n), part.column("doc_id"),
-                     part.column("n_shingles").cast(pa.int32()), part.column("sketch")],
-                    ["region", "key", "doc_id", "n", "sketch"])
+                     part.column("n_shingles").cast(pa.int32()), part.column("sketch"), part.column("component")],
+                    ["region", "key", "doc_id", "n", "sketch", "component"])
 
     def near(parts):
         held = None
         for part in batches(parts):
             n = part.num_rows
             now = (part.column("region").to_numpy(), part.column("doc_id").to_numpy(), part.column("n").to_numpy().astype(np.int64),
-                   np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8).reshape(n, -1))
+                   np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8).reshape(n, -1), part.column("component").to_numpy())
             fresh = 0 if held is None else len(held[0])
-            region, ids, size, sketch = now if held is None else tuple(np.concatenate(x) for x in zip(held, now))
+            region, ids, size, sketch, group = now if held is None else tuple(np.concatenate(x) for x in zip(held, now))
             i_out, j_out, agree_out = [], [], []
             for step in range(1, min(neighbours, len(region) - 1) + 1):
                 i = np.flatnonzero(region[step:] == region[:-step])
@@ -205,7 +221,7 @@ def candidate_pairs(sets: DataFrame, hot: DataFrame, num: int, den: int) -> Data
                     break
                 j = i + step
                 i, j = i[j >= fresh], j[j >= fresh]
-                ok = np.minimum(size[i], size[j]) * den >= np.maximum(size[i], size[j]) * num
+                ok = (group[i] != group[j]) & (np.minimum(size[i], size[j]) * den >= np.maximum(size[i], size[j]) * num)
                 i, j = i[ok], j[ok]
                 agree = EQUAL[sketch[i] ^ sketch[j]].sum(axis=1)
                 ok = agree >= least
@@ -221,14 +237,15 @@ def candidate_pairs(sets: DataFrame, hot: DataFrame, num: int, den: int) -> Data
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[i[edge]]), pa.ListArray.from_arrays(off, pa.array(ids[j])), pa.ListArray.from_arrays(off, pa.array(agree, pa.int32()))],
                     ["a", "b", "agreement"])
-            held = tuple(x[-neighbours:] for x in (region, ids, size, sketch))
+            held = tuple(x[-neighbours:] for x in (region, ids, size, sketch, group))
 
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = sets.select("doc_id", "n_shingles", "signature", "sketch").mapInArrow(grow, "region bigint, key binary, doc_id bigint, n int, sketch binary")
+    rows = sets.select("doc_id", "n_shingles", "signature", "sketch", own).mapInArrow(
+        grow, "region bigint, key binary, doc_id bigint, n int, sketch binary, component bigint")
     # only a hot region's rows differ in the columns that cut the ranges
     marked = rows.join(bounded_broadcast(hot, BROADCAST_ROWS).withColumn("hot", F.lit(True)), "region", "left")
     ordered = marked.repartitionByRange(parts, "region", F.when(F.col("hot"), F.col("key")), F.when(F.col("hot"), F.col("doc_id"))).select(
-        "region", "key", "doc_id", "n", "sketch").sortWithinPartitions("region", "key", "doc_id")
+        "region", "key", "doc_id", "n", "sketch", "component").sortWithinPartitions("region", "key", "doc_id")
     lists = ordered.mapInArrow(near, "a bigint, b array<bigint>, agreement array<int>")
     per = lists.groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("b", "agreement")))).alias("found"))
     pairs = per.select("a", F.explode("found").alias("x")).where("a <> x.b")
@@ -316,10 +333,10 @@ def joined_pairs(open_rows: DataFrame, texts: DataFrame, sets: DataFrame, num: i
     return both.select("a", "b", "sa", "sb").mapInArrow(agree, "a bigint, b bigint, agreement int")
 
 
-def connect(pairs: DataFrame, texts: DataFrame, num: int, den: int, label: DataFrame | None = None) -> DataFrame:
+def connect(pairs: DataFrame, texts: DataFrame, num: int, den: int, label: DataFrame | None = None, rounds: int = ROUNDS) -> DataFrame:
     """``node`` and ``component`` of every document with a confirmed link,
     from the pairs and the components in ``label``."""
-    for last in [False] * ROUNDS + [True]:
+    for last in [False] * rounds + [True]:
         if label is not None:  # what is left lies between components
             left = label.select(F.col("node").alias("a"), F.col("component").alias("ca"))
             right = label.select(F.col("node").alias("b"), F.col("component").alias("cb"))
@@ -354,14 +371,19 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def _near_duplicates(docs: DataFrame, num: int, den: int) -> DataFrame:
     found = pin(documents_sets(docs))
-    classes = found.where("n_shingles > 0").groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("rep"))
-    sets = pin(found.join(classes, ["n_shingles", "f1", "f2"], "left").select(
+    # a set of one row is its own class; the others go by their least doc_id
+    classes = pin(found.where("n_shingles > 0").groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"))
+                  .where("rows > 1").drop("rows"))
+    rep = F.when(F.col("n_shingles") > 0, F.coalesce("least", "doc_id"))
+    sets = pin(found.join(bounded_broadcast(classes, BROADCAST_ROWS), ["n_shingles", "f1", "f2"], "left").withColumn("rep", rep).select(
         "doc_id", "n_shingles", "f1", "f2", "rep", *[F.when(F.col("doc_id") == F.col("rep"), F.col(c)).alias(c) for c in ("signature", "sketch")]))
     reps = sets.where("signature is not null").dropDuplicates(["doc_id"])
     hot = pin(regions(reps).groupBy("region").count().where(F.col("count") > NEIGHBOURS).select("region"))
-    pairs = pin(candidate_pairs(reps, hot, num, den))
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    label = connect(pairs, _texts(docs, wanted), num, den)
+    label = None
+    for trees, neighbours, rounds in ((FIRST_TREES, 1, 0), (TREES, NEIGHBOURS, ROUNDS)):
+        pairs = pin(candidate_pairs(reps, hot, num, den, label, trees, neighbours))
+        wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+        label = connect(pairs, _texts(docs, wanted), num, den, label, rounds)
     open_rows = pin(unsettled(reps, hot, label))
     if open_rows.limit(1).count():
         texts = _texts(docs, open_rows.select("doc_id"))
