@@ -21,12 +21,13 @@ def _with_least(pairs: DataFrame) -> DataFrame:
     return pairs.join(least, "u")
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``component`` (the smallest node reachable) for every node
-    of the edges ``a``, ``b``; nodes without an edge do not appear."""
+    of the edges ``a``, ``b``; nodes without an edge do not appear. Steps go on
+    until nothing changes; each lowers labels, so they come to an end."""
     both = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     now, mark = pin(both), None
-    for _ in range(max_rounds):
+    while True:
         around = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = pin(_with_least(around).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         small = _with_least(large)
