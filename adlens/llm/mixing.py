@@ -68,7 +68,9 @@ def targets(sizes: DataFrame, weights=WEIGHTS, max_rate: int = MAX_RATE) -> Data
 
 def solve_tilts(histogram: DataFrame, per_source: DataFrame, max_rate: int = MAX_RATE,
                 tolerance: float = 1e-4, max_steps: int = 60) -> DataFrame:
-    """``source`` and ``tilt``. ``histogram`` has source, size (above 0), n."""
+    """``source`` and ``tilt``. ``histogram`` has source, size (above 0), n.
+    Steps that leave the bracket are halvings, so some dozens always do; a
+    source that is not within the tolerance after ``max_steps`` is an error."""
     x = F.col("size") / F.col("longest")
     start = histogram.groupBy("source").agg(F.min("size").alias("shortest"))
     top, share = F.lit(math.log(max_rate)), F.col("target") / F.col("source_size")
@@ -94,9 +96,9 @@ def solve_tilts(histogram: DataFrame, per_source: DataFrame, max_rate: int = MAX
                     .select("s.source", "source_size", "longest", "target", low.alias("low"), high.alias("high"),
                             F.when(near, F.col("tilt")).otherwise(step).alias("tilt"), near.alias("near")))
         if state.where("not near").limit(1).count() == 0:
-            break
+            return state.select("source", "tilt")
         state = state.drop("near")
-    return state.select("source", "tilt")
+    raise ArithmeticError(f"the tilts are not within {tolerance} of their targets after {max_steps} steps")
 
 
 def _deal(cells: pd.DataFrame) -> pd.DataFrame:
