@@ -14,8 +14,8 @@ Queries come in rounds of at most ``round_queries`` rows, each broadcast to
 all tasks; tasks return their k best per query, which Spark merges.
 
 Defined cases: vectors that are null, empty of components, or hold null or
-non-finite components take no part; all vectors need one length (others than
-the commonest are refused); rows that share a vec_id count as one another's
+non-finite components take no part, nor do rows without a vec_id and vectors
+of another length than most; rows that share a vec_id count as one another's
 own row; ties go to the smaller vec_id; with fewer than k candidates all are
 returned; without queries the result is empty. Extra columns are ignored.
 """
@@ -40,8 +40,12 @@ SURVIVORS = 1 << 15
 
 
 def integer_vectors(rows: DataFrame, scale: float = 64.0) -> DataFrame:
-    """``vec_id`` and ``v``, the integers of each usable vector."""
-    whole = F.transform("embedding", lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("int"))
+    """``vec_id`` and ``v``, the integers of each usable vector, bounded to
+    +-2^53. Rows without a vec_id take no part, neither as queries nor as
+    candidates."""
+    limit = float(1 << 53)
+    bounded = lambda x: F.greatest(F.least(F.lit(scale) * x.cast("double"), F.lit(limit)), F.lit(-limit))
+    whole = F.transform("embedding", lambda x: F.floor(bounded(x)).cast("bigint"))
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
     return rows.where("vec_id is not null and embedding is not null and size(embedding) > 0").where(~bad).select(
         "vec_id", whole.alias("v"))
@@ -121,13 +125,18 @@ def dimension_cuts(n: int) -> list[int]:
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int, round_queries: int = ROUND_QUERIES) -> DataFrame:
-    """``query_id``, ``rank``, ``vec_id``, ``score`` for each query row; both
-    inputs are ``integer_vectors``."""
+    """``query_id``, ``rank``, ``vec_id``, ``score`` for each query id; both
+    inputs are ``integer_vectors``. Of rows that repeat a query's id the least
+    vector asks; as candidates all rows count. Vectors of another length than
+    most candidates (of equally frequent ones, the longest) take no part.
+    Scores are exact below 2^53."""
     spark = queries.sparkSession
-    queries, candidates = pin(queries.dropDuplicates(["vec_id"])), pin(spread(candidates))
-    sizes = candidates.groupBy(F.size("v")).count().limit(2).collect()
+    queries, candidates = pin(queries.groupBy("vec_id").agg(F.min("v").alias("v"))), pin(spread(candidates))
+    sizes = candidates.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).limit(2).collect()
+    if sizes:
+        queries = queries.where(F.size("v") == sizes[0]["d"])
     if len(sizes) > 1:
-        raise ValueError("vectors of different lengths")
+        candidates = candidates.where(F.size("v") == sizes[0]["d"])
     rounds = max(1, -(-queries.count() // round_queries))
     place = F.pmod(F.xxhash64(F.col("vec_id"), F.lit("round")), F.lit(rounds))
     found = None
@@ -173,7 +182,7 @@ def _one_round(candidates: DataFrame, shared, k: int) -> DataFrame:
             flat = real[rows]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(q_ids[rows]), pa.ListArray.from_arrays(off, pa.array(best.ids[rows][flat])),
-                 pa.ListArray.from_arrays(off, pa.array(best.scores[rows][flat].astype(np.int64)))],
+                 pa.ListArray.from_arrays(off, pa.array(np.clip(best.scores[rows][flat], -9.2e18, 9.2e18).astype(np.int64)))],
                 ["query_id", "vec_id", "score"])
 
     return candidates.mapInArrow(run, "query_id bigint, vec_id array<bigint>, score array<bigint>")
