@@ -203,7 +203,8 @@ def test_topk_of_odd_rows(spark):
     make = lambda rows: topk.integer_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"))
     rows = [(20, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [4e7, 1.0]), (None, [9.0, 9.0]), (3, [1.0]), (40, [5.0]), (60, [0.0, 3.0]), (60, [0.0, 1.0]),
             (4, [3e38, -3e38]), (5, None), (6, []), (7, [float("nan"), 1.0])]
-    got = [tuple(r) for r in topk.top_k((v := make(rows)).where("vec_id % 20 = 0"), v, 20).collect()]
+    vectors = make(rows)
+    got = [tuple(r) for r in topk.top_k(vectors.where("vec_id % 20 = 0"), vectors, 20).collect()]
     most = 2 ** 53
     # the least of the two vectors 60 asks; 3, 40 have another length; 4 is bounded
     assert sorted(got) == [(20, 1, 4, 64 * most), (20, 2, 2, 64 * 64 * 40_000_000), (20, 3, 1, 64 * 128), (20, 4, 60, 0), (20, 5, 60, 0),
