@@ -10,15 +10,18 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import html as H
 from ..functions import markup as M
 from ..functions import text as X
 from ..operators import asof, digest, quality, states
 from ..operators import streets as streets_op
 from ..operators import lifecycle as L
+from ..operators import report as RP
 from ..operators import stats as ST
 from ..operators.sizing import pin, spread
 from ..session import scratch_path, scratch_scope
+from ..sinks.writers import write_table
 from ..sources import positions as P
 from ..sources import reports as SR
 from ..streaming import keyed_listings as K
@@ -249,7 +252,50 @@ def q_adhoc_functions(spark, sf_dir):
         FROM listed_fields WHERE parse_price(price) < :cap""", {"listed_fields": fields}, {"run": "2024-03-01", "cap": 900_000}, with_functions=True)
 
 
+def q_daily_report_or_none(spark, sf_dir):
+    """The head line of a date's report from the log, for the last
+    week and for a week before the first, on which nothing was collected."""
+    with scratch_scope(spark):
+        store = _delivered(spark, sf_dir)
+        dates = DS.manifest(spark, store).dates()
+        out = []
+        for d in (dates[0] - _dt.timedelta(days=7), dates[-1]):
+            ads = DS.read_clean(spark, store, d)
+            lines = RP.no_data_report(spark) if quality.is_empty(ads) else RP.combined_report(ads, d).where(F.col("line").startswith("Total"))
+            out.append(lines.select(F.lit(d).alias("run_date"), "line"))
+        return pin(out[0].unionByName(out[1]), keep=True)
+
+
+def q_empty_inputs(spark, sf_dir):
+    """A delivery without records leaves the open ads as they were,
+    and a table that was never written reads as an empty one of its type."""
+    with scratch_scope(spark):
+        store = _delivered(spark, sf_dir)
+        nothing = DS.deliver(spark, store, DS.read_arrivals(spark, store).where("false"), "nothing")
+        never = DS.DeltaStore(scratch_path(spark, "never"))
+        removed = SR.empty_table(spark, schemas.REMOVED_ADS).unionByName(DS.read_removed(spark, never)).unionByName(DS.read_removed(spark, store))
+        return pin(DS.read_open(spark, store).select(_KEY, F.lit("open").alias("state"), F.lit(len(nothing)).alias("applied")).unionByName(
+            removed.select(_KEY, F.lit("removed").alias("state"), F.lit(len(nothing)).alias("applied"))), keep=True)
+
+
+def q_table_csv_roundtrip(spark, sf_dir):
+    """K5: clean ads written as CSV with a header and read back typed."""
+    ads = A.ads_from_part(_table(spark, sf_dir, "part"))
+    path = scratch_path(spark, "csv")
+    write_table(ads, path, fmt="csv")
+    back = spark.read.schema(ads.schema).option("header", True).csv(path)
+    return back.select("url_hash", "room_count", "has_lift", "street", "pub_date", "size_sqm", "price_eur", "sqm_price_eur")
+
+
+def q_cheapest_ads(spark, sf_dir):
+    """The first rows of an ordered ad-hoc query (LIMIT is the feature)."""
+    return Z.run_sql(spark, "SELECT url_hash, price_eur FROM priced_ads ORDER BY price_eur, url_hash LIMIT 20",
+                     {"priced_ads": A.ads_from_part(_table(spark, sf_dir, "part"))})
+
+
 QUERIES = {
+    "daily_report_or_none": q_daily_report_or_none, "empty_inputs": q_empty_inputs, "table_csv_roundtrip": q_table_csv_roundtrip,
+    "cheapest_ads": q_cheapest_ads,
     "street_spellings": q_street_spellings, "adhoc_functions": q_adhoc_functions,
     "delta_periods": q_delta_periods, "delta_open_by_date": q_delta_open_by_date, "delta_metrics": q_delta_metrics,
     "stream_lifecycle": q_stream_lifecycle, "open_by_date": q_open_by_date, "digest_changes": q_digest_changes,
@@ -300,6 +346,14 @@ select p_partkey // {_ADS_PER_FILE} as file, row_number() over (partition by p_p
 u as (select *, p_partkey // {_ADS_PER_FILE} as file, row_number() over (partition by p_partkey // {_ADS_PER_FILE} order by p_partkey) as rank from part_ads),
 v as (select file, price_eur, row_number() over (partition by file order by p_partkey) as rank from u where p_brand <> 'Brand#13')
 select file, rank, u.url_hash, v.price_eur, u.room_count from u join v using (file, rank)""",
+        "daily_report_or_none": with_(weekly) + """
+select cast(min(d) - 7 as date) as run_date, 'No data was collected during last scraping job.' as line from c
+union all select max(d), 'Total active listings: ' || (select count(*) from life where removed_date is null) from c""",
+        "empty_inputs": with_(weekly) + """
+select ad_key, case when removed_date is null then 'open' else 'removed' end as state, cast(0 as integer) as applied from life""",
+        "table_csv_roundtrip": with_(ads_sql) + """
+select url_hash, room_count, has_lift, street, pub_date, size_sqm, price_eur, sqm_price_eur from ads""",
+        "cheapest_ads": with_(ads_sql) + " select url_hash, price_eur from ads order by price_eur, url_hash limit 20",
         "street_spellings": f"""
 with recursive b as (select p_partkey, p_name || ' ' || lower(p_type) || ' iela' as s from part),
 v as (select p_partkey, s, cast(p_partkey % length(s) as integer) + 1 as at_ from b),
