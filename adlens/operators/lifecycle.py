@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -113,7 +113,7 @@ class StepResult:
 
 def lifecycle_step(listed_prev: DataFrame, today_ads: DataFrame, run_date,
                    track_price: bool = False, persist: bool = True,
-                   unparsed: DataFrame | None = None) -> StepResult:
+                   unparsed: DataFrame | None = None, counted: Observation | None = None) -> StepResult:
     """One run of the lifecycle as a pure function of (open ads before
     the run, today's clean ads, run date).
 
@@ -127,6 +127,9 @@ def lifecycle_step(listed_prev: DataFrame, today_ads: DataFrame, run_date,
     * ``unparsed`` (``url_hash`` of today's records that could not be parsed):
       an open ad among them is still listed and keeps its stored row, its
       rows count as unchanged; one that is not open is not inserted.
+
+    ``counted``: an observation that gets the metrics (but for the run date)
+    from the first write of ``listed_next``, so that they need no job.
     """
     run = X.run_date_lit(run_date)
     today_rows = today_ads.select(*listed_row_from_ad(run), F.col("url"))
@@ -157,21 +160,22 @@ def lifecycle_step(listed_prev: DataFrame, today_ads: DataFrame, run_date,
             return F.when(in_t, F.col(f"t.{c}")).otherwise(F.col(f"p.{c}")).alias(c)
         return F.when(in_p, F.col(f"p.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
 
-    listed_next = joined.where(in_t | (seen & in_p)).select("url_hash", *[pick(c) for c in LISTED_COLS if c != "url_hash"])
-    removed_delta = joined.where(in_p & ~seen).select(
-        "url_hash", *[F.col(f"p.{c}").alias(c) for c in
-                      ["room_count", "house_floors", "apt_floor", "price", "sqm", "sqm_price", "apt_address"]],
-        F.col("p.list_date").alias("listed_date"), run.alias("removed_date"),
-        F.col("p.days_listed").alias("days_listed"), F.col("p.view_count").alias("view_count"))
     unchanged = F.coalesce(F.sum(F.when(in_p, F.col("n_today"))), F.lit(0)).cast("bigint")
     new_ads = F.coalesce(F.sum(F.when(~in_p, F.col("n_parsed"))), F.lit(0)).cast("bigint")
-    metrics = joined.agg(
+    counts = [
         (unchanged + new_ads).alias("scraped"), F.count_if(in_p).alias("in_db"),
         unchanged.alias("unchanged"), new_ads.alias("new_ads"),
         F.count_if(in_p & ~seen).alias("removed"),
         F.count_if(in_t | (seen & in_p)).alias("active_total"),
-        F.count_if(in_p & ~seen & (F.col("p.price") < PRICE_CAP)).alias("removed_under_cap_delta"),
-    ).select(run.alias("run_date"), "*")
+        F.count_if(in_p & ~seen & (F.col("p.price") < PRICE_CAP)).alias("removed_under_cap_delta")]
+    every = joined.observe(counted, *counts) if counted is not None else joined
+    listed_next = every.where(in_t | (seen & in_p)).select("url_hash", *[pick(c) for c in LISTED_COLS if c != "url_hash"])
+    removed_delta = joined.where(in_p & ~seen).select(
+        "url_hash", *[F.col(f"p.{c}").alias(c) for c in
+                      ["room_count", "house_floors", "apt_floor", "price", "sqm", "sqm_price", "apt_address"]],
+        F.col("p.list_date").alias("listed_date"), run.alias("removed_date"),
+        F.col("p.days_listed").alias("days_listed"), F.col("p.view_count").alias("view_count"))
+    metrics = joined.agg(*counts).select(run.alias("run_date"), "*")
     return StepResult(listed_next, removed_delta, metrics, joined)
 
 

@@ -29,7 +29,7 @@ import datetime as _dt
 import hashlib
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -181,37 +181,32 @@ def run_day(spark: SparkSession, store: StateStore, today_ads: DataFrame, run_da
     last committed one unless forced; a forced past date is rebuilt from its
     predecessor, and the later dates must follow (``apply_arrivals`` does)."""
     d = _date(run_date)
-    if not force and is_committed(spark, store, d):
+    runs = {r["run_date"]: r for r in read_metrics(spark, store).select("run_date", "removed_total", "removed_under_cap").collect()}  # a row per run
+    if not force and d in runs:
         return "skipped"
-    last = last_committed(spark, store)
-    if last is not None and d < last and not force:
-        raise LateSnapshot(f"{d} is before the last committed run {last}")
+    if runs and d < max(runs) and not force:
+        raise LateSnapshot(f"{d} is before the last committed run {max(runs)}")
     if quarantine is not None:
         write_partition(quarantine.withColumn("run_date", F.lit(d)), store.path("quarantine"),
                         "run_date", d.isoformat())
-    if is_empty(today_ads) and (unparsed is None or is_empty(unparsed)):
+    records = today_ads.select("url_hash")
+    if is_empty(records if unparsed is None else records.unionByName(unparsed.select("url_hash"))):
         return "empty"
     _init(spark, store)
-    prev_d = committed_before(spark, store, d)
+    prev_d = max((x for x in runs if x < d), default=None)
     listed_prev = read_listed(spark, store, prev_d) if prev_d else spark.createDataFrame([], schemas.LISTED_ADS)
-    step = L.lifecycle_step(listed_prev, today_ads, d, track_price=track_price, unparsed=unparsed)
+    counted = Observation()
+    step = L.lifecycle_step(listed_prev, today_ads, d, track_price=track_price, unparsed=unparsed, counted=counted)
     try:
         write_partition(step.removed_delta, store.path("removed"), "removed_date", d.isoformat())
         write_listed(spark, store, step.listed_next, d)
         if keep_clean:
             write_partition(today_ads.select(*schemas.CLEAN_ADS.fieldNames()).withColumn("run_date", F.lit(d)),
                             store.path("clean"), "run_date", d.isoformat())
-        prev_m = read_metrics(spark, store).where(F.col("run_date") == F.lit(prev_d)) if prev_d else None
-        m = step.metrics
-        if prev_m is not None:
-            totals = prev_m.select(F.col("removed_total").alias("_rt"), F.col("removed_under_cap").alias("_ruc"))
-            m = m.crossJoin(totals)  # one row each
-        else:
-            m = m.withColumn("_rt", F.lit(0).cast("bigint")).withColumn("_ruc", F.lit(0).cast("bigint"))
-        m = m.select("run_date", "scraped", "in_db", "unchanged", "new_ads", "removed", "active_total",
-                     (F.col("_rt") + F.col("removed")).cast("bigint").alias("removed_total"),
-                     (F.col("_ruc") + F.col("removed_under_cap_delta")).cast("bigint").alias("removed_under_cap"))
-        write_partition(m, store.path("run_metrics"), "run_date", d.isoformat())
+        n, before = counted.get, runs[prev_d].asDict() if prev_d else {}
+        row = (d, *[n[c] for c in ("scraped", "in_db", "unchanged", "new_ads", "removed", "active_total")],
+               before.get("removed_total", 0) + n["removed"], before.get("removed_under_cap", 0) + n["removed_under_cap_delta"])
+        write_partition(spark.createDataFrame([row], schemas.RUN_METRICS).coalesce(1), store.path("run_metrics"), "run_date", d.isoformat())
     finally:
         step.joined.unpersist()
     return "done"

@@ -177,3 +177,27 @@ def test_run_report_needs_a_date(spark, tmp_dir):
     with pytest.raises(ValueError):
         D.run_report(spark, store, inbox)
     assert D.run_report(spark, store, inbox, run_date="2024-11-09") == {dt.date(2024, 11, 9): "done"}
+
+
+def test_metrics_come_from_the_write(spark, tmp_dir):
+    """run_day counts while it writes; it took 15 jobs when it counted apart."""
+    rows = [(f"k{i}", D1, D1, 499_990 + i) for i in range(30)] + [(f"k{i}", D2, D1, 1) for i in range(5, 33)] + [("k7", D2, D2, 2)]
+    ads = ads_from_keys(spark, rows).cache()
+    store = D.StateStore(tmp_dir + "/state")
+    sc = spark.sparkContext
+    for d in (D1, D2):
+        before = D.read_listed(spark, store).cache()
+        before.count()
+        sc.setJobGroup(f"run-{d}", "run_day")
+        bad = ads.where((F.col("run_date") == F.lit(d)) & F.col("url_hash").isin("k8", "k99")).select("url_hash")
+        today = ads.where((F.col("run_date") == F.lit(d)) & ~F.col("url_hash").isin("k8"))
+        assert D.run_day(spark, store, today, d, unparsed=bad) == "done"
+        assert 0 < len(sc.statusTracker().getJobIdsForGroup(f"run-{d}")) <= 10
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        want = L.lifecycle_step(before, today, d, persist=False, unparsed=bad).metrics.first().asDict()
+        got = {r["run_date"]: r for r in D.read_metrics(spark, store).collect()}[d].asDict()
+        assert {k: got[k] for k in ("scraped", "in_db", "unchanged", "new_ads", "removed", "active_total")} == {
+            k: want[k] for k in ("scraped", "in_db", "unchanged", "new_ads", "removed", "active_total")}
+        before.unpersist()
+    assert got["removed_total"] == want["removed"] == 5 and got["removed_under_cap"] == want["removed_under_cap_delta"] == 5
+    ads.unpersist()
