@@ -14,7 +14,7 @@ and joined, most of it is one component. Then, in all trees, the rows of a
 region meet that lie in different components: in a region of at most
 ``NEIGHBOURS`` rows, which is never cut between tasks, all of them; a larger
 one is split over tasks in the order of its further columns, and each row meets
-the ``NEIGHBOURS`` rows that follow it. Once these are confirmed and joined, the
+the ``HOT_NEIGHBOURS`` that follow it in every tree. Once these are confirmed and joined, the
 large regions that still hold more
 than one component are settled by a prefix-filtered join of the shingles: rare
 shingles first, a pair that reaches the similarity shares a shingle among the
@@ -23,12 +23,10 @@ pairs between components come out of that join, so a large family of near
 copies adds none, nor does one whose members all lie under the similarity.
 
 Candidates whose set sizes or sketches (two bits of each of ``SKETCHED``
-minima) rule out the similarity are dropped at once. Those of all trees are confirmed
-on full sets in rounds (one by default): first each document's most similar candidate, then,
-after joining components, each one's most similar candidate outside its
-component, and at last every pair that is left between two components. Pairs
-inside a component add nothing to the result, so a group of near copies costs
-about as many comparisons as it has members, not pairs.
+minima) rule out the similarity are dropped at once; the others are confirmed
+on full sets. Pairs inside a component add nothing to the result and are never
+made, so a group of near copies costs about as many comparisons as it has
+members, not pairs.
 
 Each tree of ``DEPTH`` columns finds a pair of similarity s with probability
 s^DEPTH; with 24 trees of 5 columns a pair at 0.85 meets in no tree once in a
@@ -57,13 +55,12 @@ SHINGLE = 5
 TREES, DEPTH, COLUMNS = 24, 5, 10
 HASHES, SKETCHED = 128, 256
 NEIGHBOURS = 32
+# Followers a row meets in a larger region, in every tree.
+HOT_NEIGHBOURS = 4
 # Trees of the first round, in which a row meets its next neighbour only.
-FIRST_TREES = 4
+FIRST_TREES = 8
 # Standard deviations below the expected agreement at which a sketch rules out.
 SLACK = 4.0
-# Rounds of most similar candidates before all open pairs are confirmed: each
-# spares comparisons in large groups and costs a run of the components.
-ROUNDS = 1
 BROADCAST_ROWS = 200_000
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -187,8 +184,8 @@ def candidate_pairs(sets: DataFrame, hot: DataFrame, num: int, den: int, label:
     """Distinct ``a``, ``b`` of different components (``label``) that share a
     region of one of the ``trees`` and may reach similarity num / den, with the
     ``agreement`` of their sketches: each row with the ``neighbours`` rows that
-    follow it in its region, so in regions of at most that many all pairs. The
-    ``hot`` regions are split over tasks."""
+    follow it in its region, so in regions of at most that many all pairs. In
+    the ``hot`` regions, which are split over tasks, with ``HOT_NEIGHBOURS``."""
     least = _least_agreement(num, den)
     own = F.col("doc_id").alias("component")
     if label is not None:
@@ -211,9 +208,10 @@ def candidate_pairs(sets: DataFrame, hot: DataFrame, num: int, den: int, label:
         for part in batches(parts):
             n = part.num_rows
             now = (part.column("region").to_numpy(), part.column("doc_id").to_numpy(), part.column("n").to_numpy().astype(np.int64),
-                   np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8).reshape(n, -1), part.column("component").to_numpy())
+                   np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8).reshape(n, -1), part.column("component").to_numpy(),
+                   part.column("hot").to_numpy(zero_copy_only=False))
             fresh = 0 if held is None else len(held[0])
-            region, ids, size, sketch, group = now if held is None else tuple(np.concatenate(x) for x in zip(held, now))
+            region, ids, size, sketch, group, crowd = now if held is None else tuple(np.concatenate(x) for x in zip(held, now))
             i_out, j_out, agree_out = [], [], []
             for step in range(1, min(neighbours, len(region) - 1) + 1):
                 i = np.flatnonzero(region[step:] == region[:-step])
@@ -221,6 +219,9 @@ def candidate_pairs(sets: DataFrame, hot: DataFrame, num: int, den: int, label:
                     break
                 j = i + step
                 i, j = i[j >= fresh], j[j >= fresh]
+                if step > HOT_NEIGHBOURS:   # the rest of a hot region is for the shingle join
+                    few = ~crowd[i]
+                    i, j = i[few], j[few]
                 ok = (group[i] != group[j]) & (np.minimum(size[i], size[j]) * den >= np.maximum(size[i], size[j]) * num)
                 i, j = i[ok], j[ok]
                 agree = EQUAL[sketch[i] ^ sketch[j]].sum(axis=1)
@@ -237,7 +238,7 @@ def candidate_pairs(sets: DataFrame, hot: DataFrame, num: int, den: int, label:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[i[edge]]), pa.ListArray.from_arrays(off, pa.array(ids[j])), pa.ListArray.from_arrays(off, pa.array(agree, pa.int32()))],
                     ["a", "b", "agreement"])
-            held = tuple(x[-neighbours:] for x in (region, ids, size, sketch, group))
+            held = tuple(x[-neighbours:] for x in (region, ids, size, sketch, group, crowd))
 
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = sets.select("doc_id", "n_shingles", "signature", "sketch", own).mapInArrow(
@@ -245,7 +246,7 @@ def candidate_pairs(sets: DataFrame, hot: DataFrame, num: int, den: int, label:
     # only a hot region's rows differ in the columns that cut the ranges
     marked = rows.join(bounded_broadcast(hot, BROADCAST_ROWS).withColumn("hot", F.lit(True)), "region", "left")
     ordered = marked.repartitionByRange(parts, "region", F.when(F.col("hot"), F.col("key")), F.when(F.col("hot"), F.col("doc_id"))).select(
-        "region", "key", "doc_id", "n", "sketch", "component").sortWithinPartitions("region", "key", "doc_id")
+        "region", "key", "doc_id", "n", "sketch", "component", F.coalesce("hot", F.lit(False)).alias("hot")).sortWithinPartitions("region", "key", "doc_id")
     lists = ordered.mapInArrow(near, "a bigint, b array<bigint>, agreement array<int>")
     per = lists.groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("b", "agreement")))).alias("found"))
     pairs = per.select("a", F.explode("found").alias("x")).where("a <> x.b")
@@ -333,27 +334,13 @@ def joined_pairs(open_rows: DataFrame, texts: DataFrame, sets: DataFrame, num: i
     return both.select("a", "b", "sa", "sb").mapInArrow(agree, "a bigint, b bigint, agreement int")
 
 
-def connect(pairs: DataFrame, texts: DataFrame, num: int, den: int, label: DataFrame | None = None, rounds: int = ROUNDS) -> DataFrame:
+def connect(pairs: DataFrame, texts: DataFrame, num: int, den: int, label: DataFrame | None = None) -> DataFrame:
     """``node`` and ``component`` of every document with a confirmed link,
     from the pairs and the components in ``label``."""
-    for last in [False] * rounds + [True]:
-        if label is not None:  # what is left lies between components
-            left = label.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-            right = label.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-            pairs = pin(pairs.join(left, "a", "left").join(right, "b", "left")
-                        .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b", "agreement"))
-        chosen = pairs
-        if not last:
-            each = pairs.select(F.col("a").alias("node"), "a", "b", "agreement").unionByName(
-                pairs.select(F.col("b").alias("node"), "a", "b", "agreement"))
-            best = F.max(F.struct("agreement", (-F.col("a")).alias("a"), (-F.col("b")).alias("b")))
-            chosen = pin(each.groupBy("node").agg(best.alias("x")).select((-F.col("x.a")).alias("a"), (-F.col("x.b")).alias("b")).distinct())
-            pairs = pairs.join(chosen, ["a", "b"], "left_anti")
-        found = pin(confirm(chosen.select("a", "b"), texts, num, den))
-        if label is None or found.limit(1).count():
-            known = found if label is None else label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found)
-            label = pin(components(known))
-    return label
+    found = confirm(pairs.select("a", "b"), texts, num, den)
+    if label is not None:
+        found = label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found)
+    return pin(components(pin(found)))
 
 
 def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100, fingerprints: bool = False) -> DataFrame:
@@ -380,10 +367,10 @@ def _near_duplicates(docs: DataFrame, num: int, den: int) -> DataFrame:
     reps = sets.where("signature is not null").dropDuplicates(["doc_id"])
     hot = pin(regions(reps).groupBy("region").count().where(F.col("count") > NEIGHBOURS).select("region"))
     label = None
-    for trees, neighbours, rounds in ((FIRST_TREES, 1, 0), (TREES, NEIGHBOURS, ROUNDS)):
+    for trees, neighbours in ((FIRST_TREES, 1), (TREES, NEIGHBOURS)):
         pairs = pin(candidate_pairs(reps, hot, num, den, label, trees, neighbours))
         wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-        label = connect(pairs, _texts(docs, wanted), num, den, label, rounds)
+        label = connect(pairs, _texts(docs, wanted), num, den, label)
     open_rows = pin(unsettled(reps, hot, label))
     if open_rows.limit(1).count():
         texts = _texts(docs, open_rows.select("doc_id"))
