@@ -31,7 +31,10 @@ from . import delta_store as DS
 from .store_queries import _as_tagged, _table, _weekly
 
 ATTRS = ["room_count", "house_floors", "apt_floor", "price", "sqm", "sqm_price", "apt_address"]
-_KEY = F.col("url_hash").cast("bigint").alias("ad_key")
+
+
+def _key():
+    return F.col("url_hash").cast("bigint").alias("ad_key")
 
 
 def _delivered(spark, sf_dir) -> DS.DeltaStore:
@@ -55,8 +58,8 @@ def q_delta_periods(spark, sf_dir):
     the listing periods."""
     with scratch_scope(spark):
         store = _delivered(spark, sf_dir)
-        open_ = DS.read_open(spark, store).select(_KEY, *ATTRS, "list_date", F.lit(None).cast("date").alias("removed_date"), "days_listed")
-        gone = DS.read_removed(spark, store).select(_KEY, *ATTRS, F.col("listed_date").alias("list_date"), "removed_date", "days_listed")
+        open_ = DS.read_open(spark, store).select(_key(), *ATTRS, "list_date", F.lit(None).cast("date").alias("removed_date"), "days_listed")
+        gone = DS.read_removed(spark, store).select(_key(), *ATTRS, F.col("listed_date").alias("list_date"), "removed_date", "days_listed")
         return pin(open_.unionByName(gone), keep=True)
 
 
@@ -65,7 +68,7 @@ def q_delta_open_by_date(spark, sf_dir):
     read per run date: what a report of that date would do)."""
     with scratch_scope(spark):
         store = _delivered(spark, sf_dir)
-        each = [DS.read_open(spark, store, d).select(F.lit(d).alias("run_date"), _KEY, "price", "list_date", "days_listed")
+        each = [DS.read_open(spark, store, d).select(F.lit(d).alias("run_date"), _key(), "price", "list_date", "days_listed")
                 for d in DS.manifest(spark, store).dates()]
         return pin(reduce(DataFrame.unionByName, each), keep=True)
 
@@ -103,7 +106,7 @@ def q_stream_lifecycle(spark, sf_dir):
             query = K.start(spark, spark.readStream.schema(ads.schema).parquet(inbox), out, ckpt, lateness="4 days")
             query.awaitTermination()
         events = spark.read.schema(K.EVENT).parquet(out).where("url_hash <> '~end'")
-        return pin(K.listing_periods(events, ads).select(_KEY, *ATTRS, "list_date", "removed_date", "days_listed"), keep=True)
+        return pin(K.listing_periods(events, ads).select(_key(), *ATTRS, "list_date", "removed_date", "days_listed"), keep=True)
 
 
 def q_open_by_date(spark, sf_dir):
@@ -274,8 +277,8 @@ def q_empty_inputs(spark, sf_dir):
         nothing = DS.deliver(spark, store, DS.read_arrivals(spark, store).where("false"), "nothing")
         never = DS.DeltaStore(scratch_path(spark, "never"))
         removed = SR.empty_table(spark, schemas.REMOVED_ADS).unionByName(DS.read_removed(spark, never)).unionByName(DS.read_removed(spark, store))
-        return pin(DS.read_open(spark, store).select(_KEY, F.lit("open").alias("state"), F.lit(len(nothing)).alias("applied")).unionByName(
-            removed.select(_KEY, F.lit("removed").alias("state"), F.lit(len(nothing)).alias("applied"))), keep=True)
+        return pin(DS.read_open(spark, store).select(_key(), F.lit("open").alias("state"), F.lit(len(nothing)).alias("applied")).unionByName(
+            removed.select(_key(), F.lit("removed").alias("state"), F.lit(len(nothing)).alias("applied"))), keep=True)
 
 
 def q_table_csv_roundtrip(spark, sf_dir):

@@ -3,6 +3,7 @@ aggregation, shuffle counts) and hot-key behaviour."""
 
 import datetime as dt
 import io
+import os
 from contextlib import redirect_stdout
 
 from pyspark.sql import functions as F
@@ -73,3 +74,11 @@ def test_step_with_a_hot_key(spark):
         assert hot["price"] == 1000 + last
     finally:
         step.joined.unpersist()
+
+
+def test_queries_are_listed_without_a_session():
+    import subprocess
+    import sys
+    code = "import __spark_entry__ as e; print(len(e.queries()) >= len(e.oracle_sql()) > 80)"
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120, cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    assert out.stdout.strip() == "True", out.stderr[-500:]
