@@ -26,6 +26,13 @@ _REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
 _REPLACED = "\ufffd"
 
 
+def bind(value, fn) -> Column:
+    """``fn`` of a value that is worked out once a row. The optimizer puts an
+    expression in place of every mention of its column where it joins
+    projections or moves a filter below them; a lambda's variable stays."""
+    return F.get(F.transform(F.array(col_(value)), fn), 0)
+
+
 def visible(html) -> Column:
     """The page without comments, declarations, scripts and styles; tags are
     read whole, so a quoted attribute may hold what looks like either."""
@@ -50,9 +57,11 @@ def _reference(piece: Column) -> Column:
 def unescape(text) -> Column:
     """Character references as characters, each once (``&amp;lt;`` is ``&lt;``);
     unknown names stay."""
-    t = col_(text)
-    pieces = F.regexp_extract_all(t, F.lit(rf"{_REFERENCE}|[^&]++|&"), 0)
-    return F.when(t.contains("&"), F.array_join(F.transform(pieces, _reference), "")).otherwise(t)
+    def read(t):
+        pieces = F.regexp_extract_all(t, F.lit(rf"{_REFERENCE}|[^&]++|&"), 0)
+        return F.when(t.contains("&"), F.array_join(F.transform(pieces, _reference), "")).otherwise(t)
+
+    return bind(text, read)
 
 
 def _unquoted(value: Column) -> Column:
@@ -61,8 +70,8 @@ def _unquoted(value: Column) -> Column:
 
 def tokens(html) -> Column:
     """The visible page as tags and stretches of text, in order. The
-    functions below take this array; keep it as a column of its own, so that
-    a page is read once."""
+    functions below take this array and work it out once each; ``bind`` it
+    where several of them read the same page."""
     return F.regexp_extract_all(visible(html), F.lit(rf"(?s){_TAG}|[^<]++|<"), 0)
 
 
@@ -86,38 +95,48 @@ def msg_links(page, base: str = H.LINK_BASE, pattern: str = H.LINK_PATTERN) -> C
 def cells(page, tag: str, cls: str) -> Column:
     """H4+H6: the markup of every ``tag`` with the class (a whole token of the
     attribute) up to the first end tag, character references read."""
-    t = col_(page)
     own = _quote(cls)
     listed = rf"(?:\"(?:[^\"]*\s)?(?-i:{own})(?:\s[^\"]*)?\"|'(?:[^']*\s)?(?-i:{own})(?:\s[^']*)?'|(?-i:{own})(?=[\s>]))"
-    marks = F.transform(t, lambda x, i: F.when(_starts(x, tag) & x.rlike(H._attribute_value(tag, "class", listed)), i))
-    places = F.filter(marks, lambda i: i.isNotNull())
+    wanted = H._attribute_value(tag, "class", listed)
+
+    def read(t, ends):
+        marks = F.transform(t, lambda x, i: F.when(_starts(x, tag) & x.rlike(wanted), i))
 
-    def inner(i):
-        rest = F.slice(t, i + 2, F.size(t))
-        end = F.array_position(F.transform(rest, lambda x: x.startswith("</")), True)
-        return F.array_join(F.slice(rest, 1, F.when(end > 0, end - 1).otherwise(F.size(rest)).cast("int")), "")
+        def inner(i):
+            end = F.coalesce(F.get(F.filter(ends, lambda e: e > i), 0), F.size(t))
+            return F.array_join(F.slice(t, i + 2, end - i - 1), "")
 
-    return F.transform(places, lambda i: unescape(H.strip_controls(inner(i))))
+        return F.transform(F.filter(marks, lambda i: i.isNotNull()), lambda i: unescape(H.strip_controls(inner(i))))
+
+    def end_tags(t):
+        return F.filter(F.transform(t, lambda x, i: F.when(x.startswith("</"), i)), lambda i: i.isNotNull())
+
+    return bind(page, lambda t: bind(end_tags(t), lambda ends: read(t, ends)))
 
 
 def element(page, tag: str, attribute: str, value: str) -> Column:
     """The tokens inside the first element ``tag`` with this attribute value,
     up to the end tag that closes it (elements of the same name inside are
     skipped over; to the end of the page when none does); NULL without it."""
-    t = col_(page)
     own = _quote(value)
-    wanted = rf"(?-i:\"{own}\"|'{own}'|{own}(?=[\s>]))"
-    at = F.array_position(F.transform(t, lambda x: _starts(x, tag) & x.rlike(H._attribute_value(tag, attribute, wanted))), True).cast("int")
+    wanted = H._attribute_value(tag, attribute, rf"(?-i:\"{own}\"|'{own}'|{own}(?=[\s>]))")
     end = rf"(?i)^</{tag}[\s/>]"
 
     def step(acc, x):
         depth = acc["depth"] + F.when(x.rlike(end), -1).when(_starts(x, tag) & ~x.endswith("/>"), 1).otherwise(0)
-        return F.struct(F.when(acc["depth"] == 0, 0).otherwise(depth).alias("depth"),
-                        (acc["n"] + F.when((acc["depth"] > 0) & (depth > 0), 1).otherwise(0)).alias("n"))
+        return bind(depth, lambda after: F.struct(
+            F.when(acc["depth"] == 0, 0).otherwise(after).alias("depth"),
+            (acc["n"] + F.when((acc["depth"] > 0) & (after > 0), 1).otherwise(0)).alias("n")))
+
+    def inside(t, at):
+        start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n"))
+        n = F.aggregate(F.slice(t, at + 1, F.size(t)), start, step, lambda acc: acc["n"])
+        return F.when(at > 0, F.slice(t, at + 1, n))
+
+    def place(t):
+        return F.array_position(F.transform(t, lambda x: _starts(x, tag) & x.rlike(wanted)), True).cast("int")
 
-    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n"))
-    n = F.aggregate(F.slice(t, at + 1, F.size(t)), start, step, lambda acc: acc["n"])
-    return F.when(at > 0, F.slice(t, at + 1, n))
+    return bind(page, lambda t: bind(place(t), lambda at: inside(t, at)))
 
 
 def text(page) -> Column:

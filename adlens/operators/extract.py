@@ -199,17 +199,19 @@ def ad_pages_to_blocks(pages: DataFrame, url_col: str = "url") -> tuple[DataFram
     An ad without a price cell or without a footer date is quarantined
     (the reference skips the rest of the ad, or repeats the previous date).
     """
-    page = pages.select(F.col(url_col).alias("url"), M.tokens("html").alias("page"))
-    page = page.select("url", F.coalesce(M.element("page", "table", "id", H.MAIN_TABLE_ID), "page").alias("main"))
-    names, values, prices, footer = (M.cells("main", "td", c) for c in
-                                     (H.CLASS_OPT_NAME, H.CLASS_OPT_VALUE, H.CLASS_PRICE, H.CLASS_FOOTER))
-    pairs = H.zip_options(names, values)
-    lines = F.transform(F.filter(pairs, lambda p: p["value"].isNotNull()),
-                        lambda p: F.concat(p["name"], F.lit(">"), p["value"]))
-    price = H.first_price(prices)
-    date = H.footer_date(footer)
-    df = page.select("url", lines.alias("lines"), price.alias("price"),
-                      date.alias("date"))
+    def read(main):
+        names, values, prices, footer = (M.cells(main, "td", c) for c in
+                                         (H.CLASS_OPT_NAME, H.CLASS_OPT_VALUE, H.CLASS_PRICE, H.CLASS_FOOTER))
+        lines = F.transform(F.filter(H.zip_options(names, values), lambda p: p["value"].isNotNull()),
+                            lambda p: F.concat(p["name"], F.lit(">"), p["value"]))
+        return F.struct(lines.alias("lines"), H.first_price(prices).alias("price"), H.footer_date(footer).alias("date"))
+
+    def main(page):
+        return M.bind(F.coalesce(M.element(page, "table", "id", H.MAIN_TABLE_ID), page), read)
+
+    # one row a page out of a generator: no filter moves below it, so a page
+    # is read once whatever is asked of it
+    df = pages.select(F.col(url_col).alias("url"), F.inline(F.array(M.bind(M.tokens("html"), main))))
     block = F.concat_ws("\n", F.col("url"), F.array_join("lines", "\n"),
                         F.concat(F.lit("Price:>"), F.col("price")), F.concat(F.lit("Date:>"), F.col("date")))
     reason = F.coalesce(F.when(F.col("price").isNull(), F.lit("no_price")),
