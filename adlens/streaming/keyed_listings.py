@@ -7,9 +7,11 @@ that asks, when the watermark has passed the ad's next run date, whether the
 ad was there. Removal is that timer, so nothing rescans the open ads, and a
 file may come late by as much as the watermark waits.
 
-State per ad: the records of run dates that are not final yet (a small map by
-date), and the present stretch of run dates (its first and last date, the
-values of its first parsed record). A date is final when the watermark has
+State per ad, one value: the records of run dates that are not final yet (by
+date), the present stretch of run dates (its last date, the values of its first
+parsed record), and the day of the timer set. Each read or write of state and
+each timer is a call to the JVM, so an ad reads and writes its state once a
+batch, however many dates came, and has one timer, for its next date. A date is final when the watermark has
 passed it; then the ad's dates are taken in order: an ``insert`` event leaves
 with the first parsed record of a stretch, ``seen`` with a first record that
 did not parse, and ``remove`` with the first run date on which the ad is
@@ -28,6 +30,7 @@ from __future__ import annotations
 
 import contextlib
 import datetime as _dt
+import json
 import sys
 
 from pyspark import cloudpickle
@@ -46,9 +49,10 @@ DAY_MS = 86_400_000
 EPOCH = _dt.date(1970, 1, 1)
 _FIELDS = [f for f in schemas.LISTED_ADS.fields if f.name in VALUES]
 VALUE = T.StructType(_FIELDS)
+_LIST_DATE = 2 + VALUES.index("list_date")      # two columns stand before the values
 EVENT = T.StructType([T.StructField("op", T.StringType()), T.StructField("run_date", T.DateType()), T.StructField("url_hash", T.StringType()), *_FIELDS])
-SEEN = T.StructType([T.StructField("parsed", T.BooleanType()), T.StructField("url", T.StringType()), *_FIELDS])
-STRETCH = T.StructType([T.StructField("listed", T.BooleanType()), T.StructField("last", T.IntegerType()), *_FIELDS])
+# as JSON: PySpark sends the schema with every value, which costs more than the value
+STATE = T.StructType([T.StructField("ad", T.StringType())])
 
 # the processor is pickled by value: executors need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -65,28 +69,23 @@ class Listings(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.seen = handle.getMapState("seen", T.StructType([T.StructField("day", T.IntegerType())]), SEEN)
-        self.open = handle.getValueState("open", STRETCH)
+        self.ad = handle.getValueState("ad", STATE)
 
     def handleInputRows(self, key, rows, timerValues):
-        best = {}
+        best, now, due = self._read()
         for r in rows:
-            got = (r["parsed"], r["url"], *[r[c] for c in VALUES])
-            if r["day"] not in best or _order(got) > _order(best[r["day"]]):
-                best[r["day"]] = got
-        for day, got in best.items():
-            if self.seen.containsKey((day,)):
-                got = max(tuple(self.seen.getValue((day,))), got, key=_order)
-            self.seen.updateValue((day,), got)
-            self.handle.registerTimer(day * DAY_MS + 1)
+            day, got = r["day"], (r["parsed"], r["url"], *[r[c] for c in VALUES])
+            if day not in best or _order(got) > _order(best[day]):
+                best[day] = got
+        self._keep(best, now, due)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         """Take all dates before the watermark in order."""
         final = (timerValues.getCurrentWatermarkInMs() - 1) // DAY_MS      # the last final day
-        days = {int(k[0]): tuple(v) for k, v in self.seen.iterator()}
-        now = tuple(self.open.get()) if self.open.exists() else None
-        before = now
+        days, now, due = self._read()
+        if due is None or due > final:
+            return       # a timer set before an earlier one: its dates are done
         while True:
             steps = [d for d in days if d <= final]
             if now is not None and now[1] + self.every <= final:
@@ -95,8 +94,6 @@ class Listings(StatefulProcessor):
                 break
             day = min(steps)
             got = days.pop(day, None)
-            if got is not None:
-                self.seen.removeKey((day,))
             if now is not None and (got is None or day > now[1] + self.every):
                 yield self._event(REMOVE, now[1] + self.every, key, self._after(now))
                 now = None
@@ -110,11 +107,26 @@ class Listings(StatefulProcessor):
                 yield self._event(SEEN_ONLY, day, key, now[2:])
             else:
                 now = (now[0], day, *now[2:])
-        if now is None:
-            self.open.clear()
-        elif now != before:
-            self.open.update(now)
-            self.handle.registerTimer((now[1] + self.every) * DAY_MS + 1)
+        self._keep(days, now, None)
+
+    def _read(self):
+        """(records by day, the stretch or None, the day of the timer or None)."""
+        kept = self.ad.get()
+        if kept is None:
+            return {}, None, None
+        days, now, due = json.loads(kept[0])
+        return {d: _from_json(got) for d, *got in days}, _from_json(now) if now else None, due
+
+    def _keep(self, days, now, due) -> None:
+        """Write the state, with a timer for the ad's next date unless one as
+        early is set."""
+        dates = [*days, *([now[1] + self.every] if now is not None else [])]
+        if not dates:
+            return self.ad.clear()
+        if due is None or min(dates) < due:
+            due = min(dates)
+            self.handle.registerTimer(due * DAY_MS + 1)
+        self.ad.update((json.dumps([[[d, *_to_json(got)] for d, got in days.items()], _to_json(now) if now else None, due]),))
 
     def close(self) -> None:
         pass
@@ -137,6 +149,17 @@ def _date(day: int) -> _dt.date:
     return EPOCH + _dt.timedelta(days=int(day))
 
 
+def _to_json(got) -> list:
+    """Dates as days; both tuples of the state end with the values."""
+    on = got[_LIST_DATE]
+    return [*got[:_LIST_DATE], None if on is None else (on - EPOCH).days, *got[_LIST_DATE:][1:]]
+
+
+def _from_json(got) -> tuple:
+    on = got[_LIST_DATE]
+    return (*got[:_LIST_DATE], None if on is None else _date(on), *got[_LIST_DATE:][1:])
+
+
 def _order(got) -> tuple:
     """The last record of a date by publication date and address, parsed
     ones before others; nulls first."""

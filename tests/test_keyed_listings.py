@@ -104,3 +104,56 @@ def test_missing_runs_unparsed_and_repeated_records(spark, tmp_dir, two_partitio
     assert sorted((r["url_hash"], r["first_date"], r["price"], r["list_date"]) for r in found) == ins and len(ins) > 10
     assert sorted((r["url_hash"], r["removed_date"], r["days_listed"]) for r in found if r["removed_date"]) == rem and len(rem) > 3
     ads.unpersist()
+
+
+class Calls:
+    """A handle and its value state that count what an ad asks of them."""
+
+    def __init__(self):
+        self.kept, self.timers, self.n = None, [], 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.n += 1
+        return self.kept
+
+    def update(self, value):
+        self.n, self.kept = self.n + 1, value
+
+    def clear(self):
+        self.n, self.kept = self.n + 1, None
+
+    def registerTimer(self, at):
+        self.n += 1
+        self.timers.append(at)
+
+
+class At:
+    def __init__(self, day):
+        self.ms = day * K.DAY_MS + 1
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def test_an_ad_reads_and_writes_its_state_once_a_batch():
+    from pyspark.sql import Row
+    values = dict.fromkeys(K.VALUES) | {"price": 5, "list_date": dt.date(2024, 1, 2), "days_listed": 1}
+    ads, calls = K.Listings(1), Calls()
+    ads.init(calls)
+    start = (dt.date(2024, 1, 2) - K.EPOCH).days
+    row = lambda d: Row(**values, url="u", parsed=True, day=start + d)
+    assert list(ads.handleInputRows(("a",), iter([row(d) for d in (1, 0, 3, 2, 7)]), None)) == []
+    assert calls.n == 3 and calls.timers == [start * K.DAY_MS + 1]      # read, timer, write; not per day
+    calls.n = 0
+    events = list(ads.handleExpiredTimer(("a",), At(start + 5), None))
+    assert [(e["op"], e["run_date"], e["price"], e["days_listed"]) for e in events] == [
+        (K.INSERT, dt.date(2024, 1, 2), 5, 1), (K.REMOVE, dt.date(2024, 1, 6), 5, 3)]
+    assert calls.n == 3 and calls.timers[-1] == (start + 7) * K.DAY_MS + 1
+    list(ads.handleInputRows(("a",), iter([row(6)]), None))             # a date before the one waited for
+    assert calls.timers[-1] == (start + 6) * K.DAY_MS + 1
+    events = list(ads.handleExpiredTimer(("a",), At(start + 9), None))
+    assert [(e["op"], e["run_date"]) for e in events] == [(K.INSERT, dt.date(2024, 1, 8)), (K.REMOVE, dt.date(2024, 1, 10))]
+    assert calls.kept is None and list(ads.handleExpiredTimer(("a",), At(start + 9), None)) == []
