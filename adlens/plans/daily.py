@@ -91,7 +91,7 @@ def _init(spark: SparkSession, store: StateStore) -> None:
     except AnalysisException as e:
         if not _missing(e):
             raise
-        spark.createDataFrame([(1,)], "version int").coalesce(1).write.mode("overwrite").parquet(store.path("store"))
+        spark.range(1).select(F.lit(1).alias("version")).coalesce(1).write.mode("overwrite").parquet(store.path("store"))
 
 
 def _read(spark: SparkSession, store: StateStore, table: str, schema: T.StructType) -> DataFrame:
@@ -206,7 +206,8 @@ def run_day(spark: SparkSession, store: StateStore, today_ads: DataFrame, run_da
         n, before = counted.get, runs[prev_d].asDict() if prev_d else {}
         row = (d, *[n[c] for c in ("scraped", "in_db", "unchanged", "new_ads", "removed", "active_total")],
                before.get("removed_total", 0) + n["removed"], before.get("removed_under_cap", 0) + n["removed_under_cap_delta"])
-        write_partition(spark.createDataFrame([row], schemas.RUN_METRICS).coalesce(1), store.path("run_metrics"), "run_date", d.isoformat())
+        metrics = spark.range(1).select(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schemas.RUN_METRICS.fields)])
+        write_partition(metrics.coalesce(1), store.path("run_metrics"), "run_date", d.isoformat())
     finally:
         step.joined.unpersist()
     return "done"

@@ -22,13 +22,20 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     w.save(path)
 
 
-def write_dated(df: DataFrame, path: str, partition_col: str | list[str] = "run_date", fmt: str = "parquet") -> None:
+# A file of a few columns is one row group whatever its date holds, and a row
+# group is read by one task.
+ROWS_PER_FILE = 200_000
+
+
+def write_dated(df: DataFrame, path: str, partition_col: str | list[str] = "run_date", fmt: str = "parquet",
+                rows_per_file: int = ROWS_PER_FILE) -> None:
     """K2: dated copy of a stage output; dynamic partition overwrite makes a
     rerun of the same date replace only that date. Rows are rebalanced by the
     partition columns, so a date has few files, and adaptive execution splits
-    a hot date over tasks."""
+    a hot date over tasks; a file has at most ``rows_per_file`` rows, so that
+    as many tasks read a date back."""
     columns = [partition_col] if isinstance(partition_col, str) else list(partition_col)
-    (df.hint("rebalance", *map(F.col, columns)).write.mode("overwrite")
+    (df.hint("rebalance", *map(F.col, columns)).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
      .option("partitionOverwriteMode", "dynamic").partitionBy(*columns).format(fmt).save(path))
 
 

@@ -60,3 +60,11 @@ def test_no_data_and_combined_report(spark):
     assert rows[4]["line"] == "2 | 1 | 57000.00 | 57000.00 | 0.00 | 57000.00"
     assert rows[5]["line"].startswith("all | 1 |")
     assert rows[-1]["line"] == "01.01.2024: Scraped today: 1 | In DB: 0 | Unchanged: 0 | New ads: 1 | Removed: 0"
+
+
+def test_a_large_date_is_read_by_several_tasks(spark, tmp_dir):
+    rows = spark.range(500_000).select("id", F.when(F.col("id") < 10, "2024-01-01").otherwise("2024-01-02").cast("date").alias("run_date"))
+    W.write_dated(rows, tmp_dir + "/dated")
+    back = spark.read.parquet(tmp_dir + "/dated")
+    tasks = back.where("run_date = '2024-01-02'").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks >= 3 and back.count() == 500_000
