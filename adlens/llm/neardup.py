@@ -364,7 +364,7 @@ def _near_duplicates(docs: DataFrame, num: int, den: int) -> DataFrame:
     rep = F.when(F.col("n_shingles") > 0, F.coalesce("least", "doc_id"))
     sets = pin(found.join(bounded_broadcast(classes, BROADCAST_ROWS), ["n_shingles", "f1", "f2"], "left").withColumn("rep", rep).select(
         "doc_id", "n_shingles", "f1", "f2", "rep", *[F.when(F.col("doc_id") == F.col("rep"), F.col(c)).alias(c) for c in ("signature", "sketch")]))
-    reps = sets.where("signature is not null").dropDuplicates(["doc_id"])
+    reps = pin(sets.where("signature is not null").dropDuplicates(["doc_id"]))     # read by every round
     hot = pin(regions(reps).groupBy("region").count().where(F.col("count") > NEIGHBOURS).select("region"))
     label = None
     for trees, neighbours in ((FIRST_TREES, 1), (TREES, NEIGHBOURS)):

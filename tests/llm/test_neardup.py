@@ -108,3 +108,16 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     want = {x: root(x) for e in edges if e[0] != e[1] for x in e}
     assert got == want
+
+
+def test_few_edges_are_not_shuffled_to_their_least(spark, monkeypatch):
+    """A step over few edges shuffles once for the least and once for the distinct edges."""
+    from adlens.llm import components as C
+    plans, pin = [], C.pin
+    monkeypatch.setattr(C, "pin", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or pin(df))
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame([(4, 3), (3, 2), (2, 1), (9, 8)], "a bigint, b bigint")).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 1, 8: 8, 9: 8}
+    assert len(plans) >= 5 and all("SortMergeJoin" not in p for p in plans[1:])
+    assert all(p.count("Exchange hashpartitioning(u") <= 3 for p in plans[1:])
+    monkeypatch.setattr(C, "BROADCAST_EDGES", 0)        # the way of many edges gives the same
+    assert got == {r["node"]: r["component"] for r in components(spark.createDataFrame([(4, 3), (3, 2), (2, 1), (9, 8)], "a bigint, b bigint")).collect()}
