@@ -166,7 +166,8 @@ KEYS_SCHEMA = "bucket int, batch bigint, keys binary, more binary"
 def distinct_keys(keys: np.ndarray, buckets: int):
     """Distinct keys in the order of (bucket, key), and each key's place."""
     whole, place = np.unique(keys, return_inverse=True)
-    order = np.argsort(bucket_of(whole, buckets), kind="stable")
+    bucket = bucket_of(whole, buckets)
+    order = np.argsort(bucket.astype(np.uint16) if buckets < 1 << 16 else bucket, kind="stable")  # two bytes: a radix sort
     back = np.empty(len(order), np.int64)
     back[order] = np.arange(len(order))
     return whole[order], back[place]

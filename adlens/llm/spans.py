@@ -88,14 +88,21 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)[:n]
 
 
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """What ``PrefixHash`` needs for up to ``n`` codes, to be shared by the
+    steps of one batch."""
+    return powers(BASE, n), powers(INVERSE, n + 1)
+
+
 class PrefixHash:
     """Polynomial prefix hashes of a sequence of 64-bit codes."""
 
-    def __init__(self, codes: np.ndarray):
+    def __init__(self, codes: np.ndarray, tables: tuple[np.ndarray, np.ndarray] | None = None):
         n = len(codes)
+        up, down = tables or power_tables(n)
         self.prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum(codes * powers(BASE, n), out=self.prefix[1:])
-        self.down = powers(INVERSE, n + 1)
+        np.cumsum(codes * up[:n], out=self.prefix[1:])
+        self.down = down[:n + 1]
 
     def span(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hashes of the spans [start, end)."""

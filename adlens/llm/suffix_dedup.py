@@ -31,13 +31,15 @@ from pyspark.sql import DataFrame
 from ..operators.sizing import pin
 from ..session import scratch_scope
 from .repeats import NO_ID, Batches, answer_keys, batch_rows, bucket_of, distinct_keys, read_bits, runs, send_keys, write_batches, KEYS_SCHEMA
-from .spans import BYTE_CODE, STEP, PrefixHash, mix, ragged, steps
+from .spans import BYTE_CODE, PrefixHash, mix, power_tables, ragged, steps
 
 LENGTH = 50
 ANCHOR = 20
 # Parts into which the runs' text is dealt, per bucket of anchors: their text
 # is many times larger, and sorting takes many bytes of memory for each.
 RUN_PARTS = 8
+# Bytes taken per step of ``find_runs``: its arrays then stay in a core's cache.
+RUN_STEP = 1 << 17
 
 
 class SuffixOrder:
@@ -67,12 +69,29 @@ class SuffixOrder:
         out[differ] = self.text[x + n] < self.text[y + n]
         return out
 
-    def sort(self, starts: np.ndarray, group: np.ndarray) -> np.ndarray:
-        """Order of the suffixes by group, then text: bottom-up mergesort in
-        every class of one group and one eight-byte head."""
+    def heads(self, starts: np.ndarray) -> np.ndarray:
+        """The first eight bytes of suffixes, as numbers that order alike."""
         head = np.zeros(len(starts), np.uint64)
         for i in range(8):
             head = (head << np.uint64(8)) | self.text[starts + i]
+        return head
+
+    def sort(self, starts: np.ndarray, group: np.ndarray) -> np.ndarray:
+        """Order of the suffixes by group, then text: bottom-up mergesort in
+        every class of one group and one eight-byte head. Suffixes of one
+        group whose ``depth`` bytes hash alike go through it as one."""
+        whole = self.whole[starts]
+        alike = np.argsort(mix(whole ^ mix(group.astype(np.uint64))))
+        new = np.ones(len(alike), bool)
+        new[1:] = (whole[alike][1:] != whole[alike][:-1]) | (group[alike][1:] != group[alike][:-1])
+        first = np.flatnonzero(new)
+        copies = np.diff(np.append(first, len(alike)))
+        order = self.sort_distinct(starts[alike[first]], group[alike[first]])
+        return alike[ragged(copies[order], first[order])]
+
+    def sort_distinct(self, starts: np.ndarray, group: np.ndarray) -> np.ndarray:
+        """The mergesort of ``sort``."""
+        head = self.heads(starts)
         order = np.lexsort((head, group))
         new = np.ones(len(order), bool)
         new[1:] = (group[order][1:] != group[order][:-1]) | (head[order][1:] != head[order][:-1])
@@ -102,25 +121,26 @@ class SuffixOrder:
             width *= 2
         return order
 
-    def equal_neighbours(self, starts: np.ndarray, order: np.ndarray, group: np.ndarray, chunk: int = 1 << 16) -> np.ndarray:
+    def equal_neighbours(self, starts: np.ndarray, order: np.ndarray, group: np.ndarray, chunk: int = 1 << 14) -> np.ndarray:
         """For each position of the order but the first whether its string of
         ``depth`` bytes equals the one before; every byte is compared."""
         x, y = starts[order[:-1]], starts[order[1:]]
         out = (group[order[:-1]] == group[order[1:]]) & (self.whole[x] == self.whole[y])
         at = np.flatnonzero(out)
-        span = np.arange(self.depth)
+        strings = np.lib.stride_tricks.sliding_window_view(self.text, self.depth) if len(at) else None
         for a in range(0, len(at), chunk):
             some = at[a:a + chunk]
-            out[some] = (self.text[x[some][:, None] + span] == self.text[y[some][:, None] + span]).all(axis=1)
+            out[some] = (strings[x[some]] == strings[y[some]]).all(axis=1)
         return out
 
 
 def find_runs(off: np.ndarray, data: np.ndarray):
     """Starts, window counts, anchors and documents of a batch's runs, and
     the hash of each run's bytes."""
-    out = []
-    for a, b in steps(off, STEP):
-        hashes = PrefixHash(BYTE_CODE[data[off[a]:off[b]]])
+    out, ranges = [], list(steps(off, RUN_STEP))
+    tables = power_tables(max((int(off[b] - off[a]) for a, b in ranges), default=0))
+    for a, b in ranges:
+        hashes = PrefixHash(BYTE_CODE[data[off[a]:off[b]]], tables)
         starts, ends, anchor = runs(hashes, off[a:b + 1] - off[a], LENGTH, ANCHOR)
         whole = mix(hashes.span(starts, ends + LENGTH - 1)) ^ (ends - starts).astype(np.uint64)
         out.append((starts + off[a], ends - starts, anchor, whole))
@@ -144,7 +164,7 @@ def _candidates(ids, off, data, found, buckets, parts):
     (part, anchor, bytes): representative, first and last doc_id, and for
     each occurrence its start, document and distinct run."""
     starts, count, anchor, doc, whole = find_runs(off, data)
-    keys, _, place = _anchors(ids, anchor, doc, buckets)
+    keys, place = distinct_keys(anchor, buckets)
     mine = np.flatnonzero(read_bits(found, keys, buckets)[place])
     order = mine[np.lexsort((whole[mine], count[mine], anchor[mine], bucket_of(anchor[mine], parts)))]
     new = np.ones(len(order), bool)
@@ -152,8 +172,9 @@ def _candidates(ids, off, data, found, buckets, parts):
     run = np.cumsum(new) - 1
     first = order[new]
     # runs that agree in hash and length must agree in bytes
-    for a in range(0, len(order), 1 << 15):
-        x, y = order[a:a + (1 << 15)], first[run[a:a + (1 << 15)]]
+    again = np.flatnonzero(~new)
+    for a in range(0, len(again), 1 << 13):
+        x, y = order[again[a:a + (1 << 13)]], first[run[again[a:a + (1 << 13)]]]
         size = count[x] + LENGTH - 1
         if not np.array_equal(data[ragged(size, starts[x])], data[ragged(size, starts[y])]):
             raise ValueError("two runs of one hash differ")
@@ -183,8 +204,9 @@ def _settle(table: pa.Table) -> pa.Table:
     kind_of = np.empty(len(order), np.int64)
     kind_of[order] = np.cumsum(new) - 1
     rep = order[new]
-    for a in range(0, len(order), 1 << 13):  # equal hashes, equal bytes
-        x = order[a:a + (1 << 13)]
+    again = order[~new]
+    for a in range(0, len(again), 1 << 13):  # equal hashes, equal bytes
+        x = again[a:a + (1 << 13)]
         y = rep[kind_of[x]]
         if not np.array_equal(text[ragged(size[x], start[x])], text[ragged(size[y], start[y])]):
             raise ValueError("two runs of one hash differ")

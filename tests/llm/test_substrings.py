@@ -83,6 +83,29 @@ def test_suffix_order_sorts_like_bytes():
     assert keys == sorted((g, raw[s:s + 50]) for g, s in zip(group, starts)) and sorted(got) == list(range(500))
 
 
+def test_suffix_order_merges_equal_suffixes_once(monkeypatch):
+    rng = random.Random(6)
+    passages = ["same head " + "".join(rng.choice("abc") for _ in range(70)) for _ in range(6)]
+    raw = "".join(passages * 100).encode()
+    starts = np.arange(600) * 80
+    group = np.repeat([1, 4], 300)
+    compared, less = [], suffix_dedup.SuffixOrder.less
+    monkeypatch.setattr(suffix_dedup.SuffixOrder, "less", lambda self, x, y, e: compared.append(len(x)) or less(self, x, y, e))
+    order = suffix_dedup.SuffixOrder(np.frombuffer(raw, np.uint8), 50)
+    got = order.sort(starts, group)
+    assert [(group[i], raw[starts[i]:starts[i] + 50]) for i in got] == sorted((g, raw[s:s + 50]) for g, s in zip(group, starts))
+    assert sorted(got) == list(range(600)) and 0 < sum(compared) < 200
+    assert order.equal_neighbours(starts, got, group).sum() == 600 - 12
+
+
+def test_runs_do_not_depend_on_the_step(monkeypatch):
+    texts = [(t or "").encode() for _, t, *_ in ROWS]
+    off, data = np.cumsum([0, *map(len, texts)]), np.frombuffer(b"".join(texts), np.uint8)
+    whole = suffix_dedup.find_runs(off, data)
+    monkeypatch.setattr(suffix_dedup, "RUN_STEP", 500)
+    assert len(whole[0]) and all(np.array_equal(a, b) for a, b in zip(whole, suffix_dedup.find_runs(off, data)))
+
+
 def test_extension_is_the_common_prefix():
     text = np.frombuffer(b"abcabcabdabcabcabx" + b"y" * 60, np.uint8)
     order = suffix_dedup.SuffixOrder(text, 20)
