@@ -32,6 +32,19 @@ def apply_codegen_limit(spark: SparkSession) -> None:
         spark.conf.set(HUGE_METHOD_KEY, HUGE_METHOD_LIMIT)
 
 
+# Rows of one Arrow batch between Spark and Python. A batch of whole texts is
+# held by the JVM, outside its heap, and by the worker; Spark's 10,000 rows are
+# tens of megabytes in each of them, kept after the batch is gone.
+BATCH_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = "1000"
+
+
+def apply_batch_rows(spark: SparkSession) -> None:
+    """Set the rows of an Arrow batch unless the user set them."""
+    if spark.conf.get(BATCH_ROWS_KEY, "10000") == "10000":
+        spark.conf.set(BATCH_ROWS_KEY, BATCH_ROWS)
+
+
 def build_session(master: str | None = None, app: str = "adlens",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:

@@ -7,16 +7,28 @@ shared folder and reads it back.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import functions as F
 
 from adlens.llm import decontaminate, langid, mixing, neardup, queries, tokens_out
 from adlens.operators.sizing import bounded_broadcast, pin
-from adlens.session import scratch_path
+from adlens.session import apply_batch_rows, scratch_path
 
 #: Similarity from which two documents count as near duplicates, in percent.
 NEAR = 80
 
 
+def in_small_batches(stage):
+    """The stage, its texts passed to Python in batches of fewer rows."""
+    @wraps(stage)
+    def run_stage(spark, docs, sf_dir):
+        apply_batch_rows(spark)
+        return stage(spark, docs, sf_dir)
+    return run_stage
+
+
+@in_small_batches
 def language(spark, docs, sf_dir):
     """Keep the documents whose language is identified. The model learns from
     the labelled ones among three quarters of them."""
@@ -24,6 +36,7 @@ def language(spark, docs, sf_dir):
     return langid.keep_identified(docs, model)
 
 
+@in_small_batches
 def near_duplicates(spark, docs, sf_dir):
     """Keep one document of each near-duplicate group, the smallest doc_id;
     rows that repeat a doc_id count as one document. Rows without a doc_id
@@ -43,16 +56,19 @@ def near_duplicates(spark, docs, sf_dir):
     return (named.dropDuplicates(["doc_id"]) if twice else named).unionByName(left)
 
 
+@in_small_batches
 def benchmark(spark, docs, sf_dir):
     """Drop the documents that hold an item of the benchmark."""
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@in_small_batches
 def mix(spark, docs, sf_dir):
     """Repeat or leave out documents until every source has its target."""
     return mixing.mix(docs)
 
 
+@in_small_batches
 def tokens(spark, docs, sf_dir):
     """Write the ids of every document to shards and read these back."""
     path = scratch_path(spark, "tokens")

@@ -7,6 +7,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from helpers import WORD, documents
@@ -108,3 +109,18 @@ def test_pipeline_against_plain_stages(spark, tmp_dir):
         start += len(ids)
     assert sorted(map(tuple, corpus_pipeline.run(spark, tmp_dir).collect())) == sorted(want)
     assert corpus_pipeline.ORACLE_SQL is None and "pipeline" not in ent.oracle_sql()
+
+
+def test_pipeline_passes_texts_in_small_batches(spark):
+    key, rows = "spark.sql.execution.arrow.maxRecordsPerBatch", [(i, "some words", "en", "s") for i in range(3000)]
+    docs = documents(spark, rows).coalesce(1)
+    try:
+        for set_, most in ((None, 1000), ("700", 700)):
+            spark.conf.unset(key)
+            if set_:
+                spark.conf.set(key, set_)
+            corpus_pipeline.language(spark, docs, None)
+            got = docs.mapInArrow(lambda parts: (pa.RecordBatch.from_pydict({"n": [p.num_rows]}) for p in parts), "n bigint")
+            assert max(r.n for r in got.collect()) == most
+    finally:
+        spark.conf.unset(key)
